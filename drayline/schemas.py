@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+}
+
+
 def ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """``"name type, name type"`` as a schema; unlike ``fromDDL`` this needs no session."""
+    fields = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 # Change envelopes. Row images travel as JSON text; times inside are epoch milliseconds.
