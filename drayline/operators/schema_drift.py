@@ -32,7 +32,7 @@ def columns_snapshot(
     spark: SparkSession, table: str, schema: T.StructType, store: DataFrame | None, as_of: datetime | Column
 ) -> DataFrame:
     """Present column states of a table; ``is_new`` marks columns the last snapshot lacks."""
-    full_column = F.concat_ws(".", "full_table_name", "column_name")
+    full_column = F.upper(F.concat_ws(".", "full_table_name", "column_name"))
     current = schema_rows(spark, table, schema).withColumn("full_column_name", full_column)
     if store is None:
         flagged = current.withColumn("is_new", F.lit(False))

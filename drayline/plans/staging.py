@@ -17,6 +17,15 @@ LONGITUDE_RANGE = (-49.5, -49.1)
 
 _VERSION = ["ts_ms", "_partition_offset"]
 
+# Only the fields a model uses are parsed out of the row images.
+_ORDER_FIELDS = schemas.pick(
+    schemas.ORDER_PAYLOAD,
+    ["id", "truck_id", "status", "pickup_address", "delivery_address", "dispatched_at", "collected_at", "delivered_at"],
+)
+_TELEMETRY_FIELDS = schemas.pick(
+    schemas.TELEMETRY_PAYLOAD, ["truck_id", "latitude", "longitude", "speed_kmh", "fuel_level", "timestamp"]
+)
+
 
 def raw_changes(source: DataFrame, stored: DataFrame | None = None, append_only: bool = False) -> DataFrame:
     """New events of a feed: those past the stored offset of their partition."""
@@ -33,7 +42,7 @@ def stg_orders(raw: DataFrame, target: DataFrame | None = None) -> DataFrame:
 
     With ``target`` given, only events newer than it are read.
     """
-    decoded = cdc.decode(_fresh(raw, target), schemas.ORDER_PAYLOAD)
+    decoded = cdc.decode(_fresh(raw, target), _ORDER_FIELDS)
     typed = decoded.select(
         F.col("row.id").alias("order_id"),
         "row.truck_id",
@@ -81,7 +90,7 @@ def stg_telemetry(raw: DataFrame, target: DataFrame | None = None) -> DataFrame:
     dropped. With ``target`` given, instants already stored are left out too.
     """
     inserts = cdc.keep_operations(_fresh(raw, target))
-    decoded = cdc.decode(inserts, schemas.TELEMETRY_PAYLOAD, has_before=False)
+    decoded = cdc.decode(inserts, _TELEMETRY_FIELDS, has_before=False)
     typed = decoded.select(
         "row.truck_id",
         "row.latitude",

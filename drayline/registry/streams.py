@@ -1 +1,177 @@
-"""Placeholder."""
+"""Structured Streaming queries, run over the event table until it is exhausted.
+
+The table's files are read as a stream; results are written below the shared
+folder and read back.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, functions as F
+
+from drayline import schemas
+from drayline.plans import derived, staging, trips
+from drayline.registry import ctes, feeds
+from drayline.registry.base import Tables, query, with_ctes, work_folder
+from drayline.sources.tables import PartitionedTable, SnapshotTable, with_key_bucket
+from drayline.streaming import ingest
+from drayline.sources import sinks
+
+
+def _stream(t: Tables) -> DataFrame:
+    return t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events.parquet*")
+
+
+def _folder(t: Tables, name: str) -> str:
+    return f"{work_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "stream_raw",
+    "SELECT event_id AS _partition_offset, CAST(ts AS DATE) AS event_date FROM events",
+)
+def stream_raw(t: Tables) -> DataFrame:
+    """Events landed once each, by date."""
+    folder = _folder(t, "stream_raw")
+    ingest.start_raw(derived.order_changes(_stream(t)), f"{folder}/out", f"{folder}/checkpoint", True).awaitTermination()
+    return t.spark.read.parquet(f"{folder}/out").select("_partition_offset", "event_date")
+
+
+@query("stream_json_sink", "SELECT event_id AS _partition_offset, CAST(ts AS DATE) AS event_date FROM events")
+def stream_json_sink(t: Tables) -> DataFrame:
+    """The same as rolled JSON objects of at most a hundred records."""
+    folder = _folder(t, "stream_json")
+    query_ = sinks.start_json_sink(derived.order_changes(_stream(t)), f"{folder}/out", f"{folder}/checkpoint", available_now=True)
+    query_.awaitTermination()
+    stored = t.spark.read.schema("_partition_offset bigint, event_date date").json(f"{folder}/out")
+    return stored.select("_partition_offset", "event_date")
+
+
+@query("stream_state", feeds._STG_ORDERS)
+def stream_state(t: Tables) -> DataFrame:
+    """Current state per order, maintained by key and version in a partitioned table."""
+    folder = _folder(t, "stream_state")
+    table = PartitionedTable(t.spark, f"{folder}/out", ["_key_bucket"], folder)
+    ingest.start_state(
+        derived.order_changes(_stream(t)), staging.stg_orders, table, ["order_id"], f"{folder}/checkpoint",
+        prepare=lambda df: with_key_bucket(df, ["order_id"], 4), available_now=True,
+    ).awaitTermination()
+    return feeds._naive(table.read().drop("_key_bucket"))
+
+
+@query(
+    "stream_dedup",
+    "SELECT DISTINCT 'TRK-' || (user_id % 50) AS truck_id, date_trunc('hour', ts) AS event_ts FROM events "
+    "WHERE event_type IN ('signup', 'view') AND event_id % 31 <> 0 AND (event_id % 37 <> 0 OR event_id % 80 = 0)",
+)
+def stream_dedup(t: Tables) -> DataFrame:
+    """Valid positions, one per truck and instant within the lateness bound."""
+    folder = _folder(t, "stream_dedup")
+    positions = ingest.telemetry(derived.telemetry_changes(_stream(t)), "40 days")
+    writer = positions.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return feeds._naive(t.spark.read.parquet(f"{folder}/out").select("truck_id", "event_ts"))
+
+
+@query(
+    "stream_hourly_pings",
+    with_ctes(["pings", "hourly"], "SELECT truck_id, activity_hour, ping_count, round(avg_speed_kmh, 6) AS avg_speed_kmh FROM hourly"),
+)
+def stream_hourly_pings(t: Tables) -> DataFrame:
+    """Tumbling hours, upserted into a table as they change."""
+    folder = _folder(t, "stream_hourly")
+    positions = derived.pings(_stream(t)).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    table = PartitionedTable(t.spark, f"{folder}/out", ["activity_date"], folder)
+    ingest.start_upserts(
+        ingest.hourly_pings(positions), table, ["truck_id", "activity_hour", "activity_date"], f"{folder}/checkpoint",
+        prepare=lambda df: df.withColumn("activity_date", F.to_date("activity_hour")), available_now=True,
+    ).awaitTermination()
+    found = table.read().drop("activity_date").withColumn("avg_speed_kmh", F.round("avg_speed_kmh", 6))
+    return feeds._naive(found)
+
+
+@query(
+    "stream_sliding_counts",
+    "SELECT b AS bucket_start, b + INTERVAL 6 HOUR AS bucket_end, event_type, count(*) AS row_count FROM events, "
+    "(SELECT unnest([0, 1]) AS k) JOIN LATERAL (SELECT date_trunc('day', ts) + CAST(hour(ts) // 3 AS INT) * INTERVAL 3 HOUR - k * INTERVAL 3 HOUR AS b) ON true GROUP BY 1, 2, 3",
+)
+def stream_sliding_counts(t: Tables) -> DataFrame:
+    """Six-hour windows every three hours."""
+    folder = _folder(t, "stream_sliding")
+    events = _stream(t).withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = ingest.bucket_counts(events, "ts", "6 hours", "1 day", "3 hours", ["event_type"])
+    table = SnapshotTable(t.spark, f"{folder}/out")
+    ingest.start_upserts(counts, table, ["bucket_start", "event_type"], f"{folder}/checkpoint", available_now=True).awaitTermination()
+    return feeds._naive(table.read())
+
+
+@query(
+    "stream_with_registry",
+    with_ctes(
+        ["pings", "registry"],
+        "SELECT p.truck_id, p.event_ts, g.model, g.capacity_kg FROM pings p LEFT JOIN (SELECT * FROM registry WHERE NOT is_deleted) g USING (truck_id)",
+    ),
+)
+def stream_with_registry(t: Tables) -> DataFrame:
+    folder = _folder(t, "stream_registry")
+    joined = ingest.with_registry(derived.pings(_stream(t)), derived.registry(t.events))
+    writer = joined.select("truck_id", "event_ts", "model", "capacity_kg").writeStream.format("parquet")
+    writer = writer.option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{folder}/out")
+
+
+@query("stream_trips", with_ctes(ctes.TRIPS, "SELECT * FROM trips"))
+def stream_trips(t: Tables) -> DataFrame:
+    """Completed orders matched to stored positions batch by batch."""
+    folder = _folder(t, "stream_trips")
+    table = PartitionedTable(t.spark, f"{folder}/out", ["trip_date"], folder)
+    ingest.start_trips(
+        derived.orders(_stream(t)), lambda: derived.pings(t.events), table, f"{folder}/checkpoint", available_now=True
+    ).awaitTermination()
+    return table.read().select(*trip_columns(t))
+
+
+def trip_columns(t: Tables) -> list[str]:
+    return trips.order_trips(derived.orders(t.events).limit(0), derived.pings(t.events).limit(0)).columns
+
+
+@query(
+    "stream_late_refresh",
+    "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE CAST(ts AS DATE) IN (SELECT CAST(ts AS DATE) FROM events WHERE event_id % 2500 = 0) GROUP BY 1",
+)
+def stream_late_refresh(t: Tables) -> DataFrame:
+    """Only the days that late rows fall on are recomputed."""
+    folder = _folder(t, "stream_late")
+    table = PartitionedTable(t.spark, f"{folder}/out", ["day"], folder)
+    late = _stream(t).where(F.col("event_id") % 2500 == 0)
+    day = F.col("ts").cast("date").alias("day")
+
+    def recompute(days: list) -> DataFrame:
+        dated = t.events.select(day).where(F.col("day").isin(days))
+        return dated.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+
+    ingest.start_refresh(late, lambda b: b.select(day), recompute, table, f"{folder}/checkpoint", True).awaitTermination()
+    return table.read().select("day", "n")
+
+
+@query(
+    "stream_dead_letters",
+    "SELECT event_id AS _partition_offset, event_id % 50 <> 3 AS good FROM events",
+)
+def stream_dead_letters(t: Tables) -> DataFrame:
+    """Unparseable envelopes go to a side table, the stream carries on."""
+    folder = _folder(t, "stream_dead")
+    broken = F.concat(F.lit('{"id":'), F.col("_partition_offset").cast("string"))
+    damaged = F.col("_partition_offset") % 50 == 3
+    feed = derived.order_changes(_stream(t))
+    feed = feed.withColumn("before", F.when(damaged, broken).otherwise(F.col("before"))).withColumn(
+        "after", F.when(damaged, broken).otherwise(F.col("after"))
+    )
+    sinks.start_tolerant_sink(
+        feed, schemas.ORDER_PAYLOAD, f"{folder}/good", f"{folder}/bad", f"{folder}/checkpoint"
+    ).awaitTermination()
+    good = t.spark.read.parquet(f"{folder}/good").select("_partition_offset", F.lit(True).alias("good"))
+    bad = t.spark.read.parquet(f"{folder}/bad").select("_partition_offset", F.lit(False).alias("good"))
+    return good.unionByName(bad)

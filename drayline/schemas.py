@@ -21,6 +21,11 @@ def ddl(text: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
+def pick(schema: T.StructType, names: list[str]) -> T.StructType:
+    """Some fields of a schema, in the given order."""
+    return T.StructType([schema[n] for n in names])
+
+
 # Change envelopes. Row images travel as JSON text; times inside are epoch milliseconds.
 ENVELOPE = ddl("op string, ts_ms bigint, before string, after string")
 ENVELOPE_APPEND_ONLY = ddl("op string, ts_ms bigint, after string")

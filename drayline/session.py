@@ -22,6 +22,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Capturing the Python call site costs a JVM round trip per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

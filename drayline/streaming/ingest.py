@@ -123,6 +123,23 @@ def bucket_counts(
     )
 
 
+def start_upserts(
+    aggregate: DataFrame,
+    table: SnapshotTable | PartitionedTable,
+    keys: list[str],
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Keep a table of a windowed aggregate up to date: rows that changed replace those of equal key."""
+
+    def upsert(batch: DataFrame, _batch_id: int) -> None:
+        table.merge(prepare(batch) if prepare else batch, keys)
+
+    writer = aggregate.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
+    return _trigger(writer, available_now).start()
+
+
 def with_registry(positions: DataFrame, trucks: DataFrame) -> DataFrame:
     """Positions joined to the truck registry as it stands when a batch runs."""
     registry = trucks.where(~F.col("is_deleted")).select("truck_id", "model", "capacity_kg")
