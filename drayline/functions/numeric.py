@@ -19,6 +19,9 @@ __all__ = [
     "safe_add",
     "safe_divide",
     "safe_subtract",
+    "to_units",
+    "units_mean",
+    "units_sum",
     "width_bucket",
 ]
 
@@ -34,10 +37,27 @@ def round_to(value, places: int = 0) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * factor + F.lit(0.5)) / F.lit(factor)
 
 
-def _units(value, scale: int) -> Column:
+def to_units(value, scale: int) -> Column:
+    """A number with at most ``scale`` decimals as a whole number of its last decimal."""
     return F.round(as_col(value).cast("double") * float(10**scale)).cast("bigint")
 
 
+def units_sum(total: Column, scale: int, places: int | None = None) -> Column:
+    """A sum of units as a number, optionally rounded to fewer places."""
+    if places is None or places >= scale:
+        return total / float(10**scale)
+    return _round_units(total / float(10 ** (scale - places)), places)
+
+
+def units_mean(total: Column, count: Column, scale: int, places: int | None = None) -> Column:
+    """The mean behind a sum of units and a count, optionally rounded."""
+    if places is None:
+        return F.try_divide(total.cast("double"), count * F.lit(10**scale))
+    if places >= scale:
+        return _round_units(F.try_divide((total * 10 ** (places - scale)).cast("double"), count), places)
+    return _round_units(F.try_divide(total.cast("double"), count * F.lit(10 ** (scale - places))), places)
+
+
 def exact_sum(value, scale: int, places: int | None = None) -> Column:
     """Aggregate: sum of a column that holds at most ``scale`` decimals.
 
@@ -45,21 +65,13 @@ def exact_sum(value, scale: int, places: int | None = None) -> Column:
     tasks deliver their parts (a sum of doubles does, and rounding then flips
     at ties).
     """
-    total = F.sum(_units(value, scale))
-    if places is None or places >= scale:
-        return total / float(10**scale)
-    return _round_units(total / float(10 ** (scale - places)), places)
+    return units_sum(F.sum(to_units(value, scale)), scale, places)
 
 
 def exact_mean(value, scale: int, places: int | None = None) -> Column:
     """Aggregate: mean of a column that holds at most ``scale`` decimals, order-independent."""
-    units = _units(value, scale)
-    total, count = F.sum(units), F.count(units)
-    if places is None:
-        return F.try_divide(total.cast("double"), count * F.lit(10**scale))
-    if places >= scale:
-        return _round_units(F.try_divide((total * 10 ** (places - scale)).cast("double"), count), places)
-    return _round_units(F.try_divide(total.cast("double"), count * F.lit(10 ** (scale - places))), places)
+    units = to_units(value, scale)
+    return units_mean(F.sum(units), F.count(units), scale, places)
 
 
 def _round_units(quotient: Column, places: int) -> Column:

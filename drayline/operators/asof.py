@@ -49,23 +49,27 @@ def _rank(probes: list[Probe], direction: str) -> Column:
     return rank
 
 
-def _scan(stacked: DataFrame, parts: list[str], probes: list[Probe]) -> DataFrame:
-    """Answer every probe from the rows of its own partition."""
-    seen = F.when(F.col(_KIND).isNull(), F.col(_ROW))
+def _scan(stacked: DataFrame, parts: list[str], probes: list[Probe], unique: bool) -> DataFrame:
+    """Answer every probe from the rows of its own partition.
+
+    Probes hold no row, so the last non-null row is the last one looked up.
+    ``unique`` rows need no tie-break in the sort.
+    """
     so_far = (W.unboundedPreceding, W.currentRow)
+    tie = [] if unique else [F.col(_ROW)]
     directions = {p.direction for p in probes}
     hit = F.lit(None)
     if "backward" in directions:
         order = W.partitionBy(*parts).orderBy(
-            F.col(_TS).asc(), _rank(probes, "backward").asc(), F.col(_ROW).asc()
+            F.col(_TS).asc(), _rank(probes, "backward").asc(), *[c.asc() for c in tie]
         )
-        stacked = stacked.withColumn("_back", F.last(seen, ignorenulls=True).over(order.rowsBetween(*so_far)))
+        stacked = stacked.withColumn("_back", F.last(_ROW, ignorenulls=True).over(order.rowsBetween(*so_far)))
         hit = F.col("_back")
     if "forward" in directions:
         order = W.partitionBy(*parts).orderBy(
-            F.col(_TS).desc(), _rank(probes, "forward").asc(), F.col(_ROW).desc()
+            F.col(_TS).desc(), _rank(probes, "forward").asc(), *[c.desc() for c in tie]
         )
-        stacked = stacked.withColumn("_ahead", F.last(seen, ignorenulls=True).over(order.rowsBetween(*so_far)))
+        stacked = stacked.withColumn("_ahead", F.last(_ROW, ignorenulls=True).over(order.rowsBetween(*so_far)))
         forward = [p.name for p in probes if p.direction == "forward"]
         hit = F.when(F.col(_KIND).isin(forward), F.col("_ahead")).otherwise(hit)
     return stacked.where(F.col(_KIND).isNotNull()).withColumn(_HIT, hit)
@@ -146,12 +150,12 @@ def asof_lookup(
 
     if plan is None:
         stacked = rows.unionByName(points, allowMissingColumns=True)
-        answers = _scan(stacked, on, probes).select(*row_id, _KIND, _HIT)
+        answers = _scan(stacked, on, probes, right_unique).select(*row_id, _KIND, _HIT)
     else:
         parts = []
         if plan.hot_keys is not None:
             cold = plan.cold(rows).unionByName(plan.cold(points), allowMissingColumns=True)
-            parts.append(_scan(cold, on, probes).select(*row_id, _KIND, _HIT))
+            parts.append(_scan(cold, on, probes, right_unique).select(*row_id, _KIND, _HIT))
         order = order_value(F.col(_TS), rows.select(_TS).dtypes[0][1])
         hot_rows = plan.hot(rows)
         if not right_unique:
@@ -167,25 +171,30 @@ def asof_lookup(
         stacked = hot_rows.unionByName(
             _with_neighbour_rows(hot_rows, instants_once, on), allowMissingColumns=True
         ).unionByName(instants_once, allowMissingColumns=True)
-        found = _scan(stacked, [*on, CHUNK], probes).select(*on, _KIND, _TS, _HIT)
+        found = _scan(stacked, [*on, CHUNK], probes, right_unique).select(*on, _KIND, _TS, _HIT)
         parts.append(hot_probes.join(found, [*on, _KIND, _TS]).select(*row_id, _KIND, _HIT))
         answers = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
-    columns = []
-    for probe in probes:
-        mine = F.when(F.col(_KIND) == probe.name, F.col(_HIT))
-        columns.append(F.first(mine, ignorenulls=True).alias(f"_{probe.name}"))
-    wide = answers.groupBy(*row_id).agg(*columns)
+    # One row per probe kind: the maximum is that row's value, and unlike
+    # "first" it aggregates in a hash table without sorting.
+    fields = [_TS, *[f"_v{i}" for i in range(len(values))]]
+    names = [right_ts, *values]
+    wide = answers.groupBy(*row_id).agg(
+        *[
+            F.max(F.when(F.col(_KIND) == probe.name, F.col(_HIT)[field])).alias(f"{probe.name}_{name}")
+            for probe in probes
+            for field, name in zip(fields, names)
+        ]
+    )
     outputs = []
     for probe in probes:
-        hit = F.col(f"_{probe.name}")
-        at = hit[_TS]
-        keep = F.lit(True)
-        if within is not None:
-            gap = F.unix_micros(F.col(probe.ts).cast("timestamp")) - F.unix_micros(at.cast("timestamp"))
-            keep = F.abs(gap) <= F.lit(within * 1_000_000)
-        outputs.append(F.when(keep, at).alias(f"{probe.name}_{right_ts}"))
-        outputs += [F.when(keep, hit[f"_v{i}"]).alias(f"{probe.name}_{v}") for i, v in enumerate(values)]
+        at = F.col(f"{probe.name}_{right_ts}")
+        for name in names:
+            value = F.col(f"{probe.name}_{name}")
+            if within is not None:
+                gap = F.unix_micros(F.col(probe.ts).cast("timestamp")) - F.unix_micros(at.cast("timestamp"))
+                value = F.when(F.abs(gap) <= F.lit(within * 1_000_000), value)
+            outputs.append(value.alias(f"{probe.name}_{name}"))
     return left.join(wide, row_id, "left").select(*[left[c] for c in left.columns], *outputs)
 
 

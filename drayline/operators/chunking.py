@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 ROWS_PER_CHUNK = 5_000_000
 MAX_HOT_KEYS = 50_000
 MAX_CHUNKS = 20_000
+SAMPLE_PER_CHUNK = 1_000
 
 CHUNK = "_chunk"
 _ORDER = "_order_value"
@@ -86,15 +87,66 @@ def plan_chunks(
         schema = rows.select(*keys).schema
         hot_keys = spark.createDataFrame([tuple(r[k] for k in keys) for r in large], schema)
     largest = max(r["_n"] for r in large)
-    chunks = min(MAX_CHUNKS, math.ceil(largest / rows_per_chunk))
-    plan = ChunkPlan(tuple(keys), hot_keys, ())
+    chunks = max(2, min(MAX_CHUNKS, math.ceil(largest / rows_per_chunk)))
     value = order_value(F.col(order_col), rows.select(order_col).dtypes[0][1])
-    sampled = plan.hot(rows).select(value.alias(_ORDER))
+    candidates = ChunkPlan(tuple(keys), hot_keys, ()).hot(rows).select(value.alias(_ORDER))
+    # A sample decides where to cut. Any cuts give the right result; good ones give even chunks.
+    counted = sum(r["_n"] for r in large)
+    fraction = SAMPLE_PER_CHUNK * chunks / counted
+    if fraction < 1:
+        candidates = candidates.sample(fraction, seed=11)
     probabilities = [i / chunks for i in range(1, chunks)]
-    cuts = sampled.approxQuantile(_ORDER, probabilities, 1.0 / (4 * chunks)) if probabilities else []
+    cuts = candidates.approxQuantile(_ORDER, probabilities, 1.0 / (4 * chunks))
     return ChunkPlan(tuple(keys), hot_keys, tuple(sorted(set(cuts))))
 
 
+def _with_chunks(df: DataFrame, plan: ChunkPlan, order_col: str) -> DataFrame:
+    """Number the chunks of hot keys; every other key is one chunk."""
+    chunked = plan.assign(df, order_value(F.col(order_col), df.select(order_col).dtypes[0][1]))
+    if plan.hot_keys is None:
+        return chunked
+    flagged = chunked.join(F.broadcast(plan.hot_keys.withColumn(_HOT, F.lit(True))), list(plan.keys), "left")
+    return flagged.withColumn(CHUNK, F.when(F.col(_HOT), F.col(CHUNK)).otherwise(F.lit(0))).drop(_HOT)
+
+
+def _same(columns: list[str]) -> Column:
+    """Null-safe equality of columns between the sides ``l`` and ``r``."""
+    return reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in columns])
+
+
+def number_rows(
+    df: DataFrame,
+    keys: list[str],
+    order_col: str,
+    tie_break: list[str],
+    name: str,
+    descending: bool = True,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+) -> DataFrame:
+    """``row_number`` over a non-null order column, for keys of any size.
+
+    Inside a chunk rows are numbered by a window; the number of rows in the
+    chunks before it comes from the chunk sizes.
+    """
+    order = [F.col(c).desc() if descending else F.col(c).asc() for c in [order_col, *tie_break]]
+    plan = plan_chunks(df, keys, order_col, rows_per_chunk)
+    if plan is None:
+        return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    chunked = _with_chunks(df, plan, order_col)
+    place = F.row_number().over(W.partitionBy(*keys, CHUNK).orderBy(*order))
+    # At most MAX_CHUNKS rows per key.
+    chunk_order = F.col(CHUNK).desc() if descending else F.col(CHUNK).asc()
+    before = W.partitionBy(*keys).orderBy(chunk_order).rowsBetween(W.unboundedPreceding, -1)
+    sizes = chunked.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    numbered = chunked.withColumn("_place", place)
+    return (
+        numbered.alias("l")
+        .join(offsets.alias("r"), _same([*keys, CHUNK]), "left")
+        .select(*[F.col(f"l.{c}") for c in df.columns], (F.col("_place") + F.col("_before")).cast("int").alias(name))
+    )
+
+
 def ordered_values(
     df: DataFrame,
     group_by: list[str],
@@ -123,16 +175,7 @@ def ordered_values(
             "next", F.lead(first).over(window)
         )
 
-    value = order_value(F.col(first), distinct.select(first).dtypes[0][1])
-    chunked = plan.assign(distinct, value)
-    if plan.hot_keys is not None:
-        chunked = (
-            chunked.join(
-                F.broadcast(plan.hot_keys.withColumn(_HOT, F.lit(True))), list(plan.keys), "left"
-            )
-            .withColumn(CHUNK, F.when(F.col(_HOT), F.col(CHUNK)).otherwise(F.lit(0)))
-            .drop(_HOT)
-        )
+    chunked = _with_chunks(distinct, plan, first)
     inside = W.partitionBy(*group_by, CHUNK).orderBy(*ascending)
     # One row per group and chunk: at most MAX_CHUNKS rows in any partition below.
     edges = chunked.groupBy(*group_by, CHUNK).agg(
@@ -145,13 +188,9 @@ def ordered_values(
     neighbours = chunked.withColumn("_lag", F.lag(first).over(inside)).withColumn(
         "_lead", F.lead(first).over(inside)
     )
-    condition = reduce(
-        lambda a, b: a & b,
-        [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*group_by, CHUNK]],
-    )
     return (
         neighbours.alias("l")
-        .join(edges.alias("r"), condition, "left")
+        .join(edges.alias("r"), _same([*group_by, CHUNK]), "left")
         .select(
             *[F.col(f"l.{c}") for c in [*group_by, *order_by, "n"]],
             F.coalesce(F.col("l._lag"), F.col("r._before")).alias("previous"),

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from drayline.functions import as_of_timestamp
+from drayline.operators.chunking import ROWS_PER_CHUNK, number_rows
 from drayline.operators.incremental import merge_upsert
 
 
@@ -23,7 +24,7 @@ def _with_node(runs: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.select(*columns, *[F.col(f"n.{c}") for c in extra])
 
 
-def model_run_results(runs: DataFrame, models: DataFrame) -> DataFrame:
+def model_run_results(runs: DataFrame, models: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Model runs, numbered from the newest, flagged in the first and last invocation of their day.
 
     The first and last invocation of a day come from a grouped aggregate, which
@@ -31,13 +32,15 @@ def model_run_results(runs: DataFrame, models: DataFrame) -> DataFrame:
     a whole day's runs in one task.
     """
     joined = _with_node(runs, models)
-    newest_first = W.partitionBy("unique_id").orderBy(F.col("generated_at").desc(), F.col("model_execution_id").desc())
     at = F.struct("generated_at", "model_execution_id", "invocation_id")
     day = F.date_trunc("day", "generated_at")
     days = joined.groupBy(day.alias("_day")).agg(F.min(at).alias("_first"), F.max(at).alias("_last"))
+    numbered = number_rows(
+        joined, ["unique_id"], "generated_at", ["model_execution_id"], "model_invocation_reverse_index",
+        rows_per_chunk=rows_per_chunk,
+    )
     return (
-        joined.withColumn("model_invocation_reverse_index", F.row_number().over(newest_first))
-        .withColumn("_day", day)
+        numbered.withColumn("_day", day)
         .join(days, "_day", "left")
         .withColumn("is_the_first_invocation_of_the_day", F.col("invocation_id").eqNullSafe(F.col("_first.invocation_id")))
         .withColumn("is_the_last_invocation_of_the_day", F.col("invocation_id").eqNullSafe(F.col("_last.invocation_id")))

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from drayline.functions import exact_mean, exact_sum, time_trunc
+from drayline.functions import exact_mean, time_trunc, to_units, units_mean, units_sum
 from drayline.operators import incremental
-from drayline.operators.latest import most_frequent
 
 
 def hourly_pings(telemetry: DataFrame) -> DataFrame:
@@ -24,13 +23,46 @@ def active_hours(telemetry: DataFrame) -> DataFrame:
         hourly_pings(telemetry)
         .groupBy("truck_id", "activity_date")
         .agg(
-            F.count_distinct("activity_hour").alias("active_hours"),
+            F.count("activity_hour").alias("active_hours"),
             exact_mean("avg_speed_kmh", 9, 1).alias("avg_speed_kmh"),
             F.sum("ping_count").alias("total_pings"),
         )
     )
 
 
+_SUMS = {
+    "total_distance_km": ("total_distance_km", 3, 2),
+    "total_deadhead_km": ("deadhead_distance_km", 3, 2),
+    "total_loaded_km": ("loaded_distance_km", 3, 2),
+    "total_duration_min": ("total_duration_min", 1, 1),
+}
+
+
+def daily_trips(trips: DataFrame) -> DataFrame:
+    """Totals per truck-day and the pickup district with the most trips.
+
+    Trips are first reduced to one row per truck, day and district; the
+    district with the most trips then falls out of the same second aggregation
+    that adds the totals up, without another pass over the trips or a join.
+    """
+    sums = {name: F.sum(to_units(column, scale)) for name, (column, scale, _) in _SUMS.items()}
+    ratio = to_units("deadhead_ratio", 4)
+    by_district = trips.groupBy("truck_id", F.col("trip_date").alias("activity_date"), "pickup_address").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[total.alias(name) for name, total in sums.items()],
+        F.sum(ratio).alias("_ratio"),
+        F.count(ratio).alias("_ratios"),
+    )
+    # Most trips first, then the name, nulls last.
+    place = F.struct(-F.col("_n"), F.col("pickup_address").isNull(), "pickup_address")
+    return by_district.groupBy("truck_id", "activity_date").agg(
+        F.min(place).getField("pickup_address").alias("primary_district"),
+        F.sum("_n").alias("trips_completed"),
+        *[units_sum(F.sum(name), scale, places).alias(name) for name, (_, scale, places) in _SUMS.items()],
+        units_mean(F.sum("_ratio"), F.sum("_ratios"), 4, 4).alias("avg_deadhead_ratio"),
+    )
+
+
 def truck_activity(
     trips: DataFrame, trucks: DataFrame, telemetry: DataFrame, target: DataFrame | None = None
 ) -> DataFrame:
@@ -46,21 +78,10 @@ def truck_activity(
         # A comparison of the time itself, unlike one of its date, prunes row groups.
         day_start = F.lit(since).cast(telemetry.schema["event_ts"].dataType)
         pings = telemetry.where(F.col("event_ts") >= day_start)
-    valid = valid.withColumnRenamed("trip_date", "activity_date")
-    daily = valid.groupBy("truck_id", "activity_date").agg(
-        F.count(F.lit(1)).alias("trips_completed"),
-        exact_sum("deadhead_distance_km", 3, 2).alias("total_deadhead_km"),
-        exact_sum("loaded_distance_km", 3, 2).alias("total_loaded_km"),
-        exact_sum("total_distance_km", 3, 2).alias("total_distance_km"),
-        exact_sum("total_duration_min", 1).alias("total_duration_min"),
-        exact_mean("deadhead_ratio", 4, 4).alias("avg_deadhead_ratio"),
-    )
     registry = trucks.where(~F.col("is_deleted")).select("truck_id", "model", "capacity_kg")
-    district = most_frequent(valid, ["truck_id", "activity_date"], "pickup_address")
-    keys = ["truck_id", "activity_date"]
     joined = (
-        daily.join(active_hours(pings), keys, "left")
-        .join(district, keys, "left")
+        daily_trips(valid)
+        .join(active_hours(pings), ["truck_id", "activity_date"], "left")
         .join(registry, "truck_id", "left")
     )
     return joined.select(
@@ -68,7 +89,7 @@ def truck_activity(
         "activity_date",
         "model",
         "capacity_kg",
-        F.col("pickup_address").alias("primary_district"),
+        "primary_district",
         "trips_completed",
         "total_distance_km",
         "total_deadhead_km",

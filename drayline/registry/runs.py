@@ -47,19 +47,27 @@ _RUNS_SQL = (
 )
 
 
-@query(
-    "model_run_results",
+_MODEL_RUNS = (
     f"WITH {_RUNS_SQL} SELECT CAST(event_id AS VARCHAR) AS model_execution_id, 'schema_' || (node % 4) AS schema_name, CASE WHEN event_id % 2 = 0 THEN 'incremental' ELSE 'table' END AS materialization, "
     "row_number() OVER (PARTITION BY unique_id ORDER BY generated_at DESC) AS model_invocation_reverse_index, "
     "invocation_id = first_value(invocation_id) OVER w AS is_the_first_invocation_of_the_day, invocation_id = last_value(invocation_id) OVER w AS is_the_last_invocation_of_the_day "
-    "FROM runs WINDOW w AS (PARTITION BY date_trunc('day', generated_at) ORDER BY generated_at ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)",
+    "FROM runs WINDOW w AS (PARTITION BY date_trunc('day', generated_at) ORDER BY generated_at ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
 )
+_MODEL_RUN_COLUMNS = [
+    "model_execution_id", "schema_name", "materialization", "model_invocation_reverse_index",
+    "is_the_first_invocation_of_the_day", "is_the_last_invocation_of_the_day",
+]
+
+
+@query("model_run_results", _MODEL_RUNS)
 def model_run_results(t: Tables) -> DataFrame:
-    found = runlog.model_run_results(_node_runs(t), _nodes(t))
-    return found.select(
-        "model_execution_id", "schema_name", "materialization", "model_invocation_reverse_index",
-        "is_the_first_invocation_of_the_day", "is_the_last_invocation_of_the_day",
-    )
+    return runlog.model_run_results(_node_runs(t), _nodes(t)).select(*_MODEL_RUN_COLUMNS)
+
+
+@query("model_run_results_split_keys", _MODEL_RUNS)
+def model_run_results_split_keys(t: Tables) -> DataFrame:
+    """The same with every model treated as too large for one task."""
+    return runlog.model_run_results(_node_runs(t), _nodes(t), rows_per_chunk=100).select(*_MODEL_RUN_COLUMNS)
 
 
 @query(
