@@ -297,10 +297,10 @@ def date_spine(
     bounds = spark.range(1).select(
         moment(start).alias("s"), moment(end).alias("e")
     )
-    instants = F.explode(F.sequence(F.col("s"), F.col("e"), F.expr(f"interval {step}")))
+    steps = F.sequence(F.col("s"), F.col("e"), F.expr(f"interval {step}"))
+    instants = F.explode(F.when(F.col("s") < F.col("e"), steps))
     return (
-        bounds.where(F.col("s") < F.col("e"))
-        .select(instants.alias(name), "e")
+        bounds.select(instants.alias(name), "e")
         .where(F.col(name) < F.col("e"))
         .select(F.col(name).cast(kind).alias(name))
     )
