@@ -13,7 +13,7 @@ def hourly_pings(telemetry: DataFrame) -> DataFrame:
     return telemetry.groupBy(
         "truck_id",
         F.col("event_ts").cast("date").alias("activity_date"),
-        time_trunc("hour", "event_ts").alias("activity_hour"),
+        time_trunc("hour", "event_ts").cast(telemetry.schema["event_ts"].dataType).alias("activity_hour"),
     ).agg(F.avg("speed_kmh").alias("avg_speed_kmh"), F.count(F.lit(1)).alias("ping_count"))
 
 

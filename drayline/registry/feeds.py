@@ -19,7 +19,7 @@ _OP = (
 # What the decoded change events amount to, straight from the event table.
 _ORDERS = f"""
 changes AS (
-  SELECT user_id AS order_id, 'TRK-' || (user_id % 50) AS truck_id,
+  SELECT CAST(user_id AS INT) AS order_id, 'TRK-' || (user_id % 50) AS truck_id,
     CASE WHEN event_id % 3 = 0 THEN 'delivered' ELSE 'en_route' END AS status,
     ({_LIST})[CAST(event_id * 13 % 6 AS INT) + 1] AS pickup_address,
     ({_LIST})[CAST((event_id * 13 % 6 + 1 + event_id * 17 % 5) % 6 AS INT) + 1] AS delivery_address,
@@ -49,7 +49,7 @@ def _naive(df: DataFrame) -> DataFrame:
 
 @query(
     "raw_new_offsets",
-    f"SELECT {_OP} AS op, epoch_us(ts) // 1000 AS ts_ms, user_id % 3 AS part, event_id AS _partition_offset FROM events e "
+    f"SELECT {_OP} AS op, epoch_us(ts) // 1000 AS ts_ms, CAST(user_id % 3 AS INT) AS part, event_id AS _partition_offset FROM events e "
     "WHERE event_id > (SELECT coalesce(max(event_id), -1) FROM events s WHERE s.event_id % 10 < 7 "
     "AND s.ts < TIMESTAMP '2024-01-16' AND s.user_id % 3 = e.user_id % 3 AND s.user_id % 3 <> 2)",
 )
@@ -102,8 +102,8 @@ def stg_trucks(t: Tables) -> DataFrame:
 
 
 _TELEMETRY = f"""WITH changes AS (SELECT 'TRK-' || (user_id % 50) AS truck_id,
-    CASE WHEN event_id % 31 = 0 THEN 10.0 ELSE round(-26.0 + (event_id * 7919 % 1000) * 0.0008, 4) END AS latitude,
-    round(-49.5 + (event_id * 104729 % 1000) * 0.0004, 4) AS longitude,
+    CAST(CASE WHEN event_id % 31 = 0 THEN 10.0 ELSE round(-26.0 + (event_id * 7919 % 1000) * 0.0008, 4) END AS DOUBLE) AS latitude,
+    CAST(round(-49.5 + (event_id * 104729 % 1000) * 0.0004, 4) AS DOUBLE) AS longitude,
     CAST(CASE WHEN event_id % 37 = 0 THEN -(event_id % 80) ELSE event_id % 80 END AS DOUBLE) AS speed_kmh,
     CAST(NULL AS VARCHAR) AS fuel_level, date_trunc('hour', ts) AS event_ts, epoch_us(ts) // 1000 AS ts_ms,
     event_id, {_OP} AS op FROM events)
@@ -120,7 +120,7 @@ def stg_telemetry(t: Tables) -> DataFrame:
 @query(
     "change_image",
     f"SELECT event_id AS _partition_offset, {_OP} AS op, {_OP} = 'd' AS is_deleted, "
-    "user_id AS id, 'TRK-' || (user_id % 50) AS truck_id FROM events",
+    "CAST(user_id AS INT) AS id, 'TRK-' || (user_id % 50) AS truck_id FROM events",
 )
 def change_image(t: Tables) -> DataFrame:
     """The image before a delete, the one after anything else, parsed once."""
@@ -165,7 +165,7 @@ def snapshot_diff(t: Tables) -> DataFrame:
     return feed.select(F.get_json_object(image, "$.c_custkey").cast("bigint").alias("c_custkey"), "op", "ts_ms")
 
 
-@query("snapshot_first_load", "SELECT 'r' AS op, 5 AS ts_ms, n_nationkey, n_name FROM nation")
+@query("snapshot_first_load", "SELECT 'r' AS op, CAST(5 AS BIGINT) AS ts_ms, n_nationkey, n_name FROM nation")
 def snapshot_first_load(t: Tables) -> DataFrame:
     feed = cdc.snapshot_diff(None, t.nation, ["n_nationkey"], 5)
     return feed.select(

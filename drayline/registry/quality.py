@@ -84,7 +84,7 @@ def check_at_least_one(t: Tables) -> DataFrame:
 
 @query(
     "check_not_constant",
-    "SELECT c_nationkey, 1 AS filler_column FROM (SELECT c_nationkey, c_custkey % 50 < 49 AS flag FROM customer WHERE c_acctbal > 8000) GROUP BY 1 HAVING count(DISTINCT flag) = 1",
+    "SELECT c_nationkey, CAST(1 AS BIGINT) AS filler_column FROM (SELECT c_nationkey, c_custkey % 50 < 49 AS flag FROM customer WHERE c_acctbal > 8000) GROUP BY 1 HAVING count(DISTINCT flag) = 1",
 )
 def check_not_constant(t: Tables) -> DataFrame:
     rows = t.customer.where(F.col("c_acctbal") > 8000).select("c_nationkey", (F.col("c_custkey") % 50 < 49).alias("flag"))
@@ -283,7 +283,7 @@ def check_fewer_rows_than(t: Tables) -> DataFrame:
 
 @query(
     "check_fewer_rows_total",
-    "SELECT (SELECT count(*) FROM orders) AS count_our_model, (SELECT count(*) FROM lineitem) AS count_comparison_model, 0 AS row_count_delta",
+    "SELECT (SELECT count(*) FROM orders) AS count_our_model, (SELECT count(*) FROM lineitem) AS count_comparison_model, CAST(0 AS BIGINT) AS row_count_delta",
 )
 def check_fewer_rows_total(t: Tables) -> DataFrame:
     return checks.fewer_rows_than(t.orders, t.lineitem)

@@ -49,7 +49,7 @@ _RUNS_SQL = (
 
 _MODEL_RUNS = (
     f"WITH {_RUNS_SQL} SELECT CAST(event_id AS VARCHAR) AS model_execution_id, 'schema_' || (node % 4) AS schema_name, CASE WHEN event_id % 2 = 0 THEN 'incremental' ELSE 'table' END AS materialization, "
-    "row_number() OVER (PARTITION BY unique_id ORDER BY generated_at DESC) AS model_invocation_reverse_index, "
+    "CAST(row_number() OVER (PARTITION BY unique_id ORDER BY generated_at DESC) AS INT) AS model_invocation_reverse_index, "
     "invocation_id = first_value(invocation_id) OVER w AS is_the_first_invocation_of_the_day, invocation_id = last_value(invocation_id) OVER w AS is_the_last_invocation_of_the_day "
     "FROM runs WINDOW w AS (PARTITION BY date_trunc('day', generated_at) ORDER BY generated_at ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
 )
@@ -173,7 +173,7 @@ def alerts_source_freshness(t: Tables) -> DataFrame:
 
 @query(
     "sampled_result_rows",
-    "SELECT 5 AS n, true AS all_valid FROM (SELECT count(*) AS n FROM lineitem WHERE l_quantity > 49) WHERE n >= 5",
+    "SELECT CAST(5 AS BIGINT) AS n, true AS all_valid FROM (SELECT count(*) AS n FROM lineitem WHERE l_quantity > 49) WHERE n >= 5",
 )
 def sampled_result_rows(t: Tables) -> DataFrame:
     """Five of the violating rows, as JSON."""

@@ -129,7 +129,7 @@ def url_parts(t: Tables) -> DataFrame:
 @query(
     "text_functions",
     "SELECT p_partkey, p_type ILIKE '%steel%' AS any_case, p_type LIKE '%steel%' AS exact_case, "
-    "coalesce(CASE WHEN p_size > 10 THEN p_brand END, 'NULL') || '; ' || CAST(p_size AS VARCHAR) AS joined, length(p_name) AS n FROM part",
+    "coalesce(CASE WHEN p_size > 10 THEN p_brand END, 'NULL') || '; ' || CAST(p_size AS VARCHAR) AS joined, CAST(length(p_name) AS INT) AS n FROM part",
 )
 def text_functions(t: Tables) -> DataFrame:
     brand = F.when(F.col("p_size") > 10, F.col("p_brand"))
