@@ -23,11 +23,13 @@ from drayline.operators import monitors
 from drayline.operators.latest import latest_per_key
 from drayline.operators.monitors import MonitorConfig
 from drayline.operators.reshape import bucket_spine
+from drayline.session import cut_lineage
 
 # Metrics that may be negative, and metrics of which only a rise is bad.
 SIGNED_METRICS = ["min", "max", "average", "standard_deviation", "variance", "sum"]
 RISE_ONLY_METRICS = ["freshness", "event_freshness"]
 
+_INSTANT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _SERIES = ["full_table_name", "column_name", "metric_name", "dimension", "dimension_value", "bucket_seasonality"]
 
 
@@ -216,10 +218,10 @@ def detect_anomalies(scores: DataFrame, config: MonitorConfig) -> DataFrame:
 
     Only buckets of the last backfill days before the newest bucket can be
     anomalous. At an anomaly the plotted bound is that of the bucket before.
+    The newest bucket is read first, so pass scores of stored metrics.
     """
-    newest = scores.groupBy("test_execution_id").agg(F.max("bucket_end").alias("max_bucket_end"))
-    # One row per test execution.
-    rows = scores.join(F.broadcast(newest), "test_execution_id")
+    newest = scores.agg(F.date_format(F.max("bucket_end"), _INSTANT).alias("m")).first()["m"]
+    rows = scores.withColumn("max_bucket_end", F.to_timestamp(F.lit(newest).cast("string"), _INSTANT))
     anomalous = F.col("anomaly_score").isNotNull()
     bad = _outside(config) & _large_enough(config)
     if config.fail_on_zero:
@@ -289,7 +291,9 @@ def anomaly_test_results(results: DataFrame) -> DataFrame:
 
 
 def _test(metrics: DataFrame, table: str, config: MonitorConfig, history, **kwargs) -> DataFrame:
-    return detect_anomalies(anomaly_scores(metrics, table, config, history, **kwargs), config)
+    """Store the run's metrics, then score and decide: the monitored table is scanned once."""
+    stored = cut_lineage(metrics, "metrics")
+    return detect_anomalies(anomaly_scores(stored, table, config, history, **kwargs), config)
 
 
 def table_anomalies(

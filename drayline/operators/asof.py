@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from drayline.operators.chunking import CHUNK, ROWS_PER_CHUNK, order_value, plan_chunks
+from drayline.session import cut_lineage
 
 _KIND = "_kind"
 _TS = "_ts"
@@ -43,9 +44,9 @@ def _rank(probes: list[Probe], direction: str) -> Column:
     """Place of a row among rows of the same time: rows looked up sit at 1,
     strict probes come before them and inclusive probes after."""
     rank = F.lit(1)
-    for probe in probes:
+    for kind, probe in enumerate(probes):
         place = 2 if (probe.inclusive and probe.direction == direction) else 0
-        rank = F.when(F.col(_KIND) == probe.name, F.lit(place)).otherwise(rank)
+        rank = F.when(F.col(_KIND) == kind, F.lit(place)).otherwise(rank)
     return rank
 
 
@@ -70,7 +71,7 @@ def _scan(stacked: DataFrame, parts: list[str], probes: list[Probe], unique: boo
             F.col(_TS).desc(), _rank(probes, "forward").asc(), *[c.desc() for c in tie]
         )
         stacked = stacked.withColumn("_ahead", F.last(_ROW, ignorenulls=True).over(order.rowsBetween(*so_far)))
-        forward = [p.name for p in probes if p.direction == "forward"]
+        forward = [kind for kind, p in enumerate(probes) if p.direction == "forward"]
         hit = F.when(F.col(_KIND).isin(forward), F.col("_ahead")).otherwise(hit)
     return stacked.where(F.col(_KIND).isNotNull()).withColumn(_HIT, hit)
 
@@ -135,7 +136,7 @@ def asof_lookup(
         rows = rows.where(F.col(key).isNotNull())
 
     instants = F.array(
-        *[F.struct(F.lit(p.name).alias(_KIND), F.col(p.ts).alias(_TS)) for p in probes]
+        *[F.struct(F.lit(kind).alias(_KIND), F.col(p.ts).alias(_TS)) for kind, p in enumerate(probes)]
     )
     points = left.select(*on, *row_id, F.explode(instants).alias("_p")).select(
         *on, *row_id, F.col(f"_p.{_KIND}").alias(_KIND), F.col(f"_p.{_TS}").alias(_TS)
@@ -163,7 +164,8 @@ def asof_lookup(
             hot_rows = both.select(
                 *on, _TS, F.explode(F.array_distinct(F.array("_a", "_b"))).alias(_ROW)
             )
-        hot_rows = plan.assign(hot_rows, order)
+        # Read twice below: for the edges of the chunks and for the scan.
+        hot_rows = cut_lineage(plan.assign(hot_rows, order), "asof")
         hot_probes = plan.hot(points)
         # Equal probes have equal answers: look each instant up once, join the
         # answers back. AQE splits that join where one instant is very common.
@@ -181,8 +183,8 @@ def asof_lookup(
     names = [right_ts, *values]
     wide = answers.groupBy(*row_id).agg(
         *[
-            F.max(F.when(F.col(_KIND) == probe.name, F.col(_HIT)[field])).alias(f"{probe.name}_{name}")
-            for probe in probes
+            F.max(F.when(F.col(_KIND) == kind, F.col(_HIT)[field])).alias(f"{probe.name}_{name}")
+            for kind, probe in enumerate(probes)
             for field, name in zip(fields, names)
         ]
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 from typing import Any, Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -274,13 +275,16 @@ def _paired_counts(
 
     Group columns appear as ``<name>_a`` and ``<name>_b``; null groups never pair up.
     """
-    a = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias(names[0])).withColumn("_one", F.lit(1))
-    b = compare.groupBy(*group_by).agg(F.count(F.lit(1)).alias(names[1])).withColumn("_one", F.lit(1))
-    a = a.select("_one", names[0], *[F.col(c).alias(f"{c}_a") for c in group_by])
-    b = b.select(F.col("_one").alias("_two"), names[1], *[F.col(c).alias(f"{c}_b") for c in group_by])
-    condition = F.col("_one") == F.col("_two")
-    for c in group_by:
-        condition = condition & (F.col(f"{c}_a") == F.col(f"{c}_b"))
+    if not group_by:
+        both = df.agg(F.count(F.lit(1)).alias(names[0])).unionByName(
+            compare.agg(F.count(F.lit(1)).alias(names[1])), allowMissingColumns=True
+        )
+        return both.agg(*[F.max(n).alias(n) for n in names])
+    a = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias(names[0]))
+    b = compare.groupBy(*group_by).agg(F.count(F.lit(1)).alias(names[1]))
+    a = a.select(names[0], *[F.col(c).alias(f"{c}_a") for c in group_by])
+    b = b.select(names[1], *[F.col(c).alias(f"{c}_b") for c in group_by])
+    condition = reduce(lambda x, y: x & y, [F.col(f"{c}_a") == F.col(f"{c}_b") for c in group_by])
     sides = [F.col(f"{c}_{side}") for c in group_by for side in ("a", "b")]
     return a.join(b, condition, "full_outer").select(*sides, *names)
 
@@ -421,17 +425,25 @@ def row_check(
 
 @dataclass(frozen=True)
 class Check:
-    """A named check on a table with the severity of its failure."""
+    """A named check on a table with the severity of its failure.
+
+    Give either ``failing``, a predicate that is true for violating rows, or
+    ``run``, a function from the table to its violations. The predicates of a
+    table are all counted in one pass.
+    """
 
     name: str
-    run: Callable[[DataFrame], DataFrame]
+    run: Callable[[DataFrame], DataFrame] | None = None
     severity: str = "error"
     failure_count: Column | None = None  # default: the number of violating rows
     column: str | None = None
+    failing: Callable[[], Column] | None = None
 
     def __post_init__(self) -> None:
         if self.severity not in ("error", "warn"):
             raise ValueError("severity must be 'error' or 'warn'")
+        if (self.run is None) == (self.failing is None):
+            raise ValueError("give either run or failing")
 
 
 def failed_row_count(violations: DataFrame, measure: Column | None = None) -> DataFrame:
@@ -445,22 +457,31 @@ def run_checks(
     df: DataFrame, checks: list[Check], table: str, as_of: datetime | None = None
 ) -> DataFrame:
     """One result row per check: status ``pass``, ``warn`` or ``fail`` and the failure count."""
-    moment = as_of_timestamp(as_of)
-    results = None
-    for check in checks:
-        failures = F.col("failures")
+    detected = as_of_timestamp(as_of)
+
+    def result(check: Check, failures: Column) -> Column:
         failed = "warn" if check.severity == "warn" else "fail"
-        row = failed_row_count(check.run(df), check.failure_count).select(
+        return F.struct(
             F.lit(table).alias("table_name"),
             F.lit(check.name).alias("test_name"),
             F.lit(check.column).cast("string").alias("column_name"),
             F.lit(check.severity).alias("severity"),
             F.when(failures == 0, "pass").otherwise(failed).alias("status"),
-            failures,
-            moment.alias("detected_at"),
+            failures.alias("failures"),
+            detected.alias("detected_at"),
         )
-        results = row if results is None else results.unionByName(row)
-    return results
+
+    parts = []
+    by_row = [c for c in checks if c.failing is not None]
+    if by_row:
+        counts = df.agg(*[F.count_if(c.failing()).alias(f"_{i}") for i, c in enumerate(by_row)])
+        results = F.array(*[result(c, F.col(f"_{i}")) for i, c in enumerate(by_row)])
+        parts.append(counts.select(F.inline(results)))
+    for check in checks:
+        if check.run is not None:
+            counted = failed_row_count(check.run(df), check.failure_count)
+            parts.append(counted.select(F.inline(F.array(result(check, F.col("failures"))))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def failing_rows(violations: DataFrame, result_id: str, sample: int | None = 5) -> DataFrame:
@@ -475,7 +496,7 @@ def failing_rows(violations: DataFrame, result_id: str, sample: int | None = 5)
 # Column tests declared for the marts: table -> checks.
 def mart_checks() -> dict[str, list[Check]]:
     def nn(column: str, severity: str = "error") -> Check:
-        return Check(f"not_null_{column}", lambda df: not_null(df, column), severity, column=column)
+        return Check(f"not_null_{column}", severity=severity, column=column, failing=lambda: F.col(column).isNull())
 
     return {
         "order_trips": [
@@ -486,8 +507,8 @@ def mart_checks() -> dict[str, list[Check]]:
             nn("total_duration_min"),
             Check(
                 "accepted_range_total_duration_min",
-                lambda df: accepted_range(df, "total_duration_min", 0, 120),
                 column="total_duration_min",
+                failing=lambda: ~F.col("total_duration_min").between(0, 120),
             ),
         ],
         "truck_activity": [nn("truck_id"), nn("activity_date"), nn("trips_completed")],

@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from drayline.session import cut_lineage
+
 ROWS_PER_CHUNK = 5_000_000
 MAX_HOT_KEYS = 50_000
 MAX_CHUNKS = 20_000
@@ -167,6 +169,8 @@ def ordered_values(
         .groupBy(*group_by, *order_by)
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    # Counted, perhaps sampled, and then sorted: store the reduced rows once.
+    distinct = cut_lineage(distinct, "values")
     plan = plan_chunks(distinct, group_by, first, rows_per_chunk)
     ascending = [F.col(c).asc_nulls_last() for c in order_by]
     if plan is None:

@@ -310,66 +310,60 @@ def freshness_metric(
     Candidates are the gaps between consecutive updates that end in the bucket
     and the wait from the last update to the end of the bucket. Updates are
     first reduced to one row per second holding the first and last of it (gaps
-    inside a second are shorter than the unit), then neighbours are found hour
-    by hour, and hours are linked through their edges. No task sorts more than
-    an hour of seconds or the list of hours.
+    inside a second are shorter than the unit), then each hour to its first
+    and last update and its longest gap; hours are linked through their edges.
+    One pass over the rows, and no task sorts more than an hour of seconds or
+    the list of hours.
     """
     span = span or planned_range(config)
     lead = span[0] - timedelta(days=FRESHNESS_LEAD_DAYS)
     end = _last_complete(span[0], span[1], config.time_bucket)
     ts = F.col(config.timestamp_column).cast("timestamp")
     rows = _in_range(_monitored(df, config), config.timestamp_column, lead, end)
-    hour = F.date_trunc("hour", F.col("_second"))
     seconds = (
         rows.select(ts.alias("_ts"))
         .groupBy(F.date_trunc("second", "_ts").alias("_second"))
         .agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_last"))
-        .withColumn("_hour", hour)
+        .withColumn("_hour", F.date_trunc("hour", "_second"))
     )
+
+    def wait(since: Column, update: Column) -> Column:
+        """The gap before an update, null for the very first one."""
+        seconds_since = F.timestamp_diff("SECOND", since, update)
+        return F.when(since.isNotNull(), F.struct(seconds_since.alias("_wait"), update.alias("_update")))
+
     inside = W.partitionBy("_hour").orderBy("_second")
-    gaps = seconds.withColumn("_previous", F.lag("_last").over(inside))
-    # One row per hour of the monitored range: bounded by the parameters.
-    hours = gaps.groupBy("_hour").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
-    along = W.partitionBy(F.lit(0)).orderBy("_hour")
-    links = hours.select("_hour", F.lag("_last").over(along).alias("_before"))
-    waits = (
-        gaps.join(F.broadcast(links), "_hour")
-        .select(
-            F.col("_first").alias("_update"),
-            F.timestamp_diff("SECOND", F.coalesce("_previous", "_before"), F.col("_first")).alias("_wait"),
-        )
-        .where(F.col("_update") >= moment(span[0]))
-        .withColumn("bucket_start", bucket_start_of(F.col("_update"), span[0], config.time_bucket))
+    hours = (
+        seconds.withColumn("_gap", wait(F.lag("_last").over(inside), F.col("_first")))
+        .groupBy("_hour")
+        .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.max("_gap").alias("_gap"))
     )
-    worst_inside = (
-        waits.where(F.col("_wait").isNotNull())
-        .groupBy("bucket_start")
-        .agg(F.max(F.struct("_wait", "_update")).alias("_inside"))
-    )
-    # Last update before each bucket's end, carried along the spine. Hours never
-    # straddle buckets; everything before the range counts as one bucket.
+    # From here on there is one row per hour of the monitored range.
+    along = W.partitionBy(F.lit(0)).orderBy("_hour")
+    linked = hours.withColumn("_link", wait(F.lag("_last").over(along), F.col("_first")))
+    # Hours never straddle buckets; everything before the range counts as one bucket.
     before_range = moment(lead)
     bucket = F.when(F.col("_hour") < moment(span[0]), before_range).otherwise(
         bucket_start_of(F.col("_hour"), span[0], config.time_bucket)
     )
-    lasts = hours.groupBy(bucket.alias("bucket_start")).agg(F.max("_last").alias("_bucket_last"))
+    by_bucket = linked.groupBy(bucket.alias("bucket_start")).agg(
+        F.max("_last").alias("_bucket_last"), F.max(F.greatest("_gap", "_link")).alias("_inside")
+    )
     spine = _spine(df, config, span)
     stops = spine.unionByName(
         df.sparkSession.range(1).select(before_range.alias("bucket_start")), allowMissingColumns=True
     )
     up_to = W.partitionBy(F.lit(0)).orderBy("bucket_start").rowsBetween(W.unboundedPreceding, 0)
     carried = (
-        stops.join(lasts, "bucket_start", "left")
+        stops.join(by_bucket, "bucket_start", "left")
         .withColumn("_end_update", F.max("_bucket_last").over(up_to))
         .where(F.col("bucket_end").isNotNull())
-        .join(worst_inside, "bucket_start", "left")
     )
     limit = F.least(F.col("bucket_end"), moment(config.as_of))
     at_end = F.when(
         F.col("_end_update").isNotNull(),
         F.struct(
-            F.timestamp_diff("SECOND", F.col("_end_update"), limit).alias("_wait"),
-            F.col("_end_update").alias("_update"),
+            F.timestamp_diff("SECOND", F.col("_end_update"), limit).alias("_wait"), F.col("_end_update").alias("_update")
         ),
     )
     worst = F.greatest(F.col("_inside"), at_end)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from drayline.session import CHECKPOINT_CONF, use_utc
+from drayline.session import use_utc
 
 
 @dataclass(frozen=True)
@@ -53,16 +52,6 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def work_folder(spark: SparkSession) -> str:
-    """The shared folder, or a local one where none is configured and Spark runs in one process."""
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-    return tempfile.mkdtemp(prefix="drayline-")
-
-
 # --- SQL building blocks (DuckDB) ----------------------------------------------------
 
 

@@ -95,5 +95,5 @@ def consumer_contracts(t: Tables) -> DataFrame:
         ddl("consumer string, url string, full_table_name string, column_name string, data_type string"),
     )
     found = schema_drift.contract_violations(contracts, schema_drift.schema_rows(t.spark, TABLE, t.customer.schema))
-    size = t.customer.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("_t", F.lit(1))
-    return found.withColumn("_t", F.lit(1)).join(size, "_t").select("consumer", "error", "n_rows")
+    size = t.customer.count()
+    return found.select("consumer", "error", F.lit(size).cast("bigint").alias("n_rows"))

@@ -8,7 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from drayline.operators import incremental
-from drayline.registry.base import Tables, query, work_folder
+from drayline.registry.base import Tables, query
+from drayline.session import shared_dir
 from drayline.sources.tables import PartitionedTable, SnapshotTable, partition_for_series, with_key_bucket
 
 _BALANCE = "CASE WHEN c_custkey % 3 = 0 THEN c_acctbal * 2 ELSE c_acctbal END"
@@ -242,7 +243,7 @@ def delete_where(t: Tables) -> DataFrame:
 @query("snapshot_table_merge", _MERGED)
 def snapshot_table_merge(t: Tables) -> DataFrame:
     """Write, merge, read back: versions side by side."""
-    table = SnapshotTable(t.spark, f"{work_folder(t.spark)}/snapshot_table_merge-{_run()}")
+    table = SnapshotTable(t.spark, f"{shared_dir(t.spark)}/snapshot_table_merge-{_run()}")
     table.merge(_old_customers(t), ["c_custkey"])
     table.merge(_new_customers(t), ["c_custkey"])
     return table.read()
@@ -251,7 +252,7 @@ def snapshot_table_merge(t: Tables) -> DataFrame:
 @query("partitioned_table_merge", f"SELECT c_custkey, c_name, {_BALANCE} AS c_acctbal FROM customer")
 def partitioned_table_merge(t: Tables) -> DataFrame:
     """Only partitions with a changed key are rewritten."""
-    folder = work_folder(t.spark)
+    folder = shared_dir(t.spark)
     table = PartitionedTable(t.spark, f"{folder}/partitioned_table_merge-{_run()}", ["_key_bucket"], folder)
     table.overwrite(with_key_bucket(_old_customers(t), ["c_custkey"], 8))
     table.merge(with_key_bucket(_new_customers(t).drop("c_mktsegment"), ["c_custkey"], 8), ["c_custkey"])
@@ -264,7 +265,7 @@ def partitioned_table_merge(t: Tables) -> DataFrame:
 )
 def partitioned_table_moves(t: Tables) -> DataFrame:
     """Keys that change their partition leave no stale row behind."""
-    folder = work_folder(t.spark)
+    folder = shared_dir(t.spark)
     table = PartitionedTable(t.spark, f"{folder}/partitioned_table_moves-{_run()}", ["o_orderpriority"], folder)
     rows = t.orders.select("o_orderkey", "o_orderpriority")
     table.overwrite(rows)
@@ -279,7 +280,7 @@ def partitioned_table_moves(t: Tables) -> DataFrame:
 )
 def series_by_day(t: Tables) -> DataFrame:
     """A time series stored by day, read back through its partition column."""
-    path = f"{work_folder(t.spark)}/series_by_day-{_run()}"
+    path = f"{shared_dir(t.spark)}/series_by_day-{_run()}"
     partition_for_series(t.events, "user_id", "ts", path)
     stored = t.spark.read.parquet(path)
     return stored.groupBy("user_id", "event_date").agg(F.count(F.lit(1)).alias("n"))

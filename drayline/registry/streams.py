@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 from drayline import schemas
 from drayline.plans import derived, staging, trips
 from drayline.registry import ctes, feeds
-from drayline.registry.base import Tables, query, with_ctes, work_folder
+from drayline.registry.base import Tables, query, with_ctes
+from drayline.session import shared_dir
 from drayline.sources.tables import PartitionedTable, SnapshotTable, with_key_bucket
 from drayline.streaming import ingest
 from drayline.sources import sinks
@@ -24,7 +25,7 @@ def _stream(t: Tables) -> DataFrame:
 
 
 def _folder(t: Tables, name: str) -> str:
-    return f"{work_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query(

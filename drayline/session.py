@@ -7,6 +7,8 @@ has to outlive a task (checkpoints, staged merges) goes to the folder named by
 
 from __future__ import annotations
 
+import functools
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Window groups up to this many rows stay in a plain buffer instead of the spillable one.
+    "spark.sql.windowExec.buffer.in.memory.threshold": "65536",
     "spark.ui.enabled": "false",
     # Capturing the Python call site costs a JVM round trip per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -47,14 +51,22 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The cluster's shared folder; ``fallback`` applies only where none is configured."""
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    chosen = configured or fallback
-    if not chosen:
-        raise ValueError(
-            f"{CHECKPOINT_CONF} is not set: name a folder that every executor can reach"
-        )
-    return chosen.rstrip("/")
+    """The cluster's shared folder.
+
+    Where none is configured, ``fallback`` is used, or a temporary folder if
+    Spark runs in this one process; on a cluster that would be an error.
+    """
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or fallback
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{CHECKPOINT_CONF} is not set: name a folder that every executor can reach")
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="drayline-")
 
 
 def scratch_path(spark: SparkSession, label: str, fallback: str | None = None) -> str:
