@@ -147,7 +147,11 @@ def asof_lookup(
     plan = None
     if rows_per_chunk is not None:
         sizes = rows.select(*on, _TS).unionByName(points.select(*on, _TS))
-        plan = plan_chunks(sizes, on, _TS, rows_per_chunk)
+        # Counting needs the keys only; each row of the left side stands for its probes.
+        weighted = rows.select(*on, F.lit(1).alias("_w")).unionByName(
+            left.select(*on, F.lit(len(probes)).alias("_w"))
+        )
+        plan = plan_chunks(sizes, on, _TS, rows_per_chunk, weighted)
 
     if plan is None:
         stacked = rows.unionByName(points, allowMissingColumns=True)

@@ -7,6 +7,7 @@ ends in a single task (see ``chunking``).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -493,6 +494,36 @@ def failing_rows(violations: DataFrame, result_id: str, sample: int | None = 5)
     )
 
 
+def run_and_store(
+    df: DataFrame,
+    checks: list[Check],
+    table: str,
+    base: str,
+    as_of: datetime | None = None,
+    sample: int | None = 5,
+) -> DataFrame:
+    """Run checks, append their results below ``base``, and keep the failing rows of those that fail.
+
+    Failing rows go to a folder of their own as JSON; ``sample=None`` keeps all.
+    """
+    run_id = uuid.uuid4().hex
+    spark = df.sparkSession
+    results = run_checks(df, checks, table, as_of).withColumn(
+        "id", F.concat_ws(".", F.lit(run_id), "table_name", "test_name")
+    )
+    path = f"{base}/results/run={run_id}"
+    results.coalesce(1).write.mode("errorifexists").parquet(path)
+    stored = spark.read.schema(results.schema).parquet(path)
+    # One row per declared check.
+    failed = {r["test_name"]: r["id"] for r in stored.where(F.col("status") != "pass").collect()}
+    for check in checks:
+        if check.name in failed:
+            bad = check.run(df) if check.run is not None else df.where(check.failing())
+            rows = failing_rows(bad, failed[check.name], sample).withColumn("detected_at", as_of_timestamp(as_of))
+            rows.write.mode("append").parquet(f"{base}/failures/{table}")
+    return stored
+
+
 # Column tests declared for the marts: table -> checks.
 def mart_checks() -> dict[str, list[Check]]:
     def nn(column: str, severity: str = "error") -> Check:

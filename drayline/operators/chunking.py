@@ -77,9 +77,14 @@ def plan_chunks(
     keys: list[str],
     order_col: str,
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    weighted: DataFrame | None = None,
 ) -> ChunkPlan | None:
-    """Measure the groups; ``None`` means no group is larger than ``rows_per_chunk``."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    """Measure the groups; ``None`` means no group is larger than ``rows_per_chunk``.
+
+    ``weighted`` replaces the rows in the count: key columns and a weight ``_w``.
+    """
+    size = F.count(F.lit(1)) if weighted is None else F.sum("_w")
+    counts = (rows if weighted is None else weighted).groupBy(*keys).agg(size.alias("_n"))
     large = counts.where(F.col("_n") > rows_per_chunk).limit(MAX_HOT_KEYS + 1).collect()
     if not large:
         return None

@@ -70,6 +70,12 @@ def job_run_results(invocations: DataFrame) -> DataFrame:
     )
 
 
+def latest_full_refresh(runs: DataFrame, unique_id: str) -> DataFrame:
+    """When a node was last rebuilt from scratch: at most one row, ``generated_at``."""
+    rebuilt = runs.where((F.col("unique_id") == unique_id) & F.col("full_refresh"))
+    return rebuilt.select("generated_at").orderBy(F.col("generated_at").desc()).limit(1)
+
+
 def _failing(df: DataFrame, passing: str, disabled: bool, skip_warnings: bool, skip_skipped: bool) -> DataFrame:
     status = F.lower("status")
     keep = status != passing

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from drayline.functions import as_of_timestamp, metric_id, moment
+from drayline.operators.latest import latest_per_key
 from drayline.schemas import ddl
 
 _CHANGE_COLUMNS = ["full_table_name", "change", "column_name", "data_type", "pre_data_type", "detected_at"]
@@ -56,6 +57,12 @@ def columns_snapshot(
     )
 
 
+def append_snapshot(store: DataFrame | None, snapshot: DataFrame) -> DataFrame:
+    """Snapshot store after a run; a column state found several times in the run counts once."""
+    latest = latest_per_key(snapshot, ["column_state_id"], ["detected_at"])
+    return latest if store is None else store.unionByName(latest)
+
+
 def _changes(current: DataFrame, previous: DataFrame, include_added: bool) -> DataFrame:
     """Type changes, removals and additions; a table that is gone altogether reports nothing."""
     keyed_now = current.withColumn("_t", F.lower("full_table_name")).withColumn("_c", F.lower("column_name"))

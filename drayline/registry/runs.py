@@ -205,3 +205,17 @@ def run_log_merge(t: Tables) -> DataFrame:
         F.col("event_id").cast("string").alias("model_execution_id"), F.lit("rerun").alias("status"), F.col("user_id").alias("rows_affected")
     )
     return runlog.merge_run_log(stored, again, "model_execution_id")
+
+
+@query(
+    "latest_full_refresh",
+    "SELECT max(ts) AS generated_at FROM events WHERE user_id % 40 = 7 AND event_type = 'signup'",
+)
+def latest_full_refresh(t: Tables) -> DataFrame:
+    """Every signup counts as a rebuild of its node."""
+    runs = t.events.select(
+        F.concat(F.lit("model."), F.col("user_id") % 40).alias("unique_id"),
+        F.col("ts").alias("generated_at"),
+        (F.col("event_type") == "signup").alias("full_refresh"),
+    )
+    return runlog.latest_full_refresh(runs, "model.7")

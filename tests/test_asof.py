@@ -50,7 +50,7 @@ ping = st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 12), st.integ
 order = st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(-1, 13)))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(ping, max_size=25), st.lists(order, min_size=1, max_size=10), st.sampled_from([None, 3, 1000]))
 def test_against_brute_force(spark, pings, probes, rows_per_chunk):
     check(spark, pings, probes, rows_per_chunk)

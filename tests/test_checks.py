@@ -176,3 +176,21 @@ def test_run_checks_and_store_failures(spark, rows):
     assert rows(stored) == [("res1", '{"id":null}')]
     with pytest.raises(ValueError):
         checks.Check("x", lambda d: d, "fatal")
+
+
+def test_run_and_store(spark, tmp_path, rows):
+    df = spark.createDataFrame([(1,), (1,), (None,), (-5,)], "id int")
+    declared = [
+        checks.Check("u", lambda d: checks.unique(d, "id")),
+        checks.Check("n", severity="warn", failing=lambda: F.col("id").isNull()),
+        checks.Check("ok", failing=lambda: F.col("id") > 9),
+        checks.Check("r", failing=lambda: ~F.col("id").between(0, 9)),
+    ]
+    for _ in range(2):
+        found = checks.run_and_store(df, declared, "t", str(tmp_path), datetime(2024, 1, 1))
+    assert rows(found, "test_name", "status", "failures") == [("n", "warn", 1), ("ok", "pass", 0), ("r", "fail", 1), ("u", "fail", 1)]
+    assert spark.read.parquet(str(tmp_path / "results")).count() == 8
+    kept = spark.read.parquet(str(tmp_path / "failures" / "t"))
+    assert rows(kept.select("result_row").distinct()) == [('{"id":-5}',), ('{"id":1,"n_records":2}',), ('{"id":null}',)]
+    with pytest.raises(ValueError):
+        checks.Check("neither")

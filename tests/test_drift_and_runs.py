@@ -137,3 +137,21 @@ def test_freshness_alerts(spark, rows):
     sources = spark.createDataFrame([("s.a", "x"), ("s.b", "y")], "unique_id string, schema_name string")
     assert rows(runlog.source_freshness_alerts(results, sources), "alert_id") == [("f2",), ("f3",)]
     assert rows(runlog.source_freshness_alerts(results, sources, skip_warnings=True), "alert_id") == [("f3",)]
+
+
+def test_latest_full_refresh(spark):
+    df = spark.createDataFrame(
+        [("m", datetime(2024, 1, 1), True), ("m", datetime(2024, 1, 5), True), ("m", datetime(2024, 1, 9), False), ("x", datetime(2024, 2, 1), True)],
+        "unique_id string, generated_at timestamp, full_refresh boolean",
+    )
+    assert runlog.latest_full_refresh(df, "m").first()[0] == datetime(2024, 1, 5)
+    assert runlog.latest_full_refresh(df, "none").isEmpty()
+
+
+def test_snapshot_store(spark):
+    first = schema_drift.columns_snapshot(spark, "t", OLD, None, BEFORE)
+    store = schema_drift.append_snapshot(None, first.unionByName(first))
+    assert store.count() == 3
+    again = schema_drift.columns_snapshot(spark, "t", OLD, store, NOW)
+    store = schema_drift.append_snapshot(store, again)
+    assert store.count() == 6 and schema_drift.schema_changes(again, store, "t").isEmpty()
