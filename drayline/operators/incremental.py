@@ -20,6 +20,25 @@ MAX_STREAM_PARTITIONS = 10_000
 # --- watermarks ----------------------------------------------------------------
 
 
+def _literals(df: DataFrame, **aggregates: tuple) -> dict[str, Column] | None:
+    """Aggregates of an action as literals of their columns' types, ``None`` if the table is empty.
+
+    ``name=(function, column)``. Times travel as text: a Python datetime would
+    pass through the time zone of the Python process.
+    """
+    kinds = {name: df.schema[column].dataType for name, (_, column) in aggregates.items()}
+    timed = (T.TimestampType, T.TimestampNTZType)
+    row = df.agg(
+        *[
+            (f(c).cast("string") if isinstance(kinds[name], timed) else f(c)).alias(name)
+            for name, (f, c) in aggregates.items()
+        ]
+    ).first()
+    if any(row[name] is None for name in aggregates):
+        return None
+    return {name: F.lit(row[name]).cast(kinds[name]) for name in aggregates}
+
+
 def high_watermark(target: DataFrame | None, column: str) -> Any:
     """Largest value of a column, ``None`` for an absent or empty table."""
     if target is None:
@@ -38,10 +57,10 @@ def after_watermark(
 
     ``inclusive`` reprocesses from the last value itself.
     """
-    mark = high_watermark(target, target_col or source_col)
+    mark = _literals(target, top=(F.max, target_col or source_col)) if target is not None else None
     if mark is None:
         return source
-    bound = F.lit(mark).cast(source.schema[source_col].dataType)
+    bound = mark["top"].cast(source.schema[source_col].dataType)
     return source.where(F.col(source_col) >= bound if inclusive else F.col(source_col) > bound)
 
 
@@ -183,12 +202,10 @@ def append_absent(
         return source
     existing = target.select(*keys)
     if range_col:
-        low, high = source.agg(F.min(range_col), F.max(range_col)).first()
-        if low is not None:
+        bounds = _literals(source, low=(F.min, range_col), high=(F.max, range_col))
+        if bounds is not None:
             kind = target.schema[range_col].dataType
-            existing = existing.where(
-                F.col(range_col).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
-            )
+            existing = existing.where(F.col(range_col).between(bounds["low"].cast(kind), bounds["high"].cast(kind)))
     return source.join(existing, keys, "left_anti").select(*source.columns)
 
 

@@ -11,6 +11,7 @@ moves. Where the catalog has row-level operations (``MERGE INTO``), use
 
 from __future__ import annotations
 
+from datetime import datetime
 from typing import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -161,7 +162,8 @@ class PartitionedTable:
         if not partitions:
             return df.limit(0)
         kinds = [df.schema[c].dataType for c in self.partition_by]
-        if len(self.partition_by) == 1 and all(p[0] is not None for p in partitions):
+        plain = all(p[0] is not None and not isinstance(p[0], datetime) for p in partitions)
+        if len(self.partition_by) == 1 and plain:
             return df.where(F.col(self.partition_by[0]).isin(*[F.lit(p[0]).cast(kinds[0]) for p in partitions]))
         schema = T.StructType([T.StructField(f"_{c}", k) for c, k in zip(self.partition_by, kinds)])
         # At most MAX_TOUCHED_PARTITIONS rows.
