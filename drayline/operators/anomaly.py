@@ -7,6 +7,8 @@ training range), so a window per series is bounded by the configuration.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from drayline.functions import (
@@ -20,6 +22,7 @@ from drayline.functions import (
     moment,
 )
 from drayline.operators import monitors
+from drayline.operators.chunking import ROWS_PER_CHUNK, expanding_stats
 from drayline.operators.latest import latest_per_key
 from drayline.operators.monitors import MonitorConfig
 from drayline.operators.reshape import bucket_spine
@@ -359,22 +362,23 @@ def dimension_anomalies(
 # --- views over the metric store -------------------------------------------------------------
 
 
-def metrics_anomaly_score(store: DataFrame, as_of, sensitivity: float = 3, days: int = 7) -> DataFrame:
-    """Scores of the last days of every stored series."""
-    window = (
-        W.partitionBy("metric_name", "full_table_name", "column_name")
-        .orderBy("bucket_start", "bucket_end", "id")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    trained = store.select(
+def metrics_anomaly_score(
+    store: DataFrame, as_of, sensitivity: float = 3, days: int = 7, rows_per_chunk: int = ROWS_PER_CHUNK
+) -> DataFrame:
+    """Scores of the last days of every stored series; all dimension values of a metric form one series."""
+    keys = ["metric_name", "full_table_name", "column_name"]
+    rows = store.select(
         "id", "full_table_name", "column_name", "dimension", "dimension_value", "metric_name",
         F.col("metric_value").alias("latest_metric_value"), "bucket_start", "bucket_end", "updated_at",
-        F.avg("metric_value").over(window).alias("training_avg"),
-        F.stddev_samp("metric_value").over(window).alias("training_stddev"),
-        F.last("bucket_end").over(window).alias("training_end"),
-        F.first("bucket_end").over(window).alias("training_start"),
-        F.count("metric_value").over(window).alias("training_set_size"),
+        # Metrics without time buckets have an end only.
+        F.coalesce("bucket_start", "bucket_end").alias("_at"),
     )
+    trained = expanding_stats(rows, keys, ["_at", "bucket_end", "id"], "latest_metric_value", rows_per_chunk)
+    begin = rows.groupBy(*keys).agg(F.min(F.struct("_at", "bucket_end", "id")).alias("_begin"))
+    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    trained = trained.alias("l").join(begin.alias("r"), same, "left").select(
+        "l.*", F.col("_begin.bucket_end").alias("training_start"), F.col("l.bucket_end").alias("training_end")
+    ).drop("_at")
     spread = F.col("training_stddev")
     score = F.when(spread == 0, F.lit(0.0)).when(
         spread.isNotNull(), F.try_divide(F.col("latest_metric_value") - F.col("training_avg"), spread)

@@ -46,17 +46,31 @@ class ChunkPlan:
     hot_keys: DataFrame | None  # None: every key is treated as hot
     cuts: tuple[float, ...]
 
+    def _listed(self) -> tuple[DataFrame, Column]:
+        """The hot keys under other names, and the null-safe match with a table's keys."""
+        renamed = self.hot_keys.select(*[F.col(k).alias(f"_hot_{k}") for k in self.keys])
+        match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in self.keys])
+        return renamed, match
+
     def hot(self, df: DataFrame) -> DataFrame:
         """Rows of hot keys only."""
         if self.hot_keys is None:
             return df
-        return df.join(F.broadcast(self.hot_keys), list(self.keys), "left_semi")
+        listed, match = self._listed()
+        return df.join(F.broadcast(listed), match, "left_semi")
 
     def cold(self, df: DataFrame) -> DataFrame:
         """Rows of all other keys."""
         if self.hot_keys is None:
             return df.limit(0)
-        return df.join(F.broadcast(self.hot_keys), list(self.keys), "left_anti")
+        listed, match = self._listed()
+        return df.join(F.broadcast(listed), match, "left_anti")
+
+    def flag(self, df: DataFrame, name: str) -> DataFrame:
+        """Mark the rows of hot keys."""
+        listed, match = self._listed()
+        marked = df.join(F.broadcast(listed.withColumn(name, F.lit(True))), match, "left")
+        return marked.drop(*[f"_hot_{k}" for k in self.keys])
 
     def assign(self, df: DataFrame, order: Column) -> DataFrame:
         """Add the chunk number of each row."""
@@ -112,8 +126,7 @@ def _with_chunks(df: DataFrame, plan: ChunkPlan, order_col: str) -> DataFrame:
     chunked = plan.assign(df, order_value(F.col(order_col), df.select(order_col).dtypes[0][1]))
     if plan.hot_keys is None:
         return chunked
-    flagged = chunked.join(F.broadcast(plan.hot_keys.withColumn(_HOT, F.lit(True))), list(plan.keys), "left")
-    return flagged.withColumn(CHUNK, F.when(F.col(_HOT), F.col(CHUNK)).otherwise(F.lit(0))).drop(_HOT)
+    return plan.flag(chunked, _HOT).withColumn(CHUNK, F.when(F.col(_HOT), F.col(CHUNK)).otherwise(F.lit(0))).drop(_HOT)
 
 
 def _same(columns: list[str]) -> Column:
@@ -154,6 +167,53 @@ def number_rows(
     )
 
 
+def expanding_stats(
+    df: DataFrame,
+    keys: list[str],
+    order_by: list[str],
+    value: str,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+) -> DataFrame:
+    """Running mean, sample deviation and count of a value per key.
+
+    Adds ``training_avg``, ``training_stddev`` and ``training_set_size``. For
+    keys that are cut into chunks the running sums of a chunk are added to the
+    totals of the chunks before it; values are taken relative to the key's
+    minimum, so that a constant series has a deviation of exactly zero.
+    """
+    so_far = (W.unboundedPreceding, W.currentRow)
+    plan = plan_chunks(df, keys, order_by[0], rows_per_chunk)
+    if plan is None:
+        window = W.partitionBy(*keys).orderBy(*order_by).rowsBetween(*so_far)
+        return df.select(
+            "*",
+            F.avg(value).over(window).alias("training_avg"),
+            F.stddev_samp(value).over(window).alias("training_stddev"),
+            F.count(value).over(window).alias("training_set_size"),
+        )
+    lowest = df.groupBy(*keys).agg(F.min(value).alias("_shift"))
+    shifted = df.alias("l").join(lowest.alias("r"), _same(keys), "left").select("l.*", "_shift")
+    shifted = shifted.withColumn("_x", F.col(value) - F.col("_shift"))
+    chunked = _with_chunks(shifted, plan, order_by[0])
+    sums = {"_n": F.count("_x"), "_s": F.sum("_x"), "_q": F.sum(F.col("_x") * F.col("_x"))}
+    inside = W.partitionBy(*keys, CHUNK).orderBy(*order_by).rowsBetween(*so_far)
+    before = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    totals = chunked.groupBy(*keys, CHUNK).agg(*[total.alias(name) for name, total in sums.items()])
+    earlier = totals.select(
+        *keys, CHUNK, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"{name}0") for name in sums]
+    )
+    running = chunked.select("*", *[F.coalesce(total.over(inside), F.lit(0)).alias(name) for name, total in sums.items()])
+    joined = running.alias("l").join(earlier.alias("r"), _same([*keys, CHUNK]), "left")
+    n, s, q = (F.col(name) + F.col(f"{name}0") for name in sums)
+    spread = F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1))
+    return joined.select(
+        *[F.col(f"l.{c}") for c in df.columns],
+        F.when(n > 0, F.col("_shift") + s / n).alias("training_avg"),
+        F.when(n > 1, spread).alias("training_stddev"),
+        n.alias("training_set_size"),
+    )
+
+
 def ordered_values(
     df: DataFrame,
     group_by: list[str],

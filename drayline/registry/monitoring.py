@@ -527,16 +527,29 @@ def anomaly_descriptions(t: Tables) -> DataFrame:
 _RECENT = "z2 AS (SELECT * FROM z WHERE bucket_end >= TIMESTAMP '2024-01-24')"
 
 
-@query(
-    "metrics_anomaly_score",
-    f"WITH {_COUNTS}, {_SCORED.format(by='')}, {_RECENT} SELECT bucket_end, v AS latest_metric_value, round(score, 6) AS anomaly_score, n AS training_set_size, abs(score) > 1 AS is_anomaly FROM z2",
+_STORE_SCORES = (
+    f"WITH {_COUNTS}, {_SCORED.format(by='')}, {_RECENT} SELECT bucket_end, v AS latest_metric_value, "
+    "round(score, 6) AS anomaly_score, n AS training_set_size, abs(score) > 1 AS is_anomaly FROM z2"
 )
-def metrics_anomaly_score(t: Tables) -> DataFrame:
+
+
+def _store_scores(t: Tables, **options) -> DataFrame:
     store = monitors.merge_metric_store(None, monitors.row_count_metric(t.events, TABLE, DAILY))
-    found = anomaly.metrics_anomaly_score(store, AS_OF, sensitivity=1)
+    found = anomaly.metrics_anomaly_score(store, AS_OF, sensitivity=1, **options)
     return _round(_plain(found, "bucket_end", "latest_metric_value", "anomaly_score", "training_set_size", "is_anomaly"), ["anomaly_score"])
 
 
+@query("metrics_anomaly_score", _STORE_SCORES)
+def metrics_anomaly_score(t: Tables) -> DataFrame:
+    return _store_scores(t)
+
+
+@query("metrics_anomaly_score_split_keys", _STORE_SCORES)
+def metrics_anomaly_score_split_keys(t: Tables) -> DataFrame:
+    """The same with the series treated as too long for one task."""
+    return _store_scores(t, rows_per_chunk=7)
+
+
 @query(
     "anomaly_threshold_sensitivity",
     "WITH m AS (SELECT event_type, CAST(CAST(ts AS DATE) + 1 AS TIMESTAMP) AS bucket_end, max(value) AS v FROM events GROUP BY 1, 2), "

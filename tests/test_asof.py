@@ -125,3 +125,18 @@ def test_ordered_values_neighbours(spark, rows_per_chunk):
         ("a", 1): (1, None, 2), ("a", 2): (1, 1, 5), ("a", 5): (1, 2, 9), ("a", 9): (3, 5, None),
         ("b", 4): (1, None, None), (None, 1): (1, None, 2), (None, 2): (1, 1, None),
     }
+
+
+def test_expanding_stats_of_split_keys(spark):
+    data = [("hot", i, float(i * i % 17)) for i in range(60)] + [("flat", i, 5.1) for i in range(30)] + [(None, 1, None), (None, 2, 4.0)]
+    df = spark.createDataFrame(data, "k string, o int, v double")
+    whole, split = (
+        {(r["k"], r["o"]): r for r in chunking.expanding_stats(df, ["k"], ["o"], "v", n).collect()} for n in (1000, 8)
+    )
+    assert whole.keys() == split.keys()
+    for key, row in whole.items():
+        for name in ("training_avg", "training_stddev"):
+            a, b = row[name], split[key][name]
+            assert (a is None and b is None) or a == pytest.approx(b, abs=1e-9)
+        assert row["training_set_size"] == split[key]["training_set_size"]
+    assert split[("flat", 20)]["training_stddev"] == 0.0

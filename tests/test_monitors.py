@@ -290,3 +290,16 @@ def test_store_views(spark):
     assert sweep["is_anomaly_3"] and not sweep["is_anomaly_4_5"]
     runs = monitors.monitor_runs(store).first()
     assert (runs["first_bucket_end"], runs["last_bucket_end"]) == (datetime(2024, 1, 19), AS_OF)
+
+
+def test_scores_of_metrics_without_buckets(spark):
+    stores = [
+        monitors.row_count_metric(spark.range(10 + d % 3), "t", MonitorConfig(as_of=AS_OF - timedelta(days=d))) for d in range(5)
+    ]
+    store = stores[0]
+    for other in stores[1:]:
+        store = store.unionByName(other)
+    scores = anomaly.metrics_anomaly_score(monitors.merge_metric_store(None, store), AS_OF)
+    assert scores.count() == 5
+    assert scores.agg(F.max("training_set_size")).first()[0] == 5
+    assert scores.select("training_start").distinct().collect()[0][0] == AS_OF - timedelta(days=4)
