@@ -489,7 +489,7 @@ def failing_rows(violations: DataFrame, result_id: str, sample: int | None = 5)
     """Violations as JSON rows under the id of their result; ``sample=None`` stores all."""
     rows = violations.limit(sample) if sample is not None else violations
     return rows.select(
-        F.lit(result_id).alias("elementary_test_results_id"),
+        F.lit(result_id).alias("test_result_id"),
         F.to_json(F.struct(*violations.columns), {"ignoreNullFields": "false"}).alias("result_row"),
     )
 

@@ -89,7 +89,7 @@ def _failing(df: DataFrame, passing: str, disabled: bool, skip_warnings: bool, s
 def result_alerts(
     results: DataFrame, kind: str, disabled: bool = False, skip_warnings: bool = False, skip_skipped: bool = False
 ) -> DataFrame:
-    """Failing results of one kind: ``dbt_test``, ``anomaly_detection`` or ``schema_change``."""
+    """Failing results of one kind: ``data_test``, ``anomaly_detection`` or ``schema_change``."""
     chosen = results.where(F.col("test_type") == kind)
     renamed = _failing(chosen, "pass", disabled, skip_warnings, skip_skipped).withColumnsRenamed(
         {
@@ -132,7 +132,7 @@ def sampled_result_rows(violations: DataFrame, result_id: str, as_of: datetime |
     """A sample of violating rows as JSON."""
     moment = as_of_timestamp(as_of)
     return violations.limit(sample).select(
-        F.lit(result_id).alias("elementary_test_results_id"),
+        F.lit(result_id).alias("test_result_id"),
         F.to_json(F.struct(*violations.columns), {"ignoreNullFields": "false"}).alias("result_row"),
         moment.alias("detected_at"),
         moment.alias("created_at"),

@@ -352,13 +352,13 @@ def check_python_rows(t: Tables) -> DataFrame:
 
 @query(
     "stored_failing_rows",
-    "SELECT 'r1' AS elementary_test_results_id, l_orderkey AS k FROM lineitem WHERE l_quantity > 49",
+    "SELECT 'r1' AS test_result_id, l_orderkey AS k FROM lineitem WHERE l_quantity > 49",
 )
 def stored_failing_rows(t: Tables) -> DataFrame:
     """All violating rows as JSON, read back by key."""
     bad = checks.accepted_range(t.lineitem, "l_quantity", max_value=49)
     rows = checks.failing_rows(bad, "r1", sample=None)
-    return rows.select("elementary_test_results_id", F.get_json_object("result_row", "$.l_orderkey").cast("bigint").alias("k"))
+    return rows.select("test_result_id", F.get_json_object("result_row", "$.l_orderkey").cast("bigint").alias("k"))
 
 
 @query(

@@ -101,7 +101,7 @@ def _results(t: Tables) -> DataFrame:
     third = F.col("event_id") % 3
     return t.events.select(
         F.col("event_id").cast("string").alias("id"),
-        F.when(third == 0, "dbt_test").when(third == 1, "anomaly_detection").otherwise("schema_change").alias("test_type"),
+        F.when(third == 0, "data_test").when(third == 1, "anomaly_detection").otherwise("schema_change").alias("test_type"),
         F.col("event_type").alias("test_sub_type"),
         F.concat(F.lit("saw "), "event_type").alias("test_results_description"),
         F.lit("select 1").alias("test_results_query"),
@@ -114,7 +114,7 @@ def _results(t: Tables) -> DataFrame:
     "SELECT CAST(event_id AS VARCHAR) AS alert_id, event_type AS sub_type, 'saw ' || event_type AS alert_description FROM events WHERE event_id % 3 = 0 AND event_type <> 'view'",
 )
 def alerts_data_tests(t: Tables) -> DataFrame:
-    return runlog.result_alerts(_results(t), "dbt_test").select("alert_id", "sub_type", "alert_description")
+    return runlog.result_alerts(_results(t), "data_test").select("alert_id", "sub_type", "alert_description")
 
 
 @query(

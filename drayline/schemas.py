@@ -79,6 +79,6 @@ TEST_RESULTS = ddl(
     "test_alias string, result_rows string"
 )
 TEST_RESULT_ROWS = ddl(
-    "elementary_test_results_id string, result_row string, detected_at timestamp, "
+    "test_result_id string, result_row string, detected_at timestamp, "
     "created_at timestamp"
 )

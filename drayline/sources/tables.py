@@ -249,7 +249,7 @@ class Layers:
         "staging": "bronze",
         "silver": "silver",
         "gold": "gold",
-        "observability": "elementary",
+        "observability": "observability",
         "test_failures": "test_failures",
     }
 
