@@ -74,6 +74,55 @@ def scratch_path(spark: SparkSession, label: str, fallback: str | None = None) -
     return f"{shared_dir(spark, fallback)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own through Spark's file system layer."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+class RunFolder:
+    """The intermediate tables of one run below the shared folder, with an explicit end.
+
+    ``keep`` writes a table that lives until ``close``; ``result`` writes one
+    that outlives the run, so that the run's own folder can go.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.path = scratch_path(spark, label)
+        self._tables: list[str] = []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}"
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def keep_bucketed(self, df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+        """Like ``keep``, stored by hash of a key: joins on the key leave this side where it is."""
+        table = f"run_{uuid.uuid4().hex}"
+        writer = df.write.format("parquet").option("path", f"{self.path}/{name}").option("compression", "zstd")
+        writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+        self._tables.append(table)
+        return self.spark.table(table)
+
+    def drop(self, name: str) -> None:
+        """Remove one intermediate table before the end of the run."""
+        remove_folder(self.spark, f"{self.path}/{name}")
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """Store the outcome beside the run, end the run and read the outcome back."""
+        path = f"{self.path}-result"
+        df.write.mode("errorifexists").parquet(path)
+        self.close()
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        for table in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._tables.clear()
+        remove_folder(self.spark, self.path)
+
+
 def cut_lineage(df: DataFrame, label: str = "stage", fallback: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
