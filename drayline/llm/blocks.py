@@ -28,6 +28,8 @@ BLOCK_BYTES = 4 << 20
 #: Bytes of text for each range of the exchange; a range holds at most so many names.
 RANGE_BYTES = 8 << 20
 ONCE, REPEATED, HOT = 0, 1, 2
+#: Added to the code of a repeated name in exactly one block of those that hold it.
+CHOSEN = 4
 
 
 @dataclass
@@ -173,11 +175,13 @@ def repeated_names(
     ranges: int,
     replies: int = 0,
     hot_above: int | None = None,
+    choose: bool = False,
 ) -> DataFrame:
     """For each block, a code for each of its distinct names in their order, as parts by range.
 
     ``names_of`` gives a block's names, repeats included.  Codes: the name
-    occurs once, repeatedly, or more than ``hot_above`` times.
+    occurs once, repeatedly, or more than ``hot_above`` times; with ``choose``
+    one block of those that hold a repeated name is told so.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,6 +212,8 @@ def repeated_names(
             code[total > hot_above] = HOT
         out = np.empty(len(names), dtype=np.uint8)
         out[order] = np.repeat(code, np.diff(np.append(first, len(names))))
+        if choose:
+            out[order[first]] += CHOSEN * (code > 0).astype(np.uint8)
         cuts = np.cumsum([0, *map(len, parts)])
         return pa.table(
             {

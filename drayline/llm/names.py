@@ -107,7 +107,7 @@ def sampled(values_of, n: int, gram: int, width: int, valid: np.ndarray) -> Iter
         if not len(starts):
             continue
         names = gram_names(values_of(begin, end), gram)
-        low = np.uint64((1 << (len(names)).bit_length()) - 1)
+        low = np.uint64((1 << (CHUNK + width).bit_length()) - 1)
         keys = (names & ~low) | np.arange(len(names), dtype=np.uint64)
         least = sliding_min(keys, width - gram + 1) & low
         yield begin, names, starts, least[starts].astype(np.int64)

@@ -16,8 +16,8 @@ name is unique leaves, because nothing longer that starts there can repeat.
 Names are 64-bit polynomial fingerprints, which any task computes from its own
 block, so ranks never have to be looked up across blocks; only sorted names and
 one code for each travel.  Whole texts that repeat are recognised in the first
-sort by two more names each (128 bits); all their bytes go and their suffixes
-stay out of the later sorts.
+sort by two more names each (128 bits); all their bytes go, and the suffixes of
+one copy stand for all in the later sorts.
 
 Memory: one block of text, its surviving names and one range of the exchange.
 """
@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from drayline.llm.blocks import Block, flags_of, range_count, read_blocks, repeated_names, with_reply, write_blocks
+from drayline.llm.blocks import CHOSEN, Block, flags_of, range_count, read_blocks, repeated_names, with_reply, write_blocks
 from drayline.llm.names import byte_values, heads, pair, sampled, window_mask
 from drayline.session import RunFolder
 
@@ -85,14 +85,17 @@ def _left(block: Block, lengths: list[int], codes: list[np.ndarray], rounds: int
     flags = flags_of(first, codes[0]) if len(first) else np.empty(0, dtype=np.uint8)
     halves = flags[: len(digests)].reshape(-1, 2)
     copies = long[(halves > 0).all(axis=1)]
-    whole = np.zeros(len(ends), dtype=bool)
-    whole[copies] = True
+    standing = np.flatnonzero((halves > 0).all(axis=1) & (halves[:, 0] >= CHOSEN))
+    standing = standing[np.unique(digests[::2][standing], return_index=True)[1]]
+    out = np.zeros(len(ends), dtype=bool)  # copies that another one stands for
+    out[copies] = True
+    out[long[standing]] = False
     at, positions, found = len(digests), [], []
     for begin, names, begins, picked, runs in chunks:
         alive = np.repeat(flags[at : at + len(picked)] > 0, runs)
         at += len(picked)
         here = begins[alive]
-        here = here[~whole[np.searchsorted(ends, here + begin, side="right")]]
+        here = here[~out[np.searchsorted(ends, here + begin, side="right")]]
         current = names
         for done, length in zip(lengths[:rounds], lengths[1 : rounds + 1], strict=True):
             step = length - done
@@ -135,6 +138,8 @@ def _narrow(keep: np.ndarray, passed: np.ndarray) -> np.ndarray:
 def _spans(block: Block, positions: np.ndarray, copies: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal removed stretches as document, first byte and end inside the block."""
     owner = np.searchsorted(block.ends, positions, side="right")
+    apart = ~np.isin(owner, copies)
+    positions, owner = positions[apart], owner[apart]
     cut = np.ones(len(positions), dtype=bool)
     cut[1:] = (positions[1:] > positions[:-1] + threshold) | (owner[1:] != owner[:-1])
     first = np.flatnonzero(cut)
@@ -183,7 +188,7 @@ def repeated_spans(
             names_of = lambda block, _: _first_names(block, base, threshold)
         else:
             names_of = lambda block, codes: _survivors(block, lengths, codes)[1]
-        reply = run.keep(repeated_names(joined, names_of, ranges, replies=k), f"reply{k}")
+        reply = run.keep(repeated_names(joined, names_of, ranges, replies=k, choose=k == 0), f"reply{k}")
         joined = with_reply(joined, reply, k)
 
     fields = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType())]
