@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drayline.registry.base import Query, Tables
 from drayline.session import RunFolder, use_utc
@@ -59,3 +59,11 @@ def op1_suffix_dedup(t: Tables, run: RunFolder) -> DataFrame:
     from drayline.llm.suffix_dedup import repeated_spans
 
     return repeated_spans(t.documents.select("doc_id", "text"), run, want_text=False)
+
+
+@_corpus_query("op10_simhash_dedup")
+def op10_simhash_dedup(t: Tables, run: RunFolder) -> DataFrame:
+    from drayline.llm.simhash_dedup import near_duplicates
+
+    found = near_duplicates(t.documents.select("doc_id", "text"), run)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
