@@ -67,3 +67,24 @@ def op10_simhash_dedup(t: Tables, run: RunFolder) -> DataFrame:
 
     found = near_duplicates(t.documents.select("doc_id", "text"), run)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+OP6_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+x AS (SELECT doc_id, i, ws[i] AS word, CASE WHEN i + 49 <= len(ws) THEN md5(array_to_string(ws[i:i + 49], ' ')) END AS m FROM p),
+f AS (SELECT doc_id, i, word, m IS NOT NULL AND min(doc_id) OVER (PARTITION BY m) < doc_id AS hit FROM x),
+g AS (SELECT doc_id, i, word, max(CASE WHEN hit THEN 1 ELSE 0 END)
+        OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM f),
+k AS (SELECT doc_id, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM g GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+
+@_corpus_query("op6_window_dedup", OP6_SQL)
+def op6_window_dedup(t: Tables, run: RunFolder) -> DataFrame:
+    from drayline.llm.window_dedup import repeated_windows
+
+    return repeated_windows(t.documents.select("doc_id", "text"), run, want_text=False)
