@@ -16,6 +16,13 @@ from drayline.session import RunFolder, use_utc
 QUERIES: dict[str, Query] = {}
 
 
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _corpus_query(name: str, sql: str | None = None):
     """Register ``function(tables, run) -> DataFrame``; the run's folder ends with the query."""
 
@@ -88,3 +95,10 @@ def op6_window_dedup(t: Tables, run: RunFolder) -> DataFrame:
     from drayline.llm.window_dedup import repeated_windows
 
     return repeated_windows(t.documents.select("doc_id", "text"), run, want_text=False)
+
+
+@_corpus_query("op2_pack")
+def op2_pack(t: Tables, run: RunFolder) -> DataFrame:
+    from drayline.llm.packing import pack_documents
+
+    return pack_documents(t.documents.select("doc_id", "text"), run, vocabulary("word_bpe_49k.json"), want_ids=False)
