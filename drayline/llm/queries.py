@@ -102,3 +102,10 @@ def op2_pack(t: Tables, run: RunFolder) -> DataFrame:
     from drayline.llm.packing import pack_documents
 
     return pack_documents(t.documents.select("doc_id", "text"), run, vocabulary("word_bpe_49k.json"), want_ids=False)
+
+
+@_corpus_query("op9_token_files")
+def op9_token_files(t: Tables, run: RunFolder) -> DataFrame:
+    from drayline.llm.token_files import round_trip
+
+    return round_trip(t.documents.select("doc_id", "text"), run, vocabulary("word_bpe_49k.json"), want_ids=False)
