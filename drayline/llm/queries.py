@@ -109,3 +109,10 @@ def op9_token_files(t: Tables, run: RunFolder) -> DataFrame:
     from drayline.llm.token_files import round_trip
 
     return round_trip(t.documents.select("doc_id", "text"), run, vocabulary("word_bpe_49k.json"), want_ids=False)
+
+
+@_corpus_query("op4_merkle_fingerprint")
+def op4_merkle_fingerprint(t: Tables, run: RunFolder) -> DataFrame:
+    from drayline.llm.merkle import edited_fingerprints
+
+    return edited_fingerprints(t.documents.select("doc_id", "text"), run)
