@@ -116,3 +116,21 @@ def op4_merkle_fingerprint(t: Tables, run: RunFolder) -> DataFrame:
     from drayline.llm.merkle import edited_fingerprints
 
     return edited_fingerprints(t.documents.select("doc_id", "text"), run)
+
+
+@_corpus_query("op7_shards")
+def op7_shards(t: Tables, run: RunFolder) -> DataFrame:
+    from drayline.llm.sharding import LAW, read_shards, write_shards
+
+    docs = t.documents.select("doc_id", "text")
+    write_shards(docs, f"{run.path}/shards", 8)
+    text = F.coalesce("text", F.lit(""))
+    return read_shards(t.spark, f"{run.path}/shards", docs.schema).select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit(LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
