@@ -134,3 +134,34 @@ def op7_shards(t: Tables, run: RunFolder) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@_corpus_query("op8_language")
+def op8_language(t: Tables, run: RunFolder) -> DataFrame:
+    from drayline.llm.language_id import fit, predict
+
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    docs = t.documents.select("doc_id", "text", "lang").withColumn("held_out", held_out)
+    models = fit(docs.where(~F.col("held_out")))
+    found = predict(docs.select("doc_id", "text", "held_out"), models)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS good FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND a.good AND b.good AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON r.a = l.a)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links, min(c) AS component_id, min(c) = vec_id AS kept
+FROM v JOIN r ON r.a = v.vec_id GROUP BY vec_id
+"""
+
+
+@_corpus_query("op5_embedding_dedup", OP5_SQL)
+def op5_embedding_dedup(t: Tables, run: RunFolder) -> DataFrame:
+    from drayline.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(t.embeddings.select("vec_id", "embedding"), run)
