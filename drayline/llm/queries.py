@@ -165,3 +165,10 @@ def op5_embedding_dedup(t: Tables, run: RunFolder) -> DataFrame:
     from drayline.llm.embedding_dedup import near_duplicates
 
     return near_duplicates(t.embeddings.select("vec_id", "embedding"), run)
+
+
+@_corpus_query("op3_sentencepiece")
+def op3_sentencepiece(t: Tables, run: RunFolder) -> DataFrame:
+    from drayline.llm.sentencepiece_codec import round_trip
+
+    return round_trip(t.documents.select("doc_id", "text"), vocabulary("piece_bpe_32k.model"))
