@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from drayline.llm.blocks import CHOSEN, Block, flags_of, range_count, read_blocks, repeated_names, with_reply, write_blocks
-from drayline.llm.names import byte_values, heads, pair, sampled, window_mask
+from drayline.llm.names import byte_values, heads, pair, sampled, spread, window_mask
 from drayline.session import RunFolder
 
 THRESHOLD = 200
@@ -66,7 +66,7 @@ def _first_names(block: Block, base: int, threshold: int) -> np.ndarray:
     valid = window_mask(block.starts, block.ends, threshold, len(block.data))
     long = np.flatnonzero(block.ends - block.starts >= threshold)
     parts = [_digests(block, long)]
-    parts += [names[picked] for _, names, _, picked, _ in _samples(block, base, threshold, valid)]
+    parts += [spread(names[picked]) for _, names, _, picked, _ in _samples(block, base, threshold, valid)]
     return np.concatenate(parts)
 
 
@@ -81,7 +81,7 @@ def _left(block: Block, lengths: list[int], codes: list[np.ndarray], rounds: int
     long = np.flatnonzero(ends - starts >= threshold)
     chunks = list(_samples_of_first(block, base, threshold))
     digests = _digests(block, long)
-    first = np.concatenate([digests, *[names[picked] for _, names, _, picked, _ in chunks]])
+    first = np.concatenate([digests, *[spread(names[picked]) for _, names, _, picked, _ in chunks]])
     flags = flags_of(first, codes[0]) if len(first) else np.empty(0, dtype=np.uint8)
     halves = flags[: len(digests)].reshape(-1, 2)
     copies = long[(halves > 0).all(axis=1)]
@@ -167,8 +167,9 @@ def repeated_spans(
     Result: the input's columns beside the text, then ``n_bytes``,
     ``n_removed``, ``n_spans`` (maximal removed stretches), ``kept_sha256``
     (hex, of the bytes left, joined) and with ``want_text`` ``spans`` (start
-    and end byte) and ``kept`` (binary; null for a null text).  An input column
-    of one of these names is left out.
+    and end byte) and ``kept`` (the text left, without characters that lost a
+    part of their bytes; null for a null text).  An input column of one of
+    these names is left out.
 
     Null and empty texts and texts under the threshold have nothing removed.
     Rows are rows: two with the same id, null ids or equal in every column are
@@ -194,7 +195,7 @@ def repeated_spans(
     fields = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType())]
     if want_text:
         span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-        fields += [("spans", T.ArrayType(span)), ("kept", T.BinaryType())]
+        fields += [("spans", T.ArrayType(span)), ("kept", T.StringType())]
     rest_type = blocks.schema["rest"].dataType.elementType
     schema = T.StructType([T.StructField("rest", rest_type), *[T.StructField(f"o{i}", t) for i, (_, t) in enumerate(fields)]])
 
@@ -220,7 +221,7 @@ def repeated_spans(
                     digest.update(part)
                 hashes.append(digest.hexdigest())
                 if want_text:
-                    kept.append(None if block.nulls[i] else b"".join(p.tobytes() for p in parts))
+                    kept.append(None if block.nulls[i] else b"".join(p.tobytes() for p in parts).decode(errors="ignore"))
                     spans.append([{"start": x - s, "end": y - s} for x, y in zip(begins[a:b].tolist(), ends[a:b].tolist(), strict=True)])
             columns = [
                 block.rest,
@@ -230,7 +231,7 @@ def repeated_spans(
                 pa.array(hashes, pa.string()),
             ]
             if want_text:
-                columns += [pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())]
+                columns += [pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["rest", *[f"o{i}" for i in range(len(fields))]])
 
     wanted = ["block", "rest", "ends", "nulls", "data", *[f"r{k}" for k in range(len(lengths))]]
