@@ -67,6 +67,11 @@ def gram_names(values: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def spread(least: np.ndarray) -> np.ndarray:
+    """Names of sampled grams, which are small as the least of many, over the whole range again."""
+    return mix(least * np.uint64(BASE))
+
+
 def pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """The name of a run from the names of two runs that cover it."""
     return mix(first * np.uint64(BASE) + second)

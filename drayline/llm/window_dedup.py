@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from drayline.llm.blocks import HOT, Block, flags_of, range_count, read_blocks, repeated_names, with_reply, write_blocks
-from drayline.llm.names import gram_names, heads, sampled, window_mask, word_values, words_of
+from drayline.llm.names import SPACES, gram_names, heads, sampled, spread, window_mask, word_values, words_of
 from drayline.session import RunFolder
 
 WINDOW = 50
@@ -50,7 +50,17 @@ class Words:
         n = len(self.values)
         valid = window_mask(self.first, self.last, window, n)
         for begin, names, starts, picked in sampled(lambda a, b: self.values[a:b], n, gram, window, valid):
-            yield starts + begin, picked + begin, names[picked]
+            yield starts + begin, picked + begin, spread(names[picked])
+
+    def joined(self) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """All words joined by one space, and where each begins and ends there."""
+        lengths = self.ends - self.starts
+        ends = np.cumsum(lengths + 1) - 1
+        out = np.full(int(ends[-1]) + 1 if len(ends) else 0, 32, dtype=np.uint8)
+        inside = np.ones(len(out), dtype=bool)
+        inside[ends] = False
+        out[inside] = self.block.data[~SPACES[self.block.data]]
+        return out.tobytes(), ends - lengths, ends
 
 
 def _minimisers(block: Block, gram: int, window: int) -> np.ndarray:
@@ -83,14 +93,12 @@ def _whole_names(values: np.ndarray, starts: np.ndarray, window: int) -> np.ndar
 
 def _collapsed(words: Words, ids: np.ndarray, begin: np.ndarray, end: np.ndarray, name: np.ndarray, buckets: int, window: int):
     """For each bucket of a block its distinct strings, their smallest ids, and which string each packed run is."""
-    data, owner = words.block.data, np.searchsorted(words.last, begin, side="right")
+    owner = np.searchsorted(words.last, begin, side="right")
     place = ((name >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    spaced = data.copy()
-    spaced[(data >= 9) & (data <= 13)] = 32
-    raw = spaced.tobytes()
+    raw, firsts, lasts = words.joined()
     order = np.lexsort((begin, place))
     of, cuts = place[order], np.append(heads(place[order]), len(order))
-    first, last = words.starts[begin].tolist(), words.ends[end + window - 2].tolist()
+    first, last = firsts[begin].tolist(), lasts[end + window - 2].tolist()
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         known: dict[bytes, int] = {}
         which = np.array([known.setdefault(raw[first[i] : last[i]], len(known)) for i in order[a:b].tolist()], dtype=np.int64)
@@ -99,28 +107,26 @@ def _collapsed(words: Words, ids: np.ndarray, begin: np.ndarray, end: np.ndarray
         yield int(of[a]), order[a:b], which, list(known), least
 
 
-def _least_holders(strings: list[bytes], ids: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each window of the strings the smallest id that has it; and the windows of each string."""
-    split = [s.split() for s in strings]
-    counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-    known: dict[bytes, int] = {}
-    words = np.fromiter((known.setdefault(w, len(known)) for words in split for w in words), dtype=np.int32, count=int(counts.sum()))
-    windows = counts - window + 1
-    first = np.cumsum(counts) - counts
+def _least_holders(blob: bytes, ids: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of the strings (one a line) the smallest id that has it; and the windows of each string."""
+    data = np.frombuffer(blob, dtype=np.uint8)
+    begins, ends = words_of(data, np.zeros(1, dtype=np.int64))
+    first = np.searchsorted(begins, np.concatenate([[0], np.flatnonzero(data == 10) + 1]))
+    windows = np.diff(np.append(first, len(begins))) - window + 1
     starts = np.repeat(first, windows) + np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     holder = np.repeat(ids, windows)
-    names = gram_names(np.random.default_rng(7).integers(1, 2**63, max(len(known), 1), dtype=np.uint64)[words], window)[starts]
+    names = gram_names(word_values(data, begins, ends), window)[starts]
     order = np.argsort(names, kind="stable")
     groups = heads(names[order])
-    same = np.ones(len(order), dtype=bool)
-    same[groups] = False
-    for j in range(window):  # neighbours of equal name must agree in every word
-        column = words[starts[order] + j]
-        if (same[1:] & (column[1:] != column[:-1])).any():
-            rows = words[starts[:, None] + np.arange(window)]
-            order = np.lexsort(rows.T[::-1])
-            sorted_rows = rows[order]
-            groups = np.flatnonzero(np.concatenate([[True], (sorted_rows[1:] != sorted_rows[:-1]).any(axis=1)]))
+    spans = list(zip(begins[starts].tolist(), ends[starts + window - 1].tolist(), strict=True))
+    again = np.ones(len(order), dtype=bool)
+    again[groups] = False
+    for k in np.flatnonzero(again).tolist():  # windows of one name must agree in every byte
+        (a, b), (c, d) = spans[order[k - 1]], spans[order[k]]
+        if blob[a:b] != blob[c:d]:
+            order = np.array(sorted(range(len(spans)), key=lambda i: blob[spans[i][0] : spans[i][1]]), dtype=np.int64)
+            texts = [blob[a:b] for a, b in (spans[i] for i in order.tolist())]
+            groups = np.array([i for i in range(len(texts)) if not i or texts[i] != texts[i - 1]], dtype=np.int64)
             break
     out = np.empty(len(order), dtype=np.int64)
     out[order] = np.repeat(np.minimum.reduceat(holder[order], groups), np.diff(np.append(groups, len(order))))
@@ -180,11 +186,12 @@ def repeated_windows(
                 )
 
     def count(table: pa.Table) -> pa.Table:
-        parts = [x.as_py().split(b"\n") for x in table.column("strings")]
+        strings = [x.as_py() for x in table.column("strings")]
         ids = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.int64) for x in table.column("ids")])
-        least, windows = _least_holders([s for part in parts for s in part], ids, window)
+        counts = [y.as_buffer().size // 8 for y in table.column("ids")]
+        least, windows = _least_holders(b"\n".join(strings), ids, window)
         flags = (least < np.repeat(ids, windows)).astype(np.uint8)
-        cuts = np.concatenate([[0], np.cumsum(windows)])[np.cumsum([0, *map(len, parts)])]
+        cuts = np.concatenate([[0], np.cumsum(windows)])[np.cumsum([0, *counts])]
         return pa.table(
             {
                 "part": table.column("part"),
