@@ -1,7 +1,8 @@
 """The chain of models over stored tables: feeds to staging, staging to marts, marts to checks.
 
-Each step reads what the step before has written, so a failed run resumes at
-the step that failed and recomputes nothing that is stored.
+Each step reads what the step before has written. A batch of events is stored
+first and removed when raw, staging and dead letters have it, so a failed run is
+completed by the next one.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from drayline.functions import epoch_ms_to_timestamp
 from drayline.operators import checks
 from drayline.plans import activity, marts, staging, trips
 from drayline.schemas import RUN_RESULTS
-from drayline.session import cut_lineage
-from drayline.sources.tables import PartitionedTable, SnapshotTable, insert_rows, with_key_bucket
+from drayline.session import remove_folder
+from drayline.sources import cdc
+from drayline.sources.tables import PartitionedTable, SnapshotTable, insert_rows, path_exists, with_key_bucket
 
 FEEDS = {"orders": False, "trucks": False, "truck_telemetry": True}  # feed -> append-only
 KEY_BUCKETS = 256
@@ -44,6 +46,7 @@ class Lakehouse:
         self.otd = self._partitioned("gold", "otd", ["trip_date"])
         self.district_heatmap = self._partitioned("gold", "district_heatmap", ["trip_date"])
         self.fleet_utilization = self._partitioned("gold", "fleet_utilization", ["metric_date"])
+        self.dead_letters = self._partitioned("bronze", "dead_letters", ["feed"])
         self.run_results = f"{self.base}/observability/run_results"
 
     # --- feeds to staging -----------------------------------------------------------
@@ -51,32 +54,58 @@ class Lakehouse:
     def ingest(self, feeds: dict[str, DataFrame]) -> None:
         """Land new events of the feeds and bring the staging tables up to date.
 
-        Staging works on exactly the events just landed (by stream position),
-        so events that share a millisecond are never lost between runs.
+        A feed's new events are first stored as a batch of their own. The batch
+        goes to the raw table, to staging and to the dead letters, and is
+        removed last; each of these steps can be repeated. A run that fails in
+        between leaves the batch, and the next one completes it before it takes
+        new events, so nothing that has landed stays unstaged.
         """
-        landed = {}
+        for name in FEEDS:
+            self._complete(name)
         for name, source in feeds.items():
-            append_only = FEEDS[name]
-            new = staging.raw_changes(source, self.raw[name].read(), append_only)
-            # Fix the batch before the stored offsets move.
-            new = cut_lineage(new, f"{name}-batch", f"{self.base}/_staging")
+            new = staging.raw_changes(source, self.raw[name].read(), FEEDS[name])
+            new.write.mode("overwrite").parquet(self._batch(name))
+            self._complete(name)
+
+    def _batch(self, feed: str) -> str:
+        return f"{self.base}/_staging/{feed}-batch"
+
+    def _complete(self, feed: str) -> None:
+        """Land and stage the stored batch of a feed, if there is one."""
+        path = self._batch(feed)
+        if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            return
+        schema = cdc.envelope_schema(FEEDS[feed])
+        batch = self.spark.read.schema(schema).parquet(path)
+        if not batch.isEmpty():
             day = F.to_date(epoch_ms_to_timestamp("ts_ms"))
-            self.raw[name].append(new.withColumn("event_date", day))
-            landed[name] = new
-        if "orders" in landed:
-            batch = with_key_bucket(staging.stg_orders(landed["orders"]), ["order_id"], self.key_buckets)
-            self.stg_orders.merge(batch, ["order_id"], versions=["ts_ms"])
-        if "trucks" in landed:
-            self.stg_trucks.merge(staging.stg_trucks(landed["trucks"]), ["truck_id"])
-        if "truck_telemetry" in landed:
-            pings = staging.stg_telemetry(landed["truck_telemetry"])
-            stored = self.stg_telemetry.read()
-            if stored is not None:
-                stored = stored.drop("event_date")
-                pings = staging.incremental.append_absent(
-                    stored, pings, ["truck_id", "event_ts"], range_col="event_ts"
-                )
-            self.stg_telemetry.append(pings.withColumn("event_date", F.to_date("event_ts")))
+            landing = staging.raw_changes(batch, self.raw[feed].read(), FEEDS[feed])
+            if not landing.isEmpty():
+                self.raw[feed].append(landing.withColumn("event_date", day))
+            letters = staging.malformed(batch, feed)
+            if not letters.isEmpty():
+                self.dead_letters.merge(letters, ["feed", "_partition_id", "_partition_offset"])
+            getattr(self, f"_stage_{feed}")(batch)
+        remove_folder(self.spark, path)
+
+    def _stage_orders(self, batch: DataFrame) -> None:
+        rows = with_key_bucket(staging.stg_orders(batch, keep_offset=True), ["order_id"], self.key_buckets)
+        self.stg_orders.merge(rows, ["order_id"], versions=["ts_ms", "_partition_offset"])
+
+    def _stage_trucks(self, batch: DataFrame) -> None:
+        rows = staging.stg_trucks(batch, keep_offset=True)
+        self.stg_trucks.merge(rows, ["truck_id"], versions=["ts_ms", "_partition_offset"])
+
+    def _stage_truck_telemetry(self, batch: DataFrame) -> None:
+        pings = staging.stg_telemetry(batch)
+        stored = self.stg_telemetry.read()
+        if stored is not None:
+            pings = staging.incremental.append_absent(
+                stored.drop("event_date"), pings, ["truck_id", "event_ts"], range_col="event_ts"
+            )
+        pings = pings.withColumn("event_date", F.to_date("event_ts"))
+        if stored is not None or not pings.isEmpty():
+            self.stg_telemetry.append(pings)
 
     # --- staging to marts -----------------------------------------------------------
 
@@ -88,9 +117,9 @@ class Lakehouse:
         lookback_days: int = marts.LOOKBACK_DAYS,
     ) -> None:
         """Bring trips, truck-days and marts up to date (or rebuild them)."""
-        orders = self.stg_orders.read().drop("_key_bucket")
+        orders = self.stg_orders.read().drop("_key_bucket", "_partition_offset")
         telemetry = self.stg_telemetry.read().drop("event_date")
-        trucks = self.stg_trucks.read()
+        trucks = self.stg_trucks.read().drop("_partition_offset")
         incremental = not full_refresh
 
         known = self.order_trips.read() if incremental else None
@@ -142,7 +171,7 @@ class Lakehouse:
         try:
             step()
         except Exception as error:
-            status, message = "error", str(error)[:2000]
+            status, message = "error", str(error)
             raise
         finally:
             ended = datetime.now()

@@ -37,12 +37,23 @@ def _fresh(raw: DataFrame, target: DataFrame | None) -> DataFrame:
     return incremental.after_watermark(raw, target, "ts_ms")
 
 
-def stg_orders(raw: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def malformed(raw: DataFrame, feed: str) -> DataFrame:
+    """Events of a feed whose row image cannot be read, with the offending text."""
+    payload = {"orders": _ORDER_FIELDS, "trucks": schemas.TRUCK_PAYLOAD, "truck_telemetry": _TELEMETRY_FIELDS}[feed]
+    append_only = feed == "truck_telemetry"
+    rows = cdc.keep_operations(raw) if append_only else raw
+    letters = cdc.dead_letters(cdc.decode(rows, payload, has_before=not append_only))
+    return letters.select(F.lit(feed).alias("feed"), "*")
+
+
+def stg_orders(raw: DataFrame, target: DataFrame | None = None, keep_offset: bool = False) -> DataFrame:
     """Latest state per order; deleted orders stay, flagged.
 
-    With ``target`` given, only events newer than it are read.
+    With ``target`` given, only events newer than it are read. Events whose
+    image cannot be read are left out (see :func:`malformed`). ``keep_offset``
+    keeps the stream offset, which orders events of one millisecond.
     """
-    decoded = cdc.decode(_fresh(raw, target), _ORDER_FIELDS)
+    decoded = cdc.well_formed(cdc.decode(_fresh(raw, target), _ORDER_FIELDS))
     typed = decoded.select(
         F.col("row.id").alias("order_id"),
         "row.truck_id",
@@ -56,12 +67,13 @@ def stg_orders(raw: DataFrame, target: DataFrame | None = None) -> DataFrame:
         "is_deleted",
         "_partition_offset",
     )
-    return latest_per_key(typed, ["order_id"], _VERSION).drop("_partition_offset")
+    latest = latest_per_key(typed, ["order_id"], _VERSION)
+    return latest if keep_offset else latest.drop("_partition_offset")
 
 
-def stg_trucks(raw: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    """Latest state per truck with a normalized status and a validity flag."""
-    decoded = cdc.decode(_fresh(raw, target), schemas.TRUCK_PAYLOAD)
+def stg_trucks(raw: DataFrame, target: DataFrame | None = None, keep_offset: bool = False) -> DataFrame:
+    """Latest state per truck with a normalized status and a validity flag; the rest as for orders."""
+    decoded = cdc.well_formed(cdc.decode(_fresh(raw, target), schemas.TRUCK_PAYLOAD))
     typed = decoded.select(
         F.col("row.id").alias("truck_id"),
         "row.model",
@@ -80,6 +92,7 @@ def stg_trucks(raw: DataFrame, target: DataFrame | None = None) -> DataFrame:
         F.coalesce(F.col("status").isin(*TRUCK_STATES), F.lit(False)).alias("is_valid_status"),
         "ts_ms",
         "is_deleted",
+        *(["_partition_offset"] if keep_offset else []),
     )
 
 
@@ -90,7 +103,7 @@ def stg_telemetry(raw: DataFrame, target: DataFrame | None = None) -> DataFrame:
     dropped. With ``target`` given, instants already stored are left out too.
     """
     inserts = cdc.keep_operations(_fresh(raw, target))
-    decoded = cdc.decode(inserts, _TELEMETRY_FIELDS, has_before=False)
+    decoded = cdc.well_formed(cdc.decode(inserts, _TELEMETRY_FIELDS, has_before=False))
     typed = decoded.select(
         "row.truck_id",
         "row.latitude",

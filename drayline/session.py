@@ -74,9 +74,9 @@ def scratch_path(spark: SparkSession, label: str, fallback: str | None = None) -
     return f"{shared_dir(spark, fallback)}/{label}-{uuid.uuid4().hex}"
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of this library's own through Spark's file system layer."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+def remove_folder(spark: SparkSession, path: str, is_uri: bool = False) -> None:
+    """Delete a folder of this library's own through Spark's file system layer; ``is_uri``: the path is percent-encoded."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(path) if is_uri else path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
@@ -87,9 +87,9 @@ class RunFolder:
     that outlives the run, so that the run's own folder can go.
     """
 
-    def __init__(self, spark: SparkSession, label: str):
+    def __init__(self, spark: SparkSession, label: str, fallback: str | None = None):
         self.spark = spark
-        self.path = scratch_path(spark, label)
+        self.path = scratch_path(spark, label, fallback)
         self._tables: list[str] = []
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:

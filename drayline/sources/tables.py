@@ -17,11 +17,12 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from drayline.operators import incremental
-from drayline.session import scratch_path
+from drayline.session import RunFolder, remove_folder
 
 KEY_BUCKET = "_key_bucket"
 INSERT_CHUNK = 5000
-MAX_TOUCHED_PARTITIONS = 20_000
+#: So many partition values are also handed to the scan as a list, to prune folders; the join decides in any case.
+PRUNED_PARTITIONS = 2_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -77,10 +78,13 @@ class SnapshotTable:
         keys: list[str],
         full_refresh: bool = False,
         on_schema_change: str = "sync_all_columns",
+        versions: list[str] | None = None,
     ) -> None:
         current = None if full_refresh else self.read()
         if current is None:
             self.overwrite(source)
+        elif versions:
+            self.overwrite(incremental.merge_latest(current, source, keys, versions))
         else:
             self.overwrite(incremental.merge_upsert(current, source, keys, on_schema_change))
 
@@ -115,18 +119,28 @@ class SnapshotTable:
 
 
 class PartitionedTable:
-    """Parquet partitioned by columns derived from the key; merges touch few partitions."""
+    """Parquet partitioned by columns derived from the key; merges touch few partitions.
+
+    A merge is prepared beside the table and then put in place partition by
+    partition. The prepared rows and the list of partitions that end up empty
+    stay until all of it is done, so whoever opens the table next finishes what
+    an interrupted run has begun.
+    """
 
     def __init__(self, spark: SparkSession, path: str, partition_by: list[str], staging_fallback: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_by = partition_by
         self.staging_fallback = staging_fallback
+        self._pending = f"{self.path}.pending"
 
     def exists(self) -> bool:
-        return path_exists(self.spark, f"{self.path}/_SUCCESS")
+        """Whether any partition is stored."""
+        fs, root = _fs(self.spark, self.path)
+        return fs.exists(root) and any(s.isDirectory() and "=" in s.getPath().getName() for s in fs.listStatus(root))
 
     def read(self) -> DataFrame | None:
+        self.finish()
         return self.spark.read.parquet(self.path) if self.exists() else None
 
     def _write(self, df: DataFrame, mode: str) -> None:
@@ -141,6 +155,7 @@ class PartitionedTable:
 
     def overwrite(self, df: DataFrame) -> None:
         """Replace the whole table."""
+        remove_folder(self.spark, self._pending)
         (
             df.hint("rebalance", *self.partition_by)
             .write.mode("overwrite")
@@ -150,28 +165,24 @@ class PartitionedTable:
         )
 
     def append(self, df: DataFrame) -> None:
+        self.finish()
         self._write(df, "append")
 
-    def _partitions_of(self, df: DataFrame) -> list | None:
-        """Distinct partition values, ``None`` when there are too many to list."""
-        listed = df.select(*self.partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-        return None if len(listed) > MAX_TOUCHED_PARTITIONS else [tuple(r) for r in listed]
-
-    def _only(self, df: DataFrame, partitions: list) -> DataFrame:
-        """Rows of the given partitions; the filter prunes directories."""
-        if not partitions:
-            return df.limit(0)
-        kinds = [df.schema[c].dataType for c in self.partition_by]
-        plain = all(p[0] is not None and not isinstance(p[0], datetime) for p in partitions)
-        if len(self.partition_by) == 1 and plain:
-            return df.where(F.col(self.partition_by[0]).isin(*[F.lit(p[0]).cast(kinds[0]) for p in partitions]))
-        schema = T.StructType([T.StructField(f"_{c}", k) for c, k in zip(self.partition_by, kinds)])
-        # At most MAX_TOUCHED_PARTITIONS rows.
-        listed = F.broadcast(self.spark.createDataFrame(partitions, schema))
+    def _same_partition(self, other: dict[str, str]) -> Column:
         match = F.lit(True)
-        for c in self.partition_by:
-            match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
-        return df.join(listed, match, "left_semi")
+        for c, name in other.items():
+            match = match & F.col(c).eqNullSafe(F.col(name))
+        return match
+
+    def _only(self, df: DataFrame, partitions: DataFrame) -> DataFrame:
+        """Rows of the given partitions. A short list also prunes the folders that are read."""
+        renamed = {c: f"_{c}" for c in self.partition_by}
+        listed = partitions.select(*[F.col(c).alias(n) for c, n in renamed.items()])
+        first = self.partition_by[0]
+        values = [r[0] for r in partitions.select(first).distinct().limit(PRUNED_PARTITIONS + 1).collect()]
+        if len(values) <= PRUNED_PARTITIONS and not any(v is None or isinstance(v, datetime) for v in values):
+            df = df.where(F.col(first).isin(*[F.lit(v).cast(df.schema[first].dataType) for v in values]))
+        return df.join(listed, self._same_partition(renamed), "left_semi")
 
     def merge(
         self,
@@ -182,45 +193,67 @@ class PartitionedTable:
         versions: list[str] | None = None,
         keys_may_move: bool = False,
     ) -> None:
-        """Upsert that rewrites only the partitions the batch touches.
+        """Upsert that rewrites only the partitions the batch touches, however many.
 
         ``keys_may_move`` also finds the partitions that hold older rows of
-        the batch's keys, by a scan of the key columns alone. ``versions``
-        keeps the newer of the stored and the incoming row. The merged rows go
-        to the shared folder first and then replace the partitions, so an
-        interrupted run can simply be repeated.
+        the batch's keys, by a scan of the key columns alone; those that are
+        empty afterwards go. ``versions`` keeps the newer of the stored and the
+        incoming row. The batch is computed once; see the class for what
+        happens after an interruption.
         """
         current = None if full_refresh else self.read()
         if current is None:
             self.overwrite(source)
             return
-        touched = self._partitions_of(source)
-        if touched is not None and keys_may_move:
-            held = self._partitions_of(current.select(*{*keys, *self.partition_by}).join(source.select(*keys), keys, "left_semi"))
-            touched = None if held is None else sorted({*touched, *held}, key=str)
-        stored = current if touched is None else self._only(current, touched)
-        if versions:
-            merged = incremental.merge_latest(stored, source, keys, versions)
-        else:
-            merged = incremental.merge_upsert(stored, source, keys, on_schema_change)
-        self.replace_partitions(merged, touched if keys_may_move else None)
-
-    def replace_partitions(self, df: DataFrame, affected: list | None = None) -> None:
-        """Swap in new content; ``affected`` partitions that end up empty are removed."""
-        staged = scratch_path(self.spark, "staged", self.staging_fallback or f"{self.path}.staging")
-        df.write.mode("errorifexists").parquet(staged)
-        fresh = self.spark.read.schema(df.schema).parquet(staged)
-        self._write(fresh, "overwrite")
-        if affected is None:
+        run = RunFolder(self.spark, "merge", self.staging_fallback or f"{self.path}.staging")
+        try:
+            source = run.keep(source, "batch")
+            touched = source.select(*self.partition_by)
+            if keys_may_move:
+                held = current.select(*dict.fromkeys([*keys, *self.partition_by])).join(source.select(*keys), keys, "left_semi")
+                touched = touched.unionByName(held.select(*self.partition_by))
+            touched = run.keep(touched.distinct(), "touched")
+            stored = self._only(current, touched)
+            if versions:
+                merged = incremental.merge_latest(stored, source, keys, versions)
+            else:
+                merged = incremental.merge_upsert(stored, source, keys, on_schema_change)
+            self.replace_partitions(merged, touched if keys_may_move else None)
+        finally:
+            run.close()
+
+    def replace_partitions(self, df: DataFrame, affected: DataFrame | None = None) -> None:
+        """Swap in new content; ``affected`` partitions (a DataFrame of them) that end up empty are removed."""
+        remove_folder(self.spark, self._pending)
+        df.write.parquet(f"{self._pending}/rows")
+        fresh = self.spark.read.schema(df.schema).parquet(f"{self._pending}/rows")
+        if affected is not None and self.exists():
+            # The folders are taken from the files, so no rule for their names is needed here.
+            renamed = {c: f"_{c}" for c in self.partition_by}
+            filled = fresh.select(*[F.col(c).alias(n) for c, n in renamed.items()]).distinct()
+            gone = affected.join(filled, self._same_partition(renamed), "left_anti")
+            listed = gone.select(*[F.col(c).alias(n) for c, n in renamed.items()])
+            stored = self.spark.read.parquet(self.path).select(*self.partition_by, F.col("_metadata.file_path").alias("_file"))
+            folders = stored.join(listed, self._same_partition(renamed), "left_semi").select(
+                F.regexp_replace("_file", "/[^/]*$", "").alias("folder")
+            )
+            folders.distinct().write.parquet(f"{self._pending}/emptied")
+        fs, ready = _fs(self.spark, f"{self._pending}/_READY")
+        fs.create(ready).close()
+        self.finish()
+
+    def finish(self) -> None:
+        """Complete a replacement that was prepared in full; drop one that was not. Repeating it does no harm."""
+        if not path_exists(self.spark, self._pending):
             return
-        filled = set(self._partitions_of(fresh) or affected)
-        for partition in affected:
-            if partition not in filled:
-                folder = "/".join(
-                    f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(self.partition_by, partition)
-                )
-                fs, p = _fs(self.spark, f"{self.path}/{folder}")
-                fs.delete(p, True)
+        if path_exists(self.spark, f"{self._pending}/_READY"):
+            rows = self.spark.read.parquet(f"{self._pending}/rows")
+            if rows.columns:
+                self._write(rows, "overwrite")
+            if path_exists(self.spark, f"{self._pending}/emptied"):
+                for row in self.spark.read.schema("folder string").parquet(f"{self._pending}/emptied").toLocalIterator():
+                    remove_folder(self.spark, row.folder, is_uri=True)
+        remove_folder(self.spark, self._pending)
 
 
 def with_key_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:

@@ -80,6 +80,47 @@ def test_keys_that_move(spark, tmp_path, rows):
     assert rows(table.read(), "id", "p") == [(1, "b"), (2, "b"), (3, "c")]
 
 
+@pytest.mark.parametrize("limit", [2000, 0])
+def test_moved_keys_leave_no_copy_behind(spark, tmp_path, rows, monkeypatch, limit):
+    monkeypatch.setattr(tables, "PRUNED_PARTITIONS", limit)
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], str(tmp_path / "staging"))
+    odd = ["a:b/c", "x=y", "50% off", "two words", "plain", "é"]
+    table.overwrite(spark.createDataFrame(list(enumerate(odd)), "id int, p string"))
+    table.merge(spark.createDataFrame([(i, "z") for i in range(5)], "id int, p string"), ["id"], keys_may_move=True)
+    assert rows(table.read(), "id", "p") == [(0, "z"), (1, "z"), (2, "z"), (3, "z"), (4, "z"), (5, "é")]
+    times = PartitionedTable(spark, str(tmp_path / "u"), ["at"], str(tmp_path / "staging"))
+    times.overwrite(spark.createDataFrame([(1, datetime(2024, 1, 1, 10, 30)), (2, None)], "id int, at timestamp"))
+    times.merge(spark.createDataFrame([(1, datetime(2024, 1, 2, 1)), (2, datetime(2024, 1, 2, 1))], "id int, at timestamp"), ["id"], keys_may_move=True)
+    assert rows(times.read(), "id") == [(1,), (2,)]
+
+
+def test_interrupted_merge_is_finished_on_the_next_read(spark, tmp_path, rows, monkeypatch):
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], str(tmp_path / "staging"))
+    table.overwrite(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, p string"))
+    batch = spark.createDataFrame([(1, "b"), (3, "d")], "id int, p string")
+    original, calls = PartitionedTable._write, []
+
+    def half(self, df, mode):
+        calls.append(mode)
+        original(self, df.where("p = 'b'"), mode)  # one partition is replaced, then the run dies
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(PartitionedTable, "_write", half)
+    with pytest.raises(RuntimeError):
+        table.merge(batch, ["id"], keys_may_move=True)
+    monkeypatch.setattr(PartitionedTable, "_write", original)
+    again = PartitionedTable(spark, str(tmp_path / "t"), ["p"], str(tmp_path / "staging"))
+    assert rows(again.read(), "id", "p") == [(1, "b"), (2, "b"), (3, "d")] and calls == ["overwrite"]
+    assert not (tmp_path / "t.pending").exists() and not list((tmp_path / "staging").glob("merge-*"))
+
+
+def test_unprepared_merge_is_dropped(spark, tmp_path, rows):
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"])
+    table.overwrite(spark.createDataFrame([(1, "a")], "id int, p string"))
+    spark.createDataFrame([(9, "a")], "id int, p string").write.parquet(str(tmp_path / "t.pending" / "rows"))
+    assert rows(table.read(), "id", "p") == [(1, "a")] and not (tmp_path / "t.pending").exists()
+
+
 def test_null_partitions(spark, tmp_path, rows):
     table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], str(tmp_path / "staging"))
     table.overwrite(spark.createDataFrame([(1, "a"), (2, None)], "id int, p string"))
