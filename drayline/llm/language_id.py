@@ -22,11 +22,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 ORDER = 5
-#: Labelled texts counted for each language, and as many more for the calibration.
+#: Labelled texts counted for each language, and as many more for the calibration, on average.
 SAMPLE_DOCS = 1500
+#: Texts and different words that a task handles at a time.
+TEXTS_AT_A_TIME, WORDS_AT_A_TIME = 128, 20_000
 START, END = 2, 3
 #: Symbols that a model has never seen share the probability of this many.
 UNSEEN = 1000
@@ -145,28 +147,34 @@ class Scorer:
     def __init__(self, models: list[Model], order: int = ORDER):
         self.models, self.order = models, order
         self.known: dict[str, int] = {}
-        self.table = np.empty((0, len(models) + 1))
+        self.table = np.empty((1024, len(models) + 1))
 
     def _learn(self, words: list[str]) -> None:
         grams, lengths = grams_of(words, self.order)
         _, first, inverse = np.unique(gram_hashes(grams), return_index=True, return_inverse=True)
         starts = np.cumsum(lengths) - lengths
-        rows = [-np.add.reduceat(m.log_probabilities(grams[first])[inverse], starts) for m in self.models]
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
-        self.table = np.concatenate([self.table, np.column_stack([*rows, lengths.astype(float)])])
-
-    def totals(self, texts: list[list[str]]) -> np.ndarray:
-        """For each text its nats under each model and its number of symbols."""
-        if len(self.known) > CACHED_WORDS:
-            self.known, self.table = {}, self.table[:0]
-        new = set().union(*texts).difference(self.known)
-        if new:
-            self._learn(list(new))
-        look = self.known.__getitem__
+        begin, end = len(self.known), len(self.known) + len(words)
+        if end > len(self.table):
+            self.table = np.concatenate([self.table[:begin], np.empty((2 * end - begin, len(self.models) + 1))])
+        for k, model in enumerate(self.models):
+            self.table[begin:end, k] = -np.add.reduceat(model.log_probabilities(grams[first])[inverse], starts)
+        self.table[begin:end, -1] = lengths
+        self.known.update(zip(words, range(begin, end), strict=True))
+
+    def totals(self, texts: list[str | None]) -> np.ndarray:
+        """For each text its nats under each model and its number of symbols, zero without a letter."""
         out = np.zeros((len(texts), len(self.models) + 1))
-        for i, words in enumerate(texts):
-            if words:
-                out[i] = self.table[np.fromiter(map(look, words), dtype=np.int64, count=len(words))].sum(axis=0)
+        for at in range(0, len(texts), TEXTS_AT_A_TIME):
+            split = [words_of(t) if t else [] for t in texts[at : at + TEXTS_AT_A_TIME]]
+            if len(self.known) > CACHED_WORDS:
+                self.known = {}
+            new = list(set().union(*split).difference(self.known))
+            for k in range(0, len(new), WORDS_AT_A_TIME):
+                self._learn(new[k : k + WORDS_AT_A_TIME])
+            look = self.known.__getitem__
+            for i, words in enumerate(split):
+                if has_letter(words):
+                    out[at + i] = self.table[np.fromiter(map(look, words), dtype=np.int64, count=len(words))].sum(axis=0)
         return out
 
 
@@ -182,25 +190,29 @@ def _surplus(entropy: np.ndarray, centre: float, symbols: np.ndarray) -> np.ndar
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, order: int = ORDER) -> list[Model]:
     """Models of all languages that label a text with a letter.
 
-    At most ``2 * sample_docs`` texts of each language are used, whole, in the
-    order of a hash of the text: the first half is counted, the second
-    calibrates.  What reaches the driver is bounded by that sample.
+    About ``2 * sample_docs`` texts of each language are used, whole, or all
+    where there are fewer, drawn by a seeded random number: one half is counted,
+    the other calibrates.  What reaches the driver is bounded by that sample.
     """
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").withColumn("h", F.xxhash64("text"))
-    ranked = rows.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
-    sample = ranked.where(F.col("k") <= 2 * sample_docs).select("lang", "text", (F.col("k") % 2 == 1).alias("count"))
-    sample = sample.repartition(max(1, labelled.sparkSession.sparkContext.defaultParallelism), F.xxhash64("text")).persist()
+    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
+    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
+    if not sizes:
+        return []
+    shares = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, 2.0 * sample_docs / n)])
+    drawn = rows.where(F.rand(seed=17) < shares[F.col("lang")])
+    sample = drawn.select("lang", "text", (F.rand(seed=18) < 0.5).alias("count")).persist()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, texts in batch[batch["count"]].groupby("lang")["text"]:
                 seen: Counter[bytes] = Counter()
-                for text in texts:
-                    words = words_of(text)
+                for at in range(0, len(texts), TEXTS_AT_A_TIME):
+                    words = [w for t in texts.iloc[at : at + TEXTS_AT_A_TIME] for w in words_of(t)]
                     if words:
-                        found, times = np.unique(grams_of(words, order)[0], axis=0, return_counts=True)
-                        raw = np.ascontiguousarray(found, dtype="<u4").view(f"V{4 * order}").ravel()
+                        grams = grams_of(words, order)[0]
+                        _, first, times = np.unique(gram_hashes(grams), return_index=True, return_counts=True)
+                        raw = np.ascontiguousarray(grams[first], dtype="<u4").view(f"V{4 * order}").ravel()
                         for gram, n in zip(raw.tolist(), times.tolist(), strict=True):
                             seen[bytes(gram)] += n
                 yield pd.DataFrame({"lang": lang, "gram": list(seen), "n": list(seen.values())})
@@ -219,8 +231,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
             scorer = Scorer(shared.value, order)
             for batch in batches:
                 batch = batch[~batch["count"] & batch["lang"].isin(list(place))]
-                words = [words_of(t) for t in batch["text"]]
-                totals = scorer.totals(words)
+                totals = scorer.totals(batch["text"].tolist())
                 own = entropies(totals)[np.arange(len(batch)), [place[x] for x in batch["lang"]]] if len(batch) else np.empty(0)
                 seen = totals[:, -1] > 0
                 yield pd.DataFrame({"lang": batch["lang"].to_numpy()[seen], "entropy": own[seen], "symbols": totals[seen, -1]})
@@ -265,20 +276,18 @@ def predict(docs: DataFrame, models: list[Model], text_col: str = "text", order:
         scorer = _scorers[id(models)]
         langs = np.array([*[m.lang for m in models], UNDETERMINED], dtype=object)
         for batch in batches:
-            words = [words_of(t) if t else [] for t in batch.column(at).to_pylist()]
-            words = [w if has_letter(w) else [] for w in words]
-            totals = scorer.totals(words)
-            seen = np.array([bool(w) for w in words], dtype=bool) & bool(models)
+            totals = scorer.totals(batch.column(at).to_pylist())
+            seen = totals[:, -1] > 0
             entropy = entropies(totals)
             if models:
                 best = entropy.argmin(axis=1)
-                least = entropy[np.arange(len(words)), best]
+                least = entropy[np.arange(len(totals)), best]
                 sure = np.minimum(totals[:, -1:], SURE_AFTER)
                 score = 1.0 / np.exp(-(entropy - least[:, None]) * sure).sum(axis=1)
                 centre, bound = (np.array([getattr(m, n) for m in models])[best] for n in ("centre", "bound"))
                 far = (least - centre) * np.sqrt(np.minimum(totals[:, -1], SURE_AFTER)) > bound
             else:
-                best, least, score, far = (np.zeros(len(words), dtype=k) for k in (int, float, float, bool))
+                best, least, score, far = (np.zeros(len(totals), dtype=k) for k in (int, float, float, bool))
             columns = [
                 pa.array(langs[np.where(seen, best, len(models))], pa.string()),
                 pa.array(np.where(seen, score, 0.0)),
