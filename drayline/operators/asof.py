@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from drayline.operators.chunking import CHUNK, ROWS_PER_CHUNK, order_value, plan_chunks
+from drayline.operators.chunking import CHUNK, ROWS_PER_CHUNK, plan_chunks
 from drayline.session import cut_lineage
 
 _KIND = "_kind"
@@ -158,10 +158,9 @@ def asof_lookup(
         answers = _scan(stacked, on, probes, right_unique).select(*row_id, _KIND, _HIT)
     else:
         parts = []
-        if plan.hot_keys is not None:
+        if on:
             cold = plan.cold(rows).unionByName(plan.cold(points), allowMissingColumns=True)
             parts.append(_scan(cold, on, probes, right_unique).select(*row_id, _KIND, _HIT))
-        order = order_value(F.col(_TS), rows.select(_TS).dtypes[0][1])
         hot_rows = plan.hot(rows)
         if not right_unique:
             both = hot_rows.groupBy(*on, _TS).agg(F.min(_ROW).alias("_a"), F.max(_ROW).alias("_b"))
@@ -169,11 +168,11 @@ def asof_lookup(
                 *on, _TS, F.explode(F.array_distinct(F.array("_a", "_b"))).alias(_ROW)
             )
         # Read twice below: for the edges of the chunks and for the scan.
-        hot_rows = cut_lineage(plan.assign(hot_rows, order), "asof")
+        hot_rows = cut_lineage(plan.assign(hot_rows, _TS), "asof")
         hot_probes = plan.hot(points)
         # Equal probes have equal answers: look each instant up once, join the
         # answers back. AQE splits that join where one instant is very common.
-        instants_once = plan.assign(hot_probes.select(*on, _KIND, _TS).distinct(), order)
+        instants_once = plan.assign(hot_probes.select(*on, _KIND, _TS).distinct(), _TS)
         stacked = hot_rows.unionByName(
             _with_neighbour_rows(hot_rows, instants_once, on), allowMissingColumns=True
         ).unionByName(instants_once, allowMissingColumns=True)

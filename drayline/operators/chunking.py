@@ -4,86 +4,72 @@ A window over ``partitionBy(key)`` sends every row of a key to one task. When
 one key holds a large share of all rows, that task becomes the whole job. The
 functions here measure the group sizes first (one count with map-side
 combining), and only where some key exceeds the limit cut those keys into
-consecutive chunks at sampled quantiles of the order column. Chunks are chosen
-by value, so the split is the same in every stage and every retry.
+consecutive chunks. Every such key gets cuts of its own, as many as its size
+asks for: a sample with a fixed number of rows for each chunk is sorted by key
+and cut at equal steps. Cuts are values of the order column of whatever type,
+stored once, so the split is the same in every stage and every retry.
+
+The number of hot keys and of cuts is at most the number of rows over half the
+limit, which is what makes their tables small enough to broadcast.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from drayline.session import cut_lineage
 
 ROWS_PER_CHUNK = 5_000_000
-MAX_HOT_KEYS = 50_000
-MAX_CHUNKS = 20_000
-SAMPLE_PER_CHUNK = 1_000
+#: Sampled rows for each chunk, and how many of them lie between two cuts.
+SAMPLE_PER_CHUNK = 200
+SAMPLES_BETWEEN_CUTS = 160
 
 CHUNK = "_chunk"
 _ORDER = "_order_value"
-_HOT = "_is_hot"
 
 
-def order_value(column: Column, data_type: str) -> Column:
-    """A double that sorts like the column (microseconds for times)."""
-    if data_type.startswith("timestamp"):
-        return F.unix_micros(column.cast("timestamp")).cast("double")
-    if data_type == "date":
-        return F.unix_date(column).cast("double")
-    return column.cast("double")
+def bisect(values: Column, wanted: Column, steps: int) -> Column:
+    """How many values of a sorted array are at most ``wanted``; the array holds fewer than ``2**steps``."""
+    widths = F.array(*[F.lit(1 << k) for k in reversed(range(steps))])
+    return F.aggregate(
+        widths, F.lit(0), lambda at, w: F.when(F.get(values, at + w - 1) <= wanted, at + w).otherwise(at)
+    )
 
 
 @dataclass(frozen=True)
 class ChunkPlan:
-    """Which keys are hot and where they are cut."""
+    """Which keys are hot and where each of them is cut."""
 
     keys: tuple[str, ...]
-    hot_keys: DataFrame | None  # None: every key is treated as hot
-    cuts: tuple[float, ...]
+    cuts: DataFrame  # the keys as _hot_<key>, and their _cuts
+    steps: int
 
-    def _listed(self) -> tuple[DataFrame, Column]:
-        """The hot keys under other names, and the null-safe match with a table's keys."""
-        renamed = self.hot_keys.select(*[F.col(k).alias(f"_hot_{k}") for k in self.keys])
-        match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in self.keys])
-        return renamed, match
+    def _match(self) -> Column:
+        """Null-safe match of a table's keys with the hot keys; without keys there is one group, always hot."""
+        return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in self.keys])
 
     def hot(self, df: DataFrame) -> DataFrame:
         """Rows of hot keys only."""
-        if self.hot_keys is None:
-            return df
-        listed, match = self._listed()
-        return df.join(F.broadcast(listed), match, "left_semi")
+        return df.join(F.broadcast(self.cuts), self._match(), "left_semi") if self.keys else df
 
     def cold(self, df: DataFrame) -> DataFrame:
         """Rows of all other keys."""
-        if self.hot_keys is None:
-            return df.limit(0)
-        listed, match = self._listed()
-        return df.join(F.broadcast(listed), match, "left_anti")
-
-    def flag(self, df: DataFrame, name: str) -> DataFrame:
-        """Mark the rows of hot keys."""
-        listed, match = self._listed()
-        marked = df.join(F.broadcast(listed.withColumn(name, F.lit(True))), match, "left")
-        return marked.drop(*[f"_hot_{k}" for k in self.keys])
-
-    def assign(self, df: DataFrame, order: Column) -> DataFrame:
-        """Add the chunk number of each row."""
-        splits = [-math.inf, *self.cuts, math.inf]
-        bucketizer = Bucketizer(
-            splits=splits, inputCol=_ORDER, outputCol=CHUNK, handleInvalid="keep"
-        )
-        valued = df.withColumn(_ORDER, order)
-        return (
-            bucketizer.transform(valued)
-            .withColumn(CHUNK, F.col(CHUNK).cast("int"))
-            .drop(_ORDER)
-        )
+        return df.join(F.broadcast(self.cuts), self._match(), "left_anti") if self.keys else df.limit(0)
+
+    def assign(self, df: DataFrame, order_col: str) -> DataFrame:
+        """Add the chunk number of each row; a key that is not hot is one chunk."""
+        if self.keys:
+            marked = df.join(F.broadcast(self.cuts), self._match(), "left")
+            chunk = F.coalesce(bisect(F.col("_cuts"), F.col(order_col), self.steps), F.lit(0))
+            return marked.withColumn(CHUNK, chunk).drop("_cuts", *[f"_hot_{k}" for k in self.keys])
+        cuts = self.cuts.first()["_cuts"]  # one group: at most rows over half the limit
+        kind = df.schema[order_col].dataType
+        held = F.array(*[F.lit(c) for c in cuts]).cast(f"array<{kind.simpleString()}>")
+        return df.withColumn(CHUNK, bisect(held, F.col(order_col), self.steps))
 
 
 def plan_chunks(
@@ -99,34 +85,32 @@ def plan_chunks(
     """
     size = F.count(F.lit(1)) if weighted is None else F.sum("_w")
     counts = (rows if weighted is None else weighted).groupBy(*keys).agg(size.alias("_n"))
-    large = counts.where(F.col("_n") > rows_per_chunk).limit(MAX_HOT_KEYS + 1).collect()
-    if not large:
+    large = counts.where(F.col("_n") > rows_per_chunk)
+    if large.isEmpty():
         return None
-    spark = rows.sparkSession
-    hot_keys = None
-    if keys and len(large) <= MAX_HOT_KEYS:
-        schema = rows.select(*keys).schema
-        hot_keys = spark.createDataFrame([tuple(r[k] for k in keys) for r in large], schema)
-    largest = max(r["_n"] for r in large)
-    chunks = max(2, min(MAX_CHUNKS, math.ceil(largest / rows_per_chunk)))
-    value = order_value(F.col(order_col), rows.select(order_col).dtypes[0][1])
-    candidates = ChunkPlan(tuple(keys), hot_keys, ()).hot(rows).select(value.alias(_ORDER))
+    large = cut_lineage(large, "hot-keys")
+    named = large.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    chosen = rows.select(*keys, F.col(order_col).alias(_ORDER)).where(F.col(_ORDER).isNotNull())
+    if keys:
+        chosen = chosen.join(F.broadcast(named), ChunkPlan(tuple(keys), named, 0)._match(), "left_semi")
     # A sample decides where to cut. Any cuts give the right result; good ones give even chunks.
-    counted = sum(r["_n"] for r in large)
-    fraction = SAMPLE_PER_CHUNK * chunks / counted
-    if fraction < 1:
-        candidates = candidates.sample(fraction, seed=11)
-    probabilities = [i / chunks for i in range(1, chunks)]
-    cuts = candidates.approxQuantile(_ORDER, probabilities, 1.0 / (4 * chunks))
-    return ChunkPlan(tuple(keys), hot_keys, tuple(sorted(set(cuts))))
+    if rows_per_chunk > SAMPLE_PER_CHUNK:
+        chosen = chosen.sample(SAMPLE_PER_CHUNK / rows_per_chunk, seed=11)
+        between = SAMPLES_BETWEEN_CUTS
+    else:
+        between = max(1, rows_per_chunk * 4 // 5)
+    values = chosen.groupBy(*keys).agg(F.sort_array(F.collect_list(_ORDER)).alias("_sample"))
+    cut = F.filter("_sample", lambda _, i: (i > 0) & (i % between == 0))
+    cuts = values.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.array_distinct(cut).alias("_cuts"))
+    if not keys and values.isEmpty():
+        return None
+    cuts = cut_lineage(cuts, "cuts")
+    most = cuts.agg(F.max(F.size("_cuts"))).first()[0] or 0
+    return ChunkPlan(tuple(keys), cuts, max(1, most.bit_length()))
 
 
 def _with_chunks(df: DataFrame, plan: ChunkPlan, order_col: str) -> DataFrame:
-    """Number the chunks of hot keys; every other key is one chunk."""
-    chunked = plan.assign(df, order_value(F.col(order_col), df.select(order_col).dtypes[0][1]))
-    if plan.hot_keys is None:
-        return chunked
-    return plan.flag(chunked, _HOT).withColumn(CHUNK, F.when(F.col(_HOT), F.col(CHUNK)).otherwise(F.lit(0))).drop(_HOT)
+    return plan.assign(df, order_col)
 
 
 def _same(columns: list[str]) -> Column:
@@ -154,7 +138,7 @@ def number_rows(
         return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
     chunked = _with_chunks(df, plan, order_col)
     place = F.row_number().over(W.partitionBy(*keys, CHUNK).orderBy(*order))
-    # At most MAX_CHUNKS rows per key.
+    # One row per key and chunk.
     chunk_order = F.col(CHUNK).desc() if descending else F.col(CHUNK).asc()
     before = W.partitionBy(*keys).orderBy(chunk_order).rowsBetween(W.unboundedPreceding, -1)
     sizes = chunked.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
@@ -177,9 +161,10 @@ def expanding_stats(
     """Running mean, sample deviation and count of a value per key.
 
     Adds ``training_avg``, ``training_stddev`` and ``training_set_size``. For
-    keys that are cut into chunks the running sums of a chunk are added to the
-    totals of the chunks before it; values are taken relative to the key's
-    minimum, so that a constant series has a deviation of exactly zero.
+    keys that are cut into chunks the mean and the squared deviations of a
+    chunk so far are joined with those of all chunks before it by the pairwise
+    formula, which leaves a constant series a deviation of exactly zero and
+    agrees with the plain window otherwise.
     """
     so_far = (W.unboundedPreceding, W.currentRow)
     plan = plan_chunks(df, keys, order_by[0], rows_per_chunk)
@@ -191,25 +176,43 @@ def expanding_stats(
             F.stddev_samp(value).over(window).alias("training_stddev"),
             F.count(value).over(window).alias("training_set_size"),
         )
-    lowest = df.groupBy(*keys).agg(F.min(value).alias("_shift"))
-    shifted = df.alias("l").join(lowest.alias("r"), _same(keys), "left").select("l.*", "_shift")
-    shifted = shifted.withColumn("_x", F.col(value) - F.col("_shift"))
-    chunked = _with_chunks(shifted, plan, order_by[0])
-    sums = {"_n": F.count("_x"), "_s": F.sum("_x"), "_q": F.sum(F.col("_x") * F.col("_x"))}
+    chunked = _with_chunks(df, plan, order_by[0])
     inside = W.partitionBy(*keys, CHUNK).orderBy(*order_by).rowsBetween(*so_far)
-    before = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
-    totals = chunked.groupBy(*keys, CHUNK).agg(*[total.alias(name) for name, total in sums.items()])
-    earlier = totals.select(
-        *keys, CHUNK, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"{name}0") for name in sums]
-    )
-    running = chunked.select("*", *[F.coalesce(total.over(inside), F.lit(0)).alias(name) for name, total in sums.items()])
+    # Means relative to the chunk's first value: exact where all values are equal.
+    chunked = chunked.withColumn("_first", F.first(F.col(value).cast("double"), ignorenulls=True).over(inside))
+    chunked = chunked.withColumn("_d", F.col(value).cast("double") - F.col("_first"))
+    measures = {"_n": F.count("_d"), "_m": F.avg("_d"), "_v": F.var_pop("_d")}
+    sizes = chunked.groupBy(*keys, CHUNK).agg(*[m.alias(name) for name, m in measures.items()], F.min("_first").alias("_f"))
+    sizes = sizes.withColumn("_m", F.col("_f") + F.col("_m")).drop("_f")
+
+    def join_up(parts: pd.DataFrame) -> pd.DataFrame:
+        """What the chunks before each chunk of one key amount to; one row a chunk."""
+        parts = parts.sort_values(CHUNK)
+        n, mean, squares, before = 0, 0.0, 0.0, []
+        for count, m, v in zip(parts["_n"], parts["_m"], parts["_v"], strict=True):
+            before.append((n, mean, squares))
+            if count:
+                step = m - mean if n else 0.0
+                mean = mean + step * count / (n + count) if n else m
+                squares += v * count + step * step * n * count / (n + count)
+                n += count
+        parts["_n0"], parts["_m0"], parts["_q0"] = zip(*before, strict=True)
+        return parts.drop(columns=["_n", "_m", "_v"])
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in sizes.schema.fields if f.name not in measures]
+    shape = ", ".join([*fields, "_n0 bigint", "_m0 double", "_q0 double"])
+    earlier = sizes.groupBy(*keys).applyInPandas(join_up, shape)
+    running = chunked.select("*", *[m.over(inside).alias(name) for name, m in measures.items()])
+    running = running.withColumn("_m", F.col("_first") + F.col("_m"))
     joined = running.alias("l").join(earlier.alias("r"), _same([*keys, CHUNK]), "left")
-    n, s, q = (F.col(name) + F.col(f"{name}0") for name in sums)
-    spread = F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1))
+    n = F.col("_n") + F.col("_n0")
+    step = F.when((F.col("_n") > 0) & (F.col("_n0") > 0), F.col("_m") - F.col("_m0")).otherwise(0.0)
+    mean = F.when(F.col("_n0") == 0, F.col("_m")).otherwise(F.col("_m0") + step * F.col("_n") / n)
+    squares = F.coalesce(F.col("_v") * F.col("_n"), F.lit(0.0)) + F.col("_q0") + step * step * F.col("_n0") * F.col("_n") / n
     return joined.select(
         *[F.col(f"l.{c}") for c in df.columns],
-        F.when(n > 0, F.col("_shift") + s / n).alias("training_avg"),
-        F.when(n > 1, spread).alias("training_stddev"),
+        F.when(n > 0, mean).alias("training_avg"),
+        F.when(n > 1, F.sqrt(squares / (n - 1))).alias("training_stddev"),
         n.alias("training_set_size"),
     )
 
@@ -246,7 +249,7 @@ def ordered_values(
 
     chunked = _with_chunks(distinct, plan, first)
     inside = W.partitionBy(*group_by, CHUNK).orderBy(*ascending)
-    # One row per group and chunk: at most MAX_CHUNKS rows in any partition below.
+    # One row per group and chunk.
     edges = chunked.groupBy(*group_by, CHUNK).agg(
         F.min(first).alias("_low"), F.max(first).alias("_high")
     )

@@ -74,7 +74,7 @@ def test_one_instant_holds_most_rows(spark):
 def test_the_hot_key_is_split_over_partitions(spark):
     rows = spark.range(5000).select(F.lit("hot").alias("k"), F.timestamp_seconds("id").alias("ts"))
     plan = chunking.plan_chunks(rows, ["k"], "ts", rows_per_chunk=500)
-    sizes = plan.assign(rows, chunking.order_value(F.col("ts"), "timestamp")).groupBy(chunking.CHUNK).count().collect()
+    sizes = plan.assign(rows, "ts").groupBy(chunking.CHUNK).count().collect()
     assert len(sizes) >= 8 and max(r["count"] for r in sizes) < 1500
     assert chunking.plan_chunks(rows, ["k"], "ts", rows_per_chunk=5000) is None
 
@@ -140,3 +140,42 @@ def test_expanding_stats_of_split_keys(spark):
             assert (a is None and b is None) or a == pytest.approx(b, abs=1e-9)
         assert row["training_set_size"] == split[key]["training_set_size"]
     assert split[("flat", 20)]["training_stddev"] == 0.0
+
+
+def test_each_hot_key_has_cuts_of_its_own(spark):
+    """Eight keys in ranges of their own, a ninth that is small, and a null key."""
+    rows = spark.range(8000).select((F.col("id") / 1000).cast("int").alias("k"), "id").unionByName(
+        spark.range(100).select(F.lit(99).alias("k"), "id")
+    ).unionByName(spark.range(3000).select(F.lit(None).cast("int").alias("k"), "id"))
+    plan = chunking.plan_chunks(rows, ["k"], "id", rows_per_chunk=500)
+    sizes = {(r.k, r[chunking.CHUNK]): r["count"] for r in plan.assign(rows, "id").groupBy("k", chunking.CHUNK).count().collect()}
+    assert max(sizes.values()) <= 1000
+    assert all(sum(k == key for k, _ in sizes) >= 2 for key in [*range(8), None])
+    assert sum(k == 99 for k, _ in sizes) == 1
+    assert plan.hot(rows).count() == 11000 and plan.cold(rows).count() == 100
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "decimal(10,2)", "double"])
+def test_any_ordered_type_can_be_cut(spark, kind):
+    value = {
+        "string": F.lpad(F.col("id").cast("string"), 6, "0"),
+        "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")),
+    }.get(kind, F.col("id").cast(kind))
+    rows = spark.range(900).select(F.lit("a").alias("k"), "id", value.alias("v"))
+    for keys in (["k"], []):
+        got = chunking.number_rows(rows, keys, "v", ["id"], "n", descending=False, rows_per_chunk=50)
+        assert all(r.n == r.id + 1 for r in got.collect())
+
+
+def test_running_stats_do_not_depend_on_the_split(spark):
+    """A constant prefix, nulls, then values far lower: split and unsplit agree, and zero stays zero."""
+    value = F.when(F.col("id") < 500, 3.7).when(F.col("id") % 50 == 0, F.lit(None)).otherwise(F.col("id") % 7 - 1e6)
+    rows = spark.range(1200).select(F.lit("a").alias("k"), "id", value.cast("double").alias("v"))
+    plain = {r.id: r for r in chunking.expanding_stats(rows, ["k"], ["id"], "v").collect()}
+    split = {r.id: r for r in chunking.expanding_stats(rows, ["k"], ["id"], "v", rows_per_chunk=60).collect()}
+    for i, r in plain.items():
+        assert split[i].training_set_size == r.training_set_size
+        for c in ("training_avg", "training_stddev"):
+            assert (split[i][c] is None) == (r[c] is None)
+            assert r[c] is None or abs(split[i][c] - r[c]) <= 1e-9 * max(1.0, abs(r[c]))
+    assert all(split[i].training_stddev == 0 for i in range(1, 500))
