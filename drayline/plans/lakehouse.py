@@ -47,6 +47,7 @@ class Lakehouse:
         self.district_heatmap = self._partitioned("gold", "district_heatmap", ["trip_date"])
         self.fleet_utilization = self._partitioned("gold", "fleet_utilization", ["metric_date"])
         self.dead_letters = self._partitioned("bronze", "dead_letters", ["feed"])
+        self.late = f"{self.base}/_staging/late_trucks"
         self.run_results = f"{self.base}/observability/run_results"
 
     # --- feeds to staging -----------------------------------------------------------
@@ -103,6 +104,11 @@ class Lakehouse:
             pings = staging.incremental.append_absent(
                 stored.drop("event_date"), pings, ["truck_id", "event_ts"], range_col="event_ts"
             )
+        known = self.order_trips.read()
+        if known is not None and stored is not None:
+            late = trips.late_trucks(pings, known, stored)
+            if not late.isEmpty():  # before the positions are stored: repeating this adds a truck twice at most
+                late.write.mode("append").parquet(self.late)
         pings = pings.withColumn("event_date", F.to_date("event_ts"))
         if stored is not None or not pings.isEmpty():
             self.stg_telemetry.append(pings)
@@ -129,6 +135,13 @@ class Lakehouse:
                 trips.order_trips(orders, telemetry, known), ["order_id"], full_refresh, keys_may_move=True
             ),
         )
+        if path_exists(self.spark, self.late):  # positions that came after their trips were stored
+            late = self.spark.read.schema("truck_id string").parquet(self.late)
+            stored = self.order_trips.read()
+            if stored is not None:
+                revised = trips.revised_trips(orders, telemetry, stored, late)
+                self._run("order_trips", full_refresh, lambda: self.order_trips.merge(revised, ["order_id"], keys_may_move=True))
+            remove_folder(self.spark, self.late)
         all_trips = self.order_trips.read()
 
         known = self.truck_activity.read() if incremental else None

@@ -96,13 +96,9 @@ def stg_trucks(raw: DataFrame, target: DataFrame | None = None, keep_offset: boo
     )
 
 
-def stg_telemetry(raw: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    """Valid positions, one per truck and instant.
-
-    The newest event of an instant decides; if it is invalid the instant is
-    dropped. With ``target`` given, instants already stored are left out too.
-    """
-    inserts = cdc.keep_operations(_fresh(raw, target))
+def latest_positions(raw: DataFrame) -> DataFrame:
+    """The newest event of each truck and instant, valid or not, with its stream offset."""
+    inserts = cdc.keep_operations(raw)
     decoded = cdc.well_formed(cdc.decode(inserts, _TELEMETRY_FIELDS, has_before=False))
     typed = decoded.select(
         "row.truck_id",
@@ -114,10 +110,23 @@ def stg_telemetry(raw: DataFrame, target: DataFrame | None = None) -> DataFrame:
         "ts_ms",
         "_partition_offset",
     )
-    latest = latest_per_key(typed, ["truck_id", "event_ts"], ["_partition_offset"])
-    valid = latest.where(
+    return latest_per_key(typed, ["truck_id", "event_ts"], ["_partition_offset"])
+
+
+def valid_positions(positions: DataFrame) -> DataFrame:
+    """Positions inside the service area with a sensible speed."""
+    return positions.where(
         F.col("latitude").between(*LATITUDE_RANGE)
         & F.col("longitude").between(*LONGITUDE_RANGE)
         & (F.col("speed_kmh") >= 0)
-    ).drop("_partition_offset")
+    )
+
+
+def stg_telemetry(raw: DataFrame, target: DataFrame | None = None) -> DataFrame:
+    """Valid positions, one per truck and instant.
+
+    The newest event of an instant decides; if it is invalid the instant is
+    dropped. With ``target`` given, instants already stored are left out too.
+    """
+    valid = valid_positions(latest_positions(_fresh(raw, target))).drop("_partition_offset")
     return incremental.append_absent(target, valid, ["truck_id", "event_ts"], range_col="event_ts")

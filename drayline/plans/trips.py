@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from drayline.functions import great_circle_distance, minutes_between, round_to
-from drayline.operators import incremental
 from drayline.operators.asof import Probe, asof_lookup, bounded_by_batch
 from drayline.operators.chunking import ROWS_PER_CHUNK
 
@@ -30,6 +31,49 @@ def completed_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def unmatched(done: DataFrame, target: DataFrame) -> DataFrame:
+    """Completed orders that the stored trips lack or hold in another version, whenever they were delivered."""
+    version = ["order_id", "truck_id", "dispatched_at", "collected_at", "delivered_at", "is_deleted"]
+    stored = target.select(*[F.col(c).alias(f"_s_{c}") for c in version])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in version])
+    return done.join(stored, (F.col("order_id") == F.col("_s_order_id")) & same, "left_anti")
+
+
+def positions_for(done: DataFrame, pings: DataFrame, lookback: str = "1 day") -> DataFrame:
+    """The positions that can answer the probes of some orders: the same answers as all positions give.
+
+    These are the positions of the orders' time window, widened by ``lookback``,
+    and for trucks that are silent in it the last position before the window and
+    the first one after it. Only where such trucks exist is anything else read,
+    and of that one row a truck.
+    """
+    inside = bounded_by_batch(pings, done, "event_ts", "dispatched_at", "delivered_at", LATE_PING_BUFFER, lookback)
+    needs = done.groupBy("truck_id").agg(F.min("dispatched_at").alias("_from"), F.max("collected_at").alias("_to"))
+    seen = inside.join(needs.select("truck_id"), "truck_id", "left_semi").groupBy("truck_id").agg(
+        F.min("event_ts").alias("_lo"), F.max("event_ts").alias("_hi")
+    )
+    cover = needs.join(seen, "truck_id", "left")
+    span = done.agg(F.min("dispatched_at").alias("low"), F.max("delivered_at").alias("high"))
+    low, high = F.col("low") - F.expr(f"interval {lookback}"), F.col("high") + F.expr(f"interval {LATE_PING_BUFFER}")
+    edges = span.select(*[F.unix_micros(c.cast("timestamp")).alias(n) for n, c in (("low", low), ("high", high))]).first()
+    if edges is None or edges["low"] is None:
+        return inside
+    kind = pings.schema["event_ts"].dataType
+    bound = {n: F.timestamp_micros(F.lit(edges[n])).cast(kind) for n in ("low", "high")}
+    sides = [
+        (F.col("_lo").isNull() | (F.col("_lo") >= F.col("_from")), F.col("event_ts") < bound["low"], F.max_by),
+        (F.col("_hi").isNull() | (F.col("_hi") < F.col("_to")), F.col("event_ts") > bound["high"], F.min_by),
+    ]
+    row = F.struct(*[c for c in pings.columns if c != "truck_id"])
+    for silent, beyond, nearest in sides:
+        trucks = cover.where(silent).select("truck_id")
+        if not trucks.isEmpty():
+            rest = pings.where(beyond).join(trucks, "truck_id", "left_semi")
+            found = rest.groupBy("truck_id").agg(nearest(row, F.col("event_ts")).alias("_r")).select("truck_id", "_r.*")
+            inside = inside.unionByName(found.select(*pings.columns))
+    return inside
+
+
 def order_trips(
     orders: DataFrame,
     telemetry: DataFrame,
@@ -40,20 +84,17 @@ def order_trips(
 ) -> DataFrame:
     """One row per completed trip: where it started, its two legs and their durations.
 
-    With ``target`` given, only orders delivered after its latest are computed,
-    against the positions of their time window (widened by ``lookback`` so
-    that the position before the first dispatch is found).
+    With ``target`` given, only orders that it lacks or holds in another version
+    are computed, from the positions that can matter to them (see
+    :func:`positions_for`); the rows are those of a full run.
     """
-    done = completed_orders(orders)
-    pings = telemetry.select("truck_id", "event_ts", "latitude", "longitude")
-    if target is not None:
-        done = incremental.after_watermark(done, target, "delivered_at")
-        pings = bounded_by_batch(
-            pings, done, "event_ts", "dispatched_at", "delivered_at", LATE_PING_BUFFER, lookback
-        )
     # The cap depends on the order alone: apply it before anything is matched.
     total_minutes = minutes_between("dispatched_at", "delivered_at")
-    done = done.where(total_minutes <= max_minutes)
+    done = completed_orders(orders).where(total_minutes <= max_minutes)
+    pings = telemetry.select("truck_id", "event_ts", "latitude", "longitude")
+    if target is not None:
+        done = unmatched(done, target)
+        pings = positions_for(done, pings, lookback)
     placed = asof_lookup(
         done.select(
             "order_id", "truck_id", "pickup_address", "delivery_address",
@@ -98,3 +139,34 @@ def order_trips(
         F.col("dispatched_at").cast("date").alias("trip_date"),
         "is_deleted",
     )
+
+
+def late_trucks(positions: DataFrame, stored: DataFrame, earlier: DataFrame) -> DataFrame:
+    """Trucks whose new positions may answer a probe of a stored trip.
+
+    That is where the first new one precedes a delivery or a position stored
+    ``earlier`` (only those no older than the first new one are read), or where
+    a stored trip still lacks a position.
+    """
+    first = positions.groupBy("truck_id").agg(F.min("event_ts").alias("_first"))
+    last = stored.groupBy("truck_id").agg(
+        F.max("delivered_at").alias("_last"), F.max(F.col("total_distance_km").isNull()).alias("_open")
+    )
+    micros = first.agg(F.unix_micros(F.min("_first").cast("timestamp"))).first()[0]
+    if micros is None:
+        return first.select("truck_id")
+    since = F.timestamp_micros(F.lit(micros)).cast(earlier.schema["event_ts"].dataType)
+    known = earlier.where(F.col("event_ts") >= since).groupBy("truck_id").agg(F.max("event_ts").alias("_known"))
+    joined = first.join(last, "truck_id").join(known, "truck_id", "left")
+    reach = (F.col("_first") <= F.col("_last")) | F.coalesce(F.col("_first") <= F.col("_known"), F.lit(False)) | F.col("_open")
+    return joined.where(reach).select("truck_id")
+
+
+def revised_trips(orders: DataFrame, telemetry: DataFrame, stored: DataFrame, trucks: DataFrame, **options) -> DataFrame:
+    """Trips of some trucks that come out differently from how they are stored, all positions considered."""
+    trucks = trucks.select("truck_id").distinct()
+    again = order_trips(
+        orders.join(trucks, "truck_id", "left_semi"), telemetry.join(trucks, "truck_id", "left_semi"), **options
+    )
+    known = stored.join(trucks, "truck_id", "left_semi").select(*again.columns)
+    return again.exceptAll(known)

@@ -6,11 +6,13 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
+from drayline.operators import incremental
 from drayline.operators.asof import Probe, asof_join, asof_lookup, bounded_by_batch
 from drayline.operators.latest import most_frequent
 from drayline.plans import activity, derived, marts, trips
 from drayline.registry import ctes
 from drayline.registry.base import Tables, query, with_ctes
+from drayline.session import cut_lineage
 
 
 def trip_rows(t: Tables, **options) -> DataFrame:
@@ -53,6 +55,20 @@ def order_trips_incremental(t: Tables) -> DataFrame:
     return trip_rows(t, target=trips.order_trips(stored, derived.pings(t.events)), lookback="5 days")
 
 
+@query("order_trips_batches", _TRIPS_SQL)
+def order_trips_batches(t: Tables) -> DataFrame:
+    """Three batches of orders in no order of time, then positions that came late, equal one run over all."""
+    orders, pings = derived.orders(t.events), derived.pings(t.events)
+    late = F.hour("event_ts") % 5 == 2
+    stored = None
+    for k in range(3):
+        arrived = orders.where(F.col("order_id") % 3 <= k)
+        new = trips.order_trips(arrived, pings.where(~late), stored, lookback="2 hours")
+        stored = cut_lineage(new if stored is None else stored.unionByName(new), "trips")
+    revised = trips.revised_trips(orders, pings, stored, trips.late_trucks(pings.where(late), stored, pings.where(~late)))
+    return incremental.merge_upsert(stored, revised, ["order_id"])
+
+
 def _lookup(t: Tables, direction: str, inclusive: bool, ts: str) -> DataFrame:
     found = asof_join(
         derived.orders(t.events).select("order_id", "truck_id", ts),

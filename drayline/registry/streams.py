@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from drayline import schemas
 from drayline.plans import derived, staging, trips
+from drayline.plans.lakehouse import Lakehouse
 from drayline.registry import ctes, feeds
 from drayline.registry.base import Tables, query, with_ctes
 from drayline.session import shared_dir
-from drayline.sources.tables import PartitionedTable, SnapshotTable, with_key_bucket
+from drayline.sources.tables import PartitionedTable, with_key_bucket
 from drayline.streaming import ingest
 from drayline.sources import sinks
 
@@ -24,6 +25,13 @@ def _stream(t: Tables) -> DataFrame:
     return t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events.parquet*")
 
 
+def _pieces(t: Tables, folder: str, pieces: int = 4) -> DataFrame:
+    """The same events as several files, dealt by a hash, one micro-batch each."""
+    source = f"{folder}/pieces"
+    t.events.repartition(pieces, F.xxhash64("event_id")).write.option("maxRecordsPerFile", 0).parquet(source)
+    return t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+
+
 def _folder(t: Tables, name: str) -> str:
     return f"{shared_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -55,24 +63,20 @@ def stream_state(t: Tables) -> DataFrame:
     folder = _folder(t, "stream_state")
     table = PartitionedTable(t.spark, f"{folder}/out", ["_key_bucket"], folder)
     ingest.start_state(
-        derived.order_changes(_stream(t)), staging.stg_orders, table, ["order_id"], f"{folder}/checkpoint",
+        derived.order_changes(_pieces(t, folder)), staging.stg_orders, table, ["order_id"], f"{folder}/checkpoint",
         prepare=lambda df: with_key_bucket(df, ["order_id"], 4), available_now=True,
     ).awaitTermination()
     return feeds._naive(table.read().drop("_key_bucket"))
 
 
-@query(
-    "stream_dedup",
-    "SELECT DISTINCT 'TRK-' || (user_id % 50) AS truck_id, date_trunc('hour', ts) AS event_ts FROM events "
-    "WHERE event_type IN ('signup', 'view') AND event_id % 31 <> 0 AND (event_id % 37 <> 0 OR event_id % 80 = 0)",
-)
+@query("stream_dedup", f"SELECT truck_id, event_ts FROM ({feeds._TELEMETRY})")
 def stream_dedup(t: Tables) -> DataFrame:
-    """Valid positions, one per truck and instant within the lateness bound."""
+    """Valid positions, the newest per truck and instant, from files in no order of time."""
     folder = _folder(t, "stream_dedup")
-    positions = ingest.telemetry(derived.telemetry_changes(_stream(t)), "40 days")
-    writer = positions.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return feeds._naive(t.spark.read.parquet(f"{folder}/out").select("truck_id", "event_ts"))
+    table = PartitionedTable(t.spark, f"{folder}/out", ["event_date"], folder)
+    changes = derived.telemetry_changes(_pieces(t, folder))
+    ingest.start_positions(changes, table, f"{folder}/checkpoint", True).awaitTermination()
+    return feeds._naive(ingest.stored_positions(table).select("truck_id", "event_ts"))
 
 
 @query(
@@ -100,11 +104,14 @@ def stream_hourly_pings(t: Tables) -> DataFrame:
 def stream_sliding_counts(t: Tables) -> DataFrame:
     """Six-hour windows every three hours."""
     folder = _folder(t, "stream_sliding")
-    events = _stream(t).withColumn("ts", F.col("ts").cast("timestamp"))
-    counts = ingest.bucket_counts(events, "ts", "6 hours", "1 day", "3 hours", ["event_type"])
-    table = SnapshotTable(t.spark, f"{folder}/out")
-    ingest.start_upserts(counts, table, ["bucket_start", "event_type"], f"{folder}/checkpoint", available_now=True).awaitTermination()
-    return feeds._naive(table.read())
+    events = _pieces(t, folder).withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = ingest.bucket_counts(events, "ts", "6 hours", "3660 days", "3 hours", ["event_type"])
+    table = PartitionedTable(t.spark, f"{folder}/out", ["day"], folder)
+    ingest.start_upserts(
+        counts, table, ["bucket_start", "event_type", "day"], f"{folder}/checkpoint",
+        prepare=lambda df: df.withColumn("day", F.to_date("bucket_start")), available_now=True,
+    ).awaitTermination()
+    return feeds._naive(table.read().drop("day"))
 
 
 @query(
@@ -129,7 +136,7 @@ def stream_trips(t: Tables) -> DataFrame:
     folder = _folder(t, "stream_trips")
     table = PartitionedTable(t.spark, f"{folder}/out", ["trip_date"], folder)
     ingest.start_trips(
-        derived.orders(_stream(t)), lambda: derived.pings(t.events), table, f"{folder}/checkpoint", available_now=True
+        derived.orders(_pieces(t, folder)), lambda: derived.pings(t.events), table, f"{folder}/checkpoint", available_now=True
     ).awaitTermination()
     return table.read().select(*trip_columns(t))
 
@@ -140,23 +147,63 @@ def trip_columns(t: Tables) -> list[str]:
 
 @query(
     "stream_late_refresh",
-    "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE CAST(ts AS DATE) IN (SELECT CAST(ts AS DATE) FROM events WHERE event_id % 2500 = 0) GROUP BY 1",
+    "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1",
 )
 def stream_late_refresh(t: Tables) -> DataFrame:
-    """Only the days that late rows fall on are recomputed."""
+    """Events in files of no order of time: each batch recomputes the days it touches."""
     folder = _folder(t, "stream_late")
     table = PartitionedTable(t.spark, f"{folder}/out", ["day"], folder)
-    late = _stream(t).where(F.col("event_id") % 2500 == 0)
     day = F.col("ts").cast("date").alias("day")
 
-    def recompute(days: list) -> DataFrame:
-        dated = t.events.select(day).where(F.col("day").isin(days))
-        return dated.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    def recompute(days: DataFrame) -> DataFrame:
+        return t.events.select(day).join(days, "day", "left_semi").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 
-    ingest.start_refresh(late, lambda b: b.select(day), recompute, table, f"{folder}/checkpoint", True).awaitTermination()
+    ingest.start_refresh(_pieces(t, folder), lambda b: b.select(day), recompute, table, f"{folder}/checkpoint", True).awaitTermination()
     return table.read().select("day", "n")
 
 
+def _damaged(feed: DataFrame) -> DataFrame:
+    """The feed with every fiftieth row image cut off."""
+    broken = F.concat(F.lit('{"id":'), F.col("_partition_offset").cast("string"))
+    damaged = F.col("_partition_offset") % 50 == 3
+    return feed.withColumn("before", F.when(damaged, broken).otherwise(F.col("before"))).withColumn(
+        "after", F.when(damaged, broken).otherwise(F.col("after"))
+    )
+
+
+class _Failing(Lakehouse):
+    """Dies once after the raw table is written and once after the dead letters."""
+
+    def _stage_orders(self, batch: DataFrame) -> None:
+        if not getattr(self, "_died", False):
+            self._died = True
+            raise RuntimeError("lost")
+        super()._stage_orders(batch)
+
+
+@query(
+    "ingest_retry",
+    f"WITH {feeds._ORDERS}, good AS (SELECT * FROM changes WHERE event_id % 50 <> 3) "
+    "SELECT 'raw' AS layer, event_id AS key, ts_ms FROM changes "
+    "UNION ALL SELECT 'dead', event_id, ts_ms FROM changes WHERE event_id % 50 = 3 "
+    "UNION ALL SELECT 'staged', CAST(order_id AS BIGINT), max(ts_ms) FROM good GROUP BY order_id",
+)
+def ingest_retry(t: Tables) -> DataFrame:
+    """Feeds ingested in two parts, the first staging step failing: raw, staged and dead letters are whole."""
+    feed = _damaged(derived.order_changes(t.events))
+    lake = _Failing(t.spark, _folder(t, "ingest_retry"), key_buckets=4)
+    lake.ingest({"orders": feed.limit(0)})
+    try:
+        lake.ingest({"orders": feed.where(F.col("_partition_id") == 0)})
+    except RuntimeError:
+        pass
+    for _ in range(2):
+        lake.ingest({"orders": feed})
+    layers = [("raw", lake.raw["orders"], "_partition_offset"), ("dead", lake.dead_letters, "_partition_offset"), ("staged", lake.stg_orders, "order_id")]
+    rows = [table.read().select(F.lit(name).alias("layer"), F.col(key).cast("long").alias("key"), "ts_ms") for name, table, key in layers]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @query(
     "stream_dead_letters",
     "SELECT event_id AS _partition_offset, event_id % 50 <> 3 AS good FROM events",
@@ -164,12 +211,7 @@ def stream_late_refresh(t: Tables) -> DataFrame:
 def stream_dead_letters(t: Tables) -> DataFrame:
     """Unparseable envelopes go to a side table, the stream carries on."""
     folder = _folder(t, "stream_dead")
-    broken = F.concat(F.lit('{"id":'), F.col("_partition_offset").cast("string"))
-    damaged = F.col("_partition_offset") % 50 == 3
-    feed = derived.order_changes(_stream(t))
-    feed = feed.withColumn("before", F.when(damaged, broken).otherwise(F.col("before"))).withColumn(
-        "after", F.when(damaged, broken).otherwise(F.col("after"))
-    )
+    feed = _damaged(derived.order_changes(_pieces(t, folder)))
     sinks.start_tolerant_sink(
         feed, schemas.ORDER_PAYLOAD, f"{folder}/good", f"{folder}/bad", f"{folder}/checkpoint"
     ).awaitTermination()

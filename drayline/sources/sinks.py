@@ -72,10 +72,14 @@ def start_tolerant_sink(
     """Stream parsed rows to one table and unparseable ones to another; never fails on bad input."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_dead_letters(batch, payload, has_before)
-        # Overwriting the batch's own folder makes a repeated batch harmless.
-        good.write.mode("overwrite").parquet(f"{good_path}/batch_id={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{bad_path}/batch_id={batch_id}")
+        batch.persist()  # read once for both outputs
+        try:
+            good, bad = split_dead_letters(batch, payload, has_before)
+            # Overwriting the batch's own folder makes a repeated batch harmless.
+            good.write.mode("overwrite").parquet(f"{good_path}/batch_id={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{bad_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         changes.writeStream.foreachBatch(write)

@@ -15,12 +15,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from drayline import schemas
 from drayline.functions import epoch_ms_to_timestamp
-from drayline.operators.asof import bounded_by_batch
-from drayline.operators.incremental import merge_latest
 from drayline.plans import staging, trips
+from drayline.session import RunFolder
 from drayline.sources import cdc
 from drayline.sources.sinks import dated
-from drayline.sources.tables import PartitionedTable, SnapshotTable
+from drayline.sources.tables import PartitionedTable
 
 # Fixed value: how often the feeds are polled.
 INGEST_INTERVAL = "5 minutes"
@@ -45,33 +44,84 @@ def start_raw(changes: DataFrame, path: str, checkpoint: str, available_now: boo
 def start_state(
     changes: DataFrame,
     model: Callable[[DataFrame], DataFrame],
-    table: SnapshotTable | PartitionedTable,
+    table: PartitionedTable,
     keys: list[str],
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     available_now: bool = False,
+    versions: tuple[str, ...] = ("ts_ms",),
 ) -> StreamingQuery:
     """Maintain the current state per key of a feed.
 
     ``model`` reduces a batch to its latest row per key (e.g. ``stg_orders``);
-    ``prepare`` adds partition columns.
+    ``prepare`` adds partition columns. A batch rewrites only the partitions it
+    touches, and is computed once.
     """
 
     def update(batch: DataFrame, _batch_id: int) -> None:
         latest = model(batch)
-        latest = prepare(latest) if prepare else latest
-        if isinstance(table, PartitionedTable):
-            table.merge(latest, keys, versions=["ts_ms"])
-            return
-        stored = table.read()
-        table.overwrite(latest if stored is None else merge_latest(stored, latest, keys, ["ts_ms"]))
+        table.merge(prepare(latest) if prepare else latest, keys, versions=list(versions))
 
     writer = changes.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now).start()
 
 
+def start_positions(changes: DataFrame, table: PartitionedTable, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Keep the newest event of each truck and instant, however late it comes.
+
+    ``table`` is partitioned by ``event_date``. It holds invalid positions too,
+    because a newer valid one may follow or an older valid one precede;
+    :func:`stored_positions` gives the rows of the batch model.
+    """
+
+    def prepare(latest: DataFrame) -> DataFrame:
+        return latest.withColumn("event_date", F.to_date("event_ts"))
+
+    return start_state(
+        changes, staging.latest_positions, table, ["truck_id", "event_ts", "event_date"], checkpoint, prepare,
+        available_now, ("_partition_offset",),
+    )
+
+
+def stored_positions(table: PartitionedTable) -> DataFrame:
+    """Valid positions of a table kept by :func:`start_positions`."""
+    return staging.valid_positions(table.read()).drop("_partition_offset", "event_date")
+
+
+def start_late_log(stream: DataFrame, event_time: str, lateness: str, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Store the rows that a watermark of ``lateness`` on this stream leaves behind, by batch.
+
+    A row is late if its time lies more than ``lateness`` before the latest
+    time of all earlier batches. Each batch owns two folders below ``path`` and
+    replaces them when it is run again.
+    """
+
+    def log(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            mark = None
+            if batch_id:
+                marks = spark.read.schema("top timestamp, batch_id bigint").parquet(f"{path}/marks")
+                mark = marks.where(F.col("batch_id") < batch_id).agg(F.unix_micros(F.max("top") - F.expr(f"interval {lateness}"))).first()[0]
+            at = F.col(event_time).cast("timestamp")
+            late = batch.where(at < F.timestamp_micros(F.lit(mark))) if mark is not None else batch.limit(0)
+            late.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+            batch.agg(F.max(at).alias("top")).write.mode("overwrite").parquet(f"{path}/marks/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = stream.writeStream.foreachBatch(log).option("checkpointLocation", checkpoint)
+    return _trigger(writer, available_now).start()
+
+
 def telemetry(changes: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """Valid positions as a stream, one per truck and instant within the lateness bound."""
+    """Valid positions as a stream, the first valid one per truck and instant within the lateness bound.
+
+    For windows that are emitted once. Rows behind the watermark are left out
+    (:func:`start_late_log` stores them), and a later event of an instant does
+    not replace an earlier one; :func:`start_positions` has neither limit.
+    """
     inserts = cdc.keep_operations(changes)
     decoded = cdc.decode(inserts, schemas.TELEMETRY_PAYLOAD, has_before=False)
     typed = decoded.select(
@@ -125,7 +175,7 @@ def bucket_counts(
 
 def start_upserts(
     aggregate: DataFrame,
-    table: SnapshotTable | PartitionedTable,
+    table: PartitionedTable,
     keys: list[str],
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
@@ -149,7 +199,7 @@ def with_registry(positions: DataFrame, trucks: DataFrame) -> DataFrame:
 def start_refresh(
     stream: DataFrame,
     date_of: Callable[[DataFrame], DataFrame],
-    recompute: Callable[[list], DataFrame],
+    recompute: Callable[[DataFrame], DataFrame],
     table: PartitionedTable,
     checkpoint: str,
     available_now: bool = False,
@@ -157,17 +207,23 @@ def start_refresh(
     """Recompute the days a batch touches, however late its rows are.
 
     ``date_of`` maps a batch to one column of dates, ``recompute`` builds the
-    table's rows for a list of dates. Serves data later than any watermark.
+    table's rows for a DataFrame of dates (in that column). Serves data later
+    than any watermark.
     """
 
     def refresh(batch: DataFrame, _batch_id: int) -> None:
-        days = [r[0] for r in date_of(batch).distinct().collect() if r[0] is not None]
-        if days:
-            rows = recompute(sorted(days))
-            if table.exists():
-                table.replace_partitions(rows)
-            else:
-                table.overwrite(rows)
+        run = RunFolder(batch.sparkSession, "days", table.staging_fallback or f"{table.path}.staging")
+        try:
+            found = date_of(batch)
+            days = run.keep(found.where(F.col(found.columns[0]).isNotNull()).distinct(), "days")
+            if not days.isEmpty():
+                rows = recompute(days)
+                if table.read() is not None:
+                    table.replace_partitions(rows)
+                else:
+                    table.overwrite(rows)
+        finally:
+            run.close()
 
     writer = stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now).start()
@@ -182,16 +238,46 @@ def start_trips(
 ) -> StreamingQuery:
     """Match newly completed orders to stored positions, batch by batch.
 
-    An order is matched when it completes; a position that arrives later is
-    taken into account when the order is next processed.
+    An order is matched when it completes; :func:`start_trip_revision` corrects
+    trips for which positions arrive later.
     """
 
     def match(batch: DataFrame, _batch_id: int) -> None:
-        done = trips.completed_orders(batch)
-        near = bounded_by_batch(
-            positions(), done, "event_ts", "dispatched_at", "delivered_at", trips.LATE_PING_BUFFER, "1 day"
-        )
-        table.merge(trips.order_trips(batch, near), ["order_id"], keys_may_move=True)
+        batch.persist()
+        try:
+            near = trips.positions_for(
+                trips.completed_orders(batch), positions().select("truck_id", "event_ts", "latitude", "longitude")
+            )
+            table.merge(trips.order_trips(batch, near), ["order_id"], keys_may_move=True)
+        finally:
+            batch.unpersist()
 
     writer = staged_orders.writeStream.foreachBatch(match).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now).start()
+
+
+def start_trip_revision(
+    positions_stream: DataFrame,
+    orders: Callable[[], DataFrame],
+    positions: Callable[[], DataFrame],
+    table: PartitionedTable,
+    checkpoint: str,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Correct stored trips for positions that arrive after them.
+
+    ``positions`` gives the stored positions, the batch's own included. Only
+    trucks whose new positions reach back to a stored trip are matched again,
+    and only trips that change are written.
+    """
+
+    def revise(batch: DataFrame, _batch_id: int) -> None:
+        stored = table.read()
+        if stored is None:
+            return
+        late = trips.late_trucks(batch, stored, positions())
+        if not late.isEmpty():
+            table.merge(trips.revised_trips(orders(), positions(), stored, late), ["order_id"], keys_may_move=True)
+
+    writer = positions_stream.writeStream.foreachBatch(revise).option("checkpointLocation", checkpoint)
+    return _trigger(writer, available_now).start()

@@ -1,6 +1,7 @@
 """Replays of the feeds in several batches against batch processing."""
 
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -11,7 +12,7 @@ from drayline.operators import checks
 from drayline.plans import staging, trips
 from drayline.plans.lakehouse import Lakehouse
 from drayline.sources import cdc
-from drayline.sources.tables import PartitionedTable, SnapshotTable
+from drayline.sources.tables import PartitionedTable
 from drayline.streaming import ingest
 
 T0 = 1_704_067_200_000  # 2024-01-01 UTC
@@ -22,8 +23,10 @@ def write_batches(folder, events, size):
     """Envelopes as JSON lines, one file per batch."""
     folder.mkdir(parents=True, exist_ok=True)
     for n, i in enumerate(range(0, len(events), size)):
-        with open(folder / f"batch-{n:03}.json", "w") as f:
+        path = folder / f"batch-{n:03}.json"
+        with open(path, "w") as f:
             f.writelines(json.dumps(e) + "\n" for e in events[i : i + size])
+        os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))  # a stream reads files by their time
 
 
 def envelope(op, ts, image, offset, partition=0, with_before=True):
@@ -82,19 +85,42 @@ def test_raw_lands_each_event_once(spark, folder):
     assert spark.read.parquet(path).count() == len(order_events())
 
 
-@pytest.mark.parametrize("layout", ["snapshot", "partitioned"])
-def test_state_equals_batch(spark, folder, rows, layout):
-    if layout == "snapshot":
-        table, prepare = SnapshotTable(spark, str(folder / "state")), None
-    else:
-        table = PartitionedTable(spark, str(folder / "state"), ["truck_id"], str(folder / "staging"))
-        prepare = None
+def test_state_equals_batch(spark, folder, rows):
+    table = PartitionedTable(spark, str(folder / "state"), ["truck_id"], str(folder / "staging"))
     feed = cdc.replay_files(spark, str(folder / "orders"), max_files_per_trigger=1)
-    ingest.start_state(feed, staging.stg_orders, table, ["order_id"], str(folder / "cp"), prepare, True).awaitTermination()
+    ingest.start_state(feed, staging.stg_orders, table, ["order_id"], str(folder / "cp"), None, True).awaitTermination()
     batch = staging.stg_orders(cdc.replay_files(spark, str(folder / "orders"), streaming=False))
     assert rows(table.read(), *batch.columns) == rows(batch)
 
 
+@pytest.mark.parametrize("reverse", [False, True])
+def test_positions_equal_the_batch_model_in_any_file_order(spark, tmp_path, rows, reverse):
+    """Late, repeated and corrected positions; an instant whose newest event is invalid is dropped."""
+    events = ping_events()
+    body = json.loads(events[30]["after"])
+    events.append(envelope("c", T0 + 900, {**body, "speed_kmh": -1}, len(events), with_before=False))
+    body = json.loads(events[50]["after"])
+    events.append(envelope("c", T0 + 901, {**body, "latitude": -25.5}, len(events), with_before=False))
+    write_batches(tmp_path / "pings", events, 37)
+    if reverse:
+        for n, path in enumerate(sorted((tmp_path / "pings").iterdir(), reverse=True)):
+            os.utime(path, (1_600_000_000 + n, 1_600_000_000 + n))
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["event_date"], str(tmp_path / "staging"))
+    feed = cdc.replay_files(spark, str(tmp_path / "pings"), append_only=True, max_files_per_trigger=1)
+    ingest.start_positions(feed, table, str(tmp_path / "cp"), True).awaitTermination()
+    batch = staging.stg_telemetry(cdc.replay_files(spark, str(tmp_path / "pings"), append_only=True, streaming=False))
+    assert rows(ingest.stored_positions(table), *batch.columns) == rows(batch) and batch.count() == 139
+
+
+def test_late_rows_are_stored(spark, tmp_path, rows):
+    events = [envelope("c", T0, {"truck_id": "T1", "latitude": -25.5, "longitude": -49.3, "speed_kmh": 1, "timestamp": T0 + m * MINUTE}, i, with_before=False) for i, m in enumerate((0, 100, 95, 10, 300, 285, 20))]
+    write_batches(tmp_path / "pings", events, 2)
+    feed = cdc.replay_files(spark, str(tmp_path / "pings"), append_only=True, max_files_per_trigger=1)
+    timed = staging.cdc.decode(feed, schemas.TELEMETRY_PAYLOAD, has_before=False).select("_partition_offset", F.timestamp_millis("row.timestamp").alias("t"))
+    ingest.start_late_log(timed, "t", "10 minutes", str(tmp_path / "late"), str(tmp_path / "cp"), True).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "late" / "rows")), "_partition_offset") == [(3,), (6,)]
+
+
 def test_telemetry_dedup(spark, folder):
     feed = cdc.replay_files(spark, str(folder / "pings"), append_only=True, max_files_per_trigger=1)
     out = ingest.telemetry(feed).writeStream.format("parquet").option("path", str(folder / "out"))
@@ -116,7 +142,8 @@ def test_upserted_windows(spark, folder, rows):
     feed = cdc.replay_files(spark, str(folder / "orders"), max_files_per_trigger=1)
     timed = feed.withColumn("t", F.timestamp_millis("ts_ms"))
     counts = ingest.bucket_counts(timed, "t", "1 hour", "1 day", group_by=["op"])
-    table = SnapshotTable(spark, str(folder / "counts"))
+    counts = counts.withColumn("day", F.to_date("bucket_start"))
+    table = PartitionedTable(spark, str(folder / "counts"), ["day"], str(folder / "staging"))
     ingest.start_upserts(counts, table, ["bucket_start", "op"], str(folder / "cp"), available_now=True).awaitTermination()
     assert rows(table.read(), "op", "row_count") == [("c", 12), ("d", 2), ("u", 24)]
 
@@ -135,8 +162,8 @@ def test_late_rows_refresh_their_days(spark, tmp_path, rows):
     asked = []
 
     def recompute(days):
-        asked.append(days)
-        return spark.createDataFrame([(d, 1) for d in days], "day date, n int")
+        asked.append(days.count())
+        return days.withColumn("n", F.lit(1))
 
     feed = cdc.replay_files(spark, str(tmp_path / "late"), max_files_per_trigger=1)
     day = F.to_date(F.timestamp_millis("ts_ms")).alias("day")
@@ -148,7 +175,7 @@ def feeds(spark, tmp_path, orders, pings, trucks):
     spec = {"orders": (orders, False), "truck_telemetry": (pings, True), "trucks": (trucks, False)}
     out = {}
     for name, (events, append_only) in spec.items():
-        out[name] = spark.createDataFrame([json.dumps(e) for e in events], "string").select(
+        out[name] = spark.createDataFrame([(json.dumps(e),) for e in events], "value string").select(
             F.from_json("value", cdc.envelope_schema(append_only)).alias("e")
         ).select("e.*")
     return out
@@ -203,3 +230,49 @@ def test_stream_trips(spark, folder, rows):
     assert rows(table.read(), *expected.columns) == rows(expected)
 
 
+
+
+def test_positions_after_the_trip_correct_it(spark, folder, rows):
+    all_positions = staging.stg_telemetry(cdc.replay_files(spark, str(folder / "pings"), append_only=True, streaming=False))
+    orders = staging.stg_orders(cdc.replay_files(spark, str(folder / "orders"), streaming=False))
+    all_positions.write.parquet(str(folder / "positions"))
+    stored = spark.read.parquet(str(folder / "positions"))
+    table = PartitionedTable(spark, str(folder / "trips"), ["trip_date"], str(folder / "staging"))
+    table.overwrite(trips.order_trips(orders, stored.where(F.minute("event_ts") % 3 == 0)))
+    stream = spark.readStream.schema(stored.schema).parquet(str(folder / "positions"))
+    ingest.start_trip_revision(stream, lambda: orders, lambda: stored, table, str(folder / "cp"), True).awaitTermination()
+    full = trips.order_trips(orders, stored)
+    assert rows(table.read(), *full.columns) == rows(full)
+
+
+@pytest.mark.parametrize("step", ["_stage_orders", "_stage_truck_telemetry"])
+def test_a_failed_ingest_is_completed(spark, tmp_path, rows, monkeypatch, step):
+    source = feeds(spark, tmp_path, order_events(), ping_events(), truck_events())
+    broken = spark.createDataFrame(
+        [("u", T0 + 9000, None, '{"id": 4, "tru', 0, 99)], "op string, ts_ms bigint, before string, after string, _partition_id int, _partition_offset bigint"
+    )
+    source["orders"] = source["orders"].unionByName(broken, allowMissingColumns=True)
+    whole = Lakehouse(spark, str(tmp_path / "a"), key_buckets=2)
+    whole.ingest({name: df.limit(0) for name, df in source.items()})  # an empty first batch
+    whole.ingest(source)
+    lake = Lakehouse(spark, str(tmp_path / "b"), key_buckets=2)
+    original = getattr(Lakehouse, step)
+    monkeypatch.setattr(Lakehouse, step, lambda self, batch: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        lake.ingest(source)
+    monkeypatch.setattr(Lakehouse, step, original)
+    Lakehouse(spark, str(tmp_path / "b"), key_buckets=2).ingest(source)
+    for name in ("stg_orders", "stg_trucks", "stg_telemetry", "dead_letters"):
+        a, b = getattr(whole, name).read(), getattr(lake, name).read()
+        assert rows(a) == rows(b.select(*a.columns)), name
+    for name in source:
+        assert whole.raw[name].read().count() == lake.raw[name].read().count() == source[name].count()
+    assert rows(lake.dead_letters.read(), "feed", "_partition_offset") == [("orders", 99)]
+
+
+def test_an_older_truck_event_never_wins(spark, tmp_path, rows):
+    lake = Lakehouse(spark, str(tmp_path / "a"), key_buckets=2)
+    event = lambda ts, status, offset: envelope("u", ts, {"id": "T1", "model": "M", "capacity_kg": 9, "status": status}, offset)
+    for events in ([event(2000, "maintenance", 0)], [event(1000, "available", 1)], [event(2000, "in_transit", 2)]):
+        lake.ingest({"trucks": feeds(spark, tmp_path, [], [], events)["trucks"]})
+    assert rows(lake.stg_trucks.read(), "status", "ts_ms") == [("in_transit", 2000)]
