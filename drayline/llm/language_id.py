@@ -38,7 +38,7 @@ MARGIN = 2.0
 LEAST_BOUND = 30.0
 #: Symbols beyond which more text makes a cross-entropy no surer.
 SURE_AFTER = 400
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")

@@ -2,8 +2,9 @@
 
 The vocabulary's merges never cross white space, so the ids of a text are the
 ids of its space-separated words one after another.  A worker tokenises each
-different word once and keeps its ids; the cache is bounded, and what it holds
-changes the speed only.
+different word once and keeps its ids in two generations: when the younger is
+full it becomes the elder, and words that are met again move back.  The cache is
+bounded, and what it holds changes the speed only.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ import re
 
 import numpy as np
 
-#: Words kept by a worker before it starts afresh.
-CACHED_WORDS = 700_000
-CACHED_CHARS = 32 << 20
+#: Words and characters of one generation of the cache.
+CACHED_WORDS = 250_000
+CACHED_CHARS = 16 << 20
 WORDS_AT_A_TIME = 500
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: A comma or full stop after a Latin letter and before a blank is always a token run of its own.
@@ -46,6 +47,7 @@ class WordEncoder:
         self.closing[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.shortcut = bool(suffix)
         self.known: dict[str, bytes] = {"": b""}
+        self.elder: dict[str, bytes] = {}
         self.held = 0
 
     def _learn(self, words: list[str]) -> None:
@@ -72,10 +74,12 @@ class WordEncoder:
                 text = text.lower()
             split.append(_POINT.sub(r" \1", text).replace("\n", " ").split(" "))
         if len(self.known) > CACHED_WORDS or self.held > CACHED_CHARS:
-            self.known, self.held = {"": b""}, 0
+            self.elder, self.known, self.held = self.known, {"": b""}, 0
         new = set().union(*split)
         new.difference_update(self.known)
-        self._learn(list(new))
+        again = self.elder.keys() & new
+        self.known.update((w, self.elder[w]) for w in again)
+        self._learn(list(new - again))
         self.held += sum(map(len, new))
         look = self.known.__getitem__
         return [b"".join(map(look, words)) for words in split]
