@@ -7,6 +7,7 @@ ends in a single task (see ``chunking``).
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from datetime import datetime
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from drayline.functions import Period, as_of_timestamp, moment, safe_divide, slugify
 from drayline.operators.chunking import ROWS_PER_CHUNK, ordered_values
-from drayline.operators.reshape import except_both_ways
+from drayline.operators.reshape import except_both_ways, repeat_rows
 
 
 def _groups(columns: list[str] | None) -> list[str]:
@@ -164,10 +165,8 @@ def sequential_values(
         *groups, column, F.col("previous").alias(previous)
     )
     # Further rows of a repeated value follow that same value.
-    repeats = (
-        values.where((F.col("n") > 1) & (F.col(column) != expected(column)))
-        .withColumn("_i", F.explode(F.sequence(F.lit(2).cast("bigint"), F.col("n"))))
-        .select(*groups, column, F.col(column).alias(previous))
+    repeats = repeat_rows(values.where(F.col(column) != expected(column)), F.col("n") - 1).select(
+        *groups, column, F.col(column).alias(previous)
     )
     return first.unionByName(repeats)
 
@@ -206,10 +205,8 @@ def mutually_exclusive_ranges(
         F.col("next").alias("next_lower_bound"), F.col("next").isNull().alias("is_last_record"),
     )
     # Earlier copies of a repeated range are followed by the same range.
-    other_copies = (
-        values.where(F.col("n") > 1)
-        .withColumn("_i", F.explode(F.sequence(F.lit(2).cast("bigint"), F.col("n"))))
-        .select(*group, "lower_bound", "upper_bound", lower.alias("next_lower_bound"), F.lit(False).alias("is_last_record"))
+    other_copies = repeat_rows(values, F.col("n") - 1).select(
+        *group, "lower_bound", "upper_bound", lower.alias("next_lower_bound"), F.lit(False).alias("is_last_record")
     )
     unknown = named.where(lower.isNull()).select(
         *group, "lower_bound", "upper_bound", F.lit(None).cast(named.schema["lower_bound"].dataType).alias("next_lower_bound"),
@@ -314,57 +311,125 @@ def fewer_rows_than(df: DataFrame, compare: DataFrame, group_by: list[str] | Non
 def json_conformance(df: DataFrame, column: str, schema: dict) -> DataFrame:
     """Rows whose JSON text does not meet a schema; null text passes.
 
-    Understands, for scalars and one level of object properties: ``type``,
-    ``enum``, ``minLength``, ``maxLength``, ``pattern``, ``minimum``,
-    ``maximum``, ``required``.
+    Nested objects and arrays of any depth. Keywords: ``type`` (one or a list),
+    ``enum``, ``const``, ``minLength``, ``maxLength``, ``pattern``, ``minimum``,
+    ``maximum``, ``exclusiveMinimum``, ``exclusiveMaximum``, ``multipleOf``,
+    ``properties``, ``required``, ``additionalProperties``, ``minProperties``,
+    ``maxProperties``, ``items``, ``minItems``, ``maxItems``, ``uniqueItems``,
+    ``allOf``, ``anyOf``, ``oneOf``, ``not``; others raise. A keyword binds
+    values of its own type only, a number without a fraction is an integer, and
+    ``enum`` compares type and value.
     """
-    return df.where(F.col(column).isNotNull() & ~_json_valid(F.col(column), schema))
-
-
-def _json_valid(text: Column, schema: dict) -> Column:
-    kind = schema.get("type")
-    if kind == "object":
-        fields = F.from_json(text, "map<string,string>")
-        ok = F.coalesce(text.rlike(r"^\s*\{[\s\S]*\}\s*$") & fields.isNotNull(), F.lit(False))
-        for name in schema.get("required", []):
-            ok = ok & F.coalesce(F.array_contains(F.json_object_keys(text), name), F.lit(False))
-        for name, sub in schema.get("properties", {}).items():
-            raw = F.variant_get(F.try_parse_json(text), f"$.{name}", "variant")
-            value_text = F.to_json(raw)
-            ok = ok & (raw.isNull() | _json_valid(value_text, sub))
-        return F.coalesce(ok, F.lit(False))
-    parsed = F.try_parse_json(text)
-    actual = F.schema_of_variant(parsed)
-    ok = parsed.isNotNull()
-    if kind == "string":
-        ok = ok & (actual == "STRING")
-    elif kind == "integer":
-        ok = ok & (actual == "BIGINT")
-    elif kind == "number":
-        ok = ok & actual.rlike("^(BIGINT|DOUBLE|DECIMAL.*)$")
-    elif kind == "boolean":
-        ok = ok & (actual == "BOOLEAN")
-    elif kind == "null":
-        ok = ok & (actual == "VOID")
-    elif kind is not None:
-        raise ValueError(f"unsupported JSON type {kind!r}")
-    if kind == "string":
-        value = F.try_variant_get(parsed, "$", "string")
-        if "minLength" in schema:
-            ok = ok & (F.length(value) >= schema["minLength"])
-        if "maxLength" in schema:
-            ok = ok & (F.length(value) <= schema["maxLength"])
-        if "pattern" in schema:
-            ok = ok & value.rlike(schema["pattern"])
-    if kind in ("integer", "number"):
-        value = F.try_variant_get(parsed, "$", "double")
-        if "minimum" in schema:
-            ok = ok & (value >= schema["minimum"])
-        if "maximum" in schema:
-            ok = ok & (value <= schema["maximum"])
-    if "enum" in schema:
-        ok = ok & F.try_variant_get(parsed, "$", "string").isin(*[str(v) for v in schema["enum"]])
-    return F.coalesce(ok, F.lit(False))
+    value = F.try_parse_json(column)
+    valid = F.coalesce(value.isNotNull() & _meets(value, schema), F.lit(False))
+    return df.where(F.col(column).isNotNull() & ~valid)
+
+
+# The JSON schema keywords that carry no constraint.
+_NOTES = {"$schema", "$id", "title", "description", "default", "examples", "$comment"}
+
+
+def _meets(value: Column, schema: dict | bool) -> Column:
+    """Whether a variant meets a schema."""
+    if isinstance(schema, bool):
+        return F.lit(schema)
+    kind = F.schema_of_variant(value)
+    number = F.try_variant_get(value, "$", "double")
+    text = F.try_variant_get(value, "$", "string")
+    is_a = {
+        "string": kind == "STRING",
+        "number": kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"),
+        "boolean": kind == "BOOLEAN",
+        "null": kind == "VOID",
+        "object": kind.startswith("OBJECT"),
+        "array": kind.startswith("ARRAY"),
+    }
+    is_a["integer"] = is_a["number"] & (number == F.floor(number))
+    items = F.try_variant_get(value, "$", "array<variant>")
+    fields = F.try_variant_get(value, "$", "map<string,variant>")
+
+    def when(type_name: str, condition: Column) -> Column:
+        return ~is_a[type_name] | F.coalesce(condition, F.lit(False))
+
+    def equals(wanted) -> Column:
+        if wanted is None:
+            return is_a["null"]
+        if isinstance(wanted, bool):
+            return is_a["boolean"] & (F.try_variant_get(value, "$", "boolean") == wanted)
+        if isinstance(wanted, (int, float)):
+            return is_a["number"] & (number == float(wanted))
+        if isinstance(wanted, str):
+            return is_a["string"] & (text == wanted)
+        same = F.to_json(F.parse_json(F.lit(json.dumps(wanted))))
+        return (is_a["object"] | is_a["array"]) & (F.to_json(value) == same)
+
+    def member(name: str) -> Column:
+        return F.element_at(fields, name)
+
+    every = lambda parts: reduce(lambda a, b: a & b, parts, F.lit(True))
+    some = lambda parts: reduce(lambda a, b: a | b, parts, F.lit(False))
+    found: list[Column] = []
+    for word, bound in schema.items():
+        if word == "type":
+            names = bound if isinstance(bound, list) else [bound]
+            unknown = [n for n in names if n not in is_a]
+            if unknown:
+                raise ValueError(f"unsupported JSON type {unknown[0]!r}")
+            found.append(some(is_a[n] for n in names))
+        elif word == "enum":
+            found.append(some(equals(v) for v in bound))
+        elif word == "const":
+            found.append(equals(bound))
+        elif word == "minLength":
+            found.append(when("string", F.length(text) >= bound))
+        elif word == "maxLength":
+            found.append(when("string", F.length(text) <= bound))
+        elif word == "pattern":
+            found.append(when("string", text.rlike(bound)))
+        elif word == "minimum":
+            found.append(when("number", number >= bound))
+        elif word == "maximum":
+            found.append(when("number", number <= bound))
+        elif word == "exclusiveMinimum":
+            found.append(when("number", number > bound))
+        elif word == "exclusiveMaximum":
+            found.append(when("number", number < bound))
+        elif word == "multipleOf":
+            share = number / F.lit(float(bound))
+            found.append(when("number", F.abs(share - F.round(share)) <= 1e-9 * F.greatest(F.abs(share), F.lit(1.0))))
+        elif word == "properties":
+            found.append(when("object", every(member(n).isNull() | _meets(member(n), sub) for n, sub in bound.items())))
+        elif word == "required":
+            found.append(when("object", every(member(n).isNotNull() for n in bound)))
+        elif word == "additionalProperties":
+            named = F.array(*[F.lit(n) for n in schema.get("properties", {})]).cast("array<string>")
+            others = F.map_values(F.map_filter(fields, lambda k, _: ~F.array_contains(named, k)))
+            found.append(when("object", F.forall(others, lambda v: F.coalesce(_meets(v, bound), F.lit(False)))))  # noqa: B023
+        elif word == "minProperties":
+            found.append(when("object", F.size(fields) >= bound))
+        elif word == "maxProperties":
+            found.append(when("object", F.size(fields) <= bound))
+        elif word == "items":
+            found.append(when("array", F.forall(items, lambda v: F.coalesce(_meets(v, bound), F.lit(False)))))  # noqa: B023
+        elif word == "minItems":
+            found.append(when("array", F.size(items) >= bound))
+        elif word == "maxItems":
+            found.append(when("array", F.size(items) <= bound))
+        elif word == "uniqueItems":
+            if bound:
+                found.append(when("array", F.size(F.array_distinct(F.transform(items, lambda v: F.to_json(v)))) == F.size(items)))
+        elif word == "allOf":
+            found.append(every(_meets(value, sub) for sub in bound))
+        elif word == "anyOf":
+            found.append(some(F.coalesce(_meets(value, sub), F.lit(False)) for sub in bound))
+        elif word == "oneOf":
+            hits = sum((F.coalesce(_meets(value, sub), F.lit(False)).cast("int") for sub in bound), F.lit(0))
+            found.append(hits == 1)
+        elif word == "not":
+            found.append(~F.coalesce(_meets(value, bound), F.lit(False)))
+        elif word not in _NOTES:
+            raise ValueError(f"unsupported JSON schema keyword {word!r}")
+    return every(found)
 
 
 def source_freshness(

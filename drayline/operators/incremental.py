@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from drayline.operators.latest import latest_per_key, top_n_per_key
 
-MAX_STREAM_PARTITIONS = 10_000
-
 
 # --- watermarks ----------------------------------------------------------------
 
@@ -70,28 +68,15 @@ def after_offsets(
     partition_col: str = "_partition_id",
     offset_col: str = "_partition_offset",
 ) -> DataFrame:
-    """Rows past the last stored offset of their stream partition (-1 when none)."""
+    """Rows past the last stored offset of their stream partition (-1 when none).
+
+    Rows without a partition id are one partition of their own.
+    """
     if target is None:
         return source
-    marks = target.groupBy(partition_col).agg(F.max(offset_col).alias("_mark"))
-    rows = marks.limit(MAX_STREAM_PARTITIONS + 1).collect()
-    if not rows:
-        return source
-    if len(rows) > MAX_STREAM_PARTITIONS:
-        joined = source.join(marks, partition_col, "left")
-        kept = joined.where(F.col(offset_col) > F.coalesce(F.col("_mark"), F.lit(-1)))
-        return kept.drop("_mark").select(*source.columns)
-    known = {r[partition_col]: r["_mark"] for r in rows if r[partition_col] is not None}
-    lowest = min(known.values(), default=-1)
-    mark = F.coalesce(
-        F.create_map(*[F.lit(x) for pair in known.items() for x in pair])[F.col(partition_col)]
-        if known
-        else F.lit(None).cast("bigint"),
-        F.lit(-1),
-    )
-    # The second filter is exact; the first is a plain comparison the scan can use.
-    unseen = ~F.col(partition_col).isin(list(known)) if known else F.lit(True)
-    return source.where((F.col(offset_col) > F.lit(lowest)) | unseen).where(F.col(offset_col) > mark)
+    marks = target.groupBy(F.col(partition_col).alias("_of")).agg(F.max(offset_col).alias("_mark"))
+    joined = source.join(marks, F.col(partition_col).eqNullSafe(F.col("_of")), "left")
+    return joined.where(F.col(offset_col) > F.coalesce(F.col("_mark"), F.lit(-1))).select(*source.columns)
 
 
 def within_lookback(df: DataFrame, date_col: str, as_of: date, days: int) -> DataFrame:

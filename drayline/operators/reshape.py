@@ -195,6 +195,31 @@ def union_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.unionByName(right).distinct()
 
 
+#: Copies that are made from one array at most.
+COPIES_PER_ROW = 1 << 12
+
+
+def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
+    """Each row as often as ``times`` says (none for null or less than one).
+
+    Large numbers are first split into blocks, which are dealt over the tasks,
+    so neither a row nor a task grows with how often one value occurs.
+    """
+    counted = df.withColumn("_times", times.cast("bigint")).where(F.col("_times") > 0)
+    few, many = counted.where(F.col("_times") <= COPIES_PER_ROW), counted.where(F.col("_times") > COPIES_PER_ROW)
+    last = F.col("_times") - 1
+    square = COPIES_PER_ROW * COPIES_PER_ROW
+    outer = many.withColumn("_outer", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / square))))
+    left = F.least(F.col("_times") - F.col("_outer") * square, F.lit(square).cast("bigint"))
+    blocks = outer.withColumn("_left", left).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_left") - 1) / COPIES_PER_ROW)))
+    )
+    blocks = blocks.withColumn("_times", F.least(F.col("_left") - F.col("_block") * COPIES_PER_ROW, F.lit(COPIES_PER_ROW).cast("bigint")))
+    dealt = blocks.repartition(F.col("_outer"), F.col("_block")).select(*counted.columns)
+    copies = few.unionByName(dealt)
+    return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).select(*df.columns)
+
+
 def except_both_ways(a: DataFrame, b: DataFrame, keep_duplicates: bool = False) -> DataFrame:
     """Rows of either table that the other lacks, marked by ``which_diff``.
 
@@ -212,8 +237,7 @@ def except_both_ways(a: DataFrame, b: DataFrame, keep_duplicates: bool = False)
         extra = F.abs(F.col("_a") - F.col("_b"))
         differing = stacked.where(F.col("_a") != F.col("_b"))
         side = F.when(F.col("_a") > F.col("_b"), "a_minus_b").otherwise("b_minus_a")
-        repeated = differing.withColumn("_i", F.explode(F.sequence(F.lit(1), extra.cast("int"))))
-        return repeated.select(side.alias("which_diff"), *names)
+        return repeat_rows(differing.select(side.alias("which_diff"), *names, "_a", "_b"), extra).select("which_diff", *names)
     one_sided = stacked.where((F.col("_a") == 0) | (F.col("_b") == 0))
     side = F.when(F.col("_b") == 0, "a_minus_b").otherwise("b_minus_a")
     return one_sided.select(side.alias("which_diff"), *names)

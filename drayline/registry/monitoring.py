@@ -112,11 +112,11 @@ def metric_freshness_sparse(t: Tables) -> DataFrame:
 @query(
     "metric_event_freshness",
     f"WITH {_QUARTERS} SELECT bucket_start, CAST(coalesce(max(date_sub('second', ts - CAST(event_id % 500 AS INT) * INTERVAL 1 MINUTE, ts)), 21600) AS DOUBLE) AS metric_value "
-    "FROM quarters LEFT JOIN (SELECT * FROM events WHERE user_id < 5) e ON ts >= bucket_start AND ts < bucket_end GROUP BY 1",
+    "FROM quarters LEFT JOIN events e ON ts >= bucket_start AND ts < bucket_end GROUP BY 1",
 )
 def metric_event_freshness(t: Tables) -> DataFrame:
     """Delay between event and load; an empty bucket counts with its whole length."""
-    rows = t.events.where(F.col("user_id") < 5).withColumn(
+    rows = t.events.withColumn(
         "happened_at", F.timestamp_add("MINUTE", -(F.col("event_id") % 500).cast("int"), F.col("ts"))
     )
     config = monitors.with_overrides(HOURLY, event_timestamp_column="happened_at")
@@ -424,24 +424,23 @@ def volume_by_hour_of_day(t: Tables) -> DataFrame:
 
 @query(
     "freshness_anomalies",
-    _freshness_sql(_QUARTERS, "quarters", "2024-01-01", "user_id < 3").replace("SELECT bucket_start, CAST(wait AS DOUBLE) AS metric_value FROM", "SELECT bucket_start, bucket_end, CAST(wait AS DOUBLE) AS v FROM").replace("WITH ", "WITH m AS (WITH ", 1)
+    _freshness_sql(_QUARTERS, "quarters", "2024-01-01", "TRUE").replace("SELECT bucket_start, CAST(wait AS DOUBLE) AS metric_value FROM", "SELECT bucket_start, bucket_end, CAST(wait AS DOUBLE) AS v FROM").replace("WITH ", "WITH m AS (WITH ", 1)
     + f"), {_SCORED.format(by='')} SELECT bucket_end, v AS metric_value, coalesce(score > 2 AND bucket_end > TIMESTAMP '2024-01-28', false) AS is_anomalous FROM z",
 )
 def freshness_anomalies(t: Tables) -> DataFrame:
     """Only a longer wait is an anomaly."""
-    config = monitors.with_overrides(HOURLY, where_expression="user_id < 3")
-    found = anomaly.freshness_anomalies(t.events, TABLE, config)
+    found = anomaly.freshness_anomalies(t.events, TABLE, HOURLY)
     return _plain(found, "bucket_end", "metric_value", "is_anomalous")
 
 
 @query(
     "event_freshness_anomalies",
     f"WITH {_QUARTERS}, m AS (SELECT bucket_start, bucket_end, CAST(coalesce(max(date_sub('second', ts - CAST(event_id % 500 AS INT) * INTERVAL 1 MINUTE, ts)), 21600) AS DOUBLE) AS v "
-    f"FROM quarters LEFT JOIN (SELECT * FROM events WHERE user_id < 9) e ON ts >= bucket_start AND ts < bucket_end GROUP BY 1, 2), {_SCORED.format(by='')} "
+    f"FROM quarters LEFT JOIN events e ON ts >= bucket_start AND ts < bucket_end GROUP BY 1, 2), {_SCORED.format(by='')} "
     "SELECT bucket_end, v AS metric_value, coalesce(score > 1 AND bucket_end > TIMESTAMP '2024-01-28', false) AS is_anomalous FROM z",
 )
 def event_freshness_anomalies(t: Tables) -> DataFrame:
-    rows = t.events.where(F.col("user_id") < 9).withColumn(
+    rows = t.events.withColumn(
         "happened_at", F.timestamp_add("MINUTE", -(F.col("event_id") % 500).cast("int"), F.col("ts"))
     )
     config = monitors.with_overrides(HOURLY, event_timestamp_column="happened_at", sensitivity=1)

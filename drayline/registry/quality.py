@@ -84,10 +84,10 @@ def check_at_least_one(t: Tables) -> DataFrame:
 
 @query(
     "check_not_constant",
-    "SELECT c_nationkey, CAST(1 AS BIGINT) AS filler_column FROM (SELECT c_nationkey, c_custkey % 50 < 49 AS flag FROM customer WHERE c_acctbal > 8000) GROUP BY 1 HAVING count(DISTINCT flag) = 1",
+    "SELECT c_nationkey, CAST(1 AS BIGINT) AS filler_column FROM (SELECT c_nationkey, c_nationkey % 3 = 0 OR c_custkey % 50 < 49 AS flag FROM customer) GROUP BY 1 HAVING count(DISTINCT flag) = 1",
 )
 def check_not_constant(t: Tables) -> DataFrame:
-    rows = t.customer.where(F.col("c_acctbal") > 8000).select("c_nationkey", (F.col("c_custkey") % 50 < 49).alias("flag"))
+    rows = t.customer.select("c_nationkey", ((F.col("c_nationkey") % 3 == 0) | (F.col("c_custkey") % 50 < 49)).alias("flag"))
     return checks.not_constant(rows, "flag", ["c_nationkey"])
 
 
@@ -254,13 +254,13 @@ def check_cardinality_equality(t: Tables) -> DataFrame:
 
 
 _COUNTS = (
-    "SELECT a.k AS nation_a, b.k AS nation_b, a.n AS {a}, b.n AS {b} FROM (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_nationkey > 2 GROUP BY 1) a "
+    "SELECT a.k AS nation_a, b.k AS nation_b, a.n AS {a}, b.n AS {b} FROM (SELECT c_nationkey + 3 AS k, count(*) AS n FROM customer GROUP BY 1) a "
     "FULL JOIN (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1) b ON a.k = b.k"
 )
 
 
 def _nations(t: Tables) -> tuple[DataFrame, DataFrame]:
-    a = t.customer.where(F.col("c_nationkey") > 2).select(F.col("c_nationkey").alias("nation"))
+    a = t.customer.select((F.col("c_nationkey") + 3).alias("nation"))
     return a, t.supplier.select(F.col("s_nationkey").alias("nation"))
 
 

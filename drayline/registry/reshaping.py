@@ -114,16 +114,13 @@ def union_distinct(t: Tables) -> DataFrame:
 
 @query(
     "except_both_ways",
-    "SELECT 'a_minus_b' AS which_diff, * FROM (SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 9000 "
-    "EXCEPT SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < -500) UNION ALL "
-    "SELECT 'b_minus_a', * FROM (SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < -500 "
-    "EXCEPT SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 9000)",
+    "SELECT 'a_minus_b' AS which_diff, * FROM (SELECT c_nationkey, c_mktsegment FROM customer EXCEPT SELECT c_nationkey + 3, c_mktsegment FROM customer) "
+    "UNION ALL SELECT 'b_minus_a', * FROM (SELECT c_nationkey + 3, c_mktsegment FROM customer EXCEPT SELECT c_nationkey, c_mktsegment FROM customer)",
 )
 def except_both_ways(t: Tables) -> DataFrame:
-    columns = ["c_nationkey", "c_mktsegment"]
-    rich = t.customer.where(F.col("c_acctbal") > 9000).select(*columns)
-    poor = t.customer.where(F.col("c_acctbal") < -500).select(*columns)
-    return reshape.except_both_ways(rich, poor)
+    """Segments by nation against the same three nations on."""
+    here = t.customer.select("c_nationkey", "c_mktsegment")
+    return reshape.except_both_ways(here, here.withColumn("c_nationkey", (F.col("c_nationkey") + 3).cast(here.schema["c_nationkey"].dataType)))
 
 
 @query(
@@ -284,10 +281,10 @@ def semi_join_two_keys(t: Tables) -> DataFrame:
 @query(
     "full_outer_counts",
     "SELECT coalesce(a.k, b.k) AS k, a.n AS n_customers, b.n AS n_suppliers FROM "
-    "(SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_acctbal > 5000 GROUP BY 1) a FULL JOIN "
+    "(SELECT c_nationkey + 2 AS k, count(*) AS n FROM customer GROUP BY 1) a FULL JOIN "
     "(SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1) b ON a.k = b.k",
 )
 def full_outer_counts(t: Tables) -> DataFrame:
-    a = t.customer.where(F.col("c_acctbal") > 5000).groupBy(F.col("c_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("n_customers"))
+    a = t.customer.groupBy((F.col("c_nationkey") + 2).alias("k")).agg(F.count(F.lit(1)).alias("n_customers"))
     b = t.supplier.groupBy(F.col("s_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("n_suppliers"))
     return a.join(b, "k", "full_outer")

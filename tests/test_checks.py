@@ -194,3 +194,58 @@ def test_run_and_store(spark, tmp_path, rows):
     assert rows(kept.select("result_row").distinct()) == [('{"id":-5}',), ('{"id":1,"n_records":2}',), ('{"id":null}',)]
     with pytest.raises(ValueError):
         checks.Check("neither")
+
+
+@pytest.mark.parametrize(
+    "text, schema, valid",
+    [
+        ("true", {"enum": [True]}, True),
+        ("1", {"enum": [True]}, False),
+        ("null", {"enum": [None]}, True),
+        ('"1"', {"enum": [1]}, False),
+        ("1.0", {"enum": [1]}, True),
+        ('{"a":[1,2]}', {"const": {"a": [1, 2]}}, True),
+        ("5.0", {"type": "integer"}, True),
+        ("5.5", {"type": "integer"}, False),
+        ("1e3", {"type": "integer"}, True),
+        ("null", {"type": ["string", "null"]}, True),
+        ('{"a":{"b":[{"c":1},{"c":"x"}]}}', {"properties": {"a": {"properties": {"b": {"items": {"properties": {"c": {"type": "integer"}}}}}}}}, False),
+        ('{"a":{"b":[{"c":1},{"c":2}]}}', {"properties": {"a": {"properties": {"b": {"items": {"required": ["c"], "properties": {"c": {"type": "integer"}}}}}}}}, True),
+        ("[1,2,3]", {"type": "array", "minItems": 2, "maxItems": 3, "uniqueItems": True, "items": {"maximum": 3}}, True),
+        ("[1,1]", {"uniqueItems": True}, False),
+        ("[1,4]", {"items": {"exclusiveMaximum": 4}}, False),
+        ('{"a":1,"z":2}', {"properties": {"a": {}}, "additionalProperties": False}, False),
+        ('{"a":1,"z":2}', {"properties": {"a": {}}, "additionalProperties": {"type": "number"}}, True),
+        ('{"a b":null}', {"required": ["a b"], "properties": {"a b": {"type": "null"}}}, True),
+        ('"abc"', {"minimum": 5}, True),
+        ("6", {"multipleOf": 0.1}, True),
+        ("7", {"anyOf": [{"type": "string"}, {"minimum": 7}], "not": {"const": 8}}, True),
+        ("7", {"oneOf": [{"type": "number"}, {"minimum": 7}]}, False),
+        ("{broken", {}, False),
+    ],
+)
+def test_json_conformance_by_type_and_depth(spark, text, schema, valid):
+    df = spark.createDataFrame([(text,), (None,)], "j string")
+    assert checks.json_conformance(df, "j", schema).isEmpty() is valid
+
+
+def test_json_conformance_refuses_what_it_does_not_know(spark):
+    df = spark.createDataFrame([("1",)], "j string")
+    for schema in ({"type": "date"}, {"format": "email"}):
+        with pytest.raises(ValueError):
+            checks.json_conformance(df, "j", schema)
+
+
+@pytest.mark.parametrize("limit", [1 << 12, 4])
+def test_repeated_values_are_told_row_by_row(spark, monkeypatch, limit):
+    from drayline.operators import reshape
+
+    monkeypatch.setattr(reshape, "COPIES_PER_ROW", limit)
+    df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 37), ("d", 16), ("e", None)], "k string, n int")
+    got = {r.k: r["count"] for r in reshape.repeat_rows(df, F.col("n")).groupBy("k").count().collect()}
+    assert got == {"b": 1, "c": 37, "d": 16}
+
+
+def test_a_value_repeated_ten_million_times(spark):
+    df = spark.range(10_000_000).select(F.lit(7).cast("bigint").alias("v")).unionByName(spark.range(7).withColumnRenamed("id", "v"))
+    assert checks.sequential_values(df, "v").agg(F.count("*"), F.min("previous_v")).first()[:] == (9_999_999, 7)
