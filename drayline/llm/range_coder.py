@@ -106,7 +106,7 @@ class _Model:
             for count in (self.count2, self.count1, self.count0):
                 count[full] = (count[full] >> 1) + 1
         moved = np.where(literal, kind, USED).astype(np.int8)
-        self.classes += (self.above > moved).view(np.int8) * np.int8(STEP)
+        np.add(self.classes, np.int16(STEP), out=self.classes, where=self.above > moved)
         full = np.flatnonzero(self.classes[-1] > LIMIT)
         if len(full):
             self.classes[1:, full] = np.cumsum((np.diff(self.classes[:, full], axis=0) >> 1) + 1, axis=0)
@@ -127,26 +127,31 @@ class _Coder:
         self.place = np.zeros(lanes, dtype=np.int64)
 
     def narrow(self, begin: np.ndarray, size: np.ndarray, unit: np.ndarray) -> None:
+        """Go to a part of the range, without giving out words yet."""
         self.low += _u(begin) * unit
         self.range = _u(size) * unit
-        while True:
-            close = (self.low ^ (self.low + self.range)) < _TOP
-            short = self.range < _BOTTOM
-            now = np.flatnonzero(close | short)
-            if not len(now):
-                return
-            cut = now[~close[now]]
-            self.range[cut] = (np.uint64(0) - self.low[cut]) & (_BOTTOM - np.uint64(1))
+
+    def settle(self) -> None:
+        """Give out the words that are certain and widen the range again."""
+        now = np.flatnonzero(((self.low ^ (self.low + self.range)) < _TOP) | (self.range < _BOTTOM))
+        while len(now):
+            low, width = self.low[now], self.range[now]
+            open_ = (low ^ (low + width)) >= _TOP
+            if open_.any():
+                width = np.where(open_, (np.uint64(0) - low) & (_BOTTOM - np.uint64(1)), width)
             self.shift(now)
-            self.low[now] <<= _16
-            self.range[now] <<= _16
+            low, width = low << _16, width << _16
+            self.low[now], self.range[now] = low, width
+            now = now[((low ^ (low + width)) < _TOP) | (width < _BOTTOM)]
 
 
 class _Writer(_Coder):
     def __init__(self, lanes: int, ids: int):
-        super().__init__(lanes, np.zeros((lanes, 5 * ids + 8), dtype="<u2"))
+        super().__init__(lanes, np.zeros((lanes, ids + 64), dtype="<u2"))
 
     def shift(self, now: np.ndarray) -> None:
+        if self.place[now].max() >= self.words.shape[1]:
+            self.words = np.concatenate([self.words, np.zeros_like(self.words[:, : self.words.shape[1] // 2 + 1])], axis=1)
         self.words[now, self.place[now]] = self.low[now] >> _48
         self.place[now] += 1
 
@@ -194,6 +199,7 @@ def _lanes(model: _Model, coder: _Coder, ids: np.ndarray | None, count: int, out
         end = np.where(literal, model.total, np.where(is2, model.share2, model.upto1))
         coder.narrow(begin, end - begin, unit)
 
+        # The totals of both steps together stay below the least range, so words need to go out only after the second.
         total = np.where(literal, model.classes[-1], 1).astype(np.int32)
         unit = coder.range // _u(total)
         if ids is not None:
@@ -204,6 +210,7 @@ def _lanes(model: _Model, coder: _Coder, ids: np.ndarray | None, count: int, out
         begin = model.classes[kind, lanes]
         size = np.where(literal, model.classes[kind + 1, lanes] - begin, 1)
         coder.narrow(np.where(literal, begin, 0), size, unit)
+        coder.settle()
 
         bits = np.where(literal, BITS[kind], 0)
         unit = coder.range >> bits.astype(np.uint64)
@@ -214,6 +221,7 @@ def _lanes(model: _Model, coder: _Coder, ids: np.ndarray | None, count: int, out
             now = np.where(literal, (BASE[kind] + rest).astype(np.uint16), np.where(is2, model.id2, model.id1))
             out[:, t] = now
         coder.narrow(rest, one, unit)
+        coder.settle()
         model.learn(now, is2, is1, literal, kind)
 
 

@@ -11,7 +11,7 @@ are committed and forgotten.  Memory does not grow with the text.
 A boundary between two characters that no piece has side by side is such a
 point of convergence at sight.  Texts are cut there first (before a word mark
 that follows another character), and a worker keeps the ids of the stretches it
-has seen; the cache is bounded and changes the speed only.
+has seen, in two generations; the cache is bounded and changes the speed only.
 
 Scores are those of the model file, whatever its training method.  A unigram
 model's own encoder searches for the same maximum; the merges of a BPE model
@@ -34,8 +34,9 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Positions between two looks for a convergence.
 LOOK_EVERY = 64
-CACHED_STRETCHES = 500_000
-CACHED_CHARS = 32 << 20
+#: Of one generation of the cache.
+CACHED_STRETCHES = 250_000
+CACHED_CHARS = 16 << 20
 
 
 class Codec:
@@ -48,7 +49,12 @@ class Codec:
         ids = range(p.get_piece_size())
         plain = [i for i in ids if not (p.is_control(i) or p.is_unknown(i) or p.is_unused(i) or p.is_byte(i))]
         self.pieces = {p.id_to_piece(i): (p.get_score(i), i) for i in plain}
-        self.prefixes = {piece[:k] for piece in self.pieces for k in range(1, len(piece) + 1)}
+        self.tree: list = [{}, None]  # a node: what follows by character, and the score of the piece that ends here
+        for piece, (score, _) in self.pieces.items():
+            node = self.tree
+            for sign in piece:
+                node = node[0].setdefault(sign, [{}, None])
+            node[1] = score
         self.longest = max(map(len, self.pieces), default=1)
         self.unknown = min((s for s, _ in self.pieces.values()), default=0.0) - UNKNOWN_PENALTY
         self.bytes = {int(p.id_to_piece(i)[1:-1], 16): i for i in ids if p.is_byte(i)}
@@ -64,38 +70,39 @@ class Codec:
         inner = any(a != MARK and b == MARK for piece in self.pieces for a, b in zip(piece, piece[1:], strict=False))
         self.stretch = re.compile(r"(?s).+" if inner else f"{MARK}*[^{MARK}]+|{MARK}+")
         self.known: dict[str, bytes] = {}
+        self.elder: dict[str, bytes] = {}
         self.held = 0
 
     def search(self, text: str) -> list[int]:
         """Ids of a normalised text."""
-        pieces, prefixes, unknown = self.pieces, self.prefixes, self.unknown
+        tree, unknown, longest = self.tree, self.unknown, self.longest
         out: list[int] = []
         size, base = len(text), 0
-        score: list[float | None] = [0.0]  # of positions base, base + 1, ...
-        back: list[int] = [0]
+        room = min(size, LOOK_EVERY + longest) + 1
+        score: list[float | None] = [0.0, *[None] * (room - 1)]  # of positions base, base + 1, ...
+        back: list[int] = [0] * room
         at = 0
         while at < size:
             here = score[at - base]
-            need = min(self.longest, size - at) + at - base + 1
-            if need > len(score):
-                score += [None] * (need - len(score))
-                back += [0] * (need - len(back))
-            end, single = at + 1, False
-            while end <= size:
-                part = text[at:end]
-                if part not in prefixes:
+            missing = min(longest, size - at) + at - base + 1 - len(score)
+            if missing > 0:
+                score += [None] * missing
+                back += [0] * missing
+            place, node, end = at - base, tree, at
+            while end < size:
+                node = node[0].get(text[end])
+                if node is None:
                     break
-                found = pieces.get(part)
-                if found is not None:
-                    single |= end == at + 1
-                    total = here + found[0]
-                    if score[end - base] is None or total > score[end - base]:
-                        score[end - base], back[end - base] = total, at
                 end += 1
-            if not single:
-                total = here + unknown
-                if score[at + 1 - base] is None or total > score[at + 1 - base]:
-                    score[at + 1 - base], back[at + 1 - base] = total, at
+                place += 1
+                if node[1] is not None:
+                    total = here + node[1]
+                    if score[place] is None or total > score[place]:
+                        score[place], back[place] = total, at
+            if text[at] not in self.pieces:
+                total, place = here + unknown, at + 1 - base
+                if score[place] is None or total > score[place]:
+                    score[place], back[place] = total, at
             at += 1
             if at % LOOK_EVERY == 0 and at < size:
                 meet = self._convergence(score, back, base, at)
@@ -132,12 +139,15 @@ class Codec:
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         if len(self.known) > CACHED_STRETCHES or self.held > CACHED_CHARS:
-            self.known, self.held = {}, 0
+            self.elder, self.known, self.held = self.known, {}, 0
         known, out = self.known, []
         for stretch in self.stretch.findall(self.processor.normalize(text)):
             ids = known.get(stretch)
             if ids is None:
-                ids = known[stretch] = np.array(self.search(stretch), dtype="<u4").tobytes()
+                ids = self.elder.get(stretch)
+                if ids is None:
+                    ids = np.array(self.search(stretch), dtype="<u4").tobytes()
+                known[stretch] = ids
                 self.held += len(stretch)
             out.append(ids)
         return b"".join(out)
