@@ -73,6 +73,7 @@ class MonitorConfig:
     time_bucket: Period = field(default_factory=lambda: Period("day", 1))
     days_back: int = 14
     backfill_days: int = 2
+    freshness_lead_days: int = FRESHNESS_LEAD_DAYS
     training_period: Period | None = None
     detection_period: Period | None = None
     detection_delay: Period = field(default_factory=lambda: Period("hour", 0))
@@ -316,7 +317,7 @@ def freshness_metric(
     the list of hours.
     """
     span = span or planned_range(config)
-    lead = span[0] - timedelta(days=FRESHNESS_LEAD_DAYS)
+    lead = span[0] - timedelta(days=config.freshness_lead_days)
     end = _last_complete(span[0], span[1], config.time_bucket)
     ts = F.col(config.timestamp_column).cast("timestamp")
     rows = _in_range(_monitored(df, config), config.timestamp_column, lead, end)

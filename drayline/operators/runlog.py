@@ -129,11 +129,12 @@ def source_freshness_alerts(
 
 
 def sampled_result_rows(violations: DataFrame, result_id: str, as_of: datetime | None = None, sample: int = 5) -> DataFrame:
-    """A sample of violating rows as JSON."""
+    """The first violating rows as JSON, in the order of their JSON text: the same in every run."""
     moment = as_of_timestamp(as_of)
-    return violations.limit(sample).select(
+    text = F.to_json(F.struct(*violations.columns), {"ignoreNullFields": "false"}).alias("result_row")
+    return violations.select(text).orderBy("result_row").limit(sample).select(
         F.lit(result_id).alias("test_result_id"),
-        F.to_json(F.struct(*violations.columns), {"ignoreNullFields": "false"}).alias("result_row"),
+        "result_row",
         moment.alias("detected_at"),
         moment.alias("created_at"),
     )

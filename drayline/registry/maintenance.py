@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from drayline.operators import incremental
 from drayline.registry.base import Tables, query
-from drayline.session import shared_dir
+from drayline.session import cut_lineage, shared_dir
+from drayline.sources import tables
 from drayline.sources.tables import PartitionedTable, SnapshotTable, partition_for_series, with_key_bucket
 
 _BALANCE = "CASE WHEN c_custkey % 3 = 0 THEN c_acctbal * 2 ELSE c_acctbal END"
@@ -286,5 +287,61 @@ def series_by_day(t: Tables) -> DataFrame:
     return stored.groupBy("user_id", "event_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("table_from_query", "SELECT n_nationkey, n_name, n_regionkey FROM nation JOIN region ON n_regionkey = r_regionkey")
+def table_from_query(t: Tables) -> DataFrame:
+    """A catalog table made from a query, partitioned and read back by name."""
+    name = f"made_{_run()}"
+    joined = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "n_regionkey")
+    tables.create_table_as(joined, name, partition_by=["n_regionkey"])
+    stored = cut_lineage(t.spark.table(name).select("n_nationkey", "n_name", "n_regionkey"), "table")
+    tables.drop_relation(t.spark, name)
+    return stored
+
+
+@query("inserted_rows", "SELECT n_nationkey, n_name FROM nation")
+def inserted_rows(t: Tables) -> DataFrame:
+    """Rows of the driver (25 nations) appended in chunks of seven."""
+    path = f"{shared_dir(t.spark)}/inserted_rows-{_run()}"
+    rows = t.nation.select("n_nationkey", "n_name")
+    tables.insert_rows(t.spark, (tuple(r) for r in rows.toLocalIterator()), rows.schema, path, chunk_size=7)
+    return t.spark.read.schema(rows.schema).parquet(path)
+
+
+@query("seed_rows", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def seed_rows(t: Tables) -> DataFrame:
+    """A table written as CSV and read back as a seed with its types."""
+    path = f"{shared_dir(t.spark)}/seed-{_run()}"
+    rows = t.customer.select("c_custkey", "c_name", "c_acctbal")
+    rows.write.option("header", True).csv(path)
+    return tables.read_seed(t.spark, path, rows.schema)
+
+
+@query("typed_empty_union", "SELECT r_regionkey, r_name, CAST(NULL AS TIMESTAMP) AS loaded_at FROM region")
+def typed_empty_union(t: Tables) -> DataFrame:
+    """An empty table of declared columns gives a union its missing column, typed."""
+    empty = incremental.typed_empty(t.spark, [("r_regionkey", t.region.schema["r_regionkey"].dataType.simpleString()), ("r_name", "string"), ("loaded_at", "timestamp_ntz")])
+    return empty.unionByName(t.region.select("r_regionkey", "r_name"), allowMissingColumns=True)
+
+
+@query("replaced_rows", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 4 = 1")
+def replaced_rows(t: Tables) -> DataFrame:
+    """All rows of a stored table replaced, its columns kept."""
+    table = SnapshotTable(t.spark, f"{shared_dir(t.spark)}/replaced_rows-{_run()}")
+    table.overwrite(_old_customers(t))
+    table.replace_rows(t.customer.where(F.col("c_custkey") % 4 == 1))
+    return table.read()
+
+
+@query("full_refresh", "SELECT c_custkey, c_name, c_acctbal, c_custkey % 8 AS part FROM customer WHERE c_custkey % 4 <> 1")
+def full_refresh(t: Tables) -> DataFrame:
+    """A full refresh forgets what incremental merges have stored."""
+    folder = shared_dir(t.spark)
+    table = PartitionedTable(t.spark, f"{folder}/full_refresh-{_run()}", ["part"], folder)
+    part = (F.col("c_custkey") % 8).alias("part")
+    table.merge(t.customer.select("c_custkey", "c_name", "c_acctbal", part), ["c_custkey"])
+    table.merge(_old_customers(t).select("*", part), ["c_custkey"], full_refresh=True)
+    return table.read()
+
+
 def _run() -> str:
     return uuid.uuid4().hex

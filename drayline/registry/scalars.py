@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from drayline import functions as fn
+from drayline.functions import casting, text
 from drayline.plans import derived
 from drayline.registry import ctes
 from drayline.registry.base import Tables, query, r, with_ctes
@@ -243,3 +244,28 @@ def safe_casts(t: Tables) -> DataFrame:
     return t.part.select(
         "p_partkey", fn.safe_cast(number, "int").alias("num"), fn.cast_to_timestamp(time).cast("timestamp_ntz").alias("ts")
     )
+
+
+@query(
+    "typed_nulls",
+    "SELECT o_orderkey, CAST(NULL AS DOUBLE) AS missing_number, CAST(NULL AS DATE) AS missing_day, o_orderdate <= CAST(now() AS DATE) AS is_past FROM orders",
+)
+def typed_nulls(t: Tables) -> DataFrame:
+    """Nulls of a type, and the present instant."""
+    return t.orders.select(
+        "o_orderkey",
+        casting.null_as("double").alias("missing_number"),
+        casting.null_as("date").alias("missing_day"),
+        (F.col("o_orderdate").cast("date") <= casting.as_of_timestamp().cast("date")).alias("is_past"),
+    )
+
+
+@query(
+    "slugified_pivot",
+    "SELECT o_custkey, count(*) FILTER (o_orderpriority = '1-URGENT') AS _1_urgent, count(*) FILTER (o_orderpriority = '4-NOT SPECIFIED') AS _4_not_specified FROM orders GROUP BY 1",
+)
+def slugified_pivot(t: Tables) -> DataFrame:
+    """Column names made from values."""
+    values = ["1-URGENT", "4-NOT SPECIFIED"]
+    counts = [F.count(F.when(F.col("o_orderpriority") == v, 1)).alias(text.slugify(v)) for v in values]
+    return t.orders.groupBy("o_custkey").agg(*counts)
