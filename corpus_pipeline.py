@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from drayline.llm import use_small_batches
 from drayline.llm.language_id import fit, predict
 from drayline.llm.packing import pack_documents
 from drayline.llm.queries import vocabulary
@@ -28,6 +29,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     The models are fitted on a bounded sample of the labelled documents of the
     input.  Documents that stay are unchanged.
     """
+    use_small_batches(spark)
     models = fit(docs.select("text", "lang"))
     judged = predict(docs.withColumnRenamed("text", "__text"), models, "__text")
     return judged.where(~F.col("rejected")).withColumnRenamed("__text", "text").select(*docs.columns)
@@ -35,6 +37,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document, that of the smallest id, of each group of SimHash near-duplicates."""
+    use_small_batches(spark)
     run = RunFolder(spark, "near_duplicates")
     return run.result(keep_one(docs, run))
 
@@ -46,6 +49,7 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     follows the text.  A document of which nothing but blanks is left after a
     cut is dropped; all others stay, untouched where nothing repeats.
     """
+    use_small_batches(spark)
     run = RunFolder(spark, "repeated_passages")
     found = repeated_spans(docs, run)
     found = found.withColumn("text", F.col("kept")).where((F.col("n_removed") == 0) | (F.length(F.trim("text")) > 0))
@@ -57,6 +61,7 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the token ids of the documents into sequences of at most 4096."""
+    use_small_batches(spark)
     run = RunFolder(spark, "packing")
     packed = pack_documents(docs.select("doc_id", "text"), run, vocabulary("word_bpe_49k.json"), want_ids=False)
     return run.result(packed)

@@ -164,6 +164,7 @@ def _tiles(vectors: DataFrame, axes: np.ndarray, run: RunFolder, label: str, til
     celled = placed.withColumn("cell", cell)
     parts = celled.groupBy("cell").agg(F.ceil(F.count("*") / tile).alias("parts"))
     dealt = celled.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    dealt = dealt.repartition("cell", "part")  # else the join's partitioning by cell would keep a large cell in one task
 
     def gather(table: pa.Table) -> pa.Table:
         ids, counts = table.column("id").to_numpy(), table.column("n").to_numpy()

@@ -8,7 +8,7 @@ that passes to the next shorter context.  A text is given the language of least
 cross-entropy per symbol.  Further labelled texts calibrate how far above the
 usual a cross-entropy may lie; beyond that the text is rejected.
 
-The score of a word does not depend on its neighbours, so a worker scores each
+The score of a word does not depend on its neighbours, so a task scores each
 different word once; the cache is bounded and changes the speed only.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 ORDER = 5
 #: Labelled texts counted for each language, and as many more for the calibration, on average.
-SAMPLE_DOCS = 1500
+SAMPLE_DOCS = 800
 #: Texts and different words that a task handles at a time.
 TEXTS_AT_A_TIME, WORDS_AT_A_TIME = 128, 20_000
 START, END = 2, 3
@@ -247,9 +247,6 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
     return models
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def predict(docs: DataFrame, models: list[Model], text_col: str = "text", order: int = ORDER) -> DataFrame:
     """The input's columns, then ``lang_pred``, ``score``, ``cross_entropy`` (nats a symbol) and ``rejected``.
 
@@ -270,10 +267,7 @@ def predict(docs: DataFrame, models: list[Model], text_col: str = "text", order:
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = shared.value
-        if id(models) not in _scorers:
-            _scorers.clear()
-            _scorers[id(models)] = Scorer(models, order)
-        scorer = _scorers[id(models)]
+        scorer = Scorer(models, order)  # of this task alone: an idle worker keeps nothing
         langs = np.array([*[m.lang for m in models], UNDETERMINED], dtype=object)
         for batch in batches:
             totals = scorer.totals(batch.column(at).to_pylist())

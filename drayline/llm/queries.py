@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from drayline.llm import use_small_batches
 from drayline.registry.base import Query, Tables
 from drayline.session import RunFolder, use_utc
 
@@ -29,6 +30,7 @@ def _corpus_query(name: str, sql: str | None = None):
     def register(function: Callable[[Tables, RunFolder], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             use_utc(spark)
+            use_small_batches(spark)
             folder = RunFolder(spark, name)
             try:
                 return folder.result(function(Tables(spark, sf_dir), folder))
