@@ -23,6 +23,15 @@ from drayline.session import RunFolder, use_utc
 ORACLE_SQL = None
 
 
+def _by_place(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The documents with columns named by place, and the place of each name: no name can clash with a stage's own."""
+    return docs.toDF(*[f"d{i}" for i in range(len(docs.columns))]), {c: f"d{i}" for i, c in enumerate(docs.columns)}
+
+
+def _named(df: DataFrame, docs: DataFrame) -> DataFrame:
+    return df.select(*[f"d{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that language identification rejects: null, without a letter, or like no known language.
 
@@ -30,9 +39,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     input.  Documents that stay are unchanged.
     """
     use_small_batches(spark)
-    models = fit(docs.select("text", "lang"))
-    judged = predict(docs.withColumnRenamed("text", "__text"), models, "__text")
-    return judged.where(~F.col("rejected")).withColumnRenamed("__text", "text").select(*docs.columns)
+    plain, place = _by_place(docs)
+    judged = predict(plain, fit(docs, "text", "lang"), place["text"])
+    return _named(judged.where(~F.col("rejected")), docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,12 +60,14 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     use_small_batches(spark)
     run = RunFolder(spark, "repeated_passages")
-    found = repeated_spans(docs, run)
-    found = found.withColumn("text", F.col("kept")).where((F.col("n_removed") == 0) | (F.length(F.trim("text")) > 0))
-    if "n_chars" in docs.columns:
-        counted = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        found = found.withColumn("n_chars", counted.cast(docs.schema["n_chars"].dataType))
-    return run.result(found.select(*docs.columns))
+    plain, place = _by_place(docs)
+    text = place["text"]
+    found = repeated_spans(plain, run, text).withColumn(text, F.col("kept"))
+    found = found.where((F.col("n_removed") == 0) | (F.length(F.trim(text)) > 0))
+    if "n_chars" in place:
+        counted = F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col(place["n_chars"]))
+        found = found.withColumn(place["n_chars"], counted.cast(docs.schema["n_chars"].dataType))
+    return run.result(_named(found, docs))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,13 +75,14 @@ def test_against_brute_force(spark, tmp_path, rows):
 
 
 def test_stages_keep_columns_and_handle_nothing(spark, rows):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, extra array<int>"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept array<int>, score string, row int"
     empty = spark.createDataFrame([], schema)
-    docs = spark.createDataFrame([(*r, [1]) for r in rows[:20]] + [(None, None, None, None, None, None)] * 2, schema)
+    docs = spark.createDataFrame([(*r, [1], 'mine', 7) for r in rows[:20]] + [(None,) * 8] * 2, schema)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, empty, "").collect() == []
         made = stage(spark, docs, "")
         assert made.columns == docs.columns and made.dtypes == docs.dtypes and made.count() >= 15
+        assert made.where("score IS NOT NULL").select("kept", "score", "row").distinct().collect() == [([1], "mine", 7)]
     assert corpus_pipeline.STAGES[-1][1](spark, empty, "").collect() == []
 
 
