@@ -176,3 +176,16 @@ def test_cut_lineage_uses_the_shared_folder(spark):
     df = session.cut_lineage(spark.range(5), "x")
     assert df.count() == 5
     assert session.shared_dir(spark) in df.inputFiles()[0]
+
+
+def test_run_folder_ends(spark, rows):
+    from pathlib import Path
+
+    run = session.RunFolder(spark, "label")
+    kept = run.keep(spark.range(3), "a")
+    stored = run.keep_bucketed(spark.range(10), "b", "id", 3)
+    plan = kept.join(stored, "id")._jdf.queryExecution().executedPlan().toString()
+    assert kept.join(stored, "id").count() == 3 and plan
+    outcome = run.result(kept.withColumn("x", F.lit(1)))
+    assert not Path(run.path).exists() and rows(outcome) == [(0, 1), (1, 1), (2, 1)]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("run_")]
