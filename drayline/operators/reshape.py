@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from drayline.functions import Period, empty_to_null, moment, slugify
 
-MAX_SPINE_ROWS = 10_000_000
+MAX_SPINE_ROWS = 1_000_000
 
 
 # --- columns -----------------------------------------------------------------
