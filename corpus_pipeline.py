@@ -4,6 +4,9 @@
 returns a DataFrame, which is written and read again as the next one's input.
 The first three return the columns of ``documents``; the last returns packed
 pieces.
+
+A stage's result reads the intermediate tables of its operator, which stay until
+``finish_stages`` is called after the result has been written, as ``run`` does.
 """
 
 from __future__ import annotations
@@ -23,6 +26,20 @@ from drayline.session import RunFolder, use_utc
 ORACLE_SQL = None
 
 
+_open: list[RunFolder] = []
+
+
+def _folder(spark: SparkSession, label: str) -> RunFolder:
+    _open.append(RunFolder(spark, label))
+    return _open[-1]
+
+
+def finish_stages() -> None:
+    """Remove the intermediate tables of all stages whose results have been written."""
+    while _open:
+        _open.pop().close()
+
+
 def _by_place(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """The documents with columns named by place, and the place of each name: no name can clash with a stage's own."""
     return docs.toDF(*[f"d{i}" for i in range(len(docs.columns))]), {c: f"d{i}" for i, c in enumerate(docs.columns)}
@@ -47,8 +64,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document, that of the smallest id, of each group of SimHash near-duplicates."""
     use_small_batches(spark)
-    run = RunFolder(spark, "near_duplicates")
-    return run.result(keep_one(docs, run))
+    return keep_one(docs, _folder(spark, "near_duplicates"))
 
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,23 +75,21 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     cut is dropped; all others stay, untouched where nothing repeats.
     """
     use_small_batches(spark)
-    run = RunFolder(spark, "repeated_passages")
     plain, place = _by_place(docs)
     text = place["text"]
-    found = repeated_spans(plain, run, text).withColumn(text, F.col("kept"))
+    found = repeated_spans(plain, _folder(spark, "repeated_passages"), text).withColumn(text, F.col("kept"))
     found = found.where((F.col("n_removed") == 0) | (F.length(F.trim(text)) > 0))
     if "n_chars" in place:
         counted = F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col(place["n_chars"]))
         found = found.withColumn(place["n_chars"], counted.cast(docs.schema["n_chars"].dataType))
-    return run.result(_named(found, docs))
+    return _named(found, docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the token ids of the documents into sequences of at most 4096."""
     use_small_batches(spark)
-    run = RunFolder(spark, "packing")
-    packed = pack_documents(docs.select("doc_id", "text"), run, vocabulary("word_bpe_49k.json"), want_ids=False)
-    return run.result(packed)
+    run = _folder(spark, "packing")
+    return pack_documents(docs.select("doc_id", "text"), run, vocabulary("word_bpe_49k.json"), want_ids=False)
 
 
 STAGES = [
@@ -94,8 +108,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     try:
         for name, stage in STAGES:
             docs = folder.keep(stage(spark, docs, sf_dir), name)
+            finish_stages()
         return folder.result(docs)
     except BaseException:
+        finish_stages()
         folder.close()
         raise
 
