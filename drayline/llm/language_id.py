@@ -5,8 +5,10 @@ start marks and an end mark.  The grams of a bounded sample of labelled texts
 are counted by Spark; a language's counts become sorted arrays of gram hashes
 with their interpolated probabilities, and of context hashes with the weight
 that passes to the next shorter context.  A text is given the language of least
-cross-entropy per symbol.  Further labelled texts calibrate how far above the
-usual a cross-entropy may lie; beyond that the text is rejected.
+cross-entropy per symbol.  Labelled texts that a model has not counted calibrate
+how far above the usual a cross-entropy may lie; beyond that the text is
+rejected.  Where labelled texts are few, all are counted, and each calibrates by
+a model of the others.
 
 The score of a word does not depend on its neighbours, so a task scores each
 different word once; the cache is bounded and changes the speed only.
@@ -14,6 +16,7 @@ different word once; the cache is bounded and changes the speed only.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -27,9 +30,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 ORDER = 5
 #: Labelled texts counted for each language, and as many more for the calibration, on average.
 SAMPLE_DOCS = 800
+#: A language with no more labelled texts than both together has all of them counted; this many models, each without one part, calibrate it.
+FOLDS = 4
 #: Texts and different words that a task handles at a time.
 TEXTS_AT_A_TIME, WORDS_AT_A_TIME = 128, 20_000
 START, END = 2, 3
+#: Parts of a language that is not dealt to folds.
+COUNTED, MEASURED = -1, -2
 #: Symbols that a model has never seen share the probability of this many.
 UNSEEN = 1000
 #: A text may lie this many times as far above the usual as all but one in a thousand of the calibration texts,
@@ -81,8 +88,9 @@ class Model:
     logp: list[np.ndarray]
     contexts: list[np.ndarray]
     weights: list[np.ndarray]
+    #: A model that nothing has calibrated rejects no text.
     centre: float = 0.0
-    bound: float = LEAST_BOUND
+    bound: float = math.inf
 
     def log_probabilities(self, grams: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each gram's last symbol after the others."""
@@ -141,6 +149,14 @@ def build(lang: str, grams: np.ndarray, counts: np.ndarray) -> Model:
     return Model(lang, keys, logp, contexts, weights)
 
 
+def _build_summed(lang: str, grams: np.ndarray, counts: np.ndarray) -> Model:
+    """``build`` where a gram may stand in several rows, in any order of rows."""
+    by_gram = np.lexsort(grams.T[::-1])
+    grams = grams[by_gram]
+    first = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]).any(axis=1)))
+    return build(lang, grams[first], np.add.reduceat(counts[by_gram], first))
+
+
 class Scorer:
     """Cross-entropies of words under all models, each different word scored once."""
 
@@ -190,22 +206,37 @@ def _surplus(entropy: np.ndarray, centre: float, symbols: np.ndarray) -> np.ndar
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, order: int = ORDER) -> list[Model]:
     """Models of all languages that label a text with a letter.
 
-    About ``2 * sample_docs`` texts of each language are used, whole, or all
-    where there are fewer, drawn by a seeded random number: one half is counted,
-    the other calibrates.  What reaches the driver is bounded by that sample.
+    Of a language with more than ``2 * sample_docs`` such texts about as many
+    are used, whole, drawn by a seeded random number: one half is counted, the
+    other calibrates.  Of any other language all are counted; for the
+    calibration its different texts are dealt to ``FOLDS`` parts, and each part
+    is measured by a model of the other parts.  A language of a single different
+    text has nothing to be measured by and rejects nothing.  What reaches the
+    driver is bounded by that sample.
     """
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
     if not sizes:
         return []
     shares = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, 2.0 * sample_docs / n)])
     drawn = rows.where(F.rand(seed=17) < shares[F.col("lang")])
-    sample = drawn.select("lang", "text", (F.rand(seed=18) < 0.5).alias("count")).persist()
+    sample = drawn.select("lang", "text", F.xxhash64("text").alias("hash"), (F.rand(seed=18) < 0.5).alias("count")).persist()
+    few = [lang for lang, n in sizes.items() if n <= 2 * sample_docs]
+
+    def part_of(batch: pd.DataFrame) -> pd.Series:
+        """The part of each text: a fold of a language with few texts, else ``COUNTED`` or ``MEASURED``."""
+        part = np.where(batch["count"], COUNTED, MEASURED)
+        for lang, at in batch.groupby("lang").indices.items():
+            if lang in places:
+                part[at] = np.searchsorted(places[lang], batch["hash"].to_numpy()[at]) * FOLDS // len(places[lang])
+        return pd.Series(part, index=batch.index, name="part")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for lang, texts in batch[batch["count"]].groupby("lang")["text"]:
+            for (lang, k), texts in batch.groupby(["lang", part_of(batch)])["text"]:
+                if k == MEASURED:
+                    continue
                 seen: Counter[bytes] = Counter()
                 for at in range(0, len(texts), TEXTS_AT_A_TIME):
                     words = [w for t in texts.iloc[at : at + TEXTS_AT_A_TIME] for w in words_of(t)]
@@ -215,26 +246,35 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
                         raw = np.ascontiguousarray(grams[first], dtype="<u4").view(f"V{4 * order}").ravel()
                         for gram, n in zip(raw.tolist(), times.tolist(), strict=True):
                             seen[bytes(gram)] += n
-                yield pd.DataFrame({"lang": lang, "gram": list(seen), "n": list(seen.values())})
+                yield pd.DataFrame({"lang": lang, "part": k, "gram": list(seen), "n": list(seen.values())})
 
     try:
-        counted = sample.mapInPandas(count, "lang string, gram binary, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-        models = []
-        for lang, part in sorted(counted.groupby("lang"), key=lambda x: x[0]):
-            grams = np.frombuffer(b"".join(map(bytes, part["gram"])), dtype="<u4").reshape(-1, order)
-            by_gram = np.lexsort(grams.T[::-1])
-            models.append(build(lang, grams[by_gram], part["n"].to_numpy()[by_gram]))
+        # the different texts of languages with few, at most 2 * sample_docs hashes each
+        hashes = sample.where(F.col("lang").isin(few)).select("lang", "hash").distinct().toPandas() if few else pd.DataFrame({"lang": [], "hash": []})
+        places = {lang: np.sort(x.to_numpy()) for lang, x in hashes.groupby("lang")["hash"]}
+        counted = sample.mapInPandas(count, "lang string, part int, gram binary, n long").groupBy("lang", "part", "gram").agg(F.sum("n").alias("n")).toPandas()
+        models: list[Model] = []
+        measuring: dict[tuple[str, int], Model] = {}
+        for lang, all_parts in sorted(counted.groupby("lang"), key=lambda x: x[0]):
+            grams = np.frombuffer(b"".join(map(bytes, all_parts["gram"])), dtype="<u4").reshape(-1, order)
+            parts, times = all_parts["part"].to_numpy(), all_parts["n"].to_numpy()
+            models.append(_build_summed(lang, grams, times))
+            if lang not in places:
+                measuring[lang, MEASURED] = models[-1]
+            elif len(np.unique(parts)) > 1:
+                for k in np.unique(parts).tolist():
+                    measuring[lang, k] = _build_summed(lang, grams[parts != k], times[parts != k])
         place = {m.lang: i for i, m in enumerate(models)}
-        shared = labelled.sparkSession.sparkContext.broadcast(models)
+        shared = labelled.sparkSession.sparkContext.broadcast(measuring)
 
         def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            scorer = Scorer(shared.value, order)
+            scorers = {key: Scorer([model], order) for key, model in shared.value.items()}
             for batch in batches:
-                batch = batch[~batch["count"] & batch["lang"].isin(list(place))]
-                totals = scorer.totals(batch["text"].tolist())
-                own = entropies(totals)[np.arange(len(batch)), [place[x] for x in batch["lang"]]] if len(batch) else np.empty(0)
-                seen = totals[:, -1] > 0
-                yield pd.DataFrame({"lang": batch["lang"].to_numpy()[seen], "entropy": own[seen], "symbols": totals[seen, -1]})
+                for key, texts in batch.groupby(["lang", part_of(batch)])["text"]:
+                    if key in scorers:
+                        totals = scorers[key].totals(texts.tolist())
+                        totals = totals[totals[:, -1] > 0]
+                        yield pd.DataFrame({"lang": key[0], "entropy": entropies(totals)[:, 0], "symbols": totals[:, -1]})
 
         measured = sample.mapInPandas(measure, "lang string, entropy double, symbols double").toPandas()
     finally:

@@ -80,3 +80,28 @@ def test_messy_and_empty(spark, messy, nothing, labelled):
     assert predict(nothing, models).collect() == []
     assert fit(nothing.withColumnRenamed("block", "lang")) == []
     assert {r.lang_pred for r in predict(messy, []).collect()} == {"und"}
+
+
+def test_languages_of_few_texts(spark, labelled):
+    rnd = random.Random(5)
+    letters = {"one": "abcdefg", "two": "hijklmn", "six": "opqrstu", "odd": "vwxyz"}
+    prose = lambda lang, n: " ".join("".join(rnd.choice(letters[lang]) for _ in range(rnd.randrange(2, 5))) for _ in range(n))
+    for trial in range(4):  # whether a text is counted and another calibrates is not left to chance
+        rows = [(1, prose("one", 300), "one"), *[(k, prose("two", 300), "two") for k in range(2)], *[(k, prose("six", 300), "six") for k in range(6)]]
+        rows += [(7, t, "odd") for t in [prose("odd", 300)] * 2]  # equal texts do not calibrate each other
+        rows += [(8 + k, "12 34", "two") for k in range(5)]  # without a letter
+        models = fit(labelled.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+        assert [m.lang for m in models] == ["aa", "bb", "odd", "one", "six", "two"]
+        by_lang = {m.lang: m for m in models}
+        assert all(m.centre > 0 and math.isfinite(m.bound) for m in (by_lang["six"], by_lang["two"], by_lang["aa"]))
+        assert all(math.isinf(by_lang[x].bound) for x in ("one", "odd"))
+        more = spark.createDataFrame([(k, prose(lang, 300), lang) for lang in letters for k in range(3)], "doc_id long, text string, lang string")
+        assert all(r.lang_pred == r.lang and not r.rejected for r in predict(more, models).collect())
+
+
+def test_all_of_few_texts_are_counted(spark):
+    rows = [(k, f"{w} {w}", "aa") for k, w in enumerate(["alpha", "beta", "gamma", "delta", "omega"])]
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))[0]
+    grams, counts = np.unique(grams_of([w for _, t, _ in rows for w in t.split()])[0], axis=0, return_counts=True)
+    whole = build("aa", grams, counts)
+    assert all(np.array_equal(a, b) for a, b in zip(model.keys + model.logp, whole.keys + whole.logp, strict=True))
