@@ -1,8 +1,12 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections, in built-in functions only.
 
 A paragraph is a piece of text up to and with a line end or a sentence end
-(``.``, ``!`` or ``?`` and the blank after it); joined, the paragraphs are the
-text.  A section is a run of paragraphs up to one whose hash has three low zero
+(``.``, ``!`` or ``?`` and the blank after it, or a full-width one).  One longer
+than ``LONG`` is cut further after words, or after characters of a run without
+blanks, that a hash of the word and the one before picks; what is then still
+longer than ``LONGEST`` is cut at that length.  So no leaf is longer, texts
+without sentences have leaves too, and an edit changes the leaves near it only.
+Joined, the paragraphs are the text.  A section is a run of paragraphs up to one whose hash has three low zero
 bits, so sections depend on what they hold and an edit moves no boundary
 elsewhere.  A section's hash is the SHA-256 of its paragraphs' hashes, the
 root's that of its sections': equal roots mean equal texts, and branches that
@@ -15,11 +19,19 @@ longs and the length of what they share is read off the codes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from drayline.session import RunFolder
 
-PARAGRAPH_END = r"(?<=\n)|(?<=[.!?] )"
+PARAGRAPH_END = r"(?<=\n)|(?<=[.!?] )|(?<=[。！？｡])"
+#: Characters of a paragraph, and of a run without blanks, that stay in one piece.
+LONG, LONG_RUN = 128, 64
+#: One word in so many more than this ends a piece of a long paragraph.
+PIECE_BITS = 7
+#: Characters of the longest leaf.
+LONGEST = 512
 SECTION_BITS = 7
 LENGTH_BITS = 20
 LENGTH_MASK = (1 << LENGTH_BITS) - 1
@@ -27,8 +39,40 @@ LENGTH_MASK = (1 << LENGTH_BITS) - 1
 STRETCH_BYTES = 16 << 20
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also inside a lambda."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _pieces(paragraph: Column) -> Column:
+    """The content-defined pieces of a long paragraph."""
+    words = F.flatten(F.transform(F.split(paragraph, r"(?<=\s)"), lambda w: F.when(F.length(w) > LONG_RUN, F.split(w, "")).otherwise(F.array(w))))
+
+    def cut(words: Column) -> Column:
+        ends = F.filter(
+            F.sequence(F.lit(0), F.size(words) - 1),
+            lambda i: (F.xxhash64(F.get(words, i - 1), F.get(words, i)).bitwiseAND(PIECE_BITS) == 0) | (i == F.size(words) - 1),
+        )
+
+        def piece(ends: Column) -> Column:
+            def joined(end: Column, k: Column) -> Column:
+                begin = F.when(k == 0, 0).otherwise(F.get(ends, k - 1) + 1)
+                return F.array_join(F.slice(words, begin + 1, end - begin + 1), "")
+
+            return F.transform(ends, joined)
+
+        return _with(ends, piece)
+
+    bounded = F.transform(
+        _with(words, cut),
+        lambda x: F.when(F.length(x) > LONGEST, F.regexp_extract_all(x, F.lit(f"(?s).{{1,{LONGEST}}}"), F.lit(0))).otherwise(F.array(x)),
+    )
+    return F.filter(F.flatten(bounded), lambda x: F.length(x) > 0)
+
+
 def _paragraphs(text: Column) -> Column:
-    return F.when(F.length(text) > 0, F.split(text, PARAGRAPH_END)).otherwise(F.array().cast("array<string>"))
+    cut = F.transform(F.split(text, PARAGRAPH_END), lambda x: F.when(F.length(x) > LONG, _pieces(x)).otherwise(F.array(x)))
+    return F.when(F.length(text) > 0, F.flatten(cut)).otherwise(F.array().cast("array<string>"))
 
 
 def _code(paragraph: Column) -> Column:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -65,3 +66,26 @@ def test_messy_and_empty(messy, nothing, run):
     assert merkle.edited_fingerprints(nothing, run).collect() == []
     plan = merkle.edited_fingerprints(messy, run)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_texts_without_sentences(spark, run):
+    rnd = random.Random(3)
+    letters = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    words = lambda n: " ".join(letters("abcdefghij", rnd.randrange(2, 9)) for _ in range(n))
+    han = "".join(map(chr, range(0x4E00, 0x4F00)))
+    texts = [words(80), words(3000), letters(han, 900), letters("abcdefgh0123", 4000), "".join(letters(han, 15) + "。" for _ in range(20)), "x" * 5000, "y z " * 800]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in merkle.edited_fingerprints(df, run).collect():
+        assert r.near_edited > 0.4 and r.near_next < 0.1, r
+    for text, (parts, codes) in zip(texts, ((r.parts, r.codes) for r in merkle.with_tree(df.withColumn("parts", merkle._paragraphs(F.col("text"))), "text", "").orderBy("doc_id").collect()), strict=True):
+        assert "".join(parts) == text and max(map(len, parts)) <= merkle.LONGEST
+        assert sum(c & merkle.LENGTH_MASK for c in codes) == len(text)  # the cap on a leaf's weight is not reached
+
+
+def test_an_edit_inside_a_long_paragraph_stays_local(spark):
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(2, 9))) for _ in range(1000)]
+    rows = [(" ".join(words), " ".join([*words[:500], "inserted", *words[500:]])), ("".join(words), "".join([*words[:500], "i", *words[500:]]))]
+    df = merkle.with_tree(merkle.with_tree(spark.createDataFrame(rows, "a string, b string"), "a", "a_"), "b", "b_")
+    for r in df.select(merkle.likeness(F.col("a_codes"), F.col("b_codes")).alias("near"), merkle.changed_paragraphs("a_", "b_").alias("x"), F.size("a_codes").alias("n")).collect():
+        assert r.near > 0.9 and 1 <= len(r.x) <= 3 and r.n > 50
