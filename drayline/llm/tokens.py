@@ -46,6 +46,8 @@ class WordEncoder:
         suffix = self.tokenizer.model.end_of_word_suffix or ""
         self.closing[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.shortcut = bool(suffix)
+        #: Added tokens are matched in the text as it is, so a text that holds one in any case is not lower-cased.
+        self.special = [x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {"": b""}
         self.elder: dict[str, bytes] = {}
         self.held = 0
@@ -71,7 +73,9 @@ class WordEncoder:
         split = []
         for text in texts:
             if text.isascii():
-                text = text.lower()
+                lower = text.lower()
+                if not any(x in lower for x in self.special):
+                    text = lower
             split.append(_POINT.sub(r" \1", text).replace("\n", " ").split(" "))
         if len(self.known) > CACHED_WORDS or self.held > CACHED_CHARS:
             self.elder, self.known, self.held = self.known, {"": b""}, 0

@@ -32,6 +32,13 @@ def test_word_by_word_equals_whole_text(tokenizer, monkeypatch):
             monkeypatch.setattr(tokens, "CACHED_WORDS", 10)
 
 
+def test_special_tokens_in_another_case(tokenizer):
+    encoder = tokens.WordEncoder(VOCABULARY)
+    for sign in ("<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext|>", "<|STARTOFTEXT|>"):
+        for text in (sign, f"One Word {sign} and Another, one.", f"Word{sign}Word {sign.lower()} é", f"Word{sign}word {sign.lower()}\nEnd."):
+            assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_tournament_tree_is_first_fit():
     rnd = random.Random(2)
     lengths = np.array([rnd.randrange(1, 40) for _ in range(300)])
