@@ -44,6 +44,11 @@ def _matrix(vectors: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(vectors), dtype="<f8").reshape(len(vectors), -1)
 
 
+def _scaled(vector: np.ndarray) -> np.ndarray:
+    """The vector times the power of two that puts its largest component between a half and one, so that no sum of squares runs over or under."""
+    return np.ldexp(vector, -np.frexp(np.abs(vector).max())[1])
+
+
 def _steps(width: int) -> list[int]:
     """Numbers of leading coordinates: a quarter, a half and all."""
     return sorted({max(1, width // 4), max(1, width // 2), width})
@@ -220,15 +225,15 @@ def near_duplicates(
     table gives an empty result.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    nonzero = F.exists("v", lambda x: x != 0)
     finite = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    usable = F.coalesce(F.col("id").isNotNull() & (F.size("v") > 0) & finite & (square > 0) & (square < float("inf")), F.lit(False))
+    usable = F.coalesce(F.col("id").isNotNull() & (F.size("v") > 0) & finite & nonzero, F.lit(False))
     rows = run.keep(rows.withColumn("v", F.when(usable, F.col("v"))), "rows")
     distinct = rows.where("v IS NOT NULL").groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = [np.asarray(v, dtype="<f8") for v in batch.column(2).to_pylist()]
+            cells = [_scaled(np.asarray(v, dtype="<f8")) for v in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([c.tobytes() for c in cells], pa.binary()), pa.array([len(c) for c in cells], pa.int32())],
                 names=["id", "n", "vector", "width"],

@@ -58,3 +58,12 @@ def test_empty_and_only_bad(spark, run):
     bad = spark.createDataFrame([(1, [0.0, 0.0]), (2, None)], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, near_duplicates(bad, other).collect())) == [(1, 0, 1, True), (2, 0, 2, True)]
     other.close()
+
+
+def test_components_of_any_finite_size(spark, run):
+    shape = [3.0, -1.0, 2.0]
+    rows = [(k, [x * size for x in shape]) for k, size in enumerate([1.0, 1e-200, 1e200, 5e307, 1e-320])]
+    rows += [(10, [1e-200, 1e-200, 0.0]), (11, [1e-200, 1e-200, 0.0]), (12, [-1.0, -3.0, 2e200]), (13, [-0.0, 0.0, 0.0]), (14, [-0.0, 0.0, 0.0])]
+    got = near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), run).collect()
+    links = {0: 4, 1: 4, 2: 4, 3: 4, 4: 4, 10: 1, 11: 1}
+    assert sorted(map(tuple, got)) == [(d, links.get(d, 0), 0 if d < 5 else 10 if d == 11 else d, d not in (1, 2, 3, 4, 11)) for d, _ in rows]
