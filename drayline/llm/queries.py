@@ -174,3 +174,11 @@ def op3_sentencepiece(t: Tables, run: RunFolder) -> DataFrame:
     from drayline.llm.sentencepiece_codec import round_trip
 
     return round_trip(t.documents.select("doc_id", "text"), vocabulary("piece_bpe_32k.model"))
+
+
+@_corpus_query("op11_token_alignment")
+def op11_token_alignment(t: Tables, run: RunFolder) -> DataFrame:
+    from drayline.llm.token_alignment import align_tokens
+
+    docs = t.documents.select("doc_id", "text")
+    return align_tokens(docs, run, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
