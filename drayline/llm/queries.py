@@ -182,3 +182,12 @@ def op11_token_alignment(t: Tables, run: RunFolder) -> DataFrame:
 
     docs = t.documents.select("doc_id", "text")
     return align_tokens(docs, run, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@_corpus_query("op13_warc")
+def op13_warc(t: Tables, run: RunFolder) -> DataFrame:
+    from drayline.llm.warc import capture_index, write_archives
+
+    write_archives(t.pages, run, f"{run.path}/archives", least_bytes=0)
+    index = capture_index(t.spark, f"{run.path}/archives", run)
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "part", "place")
