@@ -1,14 +1,16 @@
 """Web archives: WARC files written and read by Spark, and one index of all captures in order.
 
-Writing.  Captures are stored once with the digest of their payload.  The
+Writing.  Captures are stored once, payloads packed, with their digests.  The
 first capture of a payload is a ``response`` record, all later ones are
 ``revisit`` records that name it; which payloads repeat comes from one row a
 payload and task.  Records are written by Spark's text writer, which puts the
 bytes of a column into files as they are, so its commit protocol holds and any
-shared store will do.  An archive is one file of a bounded size.
+shared store will do.  An archive is one file of a bounded size: a Zstandard
+frame for each record, so that a record can be read alone, and between them
+the writer's line end, which is chosen to be an empty skippable frame.
 
-Reading.  An archive is parsed by the lengths in its headers, and payloads are
-held against their digests.
+Reading.  Frames are unpacked one by one, records are checked against the
+lengths in their headers and payloads against their digests.
 
 Index.  Each archive gives a run of its captures sorted by URL key, time and
 place.  A sample of keys cuts the order into ranges; every run is cut at the same
@@ -28,6 +30,7 @@ from datetime import datetime, timezone
 from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from drayline.session import RunFolder
@@ -43,6 +46,7 @@ HOT_COPIES = 20_000
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EOL = b"\r\n"
+SKIP = b"P*M\x18\0\0\0\0"  # an empty skippable frame
 
 
 class Malformed(ValueError):
@@ -78,7 +82,7 @@ def _plain(value: str) -> str:
 
 
 def record(kind: str, identity: str, url: str | None, at: datetime, payload: bytes, digest: str, first: tuple[str, str | None, datetime] | None) -> bytes:
-    """One record without its last line end; a revisit keeps the HTTP head only and names the first capture."""
+    """One record; a revisit keeps the HTTP head only and names the first capture."""
     stamp = lambda t: t.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head + payload if kind == "response" else head
@@ -95,7 +99,7 @@ def record(kind: str, identity: str, url: str | None, at: datetime, payload: byt
         lines += [f"WARC-Refers-To-Target-URI: {_plain(target)}"] if target is not None else []
         lines += [f"WARC-Refers-To-Date: {stamp(date)}"]
     lines += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
-    return VERSION + EOL + "\r\n".join(lines).encode() + EOL + EOL + block + EOL
+    return VERSION + EOL + "\r\n".join(lines).encode() + EOL + EOL + block + EOL + EOL
 
 
 def _headers(data: bytes, at: int) -> tuple[dict[bytes, bytes], int]:
@@ -106,31 +110,46 @@ def _headers(data: bytes, at: int) -> tuple[dict[bytes, bytes], int]:
     return {k.lower(): v.strip() for k, _, v in (line.partition(b":") for line in lines[1:])}, end + 4
 
 
-def parse(data: bytes) -> Iterator[dict]:
-    """The records of an archive in their order, with offset and length."""
-    at = 0
+def frames(data: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, length and content of each record's frame; the skippable frame after it counts as part of it."""
+    unpack, at = zstandard.ZstdDecompressor(), 0
     while at < len(data):
-        if not data.startswith(VERSION + EOL, at):
+        end = data.find(SKIP, at)
+        while True:
+            if end < 0:
+                raise Malformed(f"no whole frame begins at {at}")
+            try:
+                content = unpack.decompress(data[at:end])
+                break
+            except zstandard.ZstdError:  # the sign may stand inside a frame by chance
+                end = data.find(SKIP, end + 1)
+        yield at, end + len(SKIP) - at, content
+        at = end + len(SKIP)
+
+
+def parse(data: bytes) -> Iterator[dict]:
+    """The records of an archive in their order, with offset and length in it."""
+    for at, length, raw in frames(data):
+        if not raw.startswith(VERSION + EOL):
             raise Malformed(f"no record begins at {at}")
-        head, body = _headers(data, at)
+        head, body = _headers(raw, 0)
         try:
             end = body + int(head[b"content-length"])
             kind, digest = head[b"warc-type"].decode(), head[b"warc-payload-digest"].decode().removeprefix("sha1:")
-            inner, payload = _headers(data, body)
+            inner, payload = _headers(raw, body)
             size = int(inner[b"content-length"])
         except (KeyError, ValueError) as error:
             raise Malformed(f"the record at {at} lacks a header: {error}") from error
-        if data[end : end + 4] != EOL + EOL or payload > end:
+        if raw[end:] != EOL + EOL or payload > end:
             raise Malformed(f"the record at {at} does not end where it says")
-        if kind == "response" and (end - payload != size or payload_digest(data[payload:end]) != digest):
+        if kind == "response" and (end - payload != size or payload_digest(raw[payload:end]) != digest):
             raise Malformed(f"the payload of the record at {at} is damaged")
         name = lambda field: head[field].decode().removeprefix("<urn:capture:").removesuffix(">") if field in head else None  # noqa: B023, E731
         yield {
             "identity": name(b"warc-record-id"), "url": head[b"warc-target-uri"].decode() if b"warc-target-uri" in head else None,
             "at": head[b"warc-date"].decode(), "kind": kind, "digest": digest, "size": size,
-            "refers_to": name(b"warc-refers-to"), "offset": at, "length": end + 4 - at,
+            "refers_to": name(b"warc-refers-to"), "offset": at, "length": length,
         }
-        at = end + 4
 
 
 class LoserTree:
@@ -174,16 +193,26 @@ class LoserTree:
             self._replay(run)
 
 
-_NAMES = ("page_id", "url", "captured_at", "payload")
-
-
 def _stored_captures(pages: DataFrame, run: RunFolder, id_col: str, url_col: str, payload_col: str, time_col: str | None) -> DataFrame:
     """The pages with digests, stored once; ``row`` names each of them from then on."""
     at = F.col(time_col).cast("timestamp") if time_col else F.timestamp_seconds(F.coalesce(F.col(id_col).cast("long"), F.lit(0)))
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     plain = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(at, F.timestamp_seconds(F.lit(0))).alias("captured_at"), payload.alias("payload"))
-    digests = plain.withColumn("digest", F.unhex(F.sha1("payload"))).withColumn("size", F.octet_length("payload"))
-    return run.keep(digests.withColumn("row", F.monotonically_increasing_id()), "captures")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = zstandard.ZstdCompressor()
+        for batch in batches:
+            payloads = batch.column(3).to_pylist()
+            made = [
+                pa.array([hashlib.sha1(x).digest() for x in payloads], pa.binary()),
+                pa.array([len(x) for x in payloads], pa.int64()),
+                pa.array([small.compress(x) for x in payloads], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=[*names, "digest", "size", "packed"])
+
+    names = ["page_id", "url", "captured_at"]
+    schema = T.StructType([*plain.schema.fields[:3], T.StructField("digest", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("packed", T.BinaryType())])
+    return run.keep(plain.mapInArrow(pack, schema).withColumn("row", F.monotonically_increasing_id()), "captures")
 
 
 def mark_revisits(captures: DataFrame, run: RunFolder, least_bytes: int) -> DataFrame:
@@ -217,7 +246,7 @@ def write_archives(
     time_col: str | None = None,
     least_bytes: int = 0,
 ) -> None:
-    """Write one record a row below ``path`` as ``archive=<n>/*.txt``, each folder one WARC file of about ``ARCHIVE_BYTES``.
+    """Write one record a row below ``path`` as ``archive=<n>/*.txt``, each folder one packed WARC file of about ``ARCHIVE_BYTES``.
 
     Captures whose payload of at least ``least_bytes`` bytes an earlier capture
     has become revisits.  Null payloads are empty ones, null URLs are left out,
@@ -230,30 +259,32 @@ def write_archives(
     marks = mark_revisits(captures, run, least_bytes)
     # Rows are dealt by their number, so no payload and no URL gathers in one task.
     joined = captures.join(marks, "row", "left").select(
-        "row", "page_id", "url", "captured_at", "payload", "digest", "first_page_id", "first_url", "first_captured_at", "revisit"
+        "row", "page_id", "url", "captured_at", "packed", "digest", "first_page_id", "first_url", "first_captured_at", "revisit"
     )
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small, unpack = zstandard.ZstdCompressor(), zstandard.ZstdDecompressor()
         number, held = None, 0
         for batch in batches:
             made, archives = [], []
             columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-            for row, page, url, at, payload, digest, first, first_url, first_at, again in zip(*columns, strict=True):
+            for row, page, url, at, packed, digest, first, first_url, first_at, again in zip(*columns, strict=True):
                 named = lambda x: "" if x is None else str(x)
                 origin = (named(first), first_url, first_at) if again else None
                 kind = "revisit" if again else "response"
-                raw = record(kind, named(page), url, at, payload, base64.b32encode(digest).decode(), origin)
-                if number is None or held + len(raw) + 2 > ARCHIVE_BYTES:
+                whole = record(kind, named(page), url, at, unpack.decompress(packed), base64.b32encode(digest).decode(), origin)
+                raw = small.compress(whole)
+                if number is None or held + len(raw) + len(SKIP) > ARCHIVE_BYTES:
                     number, held = row, 0  # the number of its first row names an archive
-                held += len(raw) + 2
+                held += len(raw) + len(SKIP)
                 made.append(raw)
                 archives.append(number)
             yield pa.RecordBatch.from_arrays([pa.array(archives, pa.int64()), pa.array(made, pa.binary())], names=["archive", "raw"])
 
     records = joined.mapInArrow(build, "archive long, raw binary")
-    # The text writer copies bytes; its line end is the record's last one.
+    # The text writer copies bytes; its line end is the skippable frame.
     lines = records.select("archive", F.col("raw").cast("string").alias("value"))
-    lines.write.partitionBy("archive").option("lineSep", EOL.decode()).mode("errorifexists").text(path)
+    lines.write.partitionBy("archive").option("lineSep", SKIP.decode()).mode("errorifexists").text(path)
 
 
 _RECORD = T.StructType(

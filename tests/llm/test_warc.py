@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
+import zstandard
 
 from drayline.llm import warc
 from drayline.llm.warc import LoserTree, Malformed, capture_index, parse, record, url_key, write_archives
@@ -42,7 +43,7 @@ def pages(seed, n=80):
     return [(i, rnd.choice(urls), rnd.choice([None, *bodies])) for i in rnd.sample(range(1000), n)]
 
 
-@pytest.mark.parametrize("archive_bytes,hot,least", [(32 << 20, 20_000, 0), (900, 3, 0), (1, 3, 20)])
+@pytest.mark.parametrize("archive_bytes,hot,least", [(32 << 20, 20_000, 0), (1500, 3, 0), (1, 3, 20)])
 def test_against_brute_force(spark, run, monkeypatch, archive_bytes, hot, least):
     monkeypatch.setattr(warc, "ARCHIVE_BYTES", archive_bytes)
     monkeypatch.setattr(warc, "HOT_COPIES", hot)
@@ -83,13 +84,26 @@ def test_url_keys():
 
 def test_damage_is_noticed():
     at = datetime(2024, 1, 1, tzinfo=timezone.utc)
-    good = record("response", "1", "http://a/", at, b"payload", warc.payload_digest(b"payload"), None) + b"\r\n"
-    assert [r["size"] for r in parse(good + good)] == [7, 7] and list(parse(b"")) == []
+    good = record("response", "1", "http://a/", at, b"payload", warc.payload_digest(b"payload"), None)
+    framed = lambda raw: zstandard.ZstdCompressor().compress(raw) + warc.SKIP
+    whole = framed(good)
+    assert [r["size"] for r in parse(whole + whole)] == [7, 7] and list(parse(b"")) == []
     for bad in (good[1:], good[:-1], good.replace(b"payload", b"pAyload"), good.replace(b"WARC-Type", b"WARC-Tipe"), good.replace(b"Content-Length: 7", b"Content-Length: 8"), good[:40]):
+        with pytest.raises(Malformed):
+            list(parse(framed(bad)))
+    for bad in (whole[1:], whole[:-1], whole[:-9] + whole[-8:], whole + b"x"):
         with pytest.raises(Malformed):
             list(parse(bad))
 
 
+def test_the_sign_between_frames_may_stand_inside():
+    rnd = random.Random(1)
+    at, noise = datetime(2024, 1, 1, tzinfo=timezone.utc), bytes(rnd.randrange(256) for _ in range(500)) + warc.SKIP * 3
+    raw = zstandard.ZstdCompressor().compress(record("response", "1", None, at, noise, warc.payload_digest(noise), None)) + warc.SKIP
+    assert raw.count(warc.SKIP) >= 2 and [r["size"] for r in parse(raw + raw)] == [len(noise)] * 2
+    assert zstandard.ZstdDecompressor().stream_reader(raw + raw, read_across_frames=True).read().count(b"WARC/1.1") == 2
+
+
 def test_time_column_and_clashing_names(spark, run):
     rows = [(1, "u", "same", datetime(2024, 5, 1), 1), (2, "u", "same", None, 2), (3, "u", "x" * 200_000, datetime(2024, 4, 1), 3)]
     docs = spark.createDataFrame(rows, "row long, archive string, digest string, size timestamp, page_id long")
