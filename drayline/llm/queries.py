@@ -191,3 +191,31 @@ def op13_warc(t: Tables, run: RunFolder) -> DataFrame:
     write_archives(t.pages, run, f"{run.path}/archives", least_bytes=0)
     index = capture_index(t.spark, f"{run.path}/archives", run)
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "part", "place")
+
+
+OP12_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+t AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4), (5)) v(k)),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+x AS (SELECT lang, k, phrase, f AS a, ws, unnest(range(1, k)) AS j FROM c),
+s AS (SELECT x.lang, x.phrase, a, j, l.f AS l, r.f AS r, n, (CAST(1000 AS HUGEINT) * a * n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM x JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(ws[1:j], ' ')
+  JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(ws[j + 1:x.k], ' ') JOIN t ON t.lang = x.lang),
+m AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS q FROM s),
+y AS (SELECT lang, f, ws, z, unnest(range(1, k - z + 2)) AS i FROM c, (VALUES (2), (3), (4)) v(z) WHERE z < k),
+o AS (SELECT lang, array_to_string(ws[i:i + z - 1], ' ') AS phrase, max(f) AS longer FROM y GROUP BY ALL),
+k AS (SELECT m.lang, m.phrase, a, l, r, n, score, row_number() OVER (PARTITION BY m.lang ORDER BY score DESC, a DESC, m.phrase) AS rank
+  FROM m LEFT JOIN o ON o.lang = m.lang AND o.phrase = m.phrase WHERE q = 1 AND (longer IS NULL OR 100 * longer < 100 * a))
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM k WHERE rank <= 2000
+"""
+
+
+@_corpus_query("op12_collocations", OP12_SQL)
+def op12_collocations(t: Tables, run: RunFolder) -> DataFrame:
+    from drayline.llm.collocations import collocations
+
+    return collocations(t.documents.select("text", "lang"), run, least=100, longest=5, first=2000)
