@@ -275,6 +275,47 @@ def partitioned_table_moves(t: Tables) -> DataFrame:
     return table.read()
 
 
+_FIRST, _LAST, _MIDDLE = (f"o_orderkey % 5 = {p} AND o_orderkey % 3 = {k}" for p, k in ((0, 0), (4, 1), (2, 2)))
+
+
+@query(
+    "partitioned_schema_change",
+    "SELECT o_orderkey, '0' || CAST(o_orderkey % 5 AS VARCHAR) AS part, "
+    f"CASE WHEN {_FIRST} THEN CAST(o_orderkey * 7 AS VARCHAR) WHEN {_LAST} THEN '-1' WHEN {_MIDDLE} THEN 'late' END AS extra, "
+    f"CASE WHEN {_MIDDLE} THEN CAST(1 AS BIGINT) END AS v FROM orders",
+)
+def partitioned_schema_change(t: Tables) -> DataFrame:
+    """Columns that come, go, come back and change type by merges into the first, the last and a middle partition."""
+    folder = shared_dir(t.spark)
+    table = PartitionedTable(t.spark, f"{folder}/partitioned_schema_change-{_run()}", ["part"], folder)
+    rows = t.orders.select("o_orderkey", F.concat(F.lit("0"), (F.col("o_orderkey") % 5).cast("string")).alias("part"))
+    table.overwrite(rows.withColumn("v", F.col("o_orderkey")))
+    table.merge(rows.where(_FIRST).withColumns({"v": F.lit(0).cast("long"), "extra": (F.col("o_orderkey") * 7).cast("long")}), ["o_orderkey"])
+    table.merge(rows.where(_LAST).withColumn("extra", F.lit(-1).cast("long")), ["o_orderkey"])
+    table.merge(rows.where(_MIDDLE).withColumns({"extra": F.lit("late"), "v": F.lit(1).cast("long")}), ["o_orderkey"])
+    return table.read()
+
+
+_CODES = ["01", "1", "1e3", "true", "2024-01-01", " x", "a/b=c", "NULL"]
+
+
+@query(
+    "partitioned_text_values",
+    "SELECT o_orderkey, CASE o_orderkey % 9 "
+    + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_CODES))
+    + " END AS code, CASE WHEN o_orderkey % 4 = 1 THEN 'new' ELSE 'old' END AS state FROM orders",
+)
+def partitioned_text_values(t: Tables) -> DataFrame:
+    """Texts that look like numbers, dates or paths stay what they are as partition values, merges included."""
+    folder = shared_dir(t.spark)
+    table = PartitionedTable(t.spark, f"{folder}/partitioned_text_values-{_run()}", ["code"], folder)
+    code = F.element_at(F.array(*[F.lit(c) for c in _CODES], F.lit(None)), (F.col("o_orderkey") % 9 + 1).cast("int"))
+    rows = t.orders.select("o_orderkey", code.alias("code"))
+    table.overwrite(rows.where("o_orderkey % 2 = 0 OR o_orderkey % 4 = 3").withColumn("state", F.lit("old")))
+    table.merge(rows.where("o_orderkey % 4 = 1").withColumn("state", F.lit("new")), ["o_orderkey"])
+    return table.read()
+
+
 @query(
     "series_by_day",
     "SELECT user_id, CAST(ts AS DATE) AS event_date, count(*) AS n FROM events GROUP BY 1, 2",

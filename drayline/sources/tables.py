@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from drayline.operators import incremental
 from drayline.session import RunFolder, remove_folder
+from drayline.sources.schema_log import Entry, SchemaLog
 
 KEY_BUCKET = "_key_bucket"
 INSERT_CHUNK = 5000
@@ -67,10 +68,18 @@ class SnapshotTable:
         df.write.mode("overwrite").parquet(f"{self.path}/v={number}")
 
     def append(self, df: DataFrame) -> None:
-        """Add rows to the newest version in place."""
-        versions = self._versions()
-        number = versions[-1] if versions else 1
-        df.write.mode("append").parquet(f"{self.path}/v={number}")
+        """Add rows to the newest version in place; a column that it lacks makes a new version."""
+        current = self.read()
+        if current is None:
+            self.overwrite(df)
+            return
+        wide = incremental.append_new_columns(current, df)
+        rows = incremental.append_new_columns(df, wide)
+        rows = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wide.schema])
+        if wide.columns == current.columns:
+            rows.write.mode("append").parquet(f"{self.path}/v={self._versions()[-1]}")
+        else:
+            self.overwrite(wide.unionByName(rows))
 
     def merge(
         self,
@@ -125,6 +134,12 @@ class PartitionedTable:
     partition. The prepared rows and the list of partitions that end up empty
     stay until all of it is done, so whoever opens the table next finishes what
     an interrupted run has begun.
+
+    Columns, their types and the types of the partition columns are kept beside
+    the table (:class:`SchemaLog`), so partitions written before a column came
+    hold it as null, one written after a column went does not bring it back,
+    and a text in a folder name stays a text. (An empty text as a partition value
+    is a null, as Spark writes it.)
     """
 
     def __init__(self, spark: SparkSession, path: str, partition_by: list[str], staging_fallback: str | None = None):
@@ -133,20 +148,27 @@ class PartitionedTable:
         self.partition_by = partition_by
         self.staging_fallback = staging_fallback
         self._pending = f"{self.path}.pending"
+        self.schema_log = SchemaLog(spark, f"{self.path}.schema")
 
     def exists(self) -> bool:
         """Whether any partition is stored."""
         fs, root = _fs(self.spark, self.path)
         return fs.exists(root) and any(s.isDirectory() and "=" in s.getPath().getName() for s in fs.listStatus(root))
 
+    def _entry(self) -> Entry:
+        """The schema of a table that exists; one written without a log is read once to make one."""
+        entry = self.schema_log.newest()
+        return entry or self.schema_log.replace(self.spark.read.option("mergeSchema", True).parquet(self.path).schema)
+
     def read(self) -> DataFrame | None:
         self.finish()
-        return self.spark.read.parquet(self.path) if self.exists() else None
+        return self._entry().read(self.spark, self.path) if self.exists() else None
 
     def _write(self, df: DataFrame, mode: str) -> None:
         # AQE sizes this shuffle and splits a partition value that is very large.
         (
-            df.hint("rebalance", *self.partition_by)
+            self._entry().for_files(df)
+            .hint("rebalance", *self.partition_by)
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
             .partitionBy(*self.partition_by)
@@ -156,6 +178,7 @@ class PartitionedTable:
     def overwrite(self, df: DataFrame) -> None:
         """Replace the whole table."""
         remove_folder(self.spark, self._pending)
+        self.schema_log.replace(df.schema)
         (
             df.hint("rebalance", *self.partition_by)
             .write.mode("overwrite")
@@ -165,7 +188,15 @@ class PartitionedTable:
         )
 
     def append(self, df: DataFrame) -> None:
+        """Add rows. New columns join the table's; values are cast to the types it has, missing columns are null."""
         self.finish()
+        if not self.exists():
+            self.schema_log.replace(df.schema)
+        else:
+            held = self._entry()
+            fields = [T.StructField(n, kind) for n, (_, kind) in held.columns.items()]
+            fields += [f for f in df.schema if f.name not in held.columns]
+            self.schema_log.evolve(T.StructType(fields), self.partition_by)
         self._write(df, "append")
 
     def _same_partition(self, other: dict[str, str]) -> Column:
@@ -198,8 +229,10 @@ class PartitionedTable:
         ``keys_may_move`` also finds the partitions that hold older rows of
         the batch's keys, by a scan of the key columns alone; those that are
         empty afterwards go. ``versions`` keeps the newer of the stored and the
-        incoming row. The batch is computed once; see the class for what
-        happens after an interruption.
+        incoming row. Where a column's type changes, all partitions are written
+        again, so a value that cannot be cast fails the merge and not a later
+        read. The batch is computed once; see the class for what happens after
+        an interruption.
         """
         current = None if full_refresh else self.read()
         if current is None:
@@ -213,17 +246,27 @@ class PartitionedTable:
                 held = current.select(*dict.fromkeys([*keys, *self.partition_by])).join(source.select(*keys), keys, "left_semi")
                 touched = touched.unionByName(held.select(*self.partition_by))
             touched = run.keep(touched.distinct(), "touched")
-            stored = self._only(current, touched)
+            follows = versions or on_schema_change == "sync_all_columns"
+            retyped = bool(follows) and self._entry().retyped(source.schema)
+            stored = current if retyped else self._only(current, touched)
+            if retyped and keys_may_move:
+                touched = touched.unionByName(current.select(*self.partition_by).distinct())
             if versions:
                 merged = incremental.merge_latest(stored, source, keys, versions)
             else:
                 merged = incremental.merge_upsert(stored, source, keys, on_schema_change)
-            self.replace_partitions(merged, touched if keys_may_move else None)
+            self.replace_partitions(merged, touched if keys_may_move else None, whole=retyped)
         finally:
             run.close()
 
-    def replace_partitions(self, df: DataFrame, affected: DataFrame | None = None) -> None:
-        """Swap in new content; ``affected`` partitions (a DataFrame of them) that end up empty are removed."""
+    def replace_partitions(self, df: DataFrame, affected: DataFrame | None = None, whole: bool = False) -> None:
+        """Swap in new content; ``affected`` partitions (a DataFrame of them) that end up empty are removed.
+
+        New columns join the table and missing ones leave it. Other types are
+        refused unless ``whole`` says that ``df`` holds every partition.
+        """
+        if not whole and self.exists() and self._entry().retyped(df.schema):
+            raise ValueError("column types differ from the table's")
         remove_folder(self.spark, self._pending)
         df.write.parquet(f"{self._pending}/rows")
         fresh = self.spark.read.schema(df.schema).parquet(f"{self._pending}/rows")
@@ -233,7 +276,8 @@ class PartitionedTable:
             filled = fresh.select(*[F.col(c).alias(n) for c, n in renamed.items()]).distinct()
             gone = affected.join(filled, self._same_partition(renamed), "left_anti")
             listed = gone.select(*[F.col(c).alias(n) for c, n in renamed.items()])
-            stored = self.spark.read.parquet(self.path).select(*self.partition_by, F.col("_metadata.file_path").alias("_file"))
+            files = self.spark.read.schema(self._entry().stored()).parquet(self.path)
+            stored = files.select(*self.partition_by, F.col("_metadata.file_path").alias("_file"))
             folders = stored.join(listed, self._same_partition(renamed), "left_semi").select(
                 F.regexp_replace("_file", "/[^/]*$", "").alias("folder")
             )
@@ -249,6 +293,9 @@ class PartitionedTable:
         if path_exists(self.spark, f"{self._pending}/_READY"):
             rows = self.spark.read.parquet(f"{self._pending}/rows")
             if rows.columns:
+                if self.exists():
+                    self._entry()
+                self.schema_log.evolve(rows.schema, self.partition_by)
                 self._write(rows, "overwrite")
             if path_exists(self.spark, f"{self._pending}/emptied"):
                 for row in self.spark.read.schema("folder string").parquet(f"{self._pending}/emptied").toLocalIterator():

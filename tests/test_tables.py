@@ -128,6 +128,55 @@ def test_null_partitions(spark, tmp_path, rows):
     assert rows(table.read(), "id", "p") == [(1, "a"), (2, None)]
 
 
+@pytest.mark.parametrize("p", ["a", "b", "c"])
+def test_a_new_column_survives_in_any_partition(spark, tmp_path, rows, p):
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], str(tmp_path / "staging"))
+    table.overwrite(spark.createDataFrame([(1, "a", 10), (2, "b", 20), (3, "c", 30)], "id int, p string, v int"))
+    table.merge(spark.createDataFrame([(9, p, 90, 7)], "id int, p string, v int, extra int"), ["id"])
+    assert rows(table.read(), "id", "p", "v", "extra") == [(1, "a", 10, None), (2, "b", 20, None), (3, "c", 30, None), (9, p, 90, 7)]
+
+
+def test_dropped_columns_stay_dropped(spark, tmp_path, rows):
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], str(tmp_path / "staging"))
+    table.overwrite(spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "id int, p string, v int"))
+    table.merge(spark.createDataFrame([(3, "a")], "id int, p string"), ["id"])
+    assert table.read().columns == ["id", "p"]
+    table.merge(spark.createDataFrame([(4, "b", 40)], "id int, p string, v int"), ["id"])
+    assert rows(table.read(), "id", "v") == [(1, None), (2, None), (3, None), (4, 40)]
+    table.append(spark.createDataFrame([(5, "a", 1.5)], "id int, p string, w double"))
+    assert rows(table.read(), "id", "v", "w") == [(1, None, None), (2, None, None), (3, None, None), (4, 40, None), (5, None, 1.5)]
+
+
+def test_changed_types_rewrite_the_table(spark, tmp_path, rows):
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], str(tmp_path / "staging"))
+    table.overwrite(spark.createDataFrame([(1, "01", "10"), (2, "2", "20")], "id int, p string, v string"))
+    with pytest.raises(ValueError):
+        table.replace_partitions(spark.createDataFrame([(1, "01", 5)], "id int, p string, v int"))
+    table.merge(spark.createDataFrame([(3, "2", 5)], "id int, p string, v int"), ["id"])
+    assert rows(table.read(), "id", "p", "v") == [(1, "01", 10), (2, "2", 20), (3, "2", 5)]
+    with pytest.raises(Exception, match="CAST"):
+        table.merge(spark.createDataFrame([(4, "x", "text")], "id int, p string, v string"), ["id"])
+        table.merge(spark.createDataFrame([(5, "2", 6)], "id int, p string, v int"), ["id"])  # "text" is no number
+    assert rows(table.read(), "id", "v") == [(1, "10"), (2, "20"), (3, "5"), (4, "text")]
+
+
+def test_a_table_without_a_schema_log(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a")], "id int, p string").write.partitionBy("p").parquet(path)
+    spark.createDataFrame([(2, "b", 5)], "id int, p string, v int").write.mode("append").option("partitionOverwriteMode", "static").partitionBy("p").parquet(path)
+    table = PartitionedTable(spark, path, ["p"], str(tmp_path / "staging"))
+    table.merge(spark.createDataFrame([(3, 6, "a")], "id int, v int, p string"), ["id"])
+    assert rows(table.read(), "id", "p", "v") == [(1, "a", None), (2, "b", 5), (3, "a", 6)]
+
+
+def test_snapshot_append_keeps_new_columns(spark, tmp_path, rows):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.append(spark.createDataFrame([(1, "x")], "id int, a string"))
+    table.append(spark.createDataFrame([(2, 7)], "id int, b int"))
+    table.append(spark.createDataFrame([(3, "y")], "id int, a string"))
+    assert rows(table.read(), "id", "a", "b") == [(1, "x", None), (2, None, 7), (3, "y", None)]
+
+
 def test_insert_rows_in_chunks(spark, tmp_path):
     schema, path = ddl("a int, b string"), str(tmp_path / "t")
     assert tables.insert_rows(spark, [(i, "x") for i in range(7)], schema, path, chunk_size=3) == 7
@@ -181,6 +230,7 @@ def test_cut_lineage_uses_the_shared_folder(spark):
 def test_run_folder_ends(spark, rows):
     from pathlib import Path
 
+    before = {t.name for t in spark.catalog.listTables()}
     run = session.RunFolder(spark, "label")
     kept = run.keep(spark.range(3), "a")
     stored = run.keep_bucketed(spark.range(10), "b", "id", 3)
@@ -188,4 +238,4 @@ def test_run_folder_ends(spark, rows):
     assert kept.join(stored, "id").count() == 3 and plan
     outcome = run.result(kept.withColumn("x", F.lit(1)))
     assert not Path(run.path).exists() and rows(outcome) == [(0, 1), (1, 1), (2, 1)]
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("run_")]
+    assert {t.name for t in spark.catalog.listTables()} == before
