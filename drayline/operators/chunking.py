@@ -7,7 +7,9 @@ combining), and only where some key exceeds the limit cut those keys into
 consecutive chunks. Every such key gets cuts of its own, as many as its size
 asks for: a sample with a fixed number of rows for each chunk is sorted by key
 and cut at equal steps. Cuts are values of the order column of whatever type,
-stored once, so the split is the same in every stage and every retry.
+or of several order columns together, so that rows which tie in the first are
+split too. They are stored once, so the split is the same in every stage and
+every retry.
 
 The number of hot keys and of cuts is at most the number of rows over half the
 limit, which is what makes their tables small enough to broadcast.
@@ -40,6 +42,13 @@ def bisect(values: Column, wanted: Column, steps: int) -> Column:
     )
 
 
+def _position(order: str | list[str]) -> Column:
+    """The value by which rows are cut; several columns count one after another, nulls first."""
+    if isinstance(order, str):
+        return F.col(order)
+    return F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
+
+
 @dataclass(frozen=True)
 class ChunkPlan:
     """Which keys are hot and where each of them is cut."""
@@ -60,22 +69,20 @@ class ChunkPlan:
         """Rows of all other keys."""
         return df.join(F.broadcast(self.cuts), self._match(), "left_anti") if self.keys else df.limit(0)
 
-    def assign(self, df: DataFrame, order_col: str) -> DataFrame:
+    def assign(self, df: DataFrame, order: str | list[str]) -> DataFrame:
         """Add the chunk number of each row; a key that is not hot is one chunk."""
         if self.keys:
             marked = df.join(F.broadcast(self.cuts), self._match(), "left")
-            chunk = F.coalesce(bisect(F.col("_cuts"), F.col(order_col), self.steps), F.lit(0))
-            return marked.withColumn(CHUNK, chunk).drop("_cuts", *[f"_hot_{k}" for k in self.keys])
-        cuts = self.cuts.first()["_cuts"]  # one group: at most rows over half the limit
-        kind = df.schema[order_col].dataType
-        held = F.array(*[F.lit(c) for c in cuts]).cast(f"array<{kind.simpleString()}>")
-        return df.withColumn(CHUNK, bisect(held, F.col(order_col), self.steps))
+        else:  # one group: its one row of cuts is known when the job runs
+            marked = df.select("*", self.cuts.select("_cuts").scalar().alias("_cuts"))
+        chunk = F.coalesce(bisect(F.col("_cuts"), _position(order), self.steps), F.lit(0))
+        return marked.withColumn(CHUNK, chunk).drop("_cuts", *[f"_hot_{k}" for k in self.keys])
 
 
 def plan_chunks(
     rows: DataFrame,
     keys: list[str],
-    order_col: str,
+    order: str | list[str],
     rows_per_chunk: int = ROWS_PER_CHUNK,
     weighted: DataFrame | None = None,
 ) -> ChunkPlan | None:
@@ -90,7 +97,7 @@ def plan_chunks(
         return None
     large = cut_lineage(large, "hot-keys")
     named = large.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-    chosen = rows.select(*keys, F.col(order_col).alias(_ORDER)).where(F.col(_ORDER).isNotNull())
+    chosen = rows.select(*keys, _position(order).alias(_ORDER)).where(F.col(_ORDER).isNotNull())
     if keys:
         chosen = chosen.join(F.broadcast(named), ChunkPlan(tuple(keys), named, 0)._match(), "left_semi")
     # A sample decides where to cut. Any cuts give the right result; good ones give even chunks.
@@ -109,10 +116,6 @@ def plan_chunks(
     return ChunkPlan(tuple(keys), cuts, max(1, most.bit_length()))
 
 
-def _with_chunks(df: DataFrame, plan: ChunkPlan, order_col: str) -> DataFrame:
-    return plan.assign(df, order_col)
-
-
 def _same(columns: list[str]) -> Column:
     """Null-safe equality of columns between the sides ``l`` and ``r``."""
     return reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in columns])
@@ -127,16 +130,17 @@ def number_rows(
     descending: bool = True,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """``row_number`` over a non-null order column, for keys of any size.
+    """``row_number`` over an order column and its tie-breaks, for keys of any size.
 
-    Inside a chunk rows are numbered by a window; the number of rows in the
+    Rows of one order value are cut by the tie-breaks. Inside a chunk rows are numbered by a window; the number of rows in the
     chunks before it comes from the chunk sizes.
     """
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in [order_col, *tie_break]]
-    plan = plan_chunks(df, keys, order_col, rows_per_chunk)
+    cut_by = [order_col, *tie_break]
+    plan = plan_chunks(df, keys, cut_by, rows_per_chunk)
     if plan is None:
         return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-    chunked = _with_chunks(df, plan, order_col)
+    chunked = plan.assign(df, cut_by)
     place = F.row_number().over(W.partitionBy(*keys, CHUNK).orderBy(*order))
     # One row per key and chunk.
     chunk_order = F.col(CHUNK).desc() if descending else F.col(CHUNK).asc()
@@ -164,10 +168,11 @@ def expanding_stats(
     keys that are cut into chunks the mean and the squared deviations of a
     chunk so far are joined with those of all chunks before it by the pairwise
     formula, which leaves a constant series a deviation of exactly zero and
-    agrees with the plain window otherwise.
+    agrees with the plain window otherwise. From a NaN or an infinity on the mean
+    is what their sum gives and the deviation NaN, split or not.
     """
     so_far = (W.unboundedPreceding, W.currentRow)
-    plan = plan_chunks(df, keys, order_by[0], rows_per_chunk)
+    plan = plan_chunks(df, keys, order_by, rows_per_chunk)
     if plan is None:
         window = W.partitionBy(*keys).orderBy(*order_by).rowsBetween(*so_far)
         return df.select(
@@ -176,31 +181,41 @@ def expanding_stats(
             F.stddev_samp(value).over(window).alias("training_stddev"),
             F.count(value).over(window).alias("training_set_size"),
         )
-    chunked = _with_chunks(df, plan, order_by[0])
+    chunked = plan.assign(df, order_by)
     inside = W.partitionBy(*keys, CHUNK).orderBy(*order_by).rowsBetween(*so_far)
+    # What has no moments is counted apart: the smallest and the largest such value, NaN being the largest.
+    plain = F.col(value).cast("double")
+    odd = F.isnan(plain) | (F.abs(plain) == float("inf"))
+    chunked = chunked.withColumns({"_x": F.when(~odd, plain), "_odd": F.when(odd, plain)})
     # Means relative to the chunk's first value: exact where all values are equal.
-    chunked = chunked.withColumn("_first", F.first(F.col(value).cast("double"), ignorenulls=True).over(inside))
-    chunked = chunked.withColumn("_d", F.col(value).cast("double") - F.col("_first"))
-    measures = {"_n": F.count("_d"), "_m": F.avg("_d"), "_v": F.var_pop("_d")}
+    chunked = chunked.withColumn("_first", F.first("_x", ignorenulls=True).over(inside))
+    chunked = chunked.withColumn("_d", F.col("_x") - F.col("_first"))
+    measures = {"_n": F.count("_d"), "_m": F.avg("_d"), "_v": F.var_pop("_d"), "_all": F.count(value)}
+    kinds = {"_nan": F.isnan("_odd"), "_up": F.col("_odd") == float("inf"), "_down": F.col("_odd") == -float("inf")}
+    flags = {name: F.max(F.coalesce(kind.cast("int"), F.lit(0))) for name, kind in kinds.items()}
+    measures |= flags
     sizes = chunked.groupBy(*keys, CHUNK).agg(*[m.alias(name) for name, m in measures.items()], F.min("_first").alias("_f"))
     sizes = sizes.withColumn("_m", F.col("_f") + F.col("_m")).drop("_f")
+    odd_names, all_names = list(flags), list(measures)
 
     def join_up(parts: pd.DataFrame) -> pd.DataFrame:
         """What the chunks before each chunk of one key amount to; one row a chunk."""
         parts = parts.sort_values(CHUNK)
-        n, mean, squares, before = 0, 0.0, 0.0, []
-        for count, m, v in zip(parts["_n"], parts["_m"], parts["_v"], strict=True):
-            before.append((n, mean, squares))
+        n, mean, squares, seen, odd, before = 0, 0.0, 0.0, 0, (0, 0, 0), []
+        for count, m, v, several, *here in zip(*[parts[c] for c in ("_n", "_m", "_v", "_all", *odd_names)], strict=True):
+            before.append((n, mean, squares, seen, *odd))
+            seen, odd = seen + several, tuple(max(x, y) for x, y in zip(odd, here, strict=True))
             if count:
                 step = m - mean if n else 0.0
                 mean = mean + step * count / (n + count) if n else m
                 squares += v * count + step * step * n * count / (n + count)
                 n += count
-        parts["_n0"], parts["_m0"], parts["_q0"] = zip(*before, strict=True)
-        return parts.drop(columns=["_n", "_m", "_v"])
+        for name, column in zip(["_n0", "_m0", "_q0", "_all0", *[f"{c}0" for c in odd_names]], zip(*before, strict=True), strict=True):
+            parts[name] = column
+        return parts.drop(columns=all_names)
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in sizes.schema.fields if f.name not in measures]
-    shape = ", ".join([*fields, "_n0 bigint", "_m0 double", "_q0 double"])
+    shape = ", ".join([*fields, "_n0 bigint", "_m0 double", "_q0 double", "_all0 bigint", *[f"{c}0 int" for c in flags]])
     earlier = sizes.groupBy(*keys).applyInPandas(join_up, shape)
     running = chunked.select("*", *[m.over(inside).alias(name) for name, m in measures.items()])
     running = running.withColumn("_m", F.col("_first") + F.col("_m"))
@@ -209,11 +224,16 @@ def expanding_stats(
     step = F.when((F.col("_n") > 0) & (F.col("_n0") > 0), F.col("_m") - F.col("_m0")).otherwise(0.0)
     mean = F.when(F.col("_n0") == 0, F.col("_m")).otherwise(F.col("_m0") + step * F.col("_n") / n)
     squares = F.coalesce(F.col("_v") * F.col("_n"), F.lit(0.0)) + F.col("_q0") + step * step * F.col("_n0") * F.col("_n") / n
+    total = F.col("_all") + F.col("_all0")
+    nan, up, down = ((F.col(c) + F.col(f"{c}0")) > 0 for c in flags)
+    no_number = F.lit(float("nan"))
+    average = F.when(nan | (up & down), no_number).when(up, F.lit(float("inf"))).when(down, F.lit(-float("inf"))).when(n > 0, mean)
+    spread = F.when((total > 1) & (nan | up | down), no_number).when(total > 1, F.sqrt(squares / (n - 1)))
     return joined.select(
         *[F.col(f"l.{c}") for c in df.columns],
-        F.when(n > 0, mean).alias("training_avg"),
-        F.when(n > 1, F.sqrt(squares / (n - 1))).alias("training_stddev"),
-        n.alias("training_set_size"),
+        average.alias("training_avg"),
+        spread.alias("training_stddev"),
+        total.alias("training_set_size"),
     )
 
 
@@ -247,7 +267,7 @@ def ordered_values(
             "next", F.lead(first).over(window)
         )
 
-    chunked = _with_chunks(distinct, plan, first)
+    chunked = plan.assign(distinct, first)
     inside = W.partitionBy(*group_by, CHUNK).orderBy(*ascending)
     # One row per group and chunk.
     edges = chunked.groupBy(*group_by, CHUNK).agg(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from drayline.functions import Period
 from drayline.operators import anomaly, monitors
+from drayline.operators.chunking import expanding_stats
 from drayline.operators.monitors import MonitorConfig
 from drayline.registry.base import Tables, query
 
@@ -549,6 +550,27 @@ def metrics_anomaly_score_split_keys(t: Tables) -> DataFrame:
     return _store_scores(t, rows_per_chunk=7)
 
 
+@query(
+    "running_stats_with_nan",
+    "WITH v AS (SELECT event_id, event_type, ts, CASE WHEN event_id % 97 <> 0 THEN value END AS x, CAST(event_id % 97 = 0 AS INT) AS odd FROM events), "
+    "s AS (SELECT event_id, avg(x) OVER w AS mean, stddev_samp(x) OVER w AS spread, max(odd) OVER w = 1 AS bad, "
+    "sum(CASE WHEN odd = 1 OR x IS NOT NULL THEN 1 ELSE 0 END) OVER w AS n FROM v "
+    "WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) "
+    "SELECT event_id, CASE WHEN NOT bad THEN round(mean / 7, 6) END AS training_avg, CASE WHEN NOT bad THEN round(spread / 7, 6) END AS training_stddev, "
+    "bad AS avg_is_nan, bad AND n > 1 AS stddev_is_nan, CAST(n AS BIGINT) AS training_set_size FROM s",
+)
+def running_stats_with_nan(t: Tables) -> DataFrame:
+    """A series with values that are no numbers, cut into many chunks: the same as one window."""
+    value = F.when(F.col("event_id") % 97 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    rows = t.events.select("event_id", "event_type", "ts", value.alias("v"))
+    found = expanding_stats(rows, ["event_type"], ["ts", "event_id"], "v", rows_per_chunk=300)
+    number = lambda c: F.when(~F.isnan(c), F.round(F.col(c) / 7, 6)).alias(c)  # noqa: E731  a seventh of cents never lies on a half
+    return found.select(
+        "event_id", number("training_avg"), number("training_stddev"), F.isnan("training_avg").alias("avg_is_nan"),
+        F.coalesce(F.isnan("training_stddev"), F.lit(False)).alias("stddev_is_nan"), "training_set_size",
+    )
+
+
 @query(
     "anomaly_threshold_sensitivity",
     "WITH m AS (SELECT event_type, CAST(CAST(ts AS DATE) + 1 AS TIMESTAMP) AS bucket_end, max(value) AS v FROM events GROUP BY 1, 2), "

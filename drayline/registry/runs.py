@@ -70,6 +70,18 @@ def model_run_results_split_keys(t: Tables) -> DataFrame:
     return runlog.model_run_results(_node_runs(t), _nodes(t), rows_per_chunk=100).select(*_MODEL_RUN_COLUMNS)
 
 
+@query(
+    "model_run_results_one_instant",
+    f"WITH {_RUNS_SQL} SELECT CAST(event_id AS VARCHAR) AS model_execution_id, "
+    "CAST(row_number() OVER (PARTITION BY unique_id ORDER BY CAST(event_id AS VARCHAR) DESC) AS INT) AS model_invocation_reverse_index FROM runs",
+)
+def model_run_results_one_instant(t: Tables) -> DataFrame:
+    """All runs at one instant: what is too large for one task is cut by the run's id."""
+    runs = _node_runs(t).withColumn("generated_at", F.lit("2024-01-01").cast("timestamp"))
+    found = runlog.model_run_results(runs, _nodes(t), rows_per_chunk=50)
+    return found.select("model_execution_id", "model_invocation_reverse_index")
+
+
 @query(
     "seed_run_results",
     f"WITH {_RUNS_SQL} SELECT CAST(event_id AS VARCHAR) AS model_execution_id, status, 'schema_' || (node % 4) AS schema_name FROM runs",

@@ -179,3 +179,25 @@ def test_running_stats_do_not_depend_on_the_split(spark):
             assert (split[i][c] is None) == (r[c] is None)
             assert r[c] is None or abs(split[i][c] - r[c]) <= 1e-9 * max(1.0, abs(r[c]))
     assert all(split[i].training_stddev == 0 for i in range(1, 500))
+
+
+def test_rows_of_one_order_value_are_split(spark):
+    rows = spark.range(2000).select(F.lit("a").alias("k"), F.lit(1).alias("o"), (F.col("id") * 7919 % 2000).alias("t"))
+    plan = chunking.plan_chunks(rows, ["k"], ["o", "t"], rows_per_chunk=500)
+    sizes = [r["count"] for r in plan.assign(rows, ["o", "t"]).groupBy(chunking.CHUNK).count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 1000
+    for keys in (["k"], []):
+        got = chunking.number_rows(rows, keys, "o", ["t"], "n", rows_per_chunk=500).collect()
+        assert all(r.n == 2000 - r.t for r in got)
+
+
+@pytest.mark.parametrize("odd", [["nan"], ["inf"], ["-inf"], ["inf", "-inf"], ["inf", "nan"]])
+@pytest.mark.parametrize("at", [0, 5, 33])
+def test_values_without_moments_do_not_depend_on_the_split(spark, odd, at):
+    values = [float(i % 5) if i % 4 else None for i in range(60)]
+    for i, x in enumerate(odd):
+        values[at + 9 * i] = float(x)
+    df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "k string, o int, v double")
+    whole, split = ([tuple(map(str, r[3:])) for r in chunking.expanding_stats(df, ["k"], ["o"], "v", n).orderBy("o").collect()] for n in (1000, 7))
+    for a, b in zip(whole, split, strict=True):
+        assert [x if x in ("None", "nan", "inf", "-inf") else round(float(x), 9) for x in a] == [x if x in ("None", "nan", "inf", "-inf") else round(float(x), 9) for x in b]
