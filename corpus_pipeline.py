@@ -5,8 +5,10 @@ returns a DataFrame, which is written and read again as the next one's input.
 The first three return the columns of ``documents``; the last returns packed
 pieces.
 
-A stage's result reads the intermediate tables of its operator, which stay until
-``finish_stages`` is called after the result has been written, as ``run`` does.
+A stage's result reads the intermediate tables of its operator.  ``run`` hands
+each stage a list of its own for their folders and removes them when the result
+has been written.  A stage called without such a list leaves its folder to
+``finish_stages``, which is to be called when nothing reads the result any more.
 """
 
 from __future__ import annotations
@@ -26,18 +28,20 @@ from drayline.session import RunFolder, use_utc
 ORACLE_SQL = None
 
 
-_open: list[RunFolder] = []
+_alone: list[RunFolder] = []  # folders of stages that were called by themselves
 
 
-def _folder(spark: SparkSession, label: str) -> RunFolder:
-    _open.append(RunFolder(spark, label))
-    return _open[-1]
+def _folder(spark: SparkSession, label: str, held: list[RunFolder] | None) -> RunFolder:
+    held = _alone if held is None else held
+    held.append(RunFolder(spark, label))
+    return held[-1]
 
 
-def finish_stages() -> None:
-    """Remove the intermediate tables of all stages whose results have been written."""
-    while _open:
-        _open.pop().close()
+def finish_stages(held: list[RunFolder] | None = None) -> None:
+    """Remove the intermediate tables of the stages that were given this list, or of those called without one."""
+    held = _alone if held is None else held
+    while held:
+        held.pop().close()
 
 
 def _by_place(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -49,7 +53,7 @@ def _named(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.select(*[f"d{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
 
 
-def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, held: list[RunFolder] | None = None) -> DataFrame:
     """Drop documents that language identification rejects: null, without a letter, or like no known language.
 
     The models are fitted on a bounded sample of the labelled documents of the
@@ -61,13 +65,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return _named(judged.where(~F.col("rejected")), docs)
 
 
-def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, held: list[RunFolder] | None = None) -> DataFrame:
     """Keep one document, that of the smallest id, of each group of SimHash near-duplicates."""
     use_small_batches(spark)
-    return keep_one(docs, _folder(spark, "near_duplicates"))
+    return keep_one(docs, _folder(spark, "near_duplicates", held))
 
 
-def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, held: list[RunFolder] | None = None) -> DataFrame:
     """Cut every passage of 200 bytes or more that also stands elsewhere out of the texts.
 
     A character of which only a part is covered goes as a whole.  ``n_chars``
@@ -77,7 +81,7 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     use_small_batches(spark)
     plain, place = _by_place(docs)
     text = place["text"]
-    found = repeated_spans(plain, _folder(spark, "repeated_passages"), text).withColumn(text, F.col("kept"))
+    found = repeated_spans(plain, _folder(spark, "repeated_passages", held), text).withColumn(text, F.col("kept"))
     found = found.where((F.col("n_removed") == 0) | (F.length(F.trim(text)) > 0))
     if "n_chars" in place:
         counted = F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col(place["n_chars"]))
@@ -85,10 +89,10 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return _named(found, docs)
 
 
-def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, held: list[RunFolder] | None = None) -> DataFrame:
     """Pack the token ids of the documents into sequences of at most 4096."""
     use_small_batches(spark)
-    run = _folder(spark, "packing")
+    run = _folder(spark, "packing", held)
     return pack_documents(docs.select("doc_id", "text"), run, vocabulary("word_bpe_49k.json"), want_ids=False)
 
 
@@ -103,15 +107,15 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's result is stored before the next begins."""
     use_utc(spark)
-    folder = RunFolder(spark, "pipeline")
+    folder, held = RunFolder(spark, "pipeline"), []
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     try:
         for name, stage in STAGES:
-            docs = folder.keep(stage(spark, docs, sf_dir), name)
-            finish_stages()
+            docs = folder.keep(stage(spark, docs, sf_dir, held), name)
+            finish_stages(held)
         return folder.result(docs)
     except BaseException:
-        finish_stages()
+        finish_stages(held)
         folder.close()
         raise
 
