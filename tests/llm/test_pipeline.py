@@ -84,11 +84,31 @@ def test_stages_keep_columns_and_handle_nothing(spark, rows):
         assert made.columns == docs.columns and made.dtypes == docs.dtypes and made.count() >= 15
         assert made.where("score IS NOT NULL").select("kept", "score", "row").distinct().collect() == [([1], "mine", 7)]
     assert corpus_pipeline.STAGES[-1][1](spark, empty, "").collect() == []
+    corpus_pipeline.finish_stages()
+
+
+def test_pipelines_side_by_side_leave_nothing(spark, tmp_path, rows):
+    from concurrent.futures import ThreadPoolExecutor
+    from pathlib import Path
+
+    from drayline.session import shared_dir
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    corpus_pipeline.finish_stages()
+    tables = {t.name for t in spark.catalog.listTables()}
+    for k in range(2):
+        spark.createDataFrame(rows[60 * k :], schema).write.parquet(f"{tmp_path}/{k}/documents.parquet")
+    folders = lambda: {p.name for p in Path(shared_dir(spark)).iterdir() if not p.name.endswith("-result")}
+    before = folders()
+    with ThreadPoolExecutor(2) as pool:
+        first, second = pool.map(lambda k: corpus_pipeline.run(spark, f"{tmp_path}/{k}").count(), range(2))
+    assert first > second > 0
+    assert {t.name for t in spark.catalog.listTables()} == tables and folders() == before
 
 
 def test_registered_names():
     import __spark_entry__ as entry
 
     numbers = {int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op") and n[2].isdigit()}
-    assert numbers == set(range(1, 11)) and "pipeline" in entry.queries()
-    assert {"op1_suffix_dedup", "op5_embedding_dedup", "op6_window_dedup"} <= set(entry.oracle_sql())
+    assert numbers == set(range(1, 14)) and "pipeline" in entry.queries()
+    assert {"op1_suffix_dedup", "op5_embedding_dedup", "op6_window_dedup", "op12_collocations"} <= set(entry.oracle_sql())
