@@ -24,10 +24,11 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 import re
+import struct
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +37,19 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from drayline.session import RunFolder
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
+LOT_BYTES = 1 << 20
 #: Stretches and characters that one generation of a worker's cache holds.
-CACHED_STRETCHES = 120_000
-CACHED_CHARS = 8 << 20
+CACHED_STRETCHES = 100_000
+CACHED_CHARS = 4 << 20
 STRETCHES_AT_A_TIME = 500
 #: A blank that surely ends a token on both sides.
 _PLAIN_BLANK = re.compile(r"(?<=\S) (?=\S)")
+#: Any other blank, beside white space or at an end.
+_OTHER_BLANK = re.compile(r"  |[^\S ] | [^\S ]|\A | \Z")
+#: Letters and signs that every regular expression library puts into the same classes.
+_COMMON = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_DIGITS = 10 ** np.arange(1, 10)
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -71,16 +78,21 @@ def overlaps(a_start: np.ndarray, a_end: np.ndarray, b_start: np.ndarray, b_end:
     return left, np.repeat(low, many) + within
 
 
-@dataclass(frozen=True)
-class Aligned:
-    """A stretch or a whole text: token, group and link counts, its groups as text, the id pairs of its links."""
+#: A stretch or a whole text in one object: token, group and link counts (int32), the id pairs of its links (int64, A id
+#: in the upper half), its groups as text.
+Aligned = bytes
 
-    counts: tuple[int, int, int, int]
-    groups: str
-    links: bytes  # int64, A id in the upper half
 
+def unpack(made: Aligned) -> tuple[tuple[int, ...], bytes, bytes]:
+    """Counts, links and groups."""
+    counts = struct.unpack_from("<4i", made)
+    cut = 16 + 8 * counts[3]
+    return counts, made[16:cut], made[cut:]
 
-NOTHING = Aligned((0, 0, 0, 0), "", b"")
+
+def plain_stretches(text: str) -> list[str]:
+    """A text cut at its plain blanks, which are left out; every stretch stands for itself with a blank before it."""
+    return _PLAIN_BLANK.split(text) if _OTHER_BLANK.search(text) else text.split(" ")
 
 
 class Aligner:
@@ -95,86 +107,128 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         alphabet = byte_alphabet()
-        self.a_bytes: dict[int, bytes] = {}
-        for token, i in self.a.get_vocab(with_added_tokens=True).items():
-            self.a_bytes[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
+        by_id = {i: token for token, i in self.a.get_vocab(with_added_tokens=True).items()}
+        tokens = [by_id.get(i, "") for i in range(max(by_id) + 1)]
+        self.a_bytes = [bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode() for t in tokens]
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
         ]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in side], dtype=np.int64) for side in (self.a_bytes, self.b_bytes))
+        self.width = max(len(self.a_bytes), len(self.b_bytes))
+        self.signs = [b"%d%b" % (i, sign) for sign in (b",", b"|", b";") for i in range(self.width)]
+        self.ranked = self._ranked(byte_level)
         self.known: dict[str, Aligned | None] = {}
         self.elder: dict[str, Aligned | None] = {}
+        self.odd: set[str] = set()  # stretches whose bytes are not given back
         self.held = 0
 
-    def _align(self, texts: list[str]) -> list[Aligned | None]:
-        """Each text by itself, its leading blank included; ``None`` where the bytes are not given back."""
-        a_ids = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        b_ids = self.b.encode([t[1:] for t in texts], num_threads=1)
-        raw = [t.encode() for t in texts]
-        good = [
-            b"".join([self.a_bytes[i] for i in x]) == t and b"".join([self.b_bytes[i] for i in y]) == t
-            for x, y, t in zip(a_ids, b_ids, raw, strict=True)
-        ]
-        a_ids = [x for x, ok in zip(a_ids, good, strict=True) if ok]
-        b_ids = [x for x, ok in zip(b_ids, good, strict=True) if ok]
-        a, b = (np.fromiter((i for x in ids for i in x), dtype=np.int64) for ids in (a_ids, b_ids))
-        a_end = np.cumsum(np.fromiter((len(self.a_bytes[i]) for i in a.tolist()), dtype=np.int64, count=len(a)))
-        b_end = np.cumsum(np.fromiter((len(self.b_bytes[i]) for i in b.tolist()), dtype=np.int64, count=len(b)))
-        a_start, b_start = np.concatenate([[0], a_end[:-1]]), np.concatenate([[0], b_end[:-1]])
-        if len(a) == 0:
-            return [None] * len(texts)
+    def _ranked(self, byte_level: str):
+        """The same vocabulary for a faster library, which merges by rank; ``None`` unless ids and merges are in one order."""
+        import tiktoken
+
+        with open(byte_level, encoding="utf-8") as file:
+            told = json.load(file)
+        model, splitter = told["model"], told.get("pre_tokenizer") or {}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", ())]
+        usual = splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True) and not splitter.get("add_prefix_space")
+        in_order = all(model["vocab"].get("".join(m)) == 256 + i for i, m in enumerate(merges))
+        if model["type"] != "BPE" or told.get("normalizer") or not usual or not in_order or model.get("ignore_merges"):
+            return None
+        ranks = {self.a_bytes[i]: i for i in model["vocab"].values() if i < 256 + len(merges)}
+        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value of byte-level splitting
+        return tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def _tokens(self, text: str, raw: bytes, common: bool) -> tuple[list[int], list[int]] | None:
+        """Ids of both sides for a text with its leading blank; ``None`` where the bytes are not given back."""
+        a = self.ranked.encode_ordinary(text) if common else self.a.encode(text, add_special_tokens=False).ids
+        b = self.b.encode(text[1:], num_threads=1)
+        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
+            return None
+        return a, b
+
+    def align(self, stretches: list[str]) -> list[Aligned | None]:
+        """Each stretch by itself, a blank before it; ``None`` where the bytes are not given back.
+
+        Stretches that begin and end without white space stay apart when they
+        are joined by blanks, so a lot of them is tokenised in one call.
+        """
+        out: list[Aligned | None] = [None] * len(stretches)
+        common = [bool(self.ranked and _COMMON.fullmatch(c)) for c in stretches]
+        joins = [k or bool(c) and not c[0].isspace() and not c[-1].isspace() for k, c in zip(common, stretches, strict=True)]
+        lots = [[i for i, (k, j) in enumerate(zip(common, joins, strict=True)) if j and k == kind] for kind in (True, False)]
+        alone = [i for i, j in enumerate(joins) if not j]
+        for lot, kind in zip(lots, (True, False), strict=True):
+            made = self._coalesce([stretches[i] for i in lot], kind) if lot else []
+            if made is None:
+                alone += lot
+            else:
+                for i, x in zip(lot, made, strict=True):
+                    out[i] = x
+        for i in alone:
+            made = self._coalesce([stretches[i]], False)
+            out[i] = made[0] if made else None
+        return out
+
+    def _coalesce(self, stretches: list[str], common: bool) -> list[Aligned] | None:
+        """Groups and links of stretches side by side; ``None`` if the bytes of their tokens differ from theirs."""
+        text = " " + " ".join(stretches)
+        raw = text.encode()
+        both = self._tokens(text, raw, common)
+        if both is None:
+            return None
+        a, b = (np.array(x, dtype=np.int64) for x in both)
+        a_end, b_end = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        a_start, b_start = a_end - self.a_sizes[a], b_end - self.b_sizes[b]
         start, end = np.concatenate([a_start, b_start]), np.concatenate([a_end, b_end])
         kind = np.repeat(np.array([0, 1], dtype=np.int8), [len(a), len(b)])
         order, group = intervals_to_groups(start, end, kind)
-        ids, sides = np.concatenate([a, b])[order], kind[order]
         # Inside a group all A ids, then all B ids, each in their order.
-        by_side = np.lexsort((start[order], sides, group))
-        ids, sides, group = ids[by_side], sides[by_side], group[by_side]
-        cut = np.flatnonzero((np.diff(group) != 0) | (np.diff(sides) != 0)) + 1
-        signs, runs = list(map(str, ids.tolist())), [0, *cut.tolist(), len(ids)]
-        halves = [",".join(signs[p:q]) for p, q in zip(runs[:-1], runs[1:], strict=True)]
-        told = [f"{x}|{y}" for x, y in zip(halves[::2], halves[1::2], strict=True)]
+        start, kind, ids = start[order], kind[order], np.concatenate([a, b])[order]
+        by_side = np.argsort(2 * group + kind, kind="stable")
+        start, kind, ids, group = start[by_side], kind[by_side], ids[by_side], group[by_side]
+        sign = np.zeros(len(ids), dtype=np.int64)
+        sign[:-1] = np.where(np.diff(group) != 0, 2, np.diff(kind) != 0)
+        told = b"".join(map(self.signs.__getitem__, (ids + sign * self.width).tolist()))
+        written = np.concatenate([[0], np.cumsum(_DIGITS.searchsorted(ids, side="right") + 2)])
         left, right = overlaps(a_start, a_end, b_start, b_end)
-        pairs = (a[left] << 32) | b[right]
-        # Texts begin where both sides do, so they cut tokens, groups and links alike.
-        a_cut, b_cut = (np.cumsum([0, *map(len, x)]) for x in (a_ids, b_ids))
-        bounds = np.append(a_start, a_end[-1])[a_cut]
-        first = start[order][by_side][np.flatnonzero(np.diff(group, prepend=-1))]
-        g_cut, l_cut = np.searchsorted(first, bounds), np.searchsorted(left, a_cut)
-        made = iter(range(len(a_ids)))
-        out: list[Aligned | None] = []
-        for ok in good:
-            if not ok:
-                out.append(None)
-                continue
-            k = next(made)
-            g, m = (int(g_cut[k]), int(g_cut[k + 1])), (int(l_cut[k]), int(l_cut[k + 1]))
-            counts = (len(a_ids[k]), len(b_ids[k]), g[1] - g[0], m[1] - m[0])
-            out.append(Aligned(counts, ";".join(told[g[0] : g[1]]), pairs[m[0] : m[1]].tobytes()))
-        return out
-
-    def stretches(self, texts: list[str]) -> list[list[str]]:
-        """The stretches of each non-empty text that aligns; empty for all others.  ``look`` then knows them."""
-        split = [[c if i == 0 else " " + c for i, c in enumerate(_PLAIN_BLANK.split(" " + t))] if t else [] for t in texts]
+        links = ((a[left] << 32) | b[right]).tobytes()
+        # A stretch begins where a group and tokens of both sides do.
+        sizes = np.fromiter((len(c.encode()) + 1 for c in stretches), dtype=np.int64, count=len(stretches))
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        a_cut, b_cut = (np.searchsorted(s, bounds) for s in (a_start, b_start))
+        first = np.flatnonzero(np.diff(group, prepend=-1))
+        g_cut = np.searchsorted(start[first], bounds)
+        t_cut = written[np.append(first, len(ids))[g_cut]]
+        l_cut = np.searchsorted(left, a_cut)
+        counts = np.diff(np.stack([a_cut, b_cut, g_cut, l_cut], axis=1), axis=0).astype("<i4").tobytes()
+        spans = zip(t_cut[:-1].tolist(), (t_cut[1:] - 1).tolist(), (8 * l_cut[:-1]).tolist(), (8 * l_cut[1:]).tolist(), strict=True)
+        return [counts[16 * i : 16 * i + 16] + links[u:v] + told[p:q] for i, (p, q, u, v) in enumerate(spans)]
+
+    def learn(self, stretches: set[str]) -> None:
+        """Make ``known`` hold all these stretches."""
         if len(self.known) > CACHED_STRETCHES or self.held > CACHED_CHARS:
-            self.elder, self.known, self.held = self.known, {}, 0
-        new = set().union(*split).difference(self.known)
+            self.elder, self.known, self.odd, self.held = self.known, {}, set(), 0
+        new = stretches.difference(self.known)
         again = self.elder.keys() & new
         self.known.update((c, self.elder[c]) for c in again)
         unseen = list(new - again)
         for at in range(0, len(unseen), STRETCHES_AT_A_TIME):
             part = unseen[at : at + STRETCHES_AT_A_TIME]
-            self.known.update(zip(part, self._align(part), strict=True))
+            self.known.update(zip(part, self.align(part), strict=True))
+        self.odd.update(c for c in new if self.known[c] is None)
         self.held += sum(map(len, new))
-        for i, parts in enumerate(split):
-            if any(self.known[c] is None for c in parts):  # as a whole: what one stretch lacks another may hold
-                whole = " " + texts[i]
-                self.known[whole] = self._align([whole])[0]
-                split[i] = [] if self.known[whole] is None else [whole]
-        return split
 
-    def look(self, stretch: str) -> Aligned:
-        return self.known[stretch]
+    def stretches(self, texts: list[str]) -> list[list[str]]:
+        """The stretches of each text, all in ``known``; none for empty texts and those that do not align."""
+        split = [plain_stretches(t) if t else [] for t in texts]
+        self.learn(set().union(*split))
+        if self.odd:
+            for i, parts in enumerate(split):
+                if not self.odd.isdisjoint(parts):  # as a whole: what one stretch lacks another may hold
+                    self.known[texts[i]] = self.align([texts[i]])[0]
+                    split[i] = [] if self.known[texts[i]] is None else [texts[i]]
+        return split
 
 
 @functools.cache
@@ -215,17 +269,20 @@ def _in_blocks(docs: DataFrame, text_col: str, byte_level: str, pieces: str, wan
         align = aligner(byte_level, pieces)
         number = TaskContext.get().partitionId() << 32
         place: dict[str, int] = {}
-        stretches: list[Aligned] = []
-        codes, sizes, counts, digests, told, rows, held = [], [], [], [], [], [], 0
+        stretches: list[tuple[tuple[int, ...], bytes, bytes]] = []
+        codes, digests, told, rows, held = [], [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            raw = np.frombuffer(b"".join(s.links for s in stretches), dtype=np.int64)
-            link_ends = np.cumsum([len(s.links) // 8 for s in stretches], dtype=np.int64)
+            raw = np.frombuffer(b"".join([s[1] for s in stretches]), dtype=np.int64)
+            link_ends = np.cumsum([s[0][3] for s in stretches], dtype=np.int64)
             pairs, links = np.unique(raw, return_inverse=True)
-            flat = np.fromiter((c for x in codes for c in x), dtype=np.int32)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
+            sizes = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes))
+            flat, ends = np.concatenate([np.zeros(0, np.int32), *codes]), np.cumsum(sizes)
+            each = np.array([s[0] for s in stretches], dtype=np.int64).reshape(-1, 4)
+            along = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(each[flat], axis=0)])
+            counts = np.diff(along[ends], axis=0, prepend=np.zeros((1, 4), np.int64))
             # Documents that hold a pair: different stretches of a document first, then their different pairs.
-            held_once = np.unique(owner * max(1, len(stretches)) + flat)
+            held_once = np.unique(np.repeat(np.arange(len(sizes)), sizes) * max(1, len(stretches)) + flat)
             doc, code = np.divmod(held_once, max(1, len(stretches)))
             many = np.diff(link_ends, prepend=0)
             span = np.repeat(link_ends[code] - np.cumsum(many[code]), many[code]) + np.arange(int(many[code].sum()))
@@ -234,10 +291,10 @@ def _in_blocks(docs: DataFrame, text_col: str, byte_level: str, pieces: str, wan
             columns = [
                 pa.array([number], pa.int64()),
                 pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), pa.concat_arrays(rows)),
-                pa.array([np.array(counts, dtype=np.int64).tobytes()], pa.binary()),
+                pa.array([counts.tobytes()], pa.binary()),
                 pa.array([digests], pa.list_(pa.string())),
                 *([pa.array([told], pa.list_(pa.string()))] if want_groups else []),
-                pa.array([np.cumsum(sizes, dtype=np.int64).tobytes()], pa.binary()),
+                pa.array([ends.tobytes()], pa.binary()),
                 pa.array([flat.tobytes()], pa.binary()),
                 pa.array([link_ends.tobytes()], pa.binary()),
                 pa.array([links.astype(np.int32).tobytes()], pa.binary()),
@@ -254,29 +311,26 @@ def _in_blocks(docs: DataFrame, text_col: str, byte_level: str, pieces: str, wan
             a = 0
             while a < len(texts):
                 b, size = a, 0
-                while b < len(texts) and (b == a or held + size < BLOCK_BYTES):
+                while b < len(texts) and (b == a or size < min(LOT_BYTES, BLOCK_BYTES - held)):
                     size += len(texts[b])
                     b += 1
                 held += size
                 rows.append(whole.slice(a, b - a))
                 for parts in align.stretches(texts[a:b]):
-                    for c in parts:
-                        if c not in place:
-                            place[c] = len(stretches)
-                            stretches.append(align.look(c))
-                    mine = [place[c] for c in parts]
-                    groups = ";".join([stretches[k].groups for k in mine])
-                    codes.append(mine)
-                    sizes.append(len(mine))
-                    counts.append([sum(x) for x in zip(*[stretches[k].counts for k in mine], strict=True)] or [0] * 4)
-                    digests.append(hashlib.sha256(groups.encode()).hexdigest() if mine else "")
+                    for c in set(parts).difference(place):
+                        place[c] = len(stretches)
+                        stretches.append(unpack(align.known[c]))
+                    mine = list(map(place.__getitem__, parts))
+                    groups = b";".join([stretches[k][2] for k in mine])
+                    codes.append(np.array(mine, dtype=np.int32))
+                    digests.append(hashlib.sha256(groups).hexdigest() if mine else "")
                     if want_groups:
-                        told.append(groups)
+                        told.append(groups.decode())
                 a = b
                 if held >= BLOCK_BYTES:
                     yield flush()
                     number, held, place, stretches = number + 1, 0, {}, []
-                    codes, sizes, counts, digests, told, rows = [], [], [], [], [], []
+                    codes, digests, told, rows = [], [], [], []
         if rows:
             yield flush()
 
