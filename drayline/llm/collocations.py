@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -224,21 +225,39 @@ def _tries(phrases: DataFrame, shards: int) -> DataFrame:
 HELD_CANDIDATES = 1 << 21
 
 
-def _added_up(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """State, word and count, equal states and words added up."""
-    state, word, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((word, state))
-    state, word = state[order], word[order]
-    first = np.flatnonzero((np.diff(state, prepend=-1) != 0) | (np.diff(word, prepend=-1) != 0))
-    return state[first], word[first], np.add.reduceat(n[order], first)
+#: Words of text for each range in which counts are added up.
+RANGE_WORDS = 2_000_000
 
 
-def _count(blocks: DataFrame, trie, length: int, whole: bool, grow: bool) -> DataFrame:
-    """``state``, ``word``, ``n``: how often phrases end in a state (word -1), and with which word they go on.
+def _added_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different keys and the sums of their counts."""
+    key, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[first], np.add.reduceat(n[order], first)
+
+
+def _pack(key: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted keys as gaps and their counts, byte by byte of equal rank: most of these are zero and cost nothing."""
+    planes = [np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T) for x in (np.diff(key, prepend=0), n)]
+    return zstandard.ZstdCompressor(level=1).compress(np.concatenate(planes).tobytes())
+
+
+def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8).reshape(2, 8, -1)
+    gaps, n = (np.ascontiguousarray(x.T).reshape(-1).view("<i8") for x in planes)
+    return np.cumsum(gaps), n
+
+
+def _count(blocks: DataFrame, trie, length: int, whole: bool, grow: bool, n_words: int, least: int, ranges: int) -> DataFrame:
+    """``state``, ``word``, ``n`` of at least ``least``: how often phrases end in a state (word -1), and with which word they go on.
 
     ``trie`` is the broadcast (languages, word ids, ranks, base, check) of one
-    shard; ``whole`` says that there is no other shard.
+    shard; ``whole`` says that there is no other shard.  A state and a word are
+    one key; a task adds its keys up and sends them packed, dealt by a hash.
     """
+    width = n_words + 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, *raw = trie.value
@@ -267,22 +286,42 @@ def _count(blocks: DataFrame, trie, length: int, whole: bool, grow: bool) -> Dat
                 inside = begin + length < len(words)
                 begin, states = begin[inside], states[inside]
                 # The next word by its own id, so that words of other shards count as well.
-                after = codes[begin + length].astype(np.int64)
-                good = mine[after] >= 0
-                key, n = np.unique(states[good] * len(mine) + after[good], return_counts=True)
-                state, code = np.divmod(key, len(mine))
-                parts.append((state, mine[code], n))
-                held += len(key)
+                after = mine[codes[begin + length]]
+                good = after >= 0
+                parts.append(np.unique(states[good] * width + after[good] + 1, return_counts=True))
+                held += len(parts[-1][0])
                 if held > HELD_CANDIDATES:
                     parts = [_added_up(parts)]
                     held = len(parts[0][0]) // 2  # room for as many again at least
         found = np.flatnonzero(ended)
-        out = [(found, np.full(len(found), -1), ended[found]), *([_added_up(parts)] if parts else [])]
-        for columns in out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["state", "word", "n"])
-
-    counted = blocks.select("lang", "codes", "ids").mapInArrow(count, "state long, word long, n long")
-    return counted.groupBy("state", "word").agg(F.sum("n").alias("n"))
+        key, n = _added_up([(found * width, ended[found]), *parts])
+        place = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(ranges)
+        order = np.argsort(place, kind="stable")
+        cuts = np.flatnonzero(np.diff(place[order].astype(np.int64), prepend=-1, append=-1))
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            here = order[i:j]
+            yield pa.RecordBatch.from_arrays([pa.array([int(place[here[0]])], pa.int64()), pa.array([_pack(key[here], n[here])], pa.binary())], names=["part", "packed"])
+
+    def add(table: pa.Table) -> pa.Table:
+        key, n = _added_up([_unpack(x.as_py()) for x in table.column("packed")])
+        key, n = key[n >= least], n[n >= least]
+        return pa.table({"state": key // width, "word": key % width - 1, "n": n})
+
+    sent = blocks.select("lang", "codes", "ids").mapInArrow(count, "part long, packed binary")
+    return sent.groupBy("part").applyInArrow(add, "state long, word long, n long")
+
+
+def _dense_ids(words: DataFrame, run: RunFolder) -> DataFrame:
+    """``word`` and ``id`` from 0 without gaps: the place in a stored partition after those before it."""
+    placed = run.keep(words.withColumn("at", F.monotonically_increasing_id()), "numbers")
+    part = F.shiftright("at", 33)
+    sizes = sorted((r[0], r[1]) for r in placed.groupBy(part.alias("p")).count().collect())  # one row a partition
+    before, rows = 0, []
+    for p, n in sizes:
+        rows.append((p, before))
+        before += n
+    offsets = words.sparkSession.createDataFrame(rows, "p long, before long")
+    return placed.join(F.broadcast(offsets), part == F.col("p")).select("word", (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("id"))
 
 
 def frequent_phrases(
@@ -292,10 +331,10 @@ def frequent_phrases(
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = run.keep_bucketed(_blocks(docs, text_col, lang_col), "words", "block", buckets)
-    counted = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).groupBy("lang", F.col("x.words").alias("word"))
+    by_word = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).groupBy("lang", F.col("x.words").alias("word"))
     totals = run.keep(blocks.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")).groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    single = run.keep(counted.agg(F.sum("x.counts").alias("f")).where(F.col("f") >= least), "single")
-    numbered = run.keep(single.select("word").distinct().withColumn("id", F.monotonically_increasing_id()), "numbers")
+    single = run.keep(by_word.agg(F.sum("x.counts").alias("f")).where(F.col("f") >= least), "single")
+    numbered = _dense_ids(single.select("word").distinct(), run)
     # Every block learns the numbers of its frequent words.
     asked = blocks.select("block", F.posexplode("words").alias("at", "word"))
     reply = asked.join(numbered, "word").groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("reply"))
@@ -315,6 +354,8 @@ def frequent_phrases(
     coded = run.keep(joined.select("lang", "n", "codes", "reply").mapInArrow(number, "lang string, codes binary, ids array<bigint>"), "coded")
 
     frequent = single.join(numbered, "word").select("lang", F.array("id").alias("words"))
+    n_words = single.select("word").distinct().count()
+    ranges = max(1, -(-int(totals.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS))
     found: list[DataFrame] = []
     for length in range(1, longest + 1):
         frequent = run.keep(frequent, f"phrases{length}")
@@ -329,7 +370,8 @@ def frequent_phrases(
             if row is None:
                 continue
             trie = spark.sparkContext.broadcast((list(row.langs), *[bytes(x) for x in row[1:]]))
-            counts = run.keep(_count(coded, trie, length, shards == 1, length < longest).where(F.col("n") >= least), f"counts{length}_{shard}")
+            counted = _count(coded, trie, length, shards == 1, length < longest, n_words, least, ranges)
+            counts = run.keep(counted, f"counts{length}_{shard}")
             trie.unpersist()
             leaves = tries.where(F.col("shard") == shard).select(F.explode("leaves").alias("x")).select("x.*")
             told = counts.join(leaves, "state").select("lang", "words", "word", "n")

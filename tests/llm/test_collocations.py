@@ -54,6 +54,7 @@ def test_against_brute_force(spark, run, monkeypatch, seed, least, trie, block):
     monkeypatch.setattr(module, "BLOCK_BYTES", block)
     monkeypatch.setattr(module, "OPEN_BYTES", 3 * block)
     monkeypatch.setattr(module, "HELD_CANDIDATES", 5)
+    monkeypatch.setattr(module, "RANGE_WORDS", 70)
     rows = corpus(seed, 40 if trie < 50 else 120)
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
     got = sorted(map(tuple, collocations(docs, run, least=least, trie_phrases=trie).collect()))
