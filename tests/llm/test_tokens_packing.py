@@ -32,6 +32,19 @@ def test_word_by_word_equals_whole_text(tokenizer, monkeypatch):
             monkeypatch.setattr(tokens, "CACHED_WORDS", 10)
 
 
+def test_byte_ranks_make_the_same_merges(tokenizer):
+    encoder = tokens.WordEncoder(VOCABULARY)
+    assert encoder.ranked is not None
+    words = [w for t in tokenizer.get_vocab() if tokens._LATIN.fullmatch(w := t.removesuffix("</w>"))]
+    rnd = random.Random(8)
+    words += ["".join(rnd.choice("aeiourstnlßéÀzqx") for _ in range(rnd.randrange(1, 25))) for _ in range(3000)]
+    words += [w + p for w in words[::40] for p in (".", ",", "..", "1.")]
+    for at in range(0, len(words), 500):
+        part = words[at : at + 500]
+        expected = [x.ids for x in tokenizer.encode_batch(part, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(part)] == expected
+
+
 def test_special_tokens_in_another_case(tokenizer):
     encoder = tokens.WordEncoder(VOCABULARY)
     for sign in ("<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext|>", "<|STARTOFTEXT|>"):
