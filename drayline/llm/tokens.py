@@ -18,8 +18,10 @@ import struct
 import numpy as np
 
 #: Words and characters of one generation of the cache.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 200_000
 CACHED_CHARS = 16 << 20
+#: Characters of text that are words side by side at a time.
+LOT_CHARS = 2 << 20
 WORDS_AT_A_TIME = 500
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: Signs at the end of a word of Latin letters are always a token run of their own; an apostrophe may belong to letters.
@@ -123,21 +125,32 @@ class WordEncoder:
         self.held += sum(map(len, new))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        made = dict.fromkeys(texts, b"")  # equal texts once
+        lot, size = [], 0
+        for text in made:
+            lot.append(text)
+            size += len(text)
+            if size >= LOT_CHARS:
+                self._encode(lot, made)
+                lot, size = [], 0
+        self._encode(lot, made)
+        return [made[text] for text in texts]
+
+    def _encode(self, texts: list[str], made: dict[str, bytes]) -> None:
         if len(self.known) > CACHED_WORDS or self.held > CACHED_CHARS:
             self.elder, self.known, self.held = self.known, {"": b""}, 0
-        made: dict[str, list[str]] = {}  # equal texts once
+        split = []
         for text in texts:
-            if text not in made:
-                plain = text
-                if text.isascii():
-                    lower = text.lower()
-                    if not any(x in lower for x in self.special):
-                        plain = lower
-                made[text] = plain.replace("\n", " ").split(" ")
-        self._find(set().union(*made.values()))
+            plain = text
+            if text.isascii():
+                lower = text.lower()
+                if not any(x in lower for x in self.special):
+                    plain = lower
+            split.append(plain.replace("\n", " ").split(" "))
+        self._find(set().union(*split))
         look = self.known.__getitem__
-        ids = {text: b"".join(map(look, words)) for text, words in made.items()}
-        return [ids[text] for text in texts]
+        for text, words in zip(texts, split, strict=True):
+            made[text] = b"".join(map(look, words))
 
 
 @functools.cache
