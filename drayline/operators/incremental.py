@@ -75,6 +75,13 @@ def after_offsets(
     if target is None:
         return source
     marks = target.groupBy(F.col(partition_col).alias("_of")).agg(F.max(offset_col).alias("_mark"))
+    return after_marks(source, marks, partition_col, offset_col)
+
+
+def after_marks(
+    source: DataFrame, marks: DataFrame, partition_col: str = "_partition_id", offset_col: str = "_partition_offset"
+) -> DataFrame:
+    """Rows past the mark (``_mark``) of their stream partition (``_of``); all rows of a partition without one."""
     joined = source.join(marks, F.col(partition_col).eqNullSafe(F.col("_of")), "left")
     return joined.where(F.col(offset_col) > F.coalesce(F.col("_mark"), F.lit(-1))).select(*source.columns)
 

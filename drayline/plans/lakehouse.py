@@ -14,11 +14,12 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drayline.functions import epoch_ms_to_timestamp
-from drayline.operators import checks
+from drayline.operators import checks, incremental
 from drayline.plans import activity, marts, staging, trips
 from drayline.schemas import RUN_RESULTS
 from drayline.session import remove_folder
 from drayline.sources import cdc
+from drayline.sources.ledger import OffsetLedger
 from drayline.sources.tables import PartitionedTable, SnapshotTable, insert_rows, path_exists, with_key_bucket
 
 FEEDS = {"orders": False, "trucks": False, "truck_telemetry": True}  # feed -> append-only
@@ -38,6 +39,7 @@ class Lakehouse:
 
     def __post_init__(self) -> None:
         self.raw = {f: self._partitioned("bronze", f"{f}_raw", ["event_date"]) for f in FEEDS}
+        self.ledgers = {f: OffsetLedger(self.spark, f"{self.base}/bronze/{f}_offsets") for f in FEEDS}
         self.stg_orders = self._partitioned("bronze", "stg_orders", ["_key_bucket"])
         self.stg_trucks = SnapshotTable(self.spark, f"{self.base}/bronze/stg_trucks")
         self.stg_telemetry = self._partitioned("bronze", "stg_telemetry", ["event_date"])
@@ -56,18 +58,41 @@ class Lakehouse:
         """Land new events of the feeds and bring the staging tables up to date.
 
         A feed's new events are first stored as a batch of their own. The batch
-        goes to the raw table, to staging and to the dead letters, and is
-        removed last; each of these steps can be repeated. A run that fails in
+        goes to the raw table, to staging and to the dead letters, its offsets
+        go to the feed's ledger, and it is removed last; each of these steps
+        can be repeated. Where to go on is read from the ledger alone. A run that fails in
         between leaves the batch, and the next one completes it before it takes
         new events, so nothing that has landed stays unstaged.
         """
         for name in FEEDS:
             self._complete(name)
         for name, source in feeds.items():
-            new = staging.raw_changes(source, self.raw[name].read(), FEEDS[name])
+            new, marks = staging.raw_changes(source, None, FEEDS[name]), self._marks(name)
+            new = new if marks is None else incremental.after_marks(new, marks)
             new.write.mode("overwrite").parquet(self._batch(name))
             self._complete(name)
 
+    def _marks(self, feed: str) -> DataFrame | None:
+        """The last landed offsets; a raw table from before the ledger is read for them once."""
+        ledger = self.ledgers[feed]
+        if not ledger.next_number() > 1 and self.raw[feed].exists():
+            ledger.commit(1, self.raw[feed].read())
+        return ledger.marks()
+
+    def _not_landed(self, feed: str, batch: DataFrame) -> DataFrame:
+        """Events of a dated batch that the raw table lacks; only the days of the batch are read."""
+        stored = self.raw[feed].read()
+        if stored is None:
+            return batch
+        place = ["_partition_id", "_partition_offset", "event_date"]
+        span = batch.agg(F.min("event_date"), F.max("event_date")).first()
+        near = F.col("event_date").isNull()
+        if span[0] is not None:
+            near = near | F.col("event_date").between(F.lit(span[0]), F.lit(span[1]))
+        known = stored.where(near).select(*[F.col(c).alias(f"_s{c}") for c in place])
+        same = [F.col(c).eqNullSafe(F.col(f"_s{c}")) for c in place]
+        return batch.join(known, same[0] & same[1] & same[2], "left_anti")
+
     def _batch(self, feed: str) -> str:
         return f"{self.base}/_staging/{feed}-batch"
 
@@ -80,13 +105,14 @@ class Lakehouse:
         batch = self.spark.read.schema(schema).parquet(path)
         if not batch.isEmpty():
             day = F.to_date(epoch_ms_to_timestamp("ts_ms"))
-            landing = staging.raw_changes(batch, self.raw[feed].read(), FEEDS[feed])
+            landing = self._not_landed(feed, batch.withColumn("event_date", day))
             if not landing.isEmpty():
-                self.raw[feed].append(landing.withColumn("event_date", day))
+                self.raw[feed].append(landing)
             letters = staging.malformed(batch, feed)
             if not letters.isEmpty():
                 self.dead_letters.merge(letters, ["feed", "_partition_id", "_partition_offset"])
             getattr(self, f"_stage_{feed}")(batch)
+            self.ledgers[feed].commit(self.ledgers[feed].next_number(), batch)
         remove_folder(self.spark, path)
 
     def _stage_orders(self, batch: DataFrame) -> None:

@@ -9,7 +9,9 @@ from drayline.plans import derived, staging
 from drayline.registry.base import Tables, query
 from drayline.plans.derived import DISTRICTS
 from drayline import schemas
+from drayline.session import scratch_path
 from drayline.sources import cdc
+from drayline.sources.ledger import OffsetLedger
 
 _LIST = "[" + ", ".join(f"'{d}'" for d in DISTRICTS) + "]"
 _OP = (
@@ -47,12 +49,14 @@ def _naive(df: DataFrame) -> DataFrame:
     )
 
 
-@query(
-    "raw_new_offsets",
+_NEW_OFFSETS = (
     f"SELECT {_OP} AS op, epoch_us(ts) // 1000 AS ts_ms, CAST(user_id % 3 AS INT) AS part, event_id AS _partition_offset FROM events e "
     "WHERE event_id > (SELECT coalesce(max(event_id), -1) FROM events s WHERE s.event_id % 10 < 7 "
-    "AND s.ts < TIMESTAMP '2024-01-16' AND s.user_id % 3 = e.user_id % 3 AND s.user_id % 3 <> 2)",
+    "AND s.ts < TIMESTAMP '2024-01-16' AND s.user_id % 3 = e.user_id % 3 AND s.user_id % 3 <> 2)"
 )
+
+
+@query("raw_new_offsets", _NEW_OFFSETS)
 def raw_new_offsets(t: Tables) -> DataFrame:
     """Events past the stored offset of their partition; one partition has never been stored."""
     feed = derived.order_changes(t.events)
@@ -65,6 +69,18 @@ def raw_new_offsets(t: Tables) -> DataFrame:
     return new.select("op", "ts_ms", F.col("_partition_id").alias("part"), "_partition_offset")
 
 
+@query("ledger_new_offsets", _NEW_OFFSETS)
+def ledger_new_offsets(t: Tables) -> DataFrame:
+    """The same from a ledger of three batches with gaps, one of them committed twice: no landed event is read."""
+    feed = derived.order_changes(t.events)
+    seen = derived.order_changes(t.events.where("event_id % 10 < 7 AND ts < TIMESTAMP_NTZ '2024-01-16' AND user_id % 3 <> 2"))
+    ledger = OffsetLedger(t.spark, scratch_path(t.spark, "ledger_new_offsets"))
+    for k in (0, 1, 1, 2):
+        ledger.commit(k + 1, seen.where(F.col("_partition_offset") % 3 == k))
+    new = incremental.after_marks(staging.raw_changes(feed), ledger.marks())
+    return new.select("op", "ts_ms", F.col("_partition_id").alias("part"), "_partition_offset")
+
+
 @query("stg_orders", _STG_ORDERS)
 def stg_orders(t: Tables) -> DataFrame:
     return _naive(staging.stg_orders(derived.order_changes(t.events)))

@@ -239,3 +239,20 @@ def test_run_folder_ends(spark, rows):
     outcome = run.result(kept.withColumn("x", F.lit(1)))
     assert not Path(run.path).exists() and rows(outcome) == [(0, 1), (1, 1), (2, 1)]
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_offset_ledger(spark, tmp_path, rows):
+    from drayline.operators.incremental import after_marks
+    from drayline.sources.ledger import OffsetLedger
+
+    ledger = OffsetLedger(spark, str(tmp_path / "offsets"))
+    assert ledger.read() is None and ledger.marks() is None and ledger.next_number() == 1
+    schema = "_partition_id int, _partition_offset long"
+    ledger.commit(1, spark.createDataFrame([(0, 5), (0, 9), (None, 3)], schema))
+    ledger.commit(2, spark.createDataFrame([(1, 4)], schema))
+    ledger.commit(2, spark.createDataFrame([(1, 4), (1, 6)], schema))  # repeated
+    assert rows(ledger.read()) == [(0, 5, 9, 2, 1), (1, 4, 6, 2, 2), (None, 3, 3, 1, 1)][2:] + [(0, 5, 9, 2, 1), (1, 4, 6, 2, 2)]
+    source = spark.createDataFrame([(0, 9), (0, 10), (1, 6), (1, 20), (2, 0), (None, 3), (None, 4)], schema)
+    new = after_marks(source, ledger.marks())
+    assert rows(new) == [(None, 4), (0, 10), (1, 20), (2, 0)]
+    assert all("offsets" in f for f in ledger.marks().inputFiles()) and len(ledger.marks().inputFiles()) == 2
