@@ -328,23 +328,31 @@ def series_by_day(t: Tables) -> DataFrame:
     return stored.groupBy("user_id", "event_date").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("table_from_query", "SELECT n_nationkey, n_name, n_regionkey FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query(
+    "table_from_query",
+    "SELECT c_mktsegment, o_orderpriority, count(*) AS orders, CAST(round(sum(CAST(o_totalprice AS DECIMAL(15,2)) ), 2) AS DOUBLE) AS total "
+    "FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2",
+)
 def table_from_query(t: Tables) -> DataFrame:
-    """A catalog table made from a query, partitioned and read back by name."""
+    """A catalog table made from a join of orders and customers, partitioned, and read back by name."""
     name = f"made_{_run()}"
-    joined = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "n_regionkey")
-    tables.create_table_as(joined, name, partition_by=["n_regionkey"])
-    stored = cut_lineage(t.spark.table(name).select("n_nationkey", "n_name", "n_regionkey"), "table")
+    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    tables.create_table_as(joined.select("o_orderkey", "o_totalprice", "o_orderpriority", "c_mktsegment"), name, partition_by=["c_mktsegment"])
+    grouped = t.spark.table(name).groupBy("c_mktsegment", "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(F.col("o_totalprice").cast("decimal(15,2)")).cast("double").alias("total")
+    )
+    stored = cut_lineage(grouped, "table")
     tables.drop_relation(t.spark, name)
     return stored
 
 
-@query("inserted_rows", "SELECT n_nationkey, n_name FROM nation")
+@query("inserted_rows", "SELECT o_orderkey, o_orderstatus FROM orders")
 def inserted_rows(t: Tables) -> DataFrame:
-    """Rows of the driver (25 nations) appended in chunks of seven."""
+    """All orders appended in two parts by the executors, in files of at most 700 rows."""
     path = f"{shared_dir(t.spark)}/inserted_rows-{_run()}"
-    rows = t.nation.select("n_nationkey", "n_name")
-    tables.insert_rows(t.spark, (tuple(r) for r in rows.toLocalIterator()), rows.schema, path, chunk_size=7)
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    for rest in (0, 1):
+        tables.append_rows(rows.where(F.col("o_orderkey") % 2 == rest), path, chunk_size=700)
     return t.spark.read.schema(rows.schema).parquet(path)
 
 
@@ -357,11 +365,12 @@ def seed_rows(t: Tables) -> DataFrame:
     return tables.read_seed(t.spark, path, rows.schema)
 
 
-@query("typed_empty_union", "SELECT r_regionkey, r_name, CAST(NULL AS TIMESTAMP) AS loaded_at FROM region")
+@query("typed_empty_union", "SELECT o_orderkey, o_orderstatus, CAST(NULL AS TIMESTAMP) AS loaded_at FROM orders")
 def typed_empty_union(t: Tables) -> DataFrame:
     """An empty table of declared columns gives a union its missing column, typed."""
-    empty = incremental.typed_empty(t.spark, [("r_regionkey", t.region.schema["r_regionkey"].dataType.simpleString()), ("r_name", "string"), ("loaded_at", "timestamp_ntz")])
-    return empty.unionByName(t.region.select("r_regionkey", "r_name"), allowMissingColumns=True)
+    kind = t.orders.schema["o_orderkey"].dataType.simpleString()
+    empty = incremental.typed_empty(t.spark, [("o_orderkey", kind), ("o_orderstatus", "string"), ("loaded_at", "timestamp_ntz")])
+    return empty.unionByName(t.orders.select("o_orderkey", "o_orderstatus"), allowMissingColumns=True)
 
 
 @query("replaced_rows", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 4 = 1")

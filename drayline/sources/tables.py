@@ -398,6 +398,13 @@ def insert_rows(
     return total
 
 
+def append_rows(df: DataFrame, path: str, chunk_size: int = INSERT_CHUNK) -> None:
+    """Append rows in files of at most ``chunk_size`` rows, written by the executors."""
+    if chunk_size < 1:
+        raise ValueError("chunk_size must be positive")
+    df.write.mode("append").option("maxRecordsPerFile", chunk_size).parquet(path)
+
+
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A CSV file with a header, read with explicit types."""
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
