@@ -158,7 +158,7 @@ def anomaly_scores(
 
 
 def anomaly_description() -> Column:
-    """Text that explains a scored row."""
+    """Text that explains a scored row; its sentences are fixed values."""
 
     def shown(value: Column, places: int) -> Column:
         return F.round(value.cast("decimal(38,6)"), places).cast("string")

@@ -55,6 +55,7 @@ SEASONALITIES = {"day_of_week": "day", "hour_of_day": "hour", "hour_of_week": "h
 # Days read before the first bucket, so that its first gap between updates is known.
 FRESHNESS_LEAD_DAYS = 7
 
+# The columns of the metric store.
 METRIC_COLUMNS = [
     "id", "full_table_name", "column_name", "metric_name", "metric_type", "metric_value",
     "source_value", "bucket_start", "bucket_end", "bucket_duration_hours", "updated_at",

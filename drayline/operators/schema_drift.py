@@ -134,7 +134,7 @@ def baseline_changes(
 
 
 def change_results(changes: DataFrame, as_of: datetime, execution_id: str = "", test_id: str = "") -> DataFrame:
-    """Result rows with a description per change."""
+    """Result rows with a description per change; the sentences are fixed values."""
     name = F.col("column_name")
     text = (
         F.when(F.col("change") == "column_added", F.concat(F.lit('The column "'), name, F.lit('" was added')))

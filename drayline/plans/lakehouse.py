@@ -22,6 +22,7 @@ from drayline.sources import cdc
 from drayline.sources.ledger import OffsetLedger
 from drayline.sources.tables import PartitionedTable, SnapshotTable, insert_rows, path_exists, with_key_bucket
 
+# The feeds, and below the names of layers and models.
 FEEDS = {"orders": False, "trucks": False, "truck_telemetry": True}  # feed -> append-only
 KEY_BUCKETS = 256
 

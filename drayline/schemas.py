@@ -1,4 +1,4 @@
-"""Explicit schemas of the feeds and tables."""
+"""Explicit schemas of the feeds and tables. Their column names and types are fixed values."""
 
 from __future__ import annotations
 
