@@ -8,9 +8,10 @@ the filter reaches the scan and prunes files.
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from drayline.operators.latest import latest_per_key, top_n_per_key
 
@@ -86,6 +87,13 @@ def after_marks(
     return joined.where(F.col(offset_col) > F.coalesce(F.col("_mark"), F.lit(-1))).select(*source.columns)
 
 
+def matching(df: DataFrame, keys: DataFrame, columns: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose key is listed (``left_anti``: is not); nulls match nulls."""
+    listed = keys.select(*[F.col(c).alias(f"_k_{c}") for c in columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in columns])
+    return df.join(listed, same, how)
+
+
 def within_lookback(df: DataFrame, date_col: str, as_of: date, days: int) -> DataFrame:
     """Rows dated no earlier than ``days`` before ``as_of``."""
     return df.where(F.col(date_col) >= F.lit(as_of - timedelta(days=days)))
@@ -99,6 +107,39 @@ def context_rows(
     return top_n_per_key(earlier, keys, [F.col(date_col).desc()], rows)
 
 
+def rows_after_changes(
+    fresh: DataFrame, stored: DataFrame, dirty: DataFrame, keys: list[str], date_col: str, rows: int
+) -> DataFrame:
+    """What a window over the last rows of a key needs when some of its days have changed.
+
+    ``fresh`` are the recomputed rows of the ``dirty`` keys and days (those that
+    have none any more are gone), ``stored`` the rows as they were, one a key
+    and day. Returns the rows of the dirty keys from ``rows`` rows before their
+    first dirty day on, the stored ones replaced, with a flag ``_affected`` on
+    those with a dirty day among themselves and the ``rows`` rows before them.
+    """
+    place = [*keys, date_col]
+    first = dirty.groupBy(*[F.col(c).alias(f"_f_{c}") for c in keys]).agg(F.min(date_col).alias("_first"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in keys])
+    kept = matching(stored.select(*fresh.columns), dirty, place, "left_anti").join(first, same)
+    before = top_n_per_key(kept.where(F.col(date_col) < F.col("_first")), keys, [F.col(date_col).desc()], rows)
+    kept = kept.where(F.col(date_col) >= F.col("_first")).unionByName(before).select(*fresh.columns)
+    gone = matching(dirty.select(*place), fresh, place, "left_anti")
+    yes, no = F.lit(True), F.lit(False)
+    parts = [
+        fresh.withColumns({"_live": yes, "_dirty": yes}),
+        kept.withColumns({"_live": yes, "_dirty": no}),
+        gone.withColumns({"_live": no, "_dirty": yes}),
+    ]
+    both = parts[0].unionByName(parts[1]).unionByName(parts[2], allowMissingColumns=True)
+    w = W.partitionBy(*keys).orderBy(date_col)
+    # Rows in place up to here, and how many there were at the last change.
+    count = F.sum(F.col("_live").cast("int")).over(w)
+    marked = both.withColumn("_n", count).withColumn("_at", F.max(F.when(F.col("_dirty"), F.col("_n"))).over(w))
+    near = F.coalesce(F.col("_n") - F.col("_at") <= rows, no)
+    return marked.where("_live").select(*fresh.columns, near.alias("_affected"))
+
+
 # --- merging ----------------------------------------------------------------------
 
 
@@ -134,6 +175,12 @@ def _aligned(target: DataFrame, source: DataFrame, on_schema_change: str) -> tup
     return target, append_new_columns(source, target).select(*target.columns)
 
 
+def stacked(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Both together, in the source's columns."""
+    old, new = _aligned(target, source, "sync_all_columns")
+    return old.unionByName(new)
+
+
 def merge_upsert(
     target: DataFrame,
     source: DataFrame,

@@ -64,14 +64,24 @@ def daily_trips(trips: DataFrame) -> DataFrame:
 
 
 def truck_activity(
-    trips: DataFrame, trucks: DataFrame, telemetry: DataFrame, target: DataFrame | None = None
+    trips: DataFrame,
+    trucks: DataFrame,
+    telemetry: DataFrame,
+    target: DataFrame | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """One row per truck and day with trips: distance, time, hours seen, main district.
 
-    With ``target`` given, the last stored day and everything after it is recomputed.
+    With ``target`` given, the last stored day and everything after it is
+    recomputed; with ``only`` (``truck_id``, ``activity_date``), those truck-days.
     """
     valid = trips.where(~F.col("is_deleted"))
     pings = telemetry
+    if only is not None:
+        place = ["truck_id", "activity_date"]
+        valid = incremental.matching(valid.withColumn("activity_date", F.col("trip_date")), only, place)
+        day = F.col("event_ts").cast("date")
+        pings = incremental.matching(pings.withColumn("activity_date", day), only, place)
     since = incremental.high_watermark(target, "activity_date")
     if since is not None:
         valid = valid.where(F.col("trip_date") >= F.lit(since))

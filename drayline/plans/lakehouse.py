@@ -3,22 +3,30 @@
 Each step reads what the step before has written. A batch of events is stored
 first and removed when raw, staging and dead letters have it, so a failed run is
 completed by the next one.
+
+What a step has changed goes to a change log beside its table: staged orders as
+rows, everything else as keys and days. The steps after it read the entries
+they have not seen and recompute those keys, so a correction of a day long
+stored reaches every mart, and a run costs what has changed.
 """
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from drayline.functions import epoch_ms_to_timestamp
 from drayline.operators import checks, incremental
+from drayline.operators.latest import latest_per_key
 from drayline.plans import activity, marts, staging, trips
 from drayline.schemas import RUN_RESULTS
-from drayline.session import remove_folder
+from drayline.session import RunFolder, remove_folder
 from drayline.sources import cdc
+from drayline.sources.change_log import ENTRY, ChangeLog, Pending
 from drayline.sources.ledger import OffsetLedger
 from drayline.sources.tables import PartitionedTable, SnapshotTable, insert_rows, path_exists, with_key_bucket
 
@@ -51,6 +59,8 @@ class Lakehouse:
         self.fleet_utilization = self._partitioned("gold", "fleet_utilization", ["metric_date"])
         self.dead_letters = self._partitioned("bronze", "dead_letters", ["feed"])
         self.late = f"{self.base}/_staging/late_trucks"
+        logged = ("stg_orders", "stg_trucks", "stg_telemetry", "order_trips", "truck_activity")
+        self.changes = {n: ChangeLog(self.spark, f"{self.base}/_changes/{n}") for n in logged}
         self.run_results = f"{self.base}/observability/run_results"
 
     # --- feeds to staging -----------------------------------------------------------
@@ -117,28 +127,51 @@ class Lakehouse:
         remove_folder(self.spark, path)
 
     def _stage_orders(self, batch: DataFrame) -> None:
-        rows = with_key_bucket(staging.stg_orders(batch, keep_offset=True), ["order_id"], self.key_buckets)
-        self.stg_orders.merge(rows, ["order_id"], versions=["ts_ms", "_partition_offset"])
+        self.land_orders(staging.stg_orders(batch, keep_offset=True))
 
     def _stage_trucks(self, batch: DataFrame) -> None:
-        rows = staging.stg_trucks(batch, keep_offset=True)
-        self.stg_trucks.merge(rows, ["truck_id"], versions=["ts_ms", "_partition_offset"])
+        self.land_trucks(staging.stg_trucks(batch, keep_offset=True))
 
     def _stage_truck_telemetry(self, batch: DataFrame) -> None:
-        pings = staging.stg_telemetry(batch)
+        self.land_positions(staging.stg_telemetry(batch))
+
+    def land_orders(self, rows: DataFrame) -> None:
+        """Merge decoded orders (one row an order, with ``ts_ms`` and ``_partition_offset``) and note how they stand now."""
+        rows = with_key_bucket(rows, ["order_id"], self.key_buckets)
+        self.stg_orders.merge(rows, ["order_id"], versions=["ts_ms", "_partition_offset"])
+        place = ["_key_bucket", "order_id"]
+        stored = self.stg_orders.read_partitions(rows.select("_key_bucket").distinct())
+        if stored is not None:
+            self.changes["stg_orders"].append(stored.join(rows.select(*place).distinct(), place, "left_semi"))
+
+    def land_trucks(self, rows: DataFrame) -> None:
+        """Merge registry rows (one a truck) and note the trucks."""
+        self.stg_trucks.merge(rows, ["truck_id"], versions=["ts_ms", "_partition_offset"])
+        self.changes["stg_trucks"].append(rows.select("truck_id").distinct())
+
+    def land_positions(self, pings: DataFrame) -> None:
+        """Add positions not stored yet; note their truck-days and the trucks whose stored trips they may change."""
         stored = self.stg_telemetry.read()
         if stored is not None:
-            pings = staging.incremental.append_absent(
+            pings = incremental.append_absent(
                 stored.drop("event_date"), pings, ["truck_id", "event_ts"], range_col="event_ts"
             )
-        known = self.order_trips.read()
-        if known is not None and stored is not None:
-            late = trips.late_trucks(pings, known, stored)
-            if not late.isEmpty():  # before the positions are stored: repeating this adds a truck twice at most
-                late.write.mode("append").parquet(self.late)
-        pings = pings.withColumn("event_date", F.to_date("event_ts"))
-        if stored is not None or not pings.isEmpty():
-            self.stg_telemetry.append(pings)
+        # The batch is read several times: new positions, once told from stored ones, are kept for the step.
+        run = RunFolder(self.spark, "positions", f"{self.base}/_staging")
+        try:
+            pings = run.keep(pings.withColumn("event_date", F.to_date("event_ts")), "new")
+            known = self.order_trips.read()
+            if known is not None and stored is not None:
+                late = trips.late_trucks(pings, known, stored)
+                if not late.isEmpty():  # before the positions are stored: repeating this adds a truck twice at most
+                    late.write.mode("append").parquet(self.late)
+            if stored is not None or not pings.isEmpty():
+                self.changes["stg_telemetry"].append(
+                    pings.select("truck_id", F.col("event_date").alias("activity_date")).distinct()
+                )
+                self.stg_telemetry.append(pings)
+        finally:
+            run.close()
 
     # --- staging to marts -----------------------------------------------------------
 
@@ -149,60 +182,135 @@ class Lakehouse:
         threshold: float = marts.OTD_THRESHOLD_MIN,
         lookback_days: int = marts.LOOKBACK_DAYS,
     ) -> None:
-        """Bring trips, truck-days and marts up to date (or rebuild them)."""
-        orders = self.stg_orders.read().drop("_key_bucket", "_partition_offset")
-        telemetry = self.stg_telemetry.read().drop("event_date")
-        trucks = self.stg_trucks.read().drop("_partition_offset")
-        incremental = not full_refresh
-
-        known = self.order_trips.read() if incremental else None
-        self._run(
-            "order_trips", full_refresh,
-            lambda: self.order_trips.merge(
-                trips.order_trips(orders, telemetry, known), ["order_id"], full_refresh, keys_may_move=True
-            ),
-        )
+        """Bring trips, truck-days and marts up to date (or rebuild them).
+
+        Each step recomputes the keys and days that the change logs name, and
+        what a window carries on from them; the outcome is that of a rebuild. With
+        ``as_of`` the daily marts also refresh the ``lookback_days`` before it,
+        changed or not.
+        """
+        steps = [
+            ("order_trips", self._build_trips, ()),
+            ("truck_activity", self._build_activity, ()),
+            ("otd", self._build_otd, (threshold,)),
+            ("district_heatmap", self._build_heatmap, (threshold,)),
+            ("fleet_utilization", self._build_fleet, ()),
+        ]
+        since = None if as_of is None else as_of - timedelta(days=lookback_days)
+        for name, step, options in steps:
+            self._run(name, full_refresh, lambda step=step, options=options: step(full_refresh, since, *options))
+
+    def _pending(self, reader: str, sources: list[str], full_refresh: bool) -> tuple[dict[str, Pending], bool]:
+        """What a step has not seen of its sources, and whether it has to run in full."""
+        found = {name: self.changes[name].pending(reader) for name in sources}
+        full = full_refresh or not getattr(self, reader).exists()
+        return found, full or any(p.everything for p in found.values())
+
+    def _seen(self, reader: str, found: dict[str, Pending]) -> None:
+        for name, pending in found.items():
+            self.changes[name].advance(reader, pending.upto)
+
+    def _trip_inputs(self) -> tuple[DataFrame, DataFrame]:
+        return self.stg_orders.read().drop("_key_bucket", "_partition_offset"), self.stg_telemetry.read().drop("event_date")
+
+    def _build_trips(self, full_refresh: bool, _since: date | None) -> None:
+        """Trips of the orders that changed, from the log of orders alone; then those of late positions."""
+        log, key = self.changes["order_trips"], ["order_id"]
+        found, full = self._pending("order_trips", ["stg_orders"], full_refresh)
+        orders, telemetry = self._trip_inputs()
+        if full:
+            log.append_all()
+            self.order_trips.overwrite(trips.order_trips(orders, telemetry))
+            remove_folder(self.spark, self.late)
+        elif found["stg_orders"].rows is not None:
+            changed = latest_per_key(found["stg_orders"].rows, key, [ENTRY]).select(*orders.columns)
+            self._store_trips(changed, telemetry, trips.positions_for(trips.completed_orders(changed), telemetry))
         if path_exists(self.spark, self.late):  # positions that came after their trips were stored
-            late = self.spark.read.schema("truck_id string").parquet(self.late)
-            stored = self.order_trips.read()
-            if stored is not None:
-                revised = trips.revised_trips(orders, telemetry, stored, late)
-                self._run("order_trips", full_refresh, lambda: self.order_trips.merge(revised, ["order_id"], keys_may_move=True))
+            trucks = self.spark.read.parquet(self.late).distinct()
+            again = orders.join(trucks, "truck_id", "left_semi")
+            self._store_trips(again, telemetry, telemetry.join(trucks, "truck_id", "left_semi"))
             remove_folder(self.spark, self.late)
-        all_trips = self.order_trips.read()
-
-        known = self.truck_activity.read() if incremental else None
-        self._run(
-            "truck_activity", full_refresh,
-            lambda: self.truck_activity.merge(
-                activity.truck_activity(all_trips, trucks, telemetry, known),
-                ["truck_id", "activity_date"], full_refresh,
-            ),
-        )
-        days = self.truck_activity.read()
-
-        # Without as_of the whole mart is computed, still merged by key.
-        known = self.otd.read() if incremental and as_of else None
-        self._run(
-            "otd", full_refresh,
-            lambda: self.otd.merge(
-                marts.otd(all_trips, threshold, known, as_of, lookback_days), ["trip_date", "district"], full_refresh
-            ),
+        self._seen("order_trips", found)
+
+    def _store_trips(self, orders: DataFrame, telemetry: DataFrame, near: DataFrame) -> None:
+        rows = trips.order_trips(orders, near.select(*telemetry.columns))
+        track = ["truck_id", "trip_date", "pickup_address", "delivery_address"]
+        self.order_trips.replace_keys(rows, orders.select("order_id"), ["order_id"], self.changes["order_trips"], track)
+
+    def _build_activity(self, full_refresh: bool, _since: date | None) -> None:
+        """Truck-days with other trips, new positions or another registry entry."""
+        log, place = self.changes["truck_activity"], ["truck_id", "activity_date"]
+        found, full = self._pending("truck_activity", ["order_trips", "stg_telemetry", "stg_trucks"], full_refresh)
+        trucks = self.stg_trucks.read().drop("_partition_offset")
+        if full:
+            rows = activity.truck_activity(self.order_trips.read(), trucks, self.stg_telemetry.read().drop("event_date"))
+            log.append_all()
+            self.truck_activity.overwrite(rows)
+        else:
+            days = [
+                found["order_trips"].rows, found["stg_telemetry"].rows, self._days_of(found["stg_trucks"].rows)
+            ]
+            days = [d.withColumnRenamed("trip_date", "activity_date").select(*place) for d in days if d is not None]
+            if days:
+                dirty = reduce(DataFrame.unionByName, days).distinct()
+                day = dirty.select("activity_date").distinct()
+                near = self.order_trips.read_partitions(day.withColumnRenamed("activity_date", "trip_date"))
+                pings = self.stg_telemetry.read_partitions(day.withColumnRenamed("activity_date", "event_date"))
+                rows = activity.truck_activity(near, trucks, pings.drop("event_date"), only=dirty)
+                self.truck_activity.replace_keys(rows, dirty, place, log)
+        self._seen("truck_activity", found)
+
+    def _days_of(self, trucks: DataFrame | None) -> DataFrame | None:
+        """Stored days of some trucks, from the key columns alone."""
+        if trucks is None:
+            return None
+        days = self.truck_activity.read().select("truck_id", "activity_date")
+        return days.join(trucks.select("truck_id").distinct(), "truck_id", "left_semi")
+
+    def _dirty(self, pending: Pending, names: dict[str, str], source: DataFrame, stored: DataFrame, since: date | None) -> DataFrame | None:
+        """Keys of a daily mart (the first one its day) that changed or lie in the days to refresh."""
+        day, *_ = names
+        parts = [] if pending.rows is None else [pending.rows.select(*[F.col(o).alias(n) for n, o in names.items()])]
+        if since is not None:
+            recent = source.where(F.col(names[day]) >= F.lit(since))
+            parts.append(recent.select(*[F.col(o).alias(n) for n, o in names.items()]))
+            parts.append(stored.where(F.col(day) >= F.lit(since)).select(*names))
+        return reduce(DataFrame.unionByName, parts).distinct() if parts else None
+
+    def _build_daily(self, name: str, source: str, full_refresh: bool, since: date | None, names: dict[str, str], whole, changed) -> None:
+        """A mart by day: ``whole`` from all rows of its source, ``changed`` for the dirty keys."""
+        table, origin = getattr(self, name), getattr(self, source)
+        found, full = self._pending(name, [source], full_refresh)
+        if full:
+            table.overwrite(whole(origin.read()))
+        else:
+            day = next(iter(names))
+            dirty = self._dirty(found[source], names, origin.read(), table.read(), since)
+            if dirty is not None:
+                near = origin.read_partitions(dirty.select(F.col(day).alias(names[day])).distinct())
+                rows = changed(near, table.read(), dirty)
+                # Rows after a dirty one come out anew as well.
+                table.replace_keys(rows, dirty.unionByName(rows.select(*names)), list(names))
+        self._seen(name, found)
+
+    def _build_otd(self, full_refresh: bool, since: date | None, threshold: float) -> None:
+        self._build_daily(
+            "otd", "order_trips", full_refresh, since, {"trip_date": "trip_date", "district": "delivery_address"},
+            lambda rows: marts.otd(rows, threshold), lambda rows, stored, dirty: marts.otd_changed(rows, stored, dirty, threshold),
         )
-        since = as_of if incremental and self.district_heatmap.exists() else None
-        self._run(
-            "district_heatmap", full_refresh,
-            lambda: self.district_heatmap.merge(
-                marts.district_heatmap(all_trips, threshold, since, lookback_days),
-                ["trip_date", "origin_district", "destination_district"], full_refresh,
-            ),
+
+    def _build_heatmap(self, full_refresh: bool, since: date | None, threshold: float) -> None:
+        names = {"trip_date": "trip_date", "origin_district": "pickup_address", "destination_district": "delivery_address"}
+        self._build_daily(
+            "district_heatmap", "order_trips", full_refresh, since, names,
+            lambda rows: marts.district_heatmap(rows, threshold),
+            lambda rows, _stored, dirty: marts.district_heatmap(rows, threshold, only=dirty),
         )
-        known = self.fleet_utilization.read() if incremental and as_of else None
-        self._run(
-            "fleet_utilization", full_refresh,
-            lambda: self.fleet_utilization.merge(
-                marts.fleet_utilization(days, known, as_of, lookback_days), ["metric_date", "truck_id"], full_refresh
-            ),
+
+    def _build_fleet(self, full_refresh: bool, since: date | None) -> None:
+        self._build_daily(
+            "fleet_utilization", "truck_activity", full_refresh, since, {"metric_date": "activity_date", "truck_id": "truck_id"},
+            marts.fleet_utilization, marts.fleet_changed,
         )
 
     def _run(self, name: str, full_refresh: bool, step) -> None:

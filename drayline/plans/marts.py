@@ -115,17 +115,37 @@ def otd(
     return _with_rolling_rate(both).where(F.col("trip_date") >= F.lit(start))
 
 
+def otd_changed(
+    trips: DataFrame, stored: DataFrame, dirty: DataFrame, threshold: float = OTD_THRESHOLD_MIN
+) -> DataFrame:
+    """The rows of the on-time mart that differ where the trips of some days and districts have changed.
+
+    ``dirty`` lists ``trip_date`` and ``district``; ``trips`` need hold no other
+    days. Returned are the rows of the dirty ones and of the six after each.
+    """
+    place = ["trip_date", "district"]
+    found = trips.withColumn("district", F.col("delivery_address"))
+    fresh = otd_daily(incremental.matching(found, dirty, place).select(*trips.columns), threshold)
+    rows = incremental.rows_after_changes(fresh, stored, dirty, ["district"], "trip_date", WINDOW_ROWS - 1)
+    return _with_rolling_rate(rows).where("_affected").drop("_affected")
+
+
 def district_heatmap(
     trips: DataFrame,
     threshold: float = OTD_THRESHOLD_MIN,
     as_of: date | None = None,
     lookback_days: int = LOOKBACK_DAYS,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Volume, distance, duration and on-time rate per day, origin and destination.
 
-    With ``as_of`` given, returns only the refreshed days.
+    With ``as_of`` given, returns only the refreshed days, with ``only`` the
+    listed days and corridors.
     """
     rows = _usable(trips).where(F.col("trip_date").isNotNull())
+    if only is not None:
+        ends = {"origin_district": F.col("pickup_address"), "destination_district": F.col("delivery_address")}
+        rows = incremental.matching(rows.withColumns(ends), only, ["trip_date", *ends]).drop(*ends)
     if as_of is not None:
         rows = rows.where(F.col("trip_date") >= F.lit(_refresh_start(as_of, lookback_days)))
     distance = F.coalesce("total_distance_km", F.lit(0.0))
@@ -182,7 +202,6 @@ def fleet_utilization(
     ``with_fleet_rows`` adds one row per day for the whole fleet, under truck ``__fleet__``
     (truck ids must be strings).
     """
-    window = W.partitionBy("truck_id").orderBy("metric_date").rowsBetween(1 - WINDOW_ROWS, 0)
     start = None
     if target is None:
         daily = fleet_daily(activity)
@@ -192,15 +211,31 @@ def fleet_utilization(
         stored = target.where(F.col("truck_id").cast("string") != FLEET_ROW)
         context = incremental.context_rows(stored, ["truck_id"], "metric_date", start, WINDOW_ROWS - 1)
         daily = daily.unionByName(context.select(*_FLEET_COLUMNS))
-    # Mean of whole 1/10000 units: the running sum stays exact as rows enter and leave the frame.
-    units = F.round(F.col("utilization_index") * 10_000).cast("bigint")
-    mean = safe_divide(F.sum(units).over(window), F.count(units).over(window) * 100)
-    rolled = daily.withColumn("utilization_index_7d", round_to(mean, 0) / 100)
+    rolled = _with_rolling_index(daily)
     if start is not None:
         rolled = rolled.where(F.col("metric_date") >= F.lit(start))
     return rolled.unionByName(_fleet_rows(rolled)) if with_fleet_rows else rolled
 
 
+def fleet_changed(activity: DataFrame, stored: DataFrame, dirty: DataFrame) -> DataFrame:
+    """The rows of the utilization mart that differ where some truck-days have changed.
+
+    ``dirty`` lists ``metric_date`` and ``truck_id``; ``activity`` need hold no
+    other days. Returned are the rows of the dirty ones and of the six after each.
+    """
+    fresh = incremental.matching(fleet_daily(activity), dirty, ["metric_date", "truck_id"])
+    rows = incremental.rows_after_changes(fresh, stored, dirty, ["truck_id"], "metric_date", WINDOW_ROWS - 1)
+    return _with_rolling_index(rows).where("_affected").drop("_affected")
+
+
+def _with_rolling_index(daily: DataFrame) -> DataFrame:
+    window = W.partitionBy("truck_id").orderBy("metric_date").rowsBetween(1 - WINDOW_ROWS, 0)
+    # Mean of whole 1/10000 units: the running sum stays exact as rows enter and leave the frame.
+    units = F.round(F.col("utilization_index") * 10_000).cast("bigint")
+    mean = safe_divide(F.sum(units).over(window), F.count(units).over(window) * 100)
+    return daily.withColumn("utilization_index_7d", round_to(mean, 0) / 100)
+
+
 def _fleet_rows(rolled: DataFrame) -> DataFrame:
     return rolled.groupBy("metric_date").agg(
         F.lit(FLEET_ROW).alias("truck_id"),

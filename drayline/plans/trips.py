@@ -141,25 +141,33 @@ def order_trips(
     )
 
 
-def late_trucks(positions: DataFrame, stored: DataFrame, earlier: DataFrame) -> DataFrame:
+def late_trucks(positions: DataFrame, stored: DataFrame, earlier: DataFrame, max_minutes: float = MAX_TRIP_MINUTES) -> DataFrame:
     """Trucks whose new positions may answer a probe of a stored trip.
 
     That is where the first new one precedes a delivery or a position stored
-    ``earlier`` (only those no older than the first new one are read), or where
-    a stored trip still lacks a position.
+    ``earlier`` (without the new ones), or where a trip may still wait for the
+    position of its pickup, the one probe that a later position can answer. Of
+    the trips only days from the first new position on are read, and those
+    without a position; of earlier positions those no older than the first.
     """
     first = positions.groupBy("truck_id").agg(F.min("event_ts").alias("_first"))
-    last = stored.groupBy("truck_id").agg(
-        F.max("delivered_at").alias("_last"), F.max(F.col("total_distance_km").isNull()).alias("_open")
-    )
     micros = first.agg(F.unix_micros(F.min("_first").cast("timestamp"))).first()[0]
     if micros is None:
         return first.select("truck_id")
     since = F.timestamp_micros(F.lit(micros)).cast(earlier.schema["event_ts"].dataType)
-    known = earlier.where(F.col("event_ts") >= since).groupBy("truck_id").agg(F.max("event_ts").alias("_known"))
-    joined = first.join(last, "truck_id").join(known, "truck_id", "left")
-    reach = (F.col("_first") <= F.col("_last")) | F.coalesce(F.col("_first") <= F.col("_known"), F.lit(False)) | F.col("_open")
-    return joined.where(reach).select("truck_id")
+    # No trip is longer than the cap, so one delivered since then has begun on these days.
+    begun = F.to_date(F.timestamp_micros(F.lit(micros - int(max_minutes * 60_000_000))))
+    last = stored.where((F.col("trip_date") >= begun) & (F.col("delivered_at") >= since))
+    waiting = stored.where(F.col("deadhead_distance_km").isNull() & F.col("loaded_distance_km").isNull())
+    known = earlier.where(F.col("event_ts") >= since)
+    reached = [
+        last.groupBy("truck_id").agg(F.max("delivered_at").alias("_until")),
+        known.groupBy("truck_id").agg(F.max("event_ts").alias("_until")),
+    ]
+    kind = positions.schema["event_ts"].dataType
+    until = reduce(DataFrame.unionByName, [r.withColumn("_until", F.col("_until").cast(kind)) for r in reached])
+    before = first.join(until, "truck_id").where(F.col("_first") <= F.col("_until")).select("truck_id")
+    return before.unionByName(first.join(waiting, "truck_id", "left_semi").select("truck_id")).distinct()
 
 
 def revised_trips(orders: DataFrame, telemetry: DataFrame, stored: DataFrame, trucks: DataFrame, **options) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,9 +11,10 @@ from drayline.operators import incremental
 from drayline.operators.asof import Probe, asof_join, asof_lookup, bounded_by_batch
 from drayline.operators.latest import most_frequent
 from drayline.plans import activity, derived, marts, trips
+from drayline.plans.lakehouse import Lakehouse
 from drayline.registry import ctes
 from drayline.registry.base import Tables, query, with_ctes
-from drayline.session import cut_lineage
+from drayline.session import cut_lineage, scratch_path
 
 
 def trip_rows(t: Tables, **options) -> DataFrame:
@@ -225,3 +227,61 @@ def fleet_utilization_incremental(t: Tables) -> DataFrame:
 def delivery_tiers(t: Tables) -> DataFrame:
     rows = trip_rows(t).where(~F.col("is_deleted"))
     return rows.select("order_id", marts.delivery_tier("total_duration_min").alias("delivery_tier"))
+
+
+# One row of each table in common columns: name, day, two keys, a count and two figures.
+_TABLES = {
+    "order_trips": ("trips", "trip_date", "order_id", "truck_id", "NULL", "total_distance_km", "total_duration_min"),
+    "truck_activity": ("activity", "activity_date", "truck_id", "primary_district", "trips_completed", "total_distance_km", "active_hours"),
+    "otd": ("otd_mart", "trip_date", "district", "NULL", "total_orders", "otd_rate_7d", "p90_duration_min"),
+    "district_heatmap": ("heatmap", "trip_date", "origin_district", "destination_district", "order_count", "avg_distance_km", "median_duration_min"),
+    "fleet_utilization": ("fleet", "metric_date", "truck_id", "model", "trips_completed", "utilization_index", "utilization_index_7d"),
+}
+_COMMON = {"day": "DATE", "k1": "{text}", "k2": "{text}", "n": "BIGINT", "a": "DOUBLE", "b": "DOUBLE"}
+
+
+def _common(name: str, text: str) -> list[str]:
+    kinds = [(c, k.format(text=text)) for c, k in _COMMON.items()]
+    return [f"'{name}' AS mart"] + [f"CAST({e} AS {k}) AS {c}" for e, (c, k) in zip(_TABLES[name][1:], kinds)]
+
+
+@query(
+    "incremental_equals_full",
+    with_ctes(
+        [*ctes.FLEET, "otd_days", "otd_mart", "heatmap"],
+        " UNION ALL ".join(f"SELECT {', '.join(_common(n, 'VARCHAR'))} FROM {_TABLES[n][0]}" for n in _TABLES),
+    ),
+)
+def incremental_equals_full(t: Tables) -> DataFrame:
+    """Trips and marts after a second run equal those built at once.
+
+    Between the runs, on days long stored: orders arrive late, orders come again
+    with other times and districts, delivered ones turn out to be cancelled,
+    positions are filled in and registry entries change.
+    """
+    key = F.col("order_id")
+    final = derived.orders(t.events).withColumns({"ts_ms": F.lit(2).cast("long"), "_partition_offset": F.col("order_id")})
+    earlier = {c: F.col(c) - F.expr("interval 26 hours") for c in ("dispatched_at", "collected_at", "delivered_at")}
+    first = final.where(key % 5 != 1).withColumn("ts_ms", F.lit(1).cast("long"))
+    moved = first.withColumns({**earlier, "delivery_address": F.col("pickup_address")})
+    cancelled = first.where(key % 7 == 0).withColumn("order_id", -key - 1)
+    first = first.where(key % 4 != 0).unionByName(moved.where(key % 4 == 0))
+    second = final.where((key % 5 == 1) | (key % 4 == 0))
+    withdrawn = cancelled.withColumns({"status": F.lit("cancelled"), "is_deleted": F.lit(False), "ts_ms": F.lit(2).cast("long")})
+
+    pings, late = derived.pings(t.events), F.hour("event_ts") % 6 == 2
+    trucks = derived.registry(t.events).withColumns({"ts_ms": F.lit(2).cast("long"), "_partition_offset": F.col("truck_id")})
+    renamed = F.col("truck_id") % 3 == 0
+    old = trucks.withColumns({"model": F.when(renamed, "unknown").otherwise(F.col("model")), "ts_ms": F.lit(1).cast("long")})
+
+    lake = Lakehouse(t.spark, scratch_path(t.spark, "incremental_equals_full"), key_buckets=8)
+    lake.land_orders(first.unionByName(cancelled))
+    lake.land_trucks(old)
+    lake.land_positions(pings.where(~late))
+    lake.build()
+    lake.land_orders(second.unionByName(withdrawn))
+    lake.land_trucks(trucks.where(renamed))
+    lake.land_positions(pings.where(late))
+    lake.build()
+    rows = [getattr(lake, n).read().selectExpr(*_common(n, "STRING")) for n in _TABLES]
+    return reduce(DataFrame.unionByName, rows)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from drayline.operators import incremental
 from drayline.session import RunFolder, remove_folder
+from drayline.sources.change_log import ChangeLog
 from drayline.sources.schema_log import Entry, SchemaLog
 
 KEY_BUCKET = "_key_bucket"
@@ -259,6 +260,56 @@ class PartitionedTable:
         finally:
             run.close()
 
+    def read_partitions(self, partitions: DataFrame) -> DataFrame | None:
+        """Rows of the listed partitions, the other folders unread where the list is short."""
+        stored = self.read()
+        return None if stored is None else self._only(stored, partitions)
+
+    def replace_keys(
+        self, rows: DataFrame, dirty: DataFrame, keys: list[str], log: ChangeLog | None = None, track: list[str] | None = None
+    ) -> None:
+        """Rows whose key is listed in ``dirty`` go, ``rows`` (of such keys only) come in their place.
+
+        Nulls in keys match nulls. Rows that come out as they are stored change
+        nothing: only partitions with a difference are written. ``log`` is told
+        the values of ``track`` of all rows that go or come, before they do.
+        """
+        current = self.read()
+        if current is None:
+            if log is not None:
+                log.append_all()
+            self.overwrite(rows)
+            return
+        run = RunFolder(self.spark, "replace", self.staging_fallback or f"{self.path}.staging")
+        try:
+            rows = run.keep(rows, "rows")
+            dirty = run.keep(dirty.select(*keys).distinct(), "dirty")
+            if set(self.partition_by) <= set(keys):
+                places = dirty.select(*self.partition_by)
+            else:
+                narrow = current.select(*dict.fromkeys([*keys, *self.partition_by]))
+                places = incremental.matching(narrow, dirty, keys).select(*self.partition_by)
+                places = places.unionByName(rows.select(*self.partition_by))
+            near = self._only(current, run.keep(places.distinct(), "places"))
+            held = run.keep(incremental.matching(near, dirty, keys), "held")
+            if rows.schema.simpleString() == held.select(*rows.columns).schema.simpleString():
+                old = held.select(*rows.columns)
+                changed = old.exceptAll(rows).unionByName(rows.exceptAll(old))
+            else:
+                changed = held.unionByName(rows, allowMissingColumns=True)
+            noted = list(dict.fromkeys([*(track or keys), *self.partition_by]))
+            changed = run.keep(changed.select(*noted).distinct(), "changed")
+            if changed.isEmpty():
+                return
+            if log is not None:
+                log.append(changed.select(*(track or keys)).distinct())
+            touched = run.keep(changed.select(*self.partition_by).distinct(), "touched")
+            kept = incremental.matching(self._only(current, touched), dirty, keys, "left_anti")
+            coming = incremental.matching(rows, touched, self.partition_by)
+            self.replace_partitions(incremental.stacked(kept, coming), touched)
+        finally:
+            run.close()
+
     def replace_partitions(self, df: DataFrame, affected: DataFrame | None = None, whole: bool = False) -> None:
         """Swap in new content; ``affected`` partitions (a DataFrame of them) that end up empty are removed.
 

@@ -267,15 +267,16 @@ def start_trip_revision(
     """Correct stored trips for positions that arrive after them.
 
     ``positions`` gives the stored positions, the batch's own included. Only
-    trucks whose new positions reach back to a stored trip are matched again,
-    and only trips that change are written.
+    trucks whose new positions reach back to a stored trip or an earlier position
+    are matched again (none where positions come in order of time), and only trips that change are written.
     """
 
     def revise(batch: DataFrame, _batch_id: int) -> None:
         stored = table.read()
         if stored is None:
             return
-        late = trips.late_trucks(batch, stored, positions())
+        here = ["truck_id", "event_ts"]
+        late = trips.late_trucks(batch, stored, positions().join(batch.select(*here), here, "left_anti"))
         if not late.isEmpty():
             table.merge(trips.revised_trips(orders(), positions(), stored, late), ["order_id"], keys_may_move=True)
 
