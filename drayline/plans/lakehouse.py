@@ -221,22 +221,28 @@ class Lakehouse:
         if full:
             log.append_all()
             self.order_trips.overwrite(trips.order_trips(orders, telemetry))
-            remove_folder(self.spark, self.late)
-        elif found["stg_orders"].rows is not None:
-            changed = latest_per_key(found["stg_orders"].rows, key, [ENTRY]).select(*orders.columns)
-            self._store_trips(changed, telemetry, trips.positions_for(trips.completed_orders(changed), telemetry))
-        if path_exists(self.spark, self.late):  # positions that came after their trips were stored
-            trucks = self.spark.read.parquet(self.late).distinct()
-            again = orders.join(trucks, "truck_id", "left_semi")
-            self._store_trips(again, telemetry, telemetry.join(trucks, "truck_id", "left_semi"))
-            remove_folder(self.spark, self.late)
+        else:
+            changed, near = found["stg_orders"].rows, None
+            if changed is not None:
+                changed = latest_per_key(changed, key, [ENTRY]).select(*orders.columns)
+            if path_exists(self.spark, self.late):  # positions that came after their trips were stored
+                late = self.spark.read.parquet(self.late).distinct()
+                again, near = (rows.join(late, "truck_id", "left_semi") for rows in (orders, telemetry))
+                # The other trucks' changed orders need the positions around them only.
+                rest = None if changed is None else changed.join(late, "truck_id", "left_anti")
+            else:
+                again, rest = None, changed
+            if rest is not None:
+                around = trips.positions_for(trips.completed_orders(rest), telemetry)
+                near = around if near is None else near.unionByName(around.join(late, "truck_id", "left_anti"))
+                again = rest if again is None else again.unionByName(rest)
+            if again is not None:
+                track = ["truck_id", "trip_date", "pickup_address", "delivery_address"]
+                rows = trips.order_trips(again, near)
+                self.order_trips.replace_keys(rows, again.select("order_id"), key, log, track)
+        remove_folder(self.spark, self.late)
         self._seen("order_trips", found)
 
-    def _store_trips(self, orders: DataFrame, telemetry: DataFrame, near: DataFrame) -> None:
-        rows = trips.order_trips(orders, near.select(*telemetry.columns))
-        track = ["truck_id", "trip_date", "pickup_address", "delivery_address"]
-        self.order_trips.replace_keys(rows, orders.select("order_id"), ["order_id"], self.changes["order_trips"], track)
-
     def _build_activity(self, full_refresh: bool, _since: date | None) -> None:
         """Truck-days with other trips, new positions or another registry entry."""
         log, place = self.changes["truck_activity"], ["truck_id", "activity_date"]

@@ -285,14 +285,14 @@ class PartitionedTable:
             rows = run.keep(rows, "rows")
             dirty = run.keep(dirty.select(*keys).distinct(), "dirty")
             if set(self.partition_by) <= set(keys):
-                places = dirty.select(*self.partition_by)
+                places = dirty.select(*self.partition_by).distinct()
             else:
                 narrow = current.select(*dict.fromkeys([*keys, *self.partition_by]))
                 places = incremental.matching(narrow, dirty, keys).select(*self.partition_by)
-                places = places.unionByName(rows.select(*self.partition_by))
-            near = self._only(current, run.keep(places.distinct(), "places"))
+                places = run.keep(places.unionByName(rows.select(*self.partition_by)).distinct(), "places")
+            near = self._only(current, places)
             held = run.keep(incremental.matching(near, dirty, keys), "held")
-            if rows.schema.simpleString() == held.select(*rows.columns).schema.simpleString():
+            if dict(rows.dtypes) == dict(held.dtypes):
                 old = held.select(*rows.columns)
                 changed = old.exceptAll(rows).unionByName(rows.exceptAll(old))
             else:
@@ -303,7 +303,7 @@ class PartitionedTable:
                 return
             if log is not None:
                 log.append(changed.select(*(track or keys)).distinct())
-            touched = run.keep(changed.select(*self.partition_by).distinct(), "touched")
+            touched = changed.select(*self.partition_by).distinct()
             kept = incremental.matching(self._only(current, touched), dirty, keys, "left_anti")
             coming = incremental.matching(rows, touched, self.partition_by)
             self.replace_partitions(incremental.stacked(kept, coming), touched)
