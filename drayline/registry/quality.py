@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from drayline.functions import Period
-from drayline.operators import checks
+from drayline.operators import checks, digests
 from drayline.plans import activity, derived, marts
 from drayline.registry import ctes
 from drayline.registry.base import Tables, query, with_ctes
@@ -228,6 +228,30 @@ def check_equality(t: Tables) -> DataFrame:
     return checks.equality(*_two(t))
 
 
+@query(
+    "check_equality_digests",
+    f"SELECT 'a_minus_b' AS which_diff, * FROM ({_A} EXCEPT ALL {_B}) UNION ALL SELECT 'b_minus_a', * FROM ({_B} EXCEPT ALL {_A})",
+)
+def check_equality_digests(t: Tables) -> DataFrame:
+    """The same by digests of buckets: rows are compared where these differ."""
+    return digests.equality_by_digest(*_two(t), keep_duplicates=True)
+
+
+@query(
+    "check_lineitem_digests",
+    "WITH b AS (SELECT * EXCLUDE (l_discount), CASE WHEN l_orderkey % 1000 = 7 THEN NULL ELSE l_discount END AS l_discount FROM lineitem "
+    "WHERE l_orderkey % 1000 <> 11) SELECT 'a_minus_b' AS which_diff, l_orderkey, l_linenumber, l_discount FROM lineitem "
+    "WHERE l_orderkey % 1000 = 11 OR (l_orderkey % 1000 = 7 AND l_discount IS NOT NULL) "
+    "UNION ALL SELECT 'b_minus_a', l_orderkey, l_linenumber, l_discount FROM b WHERE l_orderkey % 1000 = 7 AND l_discount IS NULL",
+)
+def check_lineitem_digests(t: Tables) -> DataFrame:
+    """A large table against a copy with some orders lost and some values emptied."""
+    order = F.col("l_orderkey") % 1000
+    copy = t.lineitem.where(order != 11).withColumn("l_discount", F.when(order == 7, None).otherwise(F.col("l_discount")))
+    found = digests.equality_by_digest(t.lineitem, copy, key=["l_orderkey"], keep_duplicates=True)
+    return found.select("which_diff", "l_orderkey", "l_linenumber", "l_discount")
+
+
 @query(
     "check_equality_with_duplicates",
     f"SELECT 'a_minus_b' AS which_diff, * FROM ({_A} EXCEPT ALL {_B}) UNION ALL SELECT 'b_minus_a', * FROM ({_B} EXCEPT ALL {_A})",
