@@ -8,9 +8,11 @@ ends in a single task (see ``chunking``).
 from __future__ import annotations
 
 import json
+import operator
 import uuid
 from dataclasses import dataclass
 from datetime import datetime
+from decimal import Decimal
 from functools import reduce
 from typing import Any, Callable
 
@@ -329,12 +331,26 @@ def json_conformance(df: DataFrame, column: str, schema: dict) -> DataFrame:
 _NOTES = {"$schema", "$id", "title", "description", "default", "examples", "$comment"}
 
 
+_EXACT = "decimal(38,18)"
+
+
+def _exact_literal(number: int | float) -> Column | None:
+    """A number as written, ``None`` where the exact type does not hold it."""
+    parts = Decimal(str(number)).as_tuple()
+    if not isinstance(parts.exponent, int) or parts.exponent < -18 or len(parts.digits) + parts.exponent > 20:
+        return None
+    return F.lit(format(Decimal(str(number)), "f")).cast(_EXACT)
+
+
 def _meets(value: Column, schema: dict | bool) -> Column:
     """Whether a variant meets a schema."""
     if isinstance(schema, bool):
         return F.lit(schema)
     kind = F.schema_of_variant(value)
     number = F.try_variant_get(value, "$", "double")
+    # Exact where 20 digits before the point and 18 after it hold the number; the double decides elsewhere.
+    exact = F.try_variant_get(value, "$", _EXACT)
+    exact = F.when(exact.cast("double") == number, exact)
     text = F.try_variant_get(value, "$", "string")
     is_a = {
         "string": kind == "STRING",
@@ -344,7 +360,13 @@ def _meets(value: Column, schema: dict | bool) -> Column:
         "object": kind.startswith("OBJECT"),
         "array": kind.startswith("ARRAY"),
     }
-    is_a["integer"] = is_a["number"] & (number == F.floor(number))
+    is_a["integer"] = is_a["number"] & F.coalesce(exact % F.lit(1).cast(_EXACT) == 0, number == F.rint(number))
+
+    def against(wanted: int | float, compare: Callable[[Column, Column], Column]) -> Column:
+        bound = _exact_literal(wanted)
+        plain = compare(number, F.lit(float(wanted)))
+        return plain if bound is None else F.coalesce(compare(exact, bound), plain)
+
     items = F.try_variant_get(value, "$", "array<variant>")
     fields = F.try_variant_get(value, "$", "map<string,variant>")
 
@@ -357,7 +379,7 @@ def _meets(value: Column, schema: dict | bool) -> Column:
         if isinstance(wanted, bool):
             return is_a["boolean"] & (F.try_variant_get(value, "$", "boolean") == wanted)
         if isinstance(wanted, (int, float)):
-            return is_a["number"] & (number == float(wanted))
+            return is_a["number"] & against(wanted, operator.eq)
         if isinstance(wanted, str):
             return is_a["string"] & (text == wanted)
         same = F.to_json(F.parse_json(F.lit(json.dumps(wanted))))
@@ -387,16 +409,17 @@ def _meets(value: Column, schema: dict | bool) -> Column:
         elif word == "pattern":
             found.append(when("string", text.rlike(bound)))
         elif word == "minimum":
-            found.append(when("number", number >= bound))
+            found.append(when("number", against(bound, operator.ge)))
         elif word == "maximum":
-            found.append(when("number", number <= bound))
+            found.append(when("number", against(bound, operator.le)))
         elif word == "exclusiveMinimum":
-            found.append(when("number", number > bound))
+            found.append(when("number", against(bound, operator.gt)))
         elif word == "exclusiveMaximum":
-            found.append(when("number", number < bound))
+            found.append(when("number", against(bound, operator.lt)))
         elif word == "multipleOf":
-            share = number / F.lit(float(bound))
-            found.append(when("number", F.abs(share - F.round(share)) <= 1e-9 * F.greatest(F.abs(share), F.lit(1.0))))
+            share, step = number / F.lit(float(bound)), _exact_literal(bound)
+            near = F.abs(share - F.round(share)) <= 1e-9 * F.greatest(F.abs(share), F.lit(1.0))
+            found.append(when("number", near if step is None else F.coalesce(exact % step == 0, near)))
         elif word == "properties":
             found.append(when("object", every(member(n).isNull() | _meets(member(n), sub) for n, sub in bound.items())))
         elif word == "required":

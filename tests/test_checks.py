@@ -229,6 +229,31 @@ def test_json_conformance_by_type_and_depth(spark, text, schema, valid):
     assert checks.json_conformance(df, "j", schema).isEmpty() is valid
 
 
+@pytest.mark.parametrize(
+    "text, schema, valid",
+    [
+        ("1000000000.5", {"multipleOf": 1}, False),
+        ("1000000000", {"multipleOf": 1}, True),
+        ("0.3", {"multipleOf": 0.1}, True),
+        ("0.35", {"multipleOf": 0.1}, False),
+        ("1e300", {"multipleOf": 10}, True),
+        ("9007199254740993", {"enum": [9007199254740992]}, False),
+        ("9007199254740993", {"const": 9007199254740993}, True),
+        ("9007199254740993.5", {"type": "integer"}, False),
+        ("9007199254740993", {"maximum": 9007199254740992}, False),
+        ("9007199254740993", {"exclusiveMinimum": 9007199254740992}, True),
+        ("0.1", {"enum": [0.1]}, True),
+        ("1.0", {"const": 1}, True),
+        ("-0.0", {"const": 0}, True),
+        ("1e300", {"minimum": 1e299}, True),
+        ("123456789012345678901234567890", {"type": "integer", "minimum": 123456789012345678901234567000}, True),
+    ],
+)
+def test_json_numbers_are_exact(spark, text, schema, valid):
+    df = spark.createDataFrame([(text,)], "j string")
+    assert checks.json_conformance(df, "j", schema).isEmpty() is valid
+
+
 def test_json_conformance_refuses_what_it_does_not_know(spark):
     df = spark.createDataFrame([("1",)], "j string")
     for schema in ({"type": "date"}, {"format": "email"}):
