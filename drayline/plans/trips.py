@@ -109,6 +109,12 @@ def order_trips(
         right_unique=True,
         rows_per_chunk=rows_per_chunk,
     )
+    return trip_rows(placed)
+
+
+def trip_rows(placed: DataFrame) -> DataFrame:
+    """Distances and durations of orders whose three positions are known."""
+    total_minutes = minutes_between("dispatched_at", "delivered_at")
     legs = placed.withColumn(
         "_deadhead",
         great_circle_distance(

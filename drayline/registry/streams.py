@@ -17,7 +17,7 @@ from drayline.registry import ctes, feeds
 from drayline.registry.base import Tables, query, with_ctes
 from drayline.session import shared_dir
 from drayline.sources.tables import PartitionedTable, with_key_bucket
-from drayline.streaming import ingest
+from drayline.streaming import ingest, stateful
 from drayline.sources import sinks
 
 
@@ -218,3 +218,30 @@ def stream_dead_letters(t: Tables) -> DataFrame:
     good = t.spark.read.parquet(f"{folder}/good").select("_partition_offset", F.lit(True).alias("good"))
     bad = t.spark.read.parquet(f"{folder}/bad").select("_partition_offset", F.lit(False).alias("good"))
     return good.unionByName(bad)
+
+
+def _delayed_pieces(t: Tables, folder: str, pieces: int = 5) -> tuple[str, float]:
+    """The events as one folder read in pieces: slices of time, half of each delayed to the next piece. Also gives a slice's length in hours."""
+    source = f"{folder}/delayed"
+    ends = t.events.agg(F.min("ts").cast("timestamp").cast("double").alias("a"), F.max("ts").cast("timestamp").cast("double").alias("b")).first()
+    start, length = ends["a"] or 0.0, max(((ends["b"] or 0.0) - (ends["a"] or 0.0)) / (pieces - 1), 1.0)
+    slice_ = F.floor((F.col("ts").cast("timestamp").cast("double") - start) / length)
+    piece = slice_ + F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for n in range(pieces + 1):
+        # A stream reads files by their time.
+        t.events.where(piece == n).repartition(1, "event_id").write.mode("append").parquet(source)
+    return source, length / 3600
+
+
+@query("stream_trips_stateful", with_ctes(ctes.TRIPS, "SELECT * FROM trips"))
+def stream_trips_stateful(t: Tables) -> DataFrame:
+    """Orders and positions from files in wrong order, matched from the state of each truck alone."""
+    folder = _folder(t, "stream_stateful")
+    table = PartitionedTable(t.spark, f"{folder}/out", ["trip_date"], folder)
+    source, hours = _delayed_pieces(t, folder)
+    stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stateful.start_trips_stateful(
+        derived.orders(stream), derived.pings(stream), table, f"{folder}/checkpoint",
+        f"{int(2 * hours) + 3} hours", available_now=True, state_partitions=4,
+    ).awaitTermination()
+    return table.read().select(*trip_columns(t))
