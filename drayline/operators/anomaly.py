@@ -379,6 +379,11 @@ def metrics_anomaly_score(
     trained = trained.alias("l").join(begin.alias("r"), same, "left").select(
         "l.*", F.col("_begin.bucket_end").alias("training_start"), F.col("l.bucket_end").alias("training_end")
     ).drop("_at")
+    return recent_scores(trained, as_of, sensitivity, days)
+
+
+def recent_scores(trained: DataFrame, as_of, sensitivity: float, days: int) -> DataFrame:
+    """Scores and verdicts of the last days, given the running statistics of every series."""
     spread = F.col("training_stddev")
     score = F.when(spread == 0, F.lit(0.0)).when(
         spread.isNotNull(), F.try_divide(F.col("latest_metric_value") - F.col("training_avg"), spread)

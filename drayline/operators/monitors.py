@@ -490,19 +490,10 @@ def monitors_for(data_type, chosen: list[str] | None = None) -> list[str]:
     return [m for m in names if not chosen or m in chosen]
 
 
-def column_metrics(
-    df: DataFrame,
-    table: str,
-    config: MonitorConfig,
-    columns: dict[str, list[str]] | dict[str, dict[str, str]] | list[str],
-    span=None,
-) -> DataFrame:
-    """Column monitors of any number of columns from a single aggregation.
-
-    ``columns`` lists columns (default monitors by type), maps a column to
-    metric types, or maps it to metric name -> type. With dimensions the
-    metrics are per dimension value.
-    """
+def wanted_monitors(
+    df: DataFrame, columns: dict[str, list[str]] | dict[str, dict[str, str]] | list[str]
+) -> list[tuple[str, str, str]]:
+    """Column, metric name and metric type of all monitors asked for that apply."""
     if isinstance(columns, list):
         columns = {c: monitors_for(df.schema[c].dataType) for c in columns}
     wanted: list[tuple[str, str, str]] = []
@@ -518,20 +509,21 @@ def column_metrics(
                 wanted.append((column, name, kind))
     if not wanted:
         raise ValueError("no column metric applies")
-    dims = [f"_dim_{d}" for d in config.dimensions]
-    rows = _monitored(df, config)
-    keys: list[str] = []
-    if config.timestamp_column is not None:
-        span = span or planned_range(config)
-        rows = _covered(df, config, span)
-        keys = ["bucket_start"]
-    for d, alias in zip(config.dimensions, dims):
-        rows = rows.withColumn(alias, F.col(d))
-    kinds = {(c, k) for c, _, k in wanted}
-    place = {pair: f"_m{i}" for i, pair in enumerate(sorted(kinds))}
-    wide = rows.groupBy(*keys, *dims).agg(
-        *[column_aggregate(k, c).cast("double").alias(place[(c, k)]) for c, k in sorted(kinds)]
-    )
+    return wanted
+
+
+def _places(wanted: list[tuple[str, str, str]]) -> dict[tuple[str, str], str]:
+    return {pair: f"_m{i}" for i, pair in enumerate(sorted({(c, k) for c, _, k in wanted}))}
+
+
+def monitor_aggregates(wanted: list[tuple[str, str, str]]) -> list[Column]:
+    """One aggregate a column and metric type."""
+    return [column_aggregate(k, c).cast("double").alias(name) for (c, k), name in _places(wanted).items()]
+
+
+def unfold_monitors(wide: DataFrame, wanted: list[tuple[str, str, str]], keys: list[str]) -> DataFrame:
+    """One row a metric from one column a metric; metrics without a value are left out."""
+    place = _places(wanted)
     cells = F.array(
         *[
             F.struct(
@@ -541,7 +533,34 @@ def column_metrics(
             for c, n, k in wanted
         ]
     )
-    long = wide.select(*keys, *dims, F.inline(cells)).where(F.col("metric_value").isNotNull())
+    return wide.select(*keys, F.inline(cells)).where(F.col("metric_value").isNotNull())
+
+
+def column_metrics(
+    df: DataFrame,
+    table: str,
+    config: MonitorConfig,
+    columns: dict[str, list[str]] | dict[str, dict[str, str]] | list[str],
+    span=None,
+) -> DataFrame:
+    """Column monitors of any number of columns from a single aggregation.
+
+    ``columns`` lists columns (default monitors by type), maps a column to
+    metric types, or maps it to metric name -> type. With dimensions the
+    metrics are per dimension value.
+    """
+    wanted = wanted_monitors(df, columns)
+    dims = [f"_dim_{d}" for d in config.dimensions]
+    rows = _monitored(df, config)
+    keys: list[str] = []
+    if config.timestamp_column is not None:
+        span = span or planned_range(config)
+        rows = _covered(df, config, span)
+        keys = ["bucket_start"]
+    for d, alias in zip(config.dimensions, dims):
+        rows = rows.withColumn(alias, F.col(d))
+    wide = rows.groupBy(*keys, *dims).agg(*monitor_aggregates(wanted))
+    long = unfold_monitors(wide, wanted, [*keys, *dims])
     if dims:
         long = long.withColumn("dimension", F.lit("; ".join(config.dimensions))).withColumn(
             "dimension_value", concat_with_separator(dims)
@@ -551,6 +570,11 @@ def column_metrics(
     return _finish(long, table, config, True)
 
 
+def finish_column_metrics(long: DataFrame, table: str, config: MonitorConfig) -> DataFrame:
+    """Metric rows of values by column, name and type that were computed elsewhere."""
+    return _finish(long, table, config, True)
+
+
 def all_columns_metrics(
     df: DataFrame,
     table: str,

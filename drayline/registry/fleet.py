@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, functions as F
 from drayline.operators import incremental
 from drayline.operators.asof import Probe, asof_join, asof_lookup, bounded_by_batch
 from drayline.operators.latest import most_frequent
-from drayline.plans import activity, derived, marts, trips
+from drayline.plans import activity, derived, marts, quantiles, trips
 from drayline.plans.lakehouse import Lakehouse
 from drayline.registry import ctes
 from drayline.registry.base import Tables, query, with_ctes
 from drayline.session import cut_lineage, scratch_path
+from drayline.sources.tables import PartitionedTable
 
 
 def trip_rows(t: Tables, **options) -> DataFrame:
@@ -285,3 +286,41 @@ def incremental_equals_full(t: Tables) -> DataFrame:
     lake.build()
     rows = [getattr(lake, n).read().selectExpr(*_common(n, "STRING")) for n in _TABLES]
     return reduce(DataFrame.unionByName, rows)
+
+
+_RANGES = (
+    "ranges AS (SELECT DISTINCT CAST(d - INTERVAL (k) DAY AS DATE) AS first_day, d AS last_day FROM "
+    "(SELECT DISTINCT trip_date AS d FROM valid_trips), (SELECT unnest([6, 27]) AS k))"
+)
+
+
+@query(
+    "otd_p90_any_range",
+    with_ctes(ctes.VALID, "SELECT 1").removesuffix(" SELECT 1")
+    + f", {_RANGES} SELECT first_day, last_day, delivery_address AS district, count(*) AS total_orders, true AS p90_within, true AS median_within "
+    "FROM valid_trips JOIN ranges ON trip_date BETWEEN first_day AND last_day GROUP BY 1, 2, 3",
+)
+def otd_p90_any_range(t: Tables) -> DataFrame:
+    """Quantiles over 7 and 28 days up to every day from one stored sketch a day and district, held against exact ranks."""
+    stored = cut_lineage(trip_rows(t), "trips")
+    table = PartitionedTable(t.spark, scratch_path(t.spark, "sketches"), ["trip_date"])
+    late = F.dayofmonth("trip_date") % 5 == 0
+    quantiles.refresh_sketches(table, stored.where(~late | (F.col("order_id") % 2 == 0)))
+    quantiles.refresh_sketches(table, stored, stored.where(late).select("trip_date"))
+    days = stored.where(~F.col("is_deleted") & F.col("total_duration_min").isNotNull())
+    last = days.select(F.col("trip_date").alias("last_day")).distinct()
+    ranges = last.select(F.explode(F.array(F.lit(6), F.lit(27))).alias("_k"), "last_day")
+    ranges = ranges.select(F.date_sub("last_day", F.col("_k")).alias("first_day"), "last_day")
+    fractions = {"p90": 0.9, "median": 0.5}
+    merged = quantiles.duration_quantiles(table.read(), ["district"], fractions, ranges)
+    # Exact ranks from counts of equal durations, of which there are at most 1,201 a day and district.
+    counts = days.groupBy("trip_date", F.col("delivery_address").alias("district"), "total_duration_min").agg(F.count(F.lit(1)).alias("_n"))
+    spans = ranges.select("*", F.explode(F.sequence("first_day", "last_day")).alias("trip_date"))
+    ranked = counts.join(spans, "trip_date").join(merged, ["first_day", "last_day", "district"])
+    slack, value = 2.5 / quantiles.SKETCH_SIZE, F.col("total_duration_min")
+    within = []
+    for name, fraction in fractions.items():
+        below = F.sum(F.when(value < F.col(name), F.col("_n")).otherwise(0)) / F.first("total_orders")
+        up_to = F.sum(F.when(value <= F.col(name), F.col("_n")).otherwise(0)) / F.first("total_orders")
+        within.append(((below <= fraction + slack) & (up_to >= fraction - slack)).alias(f"{name}_within"))
+    return ranked.groupBy("first_day", "last_day", "district").agg(F.first("total_orders").alias("total_orders"), *within)

@@ -7,10 +7,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from drayline.functions import Period
-from drayline.operators import anomaly, monitors
+from drayline.operators import anomaly, monitors, observed, resumed
 from drayline.operators.chunking import expanding_stats
 from drayline.operators.monitors import MonitorConfig
 from drayline.registry.base import Tables, query
+from drayline.session import cut_lineage, scratch_path
+from drayline.sources.tables import PartitionedTable
 
 TABLE = "shop.public.events"
 AS_OF = datetime(2024, 1, 31)
@@ -218,8 +220,7 @@ def metric_boolean_column(t: Tables) -> DataFrame:
     return found.select("metric_name", "metric_value")
 
 
-@query(
-    "metric_all_columns",
+_ALL_COLUMNS = (
     " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, metric_name, metric_value FROM ("
         + _long({k: v.replace("v IS NULL OR v = 0", f"{c} IS NULL OR {c} = 0").replace("(v)", f"({c})") for k, v in _NUMERIC.items() if k in ("null_count", "min", "max", "zero_count")}, "SELECT * FROM customer")
@@ -228,8 +229,11 @@ def metric_boolean_column(t: Tables) -> DataFrame:
     )
     + " UNION ALL SELECT 'c_mktsegment', metric_name, metric_value FROM ("
     + _long({"null_count": "count(*) - count(c_mktsegment)", "min_length": "min(length(c_mktsegment))"}, "SELECT * FROM customer")
-    + ")",
+    + ")"
 )
+
+
+@query("metric_all_columns", _ALL_COLUMNS)
 def metric_all_columns(t: Tables) -> DataFrame:
     """Chosen monitors of all columns but the excluded, by type, in one aggregation."""
     chosen = ["null_count", "min", "max", "zero_count", "min_length"]
@@ -239,6 +243,16 @@ def metric_all_columns(t: Tables) -> DataFrame:
     return found.select("column_name", "metric_name", F.round("metric_value", 6).alias("metric_value"))
 
 
+@query("metric_observed_on_write", _ALL_COLUMNS)
+def metric_observed_on_write(t: Tables) -> DataFrame:
+    """The same metrics from the rows as they are appended to a partitioned table."""
+    chosen = ["null_count", "min", "max", "zero_count", "min_length"]
+    columns = observed.chosen_columns(t.customer, chosen, exclude_prefix="c_cust", exclude_regexp=".*name")
+    watched = observed.ObservedMetrics("customer", MonitorConfig(as_of=AS_OF), columns)
+    PartitionedTable(t.spark, scratch_path(t.spark, "observed"), ["c_mktsegment"]).append(t.customer, watched.watch)
+    return watched.metrics().select("column_name", "metric_name", F.round("metric_value", 6).alias("metric_value"))
+
+
 _HISTORY_CUT = "2024-01-16"
 
 
@@ -550,6 +564,22 @@ def metrics_anomaly_score_split_keys(t: Tables) -> DataFrame:
     return _store_scores(t, rows_per_chunk=7)
 
 
+@query("anomaly_scores_resumed", _STORE_SCORES)
+def anomaly_scores_resumed(t: Tables) -> DataFrame:
+    """Metrics scored in three runs from stored moments, one bucket of the first third only in the last run."""
+    store = monitors.merge_metric_store(None, monitors.row_count_metric(t.events, TABLE, DAILY))
+    day = F.dayofmonth("bucket_start")
+    turn = F.when(day == 7, 2).otherwise(F.least(F.floor((day - 1) / 10), F.lit(2)))
+    store = cut_lineage(store.withColumn("_turn", turn), "metrics")
+    state, scores = None, None
+    for n in range(3):
+        new, known = (store.where(c).drop("_turn") for c in (F.col("_turn") == n, F.col("_turn") <= n))
+        trained, state = resumed.resume_scores(new, known, state)
+        found = resumed.resumed_anomaly_score(trained, AS_OF, sensitivity=1)
+        scores = found if scores is None else scores.join(found.select("id"), "id", "left_anti").unionByName(found)
+    return _round(_plain(scores, "bucket_end", "latest_metric_value", "anomaly_score", "training_set_size", "is_anomaly"), ["anomaly_score"])
+
+
 @query(
     "running_stats_with_nan",
     "WITH v AS (SELECT event_id, event_type, ts, CASE WHEN event_id % 97 <> 0 THEN value END AS x, CAST(event_id % 97 = 0 AS INT) AS odd FROM events), "

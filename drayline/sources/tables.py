@@ -12,7 +12,7 @@ moves. Where the catalog has row-level operations (``MERGE INTO``), use
 from __future__ import annotations
 
 from datetime import datetime
-from typing import Iterable
+from typing import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -165,11 +165,11 @@ class PartitionedTable:
         self.finish()
         return self._entry().read(self.spark, self.path) if self.exists() else None
 
-    def _write(self, df: DataFrame, mode: str) -> None:
+    def _write(self, df: DataFrame, mode: str, watch: Callable[[DataFrame], DataFrame] | None = None) -> None:
         # AQE sizes this shuffle and splits a partition value that is very large.
+        spread = self._entry().for_files(df).hint("rebalance", *self.partition_by)
         (
-            self._entry().for_files(df)
-            .hint("rebalance", *self.partition_by)
+            (watch(spread) if watch else spread)
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
             .partitionBy(*self.partition_by)
@@ -188,8 +188,11 @@ class PartitionedTable:
             .parquet(self.path)
         )
 
-    def append(self, df: DataFrame) -> None:
-        """Add rows. New columns join the table's; values are cast to the types it has, missing columns are null."""
+    def append(self, df: DataFrame, watch: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        """Add rows. New columns join the table's; values are cast to the types it has, missing columns are null.
+
+        ``watch`` is applied to the rows as they are written, after the last shuffle (see ``operators/observed.py``).
+        """
         self.finish()
         if not self.exists():
             self.schema_log.replace(df.schema)
@@ -198,7 +201,7 @@ class PartitionedTable:
             fields = [T.StructField(n, kind) for n, (_, kind) in held.columns.items()]
             fields += [f for f in df.schema if f.name not in held.columns]
             self.schema_log.evolve(T.StructType(fields), self.partition_by)
-        self._write(df, "append")
+        self._write(df, "append", watch)
 
     def _same_partition(self, other: dict[str, str]) -> Column:
         match = F.lit(True)
