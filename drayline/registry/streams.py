@@ -25,11 +25,19 @@ def _stream(t: Tables) -> DataFrame:
     return t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events.parquet*")
 
 
+#: Events that one task writes into a file; a micro-batch takes as many files as its share of the events needs.
+FILE_EVENTS = 500_000
+
+
+def _files_a_piece(t: Tables, pieces: int) -> int:
+    return max(1, -(-t.events.count() // (pieces * FILE_EVENTS)))
+
+
 def _pieces(t: Tables, folder: str, pieces: int = 4) -> DataFrame:
-    """The same events as several files, dealt by a hash, one micro-batch each."""
-    source = f"{folder}/pieces"
-    t.events.repartition(pieces, F.xxhash64("event_id")).write.option("maxRecordsPerFile", 0).parquet(source)
-    return t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    """The same events as several files, dealt by a hash, in so many micro-batches."""
+    source, files = f"{folder}/pieces", _files_a_piece(t, pieces)
+    t.events.repartition(pieces * files, F.xxhash64("event_id")).write.option("maxRecordsPerFile", 0).parquet(source)
+    return t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", files).parquet(source)
 
 
 def _folder(t: Tables, name: str) -> str:
@@ -220,17 +228,22 @@ def stream_dead_letters(t: Tables) -> DataFrame:
     return good.unionByName(bad)
 
 
-def _delayed_pieces(t: Tables, folder: str, pieces: int = 5) -> tuple[str, float]:
-    """The events as one folder read in pieces: slices of time, half of each delayed to the next piece. Also gives a slice's length in hours."""
+def _delayed_pieces(t: Tables, folder: str, pieces: int = 5) -> tuple[str, int, float]:
+    """The events as one folder read in pieces: slices of time, half of each delayed to the next piece.
+
+    Also gives the files of a piece and a slice's length in hours. Pieces with fewer files than that are read
+    together with the next one's, which the bound of two slices allows.
+    """
     source = f"{folder}/delayed"
     ends = t.events.agg(F.min("ts").cast("timestamp").cast("double").alias("a"), F.max("ts").cast("timestamp").cast("double").alias("b")).first()
     start, length = ends["a"] or 0.0, max(((ends["b"] or 0.0) - (ends["a"] or 0.0)) / (pieces - 1), 1.0)
     slice_ = F.floor((F.col("ts").cast("timestamp").cast("double") - start) / length)
     piece = slice_ + F.pmod(F.xxhash64("event_id"), F.lit(2))
+    files = _files_a_piece(t, pieces)
     for n in range(pieces + 1):
         # A stream reads files by their time.
-        t.events.where(piece == n).repartition(1, "event_id").write.mode("append").parquet(source)
-    return source, length / 3600
+        t.events.where(piece == n).repartition(files, "event_id").write.mode("append").parquet(source)
+    return source, files, length / 3600
 
 
 @query("stream_trips_stateful", with_ctes(ctes.TRIPS, "SELECT * FROM trips"))
@@ -238,8 +251,8 @@ def stream_trips_stateful(t: Tables) -> DataFrame:
     """Orders and positions from files in wrong order, matched from the state of each truck alone."""
     folder = _folder(t, "stream_stateful")
     table = PartitionedTable(t.spark, f"{folder}/out", ["trip_date"], folder)
-    source, hours = _delayed_pieces(t, folder)
-    stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    source, files, hours = _delayed_pieces(t, folder)
+    stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", files).parquet(source)
     stateful.start_trips_stateful(
         derived.orders(stream), derived.pings(stream), table, f"{folder}/checkpoint",
         f"{int(2 * hours) + 3} hours", available_now=True, state_partitions=4,

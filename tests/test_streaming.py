@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from drayline import schemas
 from drayline.operators import checks
-from drayline.plans import staging, trips
+from drayline.plans import derived, staging, trips
 from drayline.plans.lakehouse import Lakehouse
 from drayline.sources import cdc
 from drayline.sources.tables import PartitionedTable
@@ -276,3 +276,29 @@ def test_an_older_truck_event_never_wins(spark, tmp_path, rows):
     for events in ([event(2000, "maintenance", 0)], [event(1000, "available", 1)], [event(2000, "in_transit", 2)]):
         lake.ingest({"trucks": feeds(spark, tmp_path, [], [], events)["trucks"]})
     assert rows(lake.stg_trucks.read(), "status", "ts_ms") == [("in_transit", 2000)]
+
+
+def test_pieces_of_events_are_several_files(spark, tmp_path, monkeypatch, rows):
+    """A task writes a bounded number of events, however many there are, and the batches stay as many."""
+    from drayline.registry import streams
+    from drayline.registry.base import Tables
+
+    spark.range(1000).selectExpr(
+        "id AS event_id", "timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, CAST(id AS INT)) AS ts",
+        "id % 7 AS user_id", "if(id % 5 = 0, 'purchase', 'view') AS event_type", "0.5D AS value", "CAST(null AS STRING) AS props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(streams, "FILE_EVENTS", 60)
+    t = Tables(spark, str(tmp_path))
+    stream = streams._pieces(t, str(tmp_path))
+    stored = spark.read.parquet(str(tmp_path / "pieces"))
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 100
+    assert sorted(r[0] for r in stored.select("event_id").collect()) == list(range(1000))
+    seen = []
+    writer = stream.writeStream.foreachBatch(lambda batch, _: seen.append(batch.count()))
+    writer.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 4 and sum(seen) == 1000
+    # Trips from several files a piece are those of the batch model.
+    expected = trips.order_trips(derived.orders(t.events), derived.pings(t.events))
+    found = streams.stream_trips_stateful(t)
+    assert rows(found, *expected.columns) == rows(expected)
