@@ -8,7 +8,9 @@ What a truck holds follows from the watermark, not from its history: positions
 from the longest trip's length before the watermark on (an order that is still to
 come cannot have been dispatched earlier) with the last one before them, and
 orders whose delivery lies ahead of the watermark or whose pickup no position has
-answered. A timer clears the state of a truck that falls silent.
+answered. A timer clears the state of a truck that falls silent. Both lists are
+stored as Arrow batches of many rows each, since a state row of its own costs far
+more than what it holds.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -29,6 +32,13 @@ _TIMES = ["dispatched_at", "collected_at", "delivered_at"]
 _ORDER = ["order_id", "pickup_address", "delivery_address", *_TIMES, "is_deleted"]
 _PLACES = [f"{probe.name}_{axis}" for probe in trips.PROBES for axis in ("latitude", "longitude")]
 _NONE = -(2**62)  # no position answers the probe
+#: Rows of one stored batch of positions or orders.
+STORED_ROWS = 1 << 16
+_POSITION_TYPES = {"event_ts": pa.int64(), "latitude": pa.float64(), "longitude": pa.float64()}
+_ORDER_TYPES = {
+    "order_id": None, "pickup_address": pa.string(), "delivery_address": pa.string(), **dict.fromkeys(_TIMES, pa.int64()),
+    "is_deleted": pa.bool_(), **{probe.name: pa.int64() for probe in trips.PROBES},
+}
 
 # Settings of the streaming query alone; the caller's session has its own back once it has started.
 STATE_STORE = {
@@ -36,35 +46,63 @@ STATE_STORE = {
 }
 
 
+class PackedRows:
+    """A list state whose entries are Arrow batches of up to ``STORED_ROWS`` rows; rows are tuples."""
+
+    def __init__(self, state, types: dict[str, pa.DataType | None]):
+        self.state = state
+        self.types = types  # ``None``: that of the values
+
+    def get(self) -> Iterator[tuple]:
+        for (packed,) in self.state.get():
+            with pa.ipc.open_stream(packed) as batches:
+                for batch in batches:
+                    yield from zip(*[column.to_pylist() for column in batch.columns], strict=True)
+
+    def put(self, rows: list[tuple]) -> None:
+        packed = []
+        for first in range(0, len(rows), STORED_ROWS):
+            columns = zip(*rows[first : first + STORED_ROWS], strict=True)
+            arrays = [pa.array(c, kind) for c, kind in zip(columns, self.types.values(), strict=True)]
+            batch = pa.RecordBatch.from_arrays(arrays, names=list(self.types))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema) as writer:
+                writer.write_batch(batch)
+            packed.append((sink.getvalue().to_pybytes(),))
+        self.state.put(packed)
+
+    def clear(self) -> None:
+        self.state.clear()
+
+
 class TripMatcher(StatefulProcessor):
     """Open orders and recent positions of one truck; all instants are microseconds."""
 
     def __init__(self, id_type: str, slack: int):
-        self.order_type = (
-            f"order_id {id_type}, pickup_address string, delivery_address string, dispatched_at long, "
-            "collected_at long, delivered_at long, is_deleted boolean, dispatch long, pickup long, delivery long"
-        )
+        self.id_type = id_type
         self.slack = slack
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.positions = handle.getListState("positions", "event_ts long, latitude double, longitude double")
-        self.orders = handle.getListState("orders", self.order_type)
+        self.positions = PackedRows(handle.getListState("positions", "packed binary"), _POSITION_TYPES)
+        self.orders = PackedRows(handle.getListState("orders", "packed binary"), _ORDER_TYPES)
+
+    def _held(self) -> tuple[dict, dict]:
+        places = {at: (latitude, longitude) for at, latitude, longitude in self.positions.get()}
+        return places, {o[0]: (o[1:7], o[7:]) for o in self.orders.get()}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        places = {p[0]: (p[1], p[2]) for p in self.positions.get()}
-        waiting = {o[0]: (tuple(o[1:7]), tuple(o[7:])) for o in self.orders.get()}
+        places, waiting = self._held()
         for chunk in rows:
             here = chunk[~chunk["is_order"]]
             places.update(zip(here["position_at"].tolist(), zip(here["latitude"].tolist(), here["longitude"].tolist())))
-            for row in chunk.loc[chunk["is_order"], _ORDER].itertuples(index=False, name=None):
-                waiting[row[0]] = (tuple(None if pd.isna(v) else v for v in row[1:]), None)
+            new = chunk.loc[chunk["is_order"], _ORDER].astype(object)
+            ids, *values = (new[c].where(new[c].notna(), None).tolist() for c in _ORDER)
+            waiting.update(zip(ids, ((order, None) for order in zip(*values))))
         yield from self._advance(key, places, waiting, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        places = {p[0]: (p[1], p[2]) for p in self.positions.get()}
-        waiting = {o[0]: (tuple(o[1:7]), tuple(o[7:])) for o in self.orders.get()}
-        yield from self._advance(key, places, waiting, timerValues)
+        yield from self._advance(key, *self._held(), timerValues)
 
     def close(self) -> None:
         pass
@@ -74,19 +112,19 @@ class TripMatcher(StatefulProcessor):
         now = timer_values.getCurrentWatermarkInMs() * 1000
         times = np.array(sorted(places), dtype=np.int64)
         told, still = [], {}
-        for order_id, (order, before) in waiting.items():
-            dispatched, collected, delivered = order[2:5]
-            # Strictly before dispatch, at or after collection, at or before delivery.
-            at = (
-                int(np.searchsorted(times, dispatched, "left")) - 1,
-                int(np.searchsorted(times, collected, "left")),
-                int(np.searchsorted(times, delivered, "right")) - 1,
-            )
-            found = tuple(int(times[i]) if 0 <= i < len(times) else _NONE for i in at)
+        dispatched, collected, delivered = np.array([o[2:5] for o, _ in waiting.values()], dtype=np.int64).reshape(-1, 3).T
+        # Strictly before dispatch, at or after collection, at or before delivery.
+        at = np.stack([
+            np.searchsorted(times, dispatched, "left"),
+            np.searchsorted(times, collected, "left") + 1,
+            np.searchsorted(times, delivered, "right"),
+        ])
+        answers = np.concatenate([[_NONE], times, [_NONE]])[at].T.tolist()
+        for (order_id, (order, before)), found in zip(waiting.items(), map(tuple, answers), strict=True):
             if found != before:
                 spots = [places.get(instant, (None, None)) for instant in found]
                 told.append((order_id, key[0], *order, *[v for spot in spots for v in spot]))
-            if now < delivered or found[1] == _NONE or found[1] > now:
+            if now < order[4] or found[1] == _NONE or found[1] > now:
                 still[order_id] = (order, found)
         oldest = min([now - self.slack, *[order[2] for order, _ in still.values()]])
         times = times[max(int(np.searchsorted(times, oldest, "left")) - 1, 0):]

@@ -132,3 +132,24 @@ def test_empty_streams(spark, tmp_path):
     run(spark, tmp_path, table, "1 hour")
     assert table.read() is None or table.read().isEmpty()
 
+
+
+def test_state_rows_are_stored_in_batches(monkeypatch):
+    """A row of the state is a batch of positions or orders, not one of them."""
+
+    class State:
+        def put(self, rows):
+            self.rows = rows
+
+        def get(self):
+            return iter(self.rows)
+
+    monkeypatch.setattr(stateful, "STORED_ROWS", 400)
+    nan = float("nan")
+    places = [(instant, -25.0, None if instant % 2 else nan) for instant in range(1000)]
+    orders = [(key, None if key % 3 else "Á", "B", 1, 2, 3, key % 2 == 0, stateful._NONE, 5, 6) for key in range(1000)]
+    for rows, types in ((places, stateful._POSITION_TYPES), (orders, stateful._ORDER_TYPES)):
+        stored = stateful.PackedRows(State(), types)
+        stored.put(rows)
+        assert len(stored.state.rows) == 3
+        assert str(list(stored.get())) == str(rows)
