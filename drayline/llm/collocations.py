@@ -15,15 +15,18 @@ more, they are dealt over several tries by a hash and the blocks are read once
 for each, so that what is broadcast stays bounded.
 
 Words travel as strings only twice: once to be counted, once to be numbered,
-and both times a block names each of its different words once.
+and both times a block names each of its different words once.  To be numbered
+they travel as one list for each block and range of word hashes, not as rows.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -225,7 +228,7 @@ def _tries(phrases: DataFrame, shards: int) -> DataFrame:
 HELD_CANDIDATES = 1 << 21
 
 
-#: Words of text for each range in which counts are added up.
+#: Words of text for each range in which counts are added up and words are numbered.
 RANGE_WORDS = 2_000_000
 
 
@@ -324,6 +327,46 @@ def _dense_ids(words: DataFrame, run: RunFolder) -> DataFrame:
     return placed.join(F.broadcast(offsets), part == F.col("p")).select("word", (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("id"))
 
 
+def _numbers(blocks: DataFrame, numbered: DataFrame, ranges: int) -> DataFrame:
+    """``block`` and ``reply``: place and id of those of a block's words that have one, in one row for each range that knows any.
+
+    Words are dealt over ``ranges`` by their CRC; a range looks up the lists of all blocks in its part of the words.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, cell in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                words = cell.values
+                if not words:
+                    continue
+                crc = np.fromiter(map(zlib.crc32, words.cast(pa.binary()).to_pylist()), dtype=np.int64, count=len(words))
+                order = np.argsort(crc % ranges, kind="stable")
+                part, first = np.unique((crc % ranges)[order], return_index=True)
+                cuts = pa.array(np.append(first, len(order)), pa.int32())
+                columns = [
+                    pa.array(part),
+                    pa.array(np.full(len(part), block)),
+                    pa.ListArray.from_arrays(cuts, pa.array(order, pa.int32())),
+                    pa.ListArray.from_arrays(cuts, words.take(pa.array(order))),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["part", "block", "at", "words"])
+
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        sizes = pc.list_value_length(asked.column("words")).to_numpy()
+        found = pc.index_in(pc.list_flatten(asked.column("words")), value_set=known.column("word")).to_numpy()
+        has = ~np.isnan(found)
+        at = pc.list_flatten(asked.column("at")).to_numpy()[has]
+        ids = known.column("id").to_numpy()[found[has].astype(np.int64)] if has.any() else np.zeros(0, np.int64)
+        ends = np.concatenate([[0], np.cumsum(has)])[np.concatenate([[0], np.cumsum(sizes)])]
+        reply = pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(ids, pa.int64())], names=["at", "id"])
+        made = pa.table({"block": asked.column("block"), "reply": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), reply)})
+        return made.filter(pa.array(np.diff(ends) > 0))
+
+    asked = blocks.select("block", "words").mapInArrow(ask, "part long, block long, at array<int>, words array<string>")
+    known = numbered.select((F.crc32(F.col("word").cast("binary")) % ranges).alias("part"), "word", "id")
+    return asked.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(answer, "block long, reply array<struct<at:int,id:long>>")
+
+
 def frequent_phrases(
     docs: DataFrame, run: RunFolder, text_col: str, lang_col: str, least: int, longest: int, trie_phrases: int = TRIE_PHRASES
 ) -> tuple[DataFrame, DataFrame]:
@@ -335,9 +378,9 @@ def frequent_phrases(
     totals = run.keep(blocks.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")).groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     single = run.keep(by_word.agg(F.sum("x.counts").alias("f")).where(F.col("f") >= least), "single")
     numbered = _dense_ids(single.select("word").distinct(), run)
+    ranges = max(1, -(-int(totals.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS))
     # Every block learns the numbers of its frequent words.
-    asked = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    reply = asked.join(numbered, "word").groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("reply"))
+    reply = _numbers(blocks, numbered, ranges).groupBy("block").agg(F.flatten(F.collect_list("reply")).alias("reply"))
     joined = blocks.select("block", "lang", F.size("words").alias("n"), "codes").join(reply, "block", "left")
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +398,6 @@ def frequent_phrases(
 
     frequent = single.join(numbered, "word").select("lang", F.array("id").alias("words"))
     n_words = single.select("word").distinct().count()
-    ranges = max(1, -(-int(totals.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS))
     found: list[DataFrame] = []
     for length in range(1, longest + 1):
         frequent = run.keep(frequent, f"phrases{length}")

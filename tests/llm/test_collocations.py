@@ -103,3 +103,19 @@ def test_messy_and_empty(spark, run, messy, nothing):
     other = RunFolder(spark, "test")
     assert collocations(nothing, other, "text", "block").collect() == []
     other.close()
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 500])
+def test_words_are_numbered_in_lists(spark, ranges):
+    """A block asks each range once, so what is looked up is no row for each block and word."""
+    rnd = random.Random(ranges)
+    words = ["é", "漢字", "\x1c", *(f"w{i}" for i in range(200))]
+    blocks = [(b << 32, rnd.sample(words, rnd.choice([0, 1, 90, 200]))) for b in range(12)] + [(99, ["nobody", "knows"])]
+    ids = {w: i * 7 for i, w in enumerate(words) if i % 3 and w != "nobody"}
+    numbered = spark.createDataFrame(list(ids.items()), "word string, id long")
+    made = module._numbers(spark.createDataFrame(blocks, "block long, words array<string>"), numbered, ranges)
+    replies = [(r["block"], sorted(map(tuple, r["reply"]))) for r in made.collect()]
+    assert len(replies) <= len(blocks) * ranges and all(x for _, x in replies)
+    got = {b: sorted(x for a, part in replies if a == b for x in part) for b, _ in blocks}
+    assert got == {b: sorted((i, ids[w]) for i, w in enumerate(ws) if w in ids) for b, ws in blocks}
+    assert "Join" not in made._jdf.queryExecution().executedPlan().toString()
