@@ -125,3 +125,22 @@ def test_messy_and_empty(spark, run, messy, nothing):
 def test_only_a_text_column(spark, run):
     got = align_tokens(spark.createDataFrame([("two words",), (None,)], "text string"), run, BYTES, PIECES, want_groups=True).collect()
     assert sorted((r.n_a, r.groups) for r in got)[0] == (0, "") and len(got) == 2
+
+
+def test_stretches_and_different_values():
+    """Plain splitting finds what the expression for blanks beside white space finds; sorted values are those of a set."""
+    import random
+    import re
+
+    import numpy as np
+
+    from drayline.llm import token_alignment as module
+
+    other = re.compile(r"  |[^\S ] | [^\S ]|\A | \Z")
+    rnd = random.Random(5)
+    for _ in range(3000):
+        text = "".join(rnd.choice(["a", "é", " ", " ", "\n", " ", "\xa0", "\x1c", "\x85", "漢", "　"]) for _ in range(rnd.randrange(9)))
+        expected = module._PLAIN_BLANK.split(text) if other.search(text) else text.split(" ")
+        assert module.plain_stretches(text) == expected, repr(text)
+        values = np.array([rnd.randrange(6) for _ in range(rnd.randrange(9))], dtype=np.int64)
+        assert module._different(values).tolist() == sorted(set(values.tolist()))
