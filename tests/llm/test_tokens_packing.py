@@ -126,6 +126,42 @@ def test_blocks_stand_alone():
     assert range_coder.encode(ids)[12 + 24 :] == range_coder.encode(ids[:8192])[12 + 12 :] + range_coder.encode(ids[8192:])[12 + 12 :]
 
 
+def test_coder_models_the_ids_themselves():
+    """Ids drawn without any order cost little more than their entropy; magnitude classes alone cost over a bit more."""
+    rng = np.random.default_rng(5)
+    frequent = rng.permutation(49000)[:300]
+    share = 1 / np.arange(1, 301)
+    ids = rng.choice(frequent, 5 * 8192 + 100, p=share / share.sum())
+    coded = range_coder.encode(ids)
+    assert (range_coder.decode(coded) == ids).all()
+    entropy = -(share / share.sum() * np.log2(share / share.sum())).sum()
+    assert 8 * len(coded) / len(ids) < entropy + 1.2
+
+
+def test_coder_extremes_side_by_side():
+    """Blocks of all new ids, of one id, of a cycle and of long memory in one group, and one that ends early."""
+    rng = np.random.default_rng(6)
+    blocks = [rng.permutation(65536)[:8192], np.full(8192, 65535), np.tile(np.arange(65536 - 64, 65536), 128), np.arange(8192) * 8, np.zeros(8192, int)]
+    ids = np.concatenate([*blocks, *blocks, rng.integers(0, 65536, 777)])
+    coded = range_coder.encode(ids)
+    assert (range_coder.decode(coded) == ids).all()
+    alone = [range_coder.encode(b)[24:] for b in blocks]
+    assert coded[12 + 12 * 11 :].startswith(b"".join(alone + alone))  # the same bytes as alone
+    assert len(alone[1]) < 900 and len(alone[4]) < 900
+    for seed in range(12):  # damage anywhere in the words is noticed
+        at = 12 + 12 * 11 + int(np.random.default_rng(seed).integers(0, len(coded) - 12 - 12 * 11 - 6))
+        with pytest.raises(range_coder.Corrupt):
+            range_coder.decode(coded[:at] + bytes([coded[at] ^ (1 << seed % 8)]) + coded[at + 1 :])
+
+
+@pytest.mark.parametrize("block_ids", [1, 100, 9000])
+def test_coder_block_sizes(block_ids, monkeypatch):
+    monkeypatch.setattr(range_coder, "LANES", 7)
+    rng = np.random.default_rng(block_ids)
+    ids = np.minimum(rng.geometric(0.002, 9 * block_ids + 3), 49407)
+    assert (range_coder.decode(range_coder.encode(ids, block_ids)) == ids).all()
+
+
 @pytest.mark.parametrize("partition_bytes,segment", [(400, 50), (1 << 25, 1 << 23)])
 def test_token_files(spark, run, tokenizer, monkeypatch, partition_bytes, segment):
     monkeypatch.setattr(token_files, "PARTITION_BYTES", partition_bytes)
