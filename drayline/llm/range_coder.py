@@ -429,7 +429,7 @@ def encode(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
         payload.append(words.tobytes())
     table = np.zeros((len(sizes), 3), dtype="<u4")
     for i, size in enumerate(sizes):
-        table[i] = size, counts[i], zlib.crc32(ids[i * block_ids : i * block_ids + size].tobytes())
+        table[i] = size, counts[i], zlib.crc32(ids[i * block_ids : i * block_ids + size])
     return MAGIC + np.array([len(sizes), block_ids], dtype="<u4").tobytes() + table.tobytes() + b"".join(payload)
 
 
@@ -452,8 +452,7 @@ def decode(data: bytes) -> np.ndarray:
         here = range(first, min(first + LANES, blocks))
         ids = _read(words, ends[here] - table[here, 1], int(table[first, 0])).astype("<u4")
         for lane, block in enumerate(here):
-            mine = ids[lane, : table[block, 0]]
-            if zlib.crc32(mine.tobytes()) != table[block, 2]:
+            if zlib.crc32(ids[lane, : table[block, 0]]) != table[block, 2]:
                 raise Corrupt(f"block {block} has a wrong checksum")
-            parts.append(mine)
-    return np.concatenate(parts) if parts else np.empty(0, dtype="<u4")
+        parts.append(ids.reshape(-1)[: int(table[here, 0].sum())])
+    return parts[0] if len(parts) == 1 else np.concatenate([np.empty(0, dtype="<u4"), *parts])

@@ -47,7 +47,9 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, id_col: str =
 
         def flush() -> pa.RecordBatch:
             lengths = [len(raw) // 4 for raw in held]
-            coded = range_coder.encode(np.frombuffer(b"".join(held), dtype="<u4"))
+            ids = np.frombuffer(b"".join(held), dtype="<u4")
+            held.clear()
+            coded = range_coder.encode(ids)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()),
@@ -93,7 +95,7 @@ def read_token_files(spark, path: str, want_ids: bool = True) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 docs, lengths = batch.column(2)[i].values, batch.column(3)[i].values.to_numpy()
-                raw = range_coder.decode(batch.column(4)[i].as_py()).astype("<u4").tobytes()
+                raw = memoryview(range_coder.decode(batch.column(4)[i].as_py()).astype("<u4", copy=False)).cast("B")
                 first = batch.column(5)[i].as_py()
                 ends = np.cumsum(lengths)
                 if 4 * int(ends[-1]) != len(raw):
@@ -101,7 +103,7 @@ def read_token_files(spark, path: str, want_ids: bool = True) -> DataFrame:
                 cuts = [raw[4 * (b - n) : 4 * b] for b, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 columns = [docs, pa.array(first + ends - lengths), pa.array(lengths), pa.array([zlib.crc32(c) for c in cuts], pa.int64())]
                 if want_ids:
-                    columns.append(pa.array(cuts, pa.binary()))
+                    columns.append(pa.array(map(bytes, cuts), pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields])
 
     joined = stored.join(F.broadcast(placed), ["part", "segment"])  # one narrow row for some millions of ids

@@ -20,8 +20,8 @@ import numpy as np
 #: Words and characters of one generation of the cache.
 CACHED_WORDS = 200_000
 CACHED_CHARS = 16 << 20
-#: Characters of text that are words side by side at a time.
-LOT_CHARS = 2 << 20
+#: Characters of text that are words side by side at a time; so few that the words stay in the processor's caches.
+LOT_CHARS = 1 << 16
 WORDS_AT_A_TIME = 500
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: Signs at the end of a word of Latin letters are always a token run of their own; an apostrophe may belong to letters.
